@@ -31,12 +31,20 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/graphloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors."""
+    """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors, and the shuffle files that made them go at once."""
     spark = df.sparkSession
     path = new_folder(spark, tag)
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(schema).parquet(path), path
 
 
