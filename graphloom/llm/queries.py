@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import audio, byte_bpe, packing, quality, suffix_dedup, token_counts, token_files, url_filters
+from graphloom.llm import audio, byte_bpe, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters
 from graphloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.decode(encoded, RANKS).select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(~quality.held_out()))
@@ -27,6 +31,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def dated_list(pages: DataFrame) -> DataFrame:
     """A dated list for the pages' domains: each registered domain is blocked on a day of early 2024, allowed again 60 days later, and its blog hosts are blocked from May on."""
     hosts = pages.select(url_filters.host(F.col("url")).alias("host")).where("host is not null").distinct()
@@ -70,5 +78,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op3_quality, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files)}
+ORACLES: dict[str, str] = {
+    "op4_topk": """
+        WITH clean AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 20
+    """,
+}
