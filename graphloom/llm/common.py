@@ -72,3 +72,29 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 <
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's strings; null counts as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+class Kept:
+    """Results by key in bounded memory: when the younger half is full it becomes the older one, and what is still used moves on."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def of(self, keys: list, find) -> dict:
+        """A dict that has all keys; find(keys) gives the results of keys not kept."""
+        young, old = self.young, self.old
+        new = {k for k in keys if k not in young}
+        if new:
+            if len(young) + len(new) > self.half:
+                self.old, self.young = old, young = young, {}
+                new = set(keys)
+            fresh = []
+            for k in new:
+                found = old.get(k)
+                if found is None:
+                    fresh.append(k)
+                else:
+                    young[k] = found
+            if fresh:
+                young.update(zip(fresh, find(fresh), strict=True))
+        return young

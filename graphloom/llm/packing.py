@@ -14,7 +14,9 @@ power of two.
 from __future__ import annotations
 
 import heapq
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,31 +27,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from graphloom.llm.common import materialize, shuffle_partitions, slices, texts
+from graphloom.llm.common import Kept, materialize, shuffle_partitions, slices, texts
+from graphloom.llm.token_files import byte_characters
 
 #: Separators that str.split() takes for white space and the tokenizer doesn't.
 ODD = re.compile("[\x1c-\x1f]")
 
 
+#: Words of characters whose lower case and normal form are plain, and their pre-tokens once in lower case.
+PLAIN = re.compile("[!-~¡¿«»À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
 class WordEncoder:
     """The library's ids of a text, packed to four bytes; ids of words between white space are kept, as the tokenizer drops white space before it merges."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.kept, self.most = {}, most
+        self.model, self.kept, self.shown = self.library.model, Kept(most), byte_characters()
+
+    def ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def found(self, words: list[str]) -> Iterator[bytes]:
+        """Plain words go to the library's model by pre-tokens, others through the whole library."""
+        tokenize, shown = self.model.tokenize, self.shown
+        for word in words:
+            ids = [t.id for part in PARTS.findall(word.lower()) for t in tokenize(part.encode().decode("latin-1").translate(shown))] if PLAIN.fullmatch(word) else self.ids(word)
+            yield struct.pack(f"<{len(ids)}I", *ids)
 
     def packed(self, text: str) -> bytes:
         if ODD.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, kept = text.split(), self.kept
-        if new := list({x for x in words if x not in kept}):
-            if len(kept) + len(new) > self.most:
-                kept.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                kept[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(kept.__getitem__, words))
+            return np.array(self.ids(text), "<u4").tobytes()
+        words = text.split()
+        return b"".join(map(self.kept.of(words, self.found).__getitem__, words))
 
 
 @lru_cache(maxsize=2)

@@ -17,6 +17,7 @@ gives no shard. Broken checksums raise ValueError. Only the named columns are re
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from graphloom.llm.byte_bpe import splitter
-from graphloom.llm.common import new_folder, slices, texts
+from graphloom.llm.common import Kept, new_folder, slices, texts
 
 MAGIC = b"GLTOKEN1"
 HEAD, INDEX = struct.Struct("<QI"), np.dtype([("offset", "<u8"), ("doc_id", "<i8"), ("null", "u1"), ("ids", "<u4")])
@@ -67,25 +68,32 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def byte_characters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies: its own if printable, else the next from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
 class PieceEncoder:
-    """The library's ids of a text, with those of its pre-tokens kept: they don't depend on their neighbours."""
+    """The library's ids of a text, pre-token by pre-token; those of a pre-token don't depend on its neighbours and are kept."""
+
+    def __init__(self, path: str, pattern: str, most: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        library = Tokenizer.from_file(path)
+        self.model, self.split, self.kept = library.model, splitter(pattern).findall, Kept(most)
+        self.width = 2 if library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.shown, self.kind = byte_characters(), f"<{'H' if self.width == 2 else 'I'}"
 
-    def __init__(self, path: str, pattern: str, most: int = 200_000):
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.split, self.kept, self.most = splitter(pattern).findall, {}, most
-        self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+    def found(self, pieces: list[str]) -> Iterator[bytes]:
+        for piece in pieces:
+            tokens = self.model.tokenize(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown))
+            yield struct.pack(f"<{len(tokens)}{self.kind[1]}", *[t.id for t in tokens])
 
     def packed(self, text: str) -> bytes:
         """The ids, packed to width."""
-        pieces, kept = self.split(text), self.kept
-        if new := list({x for x in pieces if x not in kept}):
-            if len(kept) + len(new) > self.most:
-                kept.clear()
-                new = list(set(pieces))
-            for piece, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                kept[piece] = np.array(found.ids, f"<u{self.width}").tobytes()
-        return b"".join(map(kept.__getitem__, pieces))
+        pieces = self.split(text)
+        return b"".join(map(self.kept.of(pieces, self.found).__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
