@@ -371,3 +371,27 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
 
 def text_of(kept: bytes) -> str:
     return kept.decode("utf-8", "ignore")
+
+
+def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows as they came, texts cut, and n_chars, if there is one, counted anew for cut texts."""
+    for batch in slices(batches, "text"):
+        cut = next(cut_rows([batch], length))
+        touched = [len(x) > 0 for x in cut.column("removed").to_pylist()]
+        texts = [text_of(k) if t else x for x, t, k in zip(batch.column("text").to_pylist(), touched, cut.column("kept").to_pylist(), strict=True)]
+        columns = {n: batch.column(n) for n in names}
+        columns["text"] = pa.array(texts, pa.string())
+        if "n_chars" in columns:
+            counts = [len(x) if t else n for x, t, n in zip(texts, touched, columns["n_chars"].to_pylist(), strict=True)]
+            columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """docs (doc_id, text and any others) with repeated passages cut from their texts; rests of split characters go."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = repeated_windows(narrow, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
+    both = docs.join(found.withColumnRenamed("doc_id", "_doc").hint("shuffle_merge"), F.col("doc_id") == F.col("_doc"), "left")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    names = docs.columns
+    return both.select(*names, "found").mapInArrow(lambda b: cut_texts(b, length, names), kinds)
