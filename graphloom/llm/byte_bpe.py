@@ -19,14 +19,16 @@ repeated rows. Only the named columns are read, so extra columns don't matter.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from graphloom.llm.common import slices, texts
+from graphloom.llm.common import Kept, slices, texts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -37,10 +39,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Byte-level BPE of one pre-token at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 200_000, most_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000, most_pieces: int = 300_000):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.most_states, self.most_pieces = most_states, most_pieces
+        self.most_states = most_states
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; 0 is the root
         self.ends: list[int] = [-1]  # the token that ends at a node
         for token, rank in ranks.items():
@@ -49,7 +51,7 @@ class Transducer:
                 node = self.child.get(node << 8 | byte) or self._grow(node, byte)
             self.ends[node] = rank
         self.apart: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.kept = Kept(most_pieces)
         self._clear()
 
     def _grow(self, node: int, byte: int) -> int:
@@ -85,19 +87,25 @@ class Transducer:
         return found
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        reached = []
+        reached, child, ends = [], self.child, self.ends
         for last, node, waiting in self.members[state]:
-            step = self.child.get(node << 8 | byte)
+            step = child.get(node << 8 | byte)
             if step is None:
                 continue
             reached.append((last, step, waiting))
-            token = self.ends[step]
+            token = ends[step]
             if token >= 0 and self.stay_apart(last, token):
                 reached.append((token, 0, (*waiting, token)))
-        shared = min((x[2] for x in reached), key=len)
-        while any(x[2][: len(shared)] != shared for x in reached):
-            shared = shared[:-1]
-        key = tuple(sorted((last, node, waiting[len(shared) :]) for last, node, waiting in reached))
+        shared = reached[0][2]
+        for _, _, waiting in reached:
+            while waiting[: len(shared)] != shared:
+                shared = shared[:-1]
+            if not shared:
+                break
+        if shared:
+            reached = [(last, node, waiting[len(shared) :]) for last, node, waiting in reached]
+        reached.sort()
+        key = tuple(reached)
         if key not in self.states:
             if len(self.members) >= self.most_states:
                 self._clear()
@@ -123,17 +131,11 @@ class Transducer:
         out += self.final[state]
         return out
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        found = self.pieces.get(text)
-        if found is None:
-            data = text.encode("utf-8", "surrogatepass")
+    def found(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
+        for piece in pieces:
+            data = piece.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(data)
-            found = (whole,) if whole is not None else tuple(self.transduce(data))
-            if len(text) <= 64:
-                if len(self.pieces) >= self.most_pieces:
-                    self.pieces.clear()
-                self.pieces[text] = found
-        return found
+            yield (whole,) if whole is not None else tuple(self.transduce(data))
 
 
 class Utf8Machine:
@@ -192,17 +194,52 @@ def machine(path: str) -> Utf8Machine:
     return Utf8Machine({rank: token for token, rank in load_ranks(path).items()})
 
 
+LATIN = {rf"\{c}": "".join(x if x.isalnum() or ord(x) > 127 else f"\\x{ord(x):02x}" for x in map(chr, range(256)) if regex.match(rf"\{c}", x)) for c in ("p{L}", "p{N}", "s")}
+
+
+def latin_pattern(pattern: str) -> str | None:
+    """The same pattern for texts of the first 256 characters, without properties, for the faster re; None if it has others."""
+    out, at, inside = "", 0, False
+    while at < len(pattern):
+        name = next((n for n in LATIN if pattern.startswith(n, at)), None)
+        if name:
+            out, at = out + (LATIN[name] if inside else f"[{LATIN[name]}]"), at + len(name)
+        elif pattern.startswith(r"\S", at) and not inside:
+            out, at = out + rf"[^{LATIN[r'\s']}]", at + 2
+        elif pattern[at] == "\\":
+            return None
+        else:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            out, at = out + pattern[at], at + 1
+    return out
+
+
+class Splitter:
+    """findall() of a pattern, by the faster of two modules where both give the same."""
+
+    def __init__(self, pattern: str):
+        self.all = regex.compile(pattern).findall
+        latin = latin_pattern(pattern)
+        self.latin = re.compile(latin).findall if latin else None
+
+    def findall(self, text: str) -> list[str]:
+        if self.latin:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return self.all(text)
+            return self.latin(text)
+        return self.all(text)
+
+
 @lru_cache(maxsize=4)
-def splitter(pattern: str):
-    return regex.compile(pattern)
+def splitter(pattern: str) -> Splitter:
+    return Splitter(pattern)
 
 
 def encode_text(text: str, path: str, pattern: str) -> list[int]:
-    of, ids = transducer(path), []
-    pieces, piece = of.pieces, of.piece
-    for match in splitter(pattern).findall(text):
-        ids += pieces.get(match) or piece(match)
-    return ids
+    of, pieces = transducer(path), splitter(pattern).findall(text)
+    return list(chain.from_iterable(map(of.kept.of(pieces, of.found).__getitem__, pieces)))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
