@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.common import materialize, shuffle_partitions
 
-LEAF, FAN = 48, 12
+LEAF, FAN = 256, 8
 
 
 @dataclass
@@ -88,13 +88,16 @@ def search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k:
             continue
         if not a.children and not b.children:
             score = (qf[a.rows] @ cf[b.rows].T).astype(np.int64)
-            keys = (score << bits) + (len(ids) - 1 - b.rows)
-            keys[own[a.rows][:, None] == b.rows] = none
-            joined = np.concatenate([best[a.rows], keys], 1)
-            joined = np.partition(joined, joined.shape[1] - k, axis=1)[:, -k:]
-            best[a.rows] = joined
-            low = joined.min(1)
-            worst[a.rows] = np.where(low == none, -np.inf, low >> bits)
+            better = score.max(1) >= worst[a.rows]
+            rows = a.rows[better]
+            if len(rows):
+                keys = (score[better] << bits) + (len(ids) - 1 - b.rows)
+                keys[own[rows][:, None] == b.rows] = none
+                joined = np.concatenate([best[rows], keys], 1)
+                joined = np.partition(joined, joined.shape[1] - k, axis=1)[:, -k:]
+                best[rows] = joined
+                low = joined.min(1)
+                worst[rows] = np.where(low == none, -np.inf, low >> bits)
             continue
         split_a = a.children and (not b.children or a.radius >= b.radius)
         pairs = [(x, b) for x in a.children] if split_a else [(a, x) for x in b.children]
