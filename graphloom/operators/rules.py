@@ -49,15 +49,15 @@ def derive_change_targeted(sources: DataFrame, rule: Rule, fixed: dict[str, Colu
     return found.select(*keep, F.col("_t").alias("extracted"), *(c.alias(n) for n, c in {**given, **fixed}.items()))
 
 
-def resolve(potentials: DataFrame, known: DataFrame, properties: tuple[str, ...], always: tuple[str, ...], missing: str = "missing") -> DataFrame:
-    """potentials (potential_id, properties, missing array) with matched_id: equality on `always`, on others only where the potential has them; one row per match, matched_id null without one."""
+def resolve(potentials: DataFrame, known: DataFrame, properties: tuple[str, ...], always: tuple[str, ...], missing: str = "missing", given: str = "") -> DataFrame:
+    """potentials (potential_id, properties, missing array) with matched_id: equality on `always`, on others only where the potential has them; one row per match, matched_id null without one. given: where the potentials keep their properties, such as "a_struct."."""
     p, v = potentials.alias("p"), known.alias("v")
     on = F.lit(True)
     for name in always:
-        on = on & (F.col(f"p.{name}") == F.col(f"v.{name}"))
+        on = on & (F.col(f"p.{given}{name}") == F.col(f"v.{name}"))
     for name in properties:
         if name not in always:
-            on = on & (F.array_contains(f"p.{missing}", name) | F.col(f"p.{name}").eqNullSafe(F.col(f"v.{name}")))
+            on = on & (F.array_contains(f"p.{missing}", name) | F.col(f"p.{given}{name}").eqNullSafe(F.col(f"v.{name}")))
     return p.join(v, on, "left").select("p.*", F.col("v.internal_id").alias("matched_id"))
 
 
@@ -106,12 +106,12 @@ def follow(sources: DataFrame, entry: VertexEntry, rule: Rule, schema: Schema, k
     keep = ["source_id", "source_type", "source_props"]
     rows = targets(own, rule, *keep)
     extra = ["extracted"] if "extracted" in rows.columns else []
-    made = build(rows, target, (*keep, *extra, *(p.name for p in target.properties if p.name in rows.columns)))
+    names = tuple(p.name for p in target.properties if p.name in rows.columns)
+    made = build(rows.withColumn("_given", F.struct(*names)), target, (*keep, *extra, "_given"))
     if known is None:
         matched = made.withColumn("matched_id", F.lit(None).cast("string"))
     else:
-        names = tuple(p.name for p in target.properties if p.name in rows.columns)
-        matched = resolve(made, known, names, names)
+        matched = resolve(made, known, names, names, given="_given.")
     settled = apply_policy(matched, "is_complete", rule.if_absent)
     new = settled.where("outcome != 'match'").select("object_type", "internal_id", "identifier_stem", "id_value", "id_value_field", "props", "missing", "is_identifiable", "is_complete", (F.col("outcome") == "stub").alias("is_stub"))
     linked = settled.select(*keep, *extra, "target_id", F.lit(target.name).alias("target_type"), F.col("props").alias("target_props"))

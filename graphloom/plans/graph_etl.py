@@ -27,11 +27,11 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 
 def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None) -> Graph:
-    """extracted: rows by vertex type (with the arrays that extraction rules name). Vertices that several rules make are one row, complete ones before stubs; edges without a target are left out."""
+    """extracted: rows by vertex type (with the arrays that extraction rules name; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target are left out."""
     vertices, edges, hidden = [], [], []
     for name, rows in extracted.items():
         entry = schema.vertices[name]
-        wanted = [c for c in rows.columns if c not in ("props", "internal_id", "object_type")]
+        wanted = [c for c in rows.columns if c not in VERTEX]
         sources = build(rows, entry, tuple(wanted))
         vertices.append(sources.withColumn("is_stub", F.lit(False)).select(*VERTEX))
         if any(p.sensitive for p in entry.properties):
