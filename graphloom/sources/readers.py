@@ -32,7 +32,7 @@ def min_max(rows: DataFrame, column: str) -> DataFrame:
 
 def xml_schema(header: str) -> dict[str, str]:
     """Column types of an XSD header, in order: its last sequence's elements."""
-    inner = header.split("sequence")[-2] if header.count("sequence") > 1 else header
+    inner = header.rsplit("<xs:sequence>", 1)[-1]
     return {name: kind.removeprefix("xs:") for name, kind in re.findall(r'<xs:element name="([^"]+)" type="([^"]+)"', inner)}
 
 
@@ -96,8 +96,8 @@ def by_prefix(rows: DataFrame, key: str, prefix: str, *distinct: str) -> DataFra
 
 def link_ids(pages: DataFrame, html: str, pattern: str) -> DataFrame:
     """min and max of the numbers that a pattern finds in pages' links."""
-    found = pages.select(F.explode(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))).try_cast("bigint").alias("id"))
-    return found.agg(F.min("id").alias("min"), F.max("id").alias("max"))
+    found = pages.select(F.explode(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))).alias("id"))
+    return found.select(F.col("id").try_cast("bigint").alias("id")).agg(F.min("id").alias("min"), F.max("id").alias("max"))
 
 
 def table_cells(pages: DataFrame, html: str, skip: int = 0) -> DataFrame:
