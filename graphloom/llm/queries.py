@@ -40,7 +40,7 @@ def dated_list(pages: DataFrame) -> DataFrame:
     hosts = pages.select(url_filters.host(F.col("url")).alias("host")).where("host is not null").distinct()
     parts = F.split("host", r"\.")
     domains = hosts.select(F.array_join(F.slice(parts, F.greatest(F.size(parts) - 2, F.lit(1)), 3), ".").alias("pattern")).distinct()
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.crc32(F.col("pattern").cast("binary")) % 90).cast("int"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.length("pattern") * 7 % 90).cast("int"))
     blocked = domains.select("pattern", day.alias("listed_at"), F.lit("block").alias("action"))
     allowed = domains.select("pattern", F.date_add(day, 60).alias("listed_at"), F.lit("allow").alias("action"))
     blogs = hosts.where(F.col("host").startswith("blog.")).select(F.col("host").alias("pattern"), F.lit("2024-05-01").cast("date").alias("listed_at"), F.lit("block").alias("action"))
@@ -93,4 +93,40 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 20
     """,
+    "op2_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[i : i + 2] END AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common >= 90 * (x.n + y.n - common)),
+        reach(doc_id, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.node)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY 1) r ON r.doc_id = d.doc_id
+    """,
+    "op5_url_filters": r"""
+        WITH captures AS (
+            SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 180 AS INTEGER) AS day,
+                   nullif(lower(rtrim(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '.')), '') AS host
+            FROM pages),
+        hosts AS (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL),
+        domains AS (SELECT DISTINCT array_to_string(p[greatest(len(p) - 2, 1) : ], '.') AS pattern FROM (SELECT string_split(host, '.') AS p FROM hosts)),
+        dated AS (SELECT pattern, DATE '2024-01-01' + CAST(length(pattern) * 7 % 90 AS INTEGER) AS day FROM domains),
+        entries AS (
+            SELECT pattern, day AS listed_at, 'block' AS action FROM dated
+            UNION ALL SELECT pattern, day + 60, 'allow' FROM dated
+            UNION ALL SELECT host, DATE '2024-05-01', 'block' FROM hosts WHERE host LIKE 'blog.%'),
+        single AS (SELECT pattern, listed_at, max(action) AS action FROM entries GROUP BY 1, 2),
+        met AS (
+            SELECT c.page_id, e.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(e.pattern) DESC, e.listed_at DESC) AS r
+            FROM captures c JOIN single e ON (c.host = e.pattern OR ends_with(c.host, '.' || e.pattern)) AND e.listed_at <= c.day)
+        SELECT c.page_id, c.url, CAST(c.day AS VARCHAR) AS fetched_on, c.host, m.pattern AS matched_pattern, CAST(m.listed_at AS VARCHAR) AS listed_at, m.action, coalesce(m.action <> 'block', true) AS kept
+        FROM captures c LEFT JOIN met m ON m.page_id = c.page_id AND m.r = 1
+    """,
 }
