@@ -5,8 +5,9 @@ time; a configuration is (last finished token, trie node of the token being read
 follow another only if the two, merged by rank, stay apart; a sequence all of whose neighbours stay apart is exactly the
 result of the merges, so one configuration at most stands at a token's end after each byte. Sets of configurations are
 determinised when first met (subset construction with delayed output): what all configurations agree on is emitted, the
-rest waits, at most until the longest token has passed. States and transitions are kept between texts in a bounded
-table that starts anew when full, like the results for whole pre-tokens.
+rest waits, at most until the longest token has passed. Configurations that allow the same tokens are one, and those that allow none are dropped.
+States and transitions are kept between texts in a bounded table (beyond it, sets are followed without being kept), like
+the results for whole pre-tokens.
 
 Decoding. Token bytes run through an incremental UTF-8 machine whose transitions by token are also filled in on demand:
 complete characters leave at once, an unfinished tail (three bytes at most) is the machine's state.
@@ -36,13 +37,17 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+#: Nodes with so many tokens below tell configurations apart by what they allow; an item that allows nothing is dropped.
+FEW, DEAD = 12, -2
+
+
 class Transducer:
     """Byte-level BPE of one pre-token at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000, most_pieces: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000, most_pieces: int = 200_000, most_pairs: int = 120_000):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.most_states = most_states
+        self.most_states, self.most_pairs = most_states, most_pairs
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; 0 is the root
         self.ends: list[int] = [-1]  # the token that ends at a node
         for token, rank in ranks.items():
@@ -50,49 +55,112 @@ class Transducer:
             for byte in token:
                 node = self.child.get(node << 8 | byte) or self._grow(node, byte)
             self.ends[node] = rank
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.steps: list[list[int]] = [[] for _ in self.ends]
+        for key, node in self.child.items():
+            self.steps[key >> 8].append(node)
+        self.below = [0] * len(self.ends)  # how many tokens go on from a node
+        for token in ranks:
+            node = 0
+            for byte in token[:-1]:
+                node = self.child[node << 8 | byte]
+                self.below[node] += 1
+        self.same: dict[int, int] = {}  # last << 32 | node -> a token that stands for last there
+        self.stands_for: dict[tuple[int, tuple[int, ...]], int] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.apart: dict[int, bool] = {}  # left << 32 | right
         self.kept = Kept(most_pieces)
-        self._clear()
+        start = ((-1, 0, ()),)
+        self.states, self.members, self.moves = {start: 0}, [start], {}
 
     def _grow(self, node: int, byte: int) -> int:
         self.ends.append(-1)
         self.child[node << 8 | byte] = len(self.ends) - 1
         return len(self.ends) - 1
 
-    def _clear(self) -> None:
-        start = ((-1, 0, ()),)
-        self.states, self.members, self.final, self.moves = {start: 0}, [start], [()], {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The merges by rank themselves; for pairs of tokens only."""
+    def merged(self, data: bytes, below: int = 1 << 60) -> list[int]:
+        """The merges by rank themselves, those below a rank; for single tokens only."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
             best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 60))
-            if parts[best] + parts[best + 1] not in self.ranks:
+            if self.ranks.get(parts[best] + parts[best + 1], below) >= below:
                 break
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [self.ranks[x] for x in parts]
 
+    def parts(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes the token; None for a byte, or if the merges never make it."""
+        if token not in self.halves:
+            data = self.token[token]
+            last = self.merged(data, token) if len(data) > 1 else []
+            self.halves[token] = (last[0], last[1]) if len(last) == 2 and self.merged(data) == [token] else None
+        return self.halves[token]
+
     def stay_apart(self, left: int, right: int) -> bool:
-        """Whether right may follow left; left -1 asks whether the merges can make right at all."""
-        found = self.apart.get((left, right))
-        if found is None:
-            if len(self.apart) > 4 * self.most_states:
-                self.apart.clear()
-            if left < 0:
-                found = self.merged(self.token[right]) == [right]
+        """Whether right may follow left; left -1 asks whether the merges can make right at all.
+
+        The merges of both sides are undone, the latest first; at each moment the tokens that face each other must not
+        have been the next to merge.
+        """
+        if len(self.token[right]) > 1 and self.parts(right) is None:
+            return False
+        if left < 0:
+            return True
+        key = left << 32 | right
+        found = self.apart.get(key)
+        if found is not None:
+            return found
+        if len(self.apart) >= self.most_pairs:
+            self.apart.clear()
+        ranks, token, a, b, limit, found = self.ranks, self.token, left, right, 1 << 60, True
+        while True:
+            if ranks.get(token[a] + token[b], limit) < limit:
+                found = False
+                break
+            split_a, split_b = self.parts(a), self.parts(b)
+            if split_a and (not split_b or a > b):
+                limit, a = a, split_a[1]
+            elif split_b:
+                limit, b = b + 1, split_b[0]
             else:
-                found = self.stay_apart(-1, right) and self.merged(self.token[left] + self.token[right]) == [left, right]
-            self.apart[left, right] = found
+                break
+        self.apart[key] = found
+        return found
+
+    def _below(self, node: int) -> list[int]:
+        """The tokens that go on from a node."""
+        found, todo = [], [node]
+        while todo:
+            at = todo.pop()
+            for step in self.steps[at]:
+                todo.append(step)
+                if self.ends[step] >= 0:
+                    found.append(self.ends[step])
+        return found
+
+    def _alike(self, last: int, node: int) -> int:
+        """A token that allows the same tokens below node as last does; DEAD if none is allowed. Below busy nodes, last itself."""
+        if len(self.same) >= self.most_pairs:
+            self.same.clear()
+            self.stands_for.clear()
+        found = last
+        if self.below[node] <= FEW:
+            allowed = tuple(t for t in self._below(node) if self.stay_apart(last, t))
+            found = self.stands_for.setdefault((node, allowed), last) if allowed else DEAD
+        self.same[last << 32 | node] = found
         return found
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        reached, child, ends = [], self.child, self.ends
-        for last, node, waiting in self.members[state]:
+    def _step(self, members: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
+        """The configurations after a byte, and what all of them agree to emit."""
+        reached, child, ends, alike = [], self.child, self.ends, self.same
+        for last, node, waiting in members:
             step = child.get(node << 8 | byte)
             if step is None:
                 continue
-            reached.append((last, step, waiting))
+            held = alike.get(last << 32 | step)
+            if held is None:
+                held = self._alike(last, step)
+            if held != DEAD:
+                reached.append((held, step, waiting))
             token = ends[step]
             if token >= 0 and self.stay_apart(last, token):
                 reached.append((token, 0, (*waiting, token)))
@@ -105,30 +173,41 @@ class Transducer:
         if shared:
             reached = [(last, node, waiting[len(shared) :]) for last, node, waiting in reached]
         reached.sort()
-        key = tuple(reached)
-        if key not in self.states:
-            if len(self.members) >= self.most_states:
-                self._clear()
-            self.states[key] = len(self.members)
-            self.members.append(key)
-            self.final.append(next(waiting for _, node, waiting in key if node == 0))
-        found = self.states[key], shared
-        self.moves[state << 8 | byte] = found
-        return found
+        return tuple(reached), shared
+
+    @staticmethod
+    def _rest(members: tuple) -> tuple[int, ...]:
+        """What is left to emit at the end: the tokens of the configuration that stands at a token's end."""
+        return next(waiting for _, node, waiting in members if node == 0)
 
     def transduce(self, data: bytes) -> list[int]:
-        state, out = 0, []
-        for byte in data:
-            step = self.moves.get(state << 8 | byte)
+        state, out, at, moves = 0, [], 0, self.moves
+        while at < len(data):
+            step = moves.get(state << 8 | data[at])
             if step is None:
-                before = len(self.members)
-                step = self._move(state, byte)
-                if len(self.members) < before:  # the table started anew: the move was from a state that is gone
-                    self.moves.clear()
+                members, emitted = self._step(self.members[state], data[at])
+                target = self.states.get(members)
+                if target is None and len(self.members) < self.most_states:
+                    target = self.states[members] = len(self.members)
+                    self.members.append(members)
+                if target is None:  # the table is full: go on without it until a known state
+                    while target is None:
+                        out += emitted
+                        at += 1
+                        if at == len(data):
+                            out += self._rest(members)
+                            return out
+                        members, emitted = self._step(members, data[at])
+                        target = self.states.get(members)
+                    out += emitted
+                    state, at = target, at + 1
+                    continue
+                step = moves[state << 8 | data[at]] = target, emitted
             state, emitted = step
             if emitted:
                 out += emitted
-        out += self.final[state]
+            at += 1
+        out += self._rest(self.members[state])
         return out
 
     def found(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
