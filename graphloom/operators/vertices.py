@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from graphloom.functions import ids
 from graphloom.functions.types import NUMBER, canonical, graph_time, to_property
@@ -21,17 +22,35 @@ def text_of(value: Column, kind: str) -> Column:
     return graph_time(value) if kind == "DateTime" else value.cast("string")
 
 
-def typed(rows: DataFrame, properties: tuple[Property, ...]) -> dict[str, Column]:
-    """A typed column for each declared property that rows have."""
-    return {p.name: to_property(F.col(f"`{p.name}`"), p.kind) for p in properties if p.name in rows.columns}
+def typed(rows: DataFrame, properties: tuple[Property, ...]) -> dict[str, tuple[Column, Column]]:
+    """(value, canonical text) of each declared property that rows have. Integers take a short way to the same text."""
+    found = {}
+    for p in properties:
+        if p.name not in rows.columns:
+            continue
+        column = F.col(f"`{p.name}`")
+        if p.kind == "Number" and isinstance(rows.schema[p.name].dataType, IntegralType):
+            value = F.nullif(column, F.lit(0))
+            found[p.name] = value.cast(NUMBER), value.cast("string")
+        else:
+            value = to_property(column, p.kind)
+            found[p.name] = value, text_of(value, p.kind)
+    return found
 
 
 def build(rows: DataFrame, entry: VertexEntry, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Vertices of one type; `keep` columns of rows stay beside them (for rules). One projection, no shuffle."""
+    """Vertices of one type; `keep` columns of rows stay beside them (for rules). Projections only, no shuffle: texts are made once, then used in ids, stems and properties."""
     found = typed(rows, entry.properties)
-    text = {p.name: text_of(found[p.name], p.kind) for p in entry.properties if p.name in found}
     absent = [p.name for p in entry.properties if p.name not in found]
     id_property = entry.id_property
+    raw = [k for k in entry.stem_key if k not in found and k in rows.columns]
+    staged = rows.select(
+        F.struct(*(F.col(f"`{k}`") for k in keep)).alias("_keep") if keep else F.lit(None).alias("_keep"),
+        *(text.alias(f"_text_{name}") for name, (_, text) in found.items()),
+        *(F.col(f"`{k}`").cast("string").alias(f"_raw_{k}") for k in raw),
+        (found[id_property.name][0] if id_property.name in found else F.lit(None)).alias("_id"),
+    )
+    text = {name: F.col(f"`_text_{name}`") for name in found}
 
     def key(name: str) -> Column:
         if name == "object_type":
@@ -44,22 +63,17 @@ def build(rows: DataFrame, entry: VertexEntry, keep: tuple[str, ...] = ()) -> Da
     identifiable = F.lit(True)
     for k in keys:
         identifiable = identifiable & k.isNotNull()
-    stem = {k: text[k] if k in text else F.col(f"`{k}`").cast("string") for k in entry.stem_key if k in text or k in rows.columns}
-    if id_property.name not in found:
-        value = F.lit(None).cast(NUMBER)
-    elif id_property.kind == "DateTime":
-        value = (F.unix_micros(found[id_property.name]) / 1e6).cast(NUMBER)
-    else:
-        value = found[id_property.name].try_cast(NUMBER)
-    complete = F.lit(not absent and len(stem) == len(entry.stem_key)) & identifiable
-    internal = F.when(identifiable, ids.internal_id(*keys))
-    shown = {p.name: F.when(internal.isNotNull(), ids.secret_token(internal, p.kind)) if p.sensitive else text[p.name] for p in entry.properties if p.name in text}
+    value = (F.unix_micros("_id") / 1e6 if id_property.kind == "DateTime" and id_property.name in found else F.col("_id")).try_cast(NUMBER)
+    placed = staged.withColumn("_internal", F.when(identifiable, ids.internal_id(*keys)))
+    internal = F.col("_internal")
+    stem = {k: text[k] if k in text else F.col(f"`_raw_{k}`") for k in entry.stem_key if k in text or k in raw}
+    shown = dict(text)
     for p in entry.properties:
         if p.sensitive and p.name in text:
-            shown[p.name] = F.when(text[p.name].isNull(), ids.MISSING_SECRET).otherwise(shown[p.name])
-    props = F.create_map(*(x for name, value in shown.items() for x in (F.lit(name), value))) if shown else F.create_map().cast("map<string,string>")
-    quoted = {p.name for p in entry.properties if p.kind != "Number"} | {k for k in entry.stem_key if k not in text}
-    return rows.select(
+            shown[p.name] = F.when(text[p.name].isNull(), ids.MISSING_SECRET).when(internal.isNotNull(), ids.secret_token(internal, p.kind))
+    props = F.create_map(*(x for name, v in shown.items() for x in (F.lit(name), v))) if shown else F.create_map().cast("map<string,string>")
+    quoted = {p.name for p in entry.properties if p.kind != "Number"} | set(raw)
+    return placed.select(
         F.lit(entry.name).alias("object_type"),
         internal.alias("internal_id"),
         (ids.identifier_stem(entry.name, stem, quoted) if len(stem) == len(entry.stem_key) else F.lit(None).cast("string")).alias("identifier_stem"),
@@ -67,9 +81,9 @@ def build(rows: DataFrame, entry: VertexEntry, keep: tuple[str, ...] = ()) -> Da
         F.lit(id_property.name).alias("id_value_field"),
         props.alias("props"),
         F.array(*map(F.lit, absent)).cast("array<string>").alias("missing"),
-        identifiable.alias("is_identifiable"),
-        complete.alias("is_complete"),
-        *keep,
+        internal.isNotNull().alias("is_identifiable"),
+        (F.lit(not absent and len(stem) == len(entry.stem_key)) & internal.isNotNull()).alias("is_complete"),
+        *(F.col(f"_keep.`{k}`").alias(k) for k in keep),
     )
 
 

@@ -26,6 +26,15 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def distinct_edges(parts: list[DataFrame], schema: Schema) -> DataFrame:
+    """Edges with an id, once each. Without edge properties all columns are plain, and a hash aggregation does it."""
+    rows = union(parts).where("internal_id is not null")
+    if any(e.properties for e in schema.edges.values()):
+        return rows.dropDuplicates(["internal_id"])
+    plain = rows.select("edge_label", "internal_id", "src_id", "dst_id", "inbound").distinct()
+    return plain.select("edge_label", "internal_id", "src_id", "dst_id", F.create_map().cast("map<string,string>").alias("props"), "inbound")
+
+
 def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None) -> Graph:
     """extracted: rows by vertex type (with the arrays that extraction rules name; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target are left out."""
     vertices, edges, hidden = [], [], []
@@ -42,8 +51,7 @@ def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str,
             vertices.append(new.select(*VERTEX))
             edges.append(linked)
     best = union(vertices).where("internal_id is not null").groupBy("internal_id").agg(F.max_by(F.struct(*VERTEX), F.struct(F.col("is_complete"), ~F.col("is_stub"), F.size("props"))).alias("v")).select("v.*")
-    joined = union(edges).where("internal_id is not null").dropDuplicates(["internal_id"]) if edges else None
-    return Graph(best, joined, union(hidden) if hidden else None)
+    return Graph(best, distinct_edges(edges, schema) if edges else None, union(hidden) if hidden else None)
 
 
 def upsert(new: Graph, stored_vertices: DataFrame, stored_edges: DataFrame) -> Graph:
