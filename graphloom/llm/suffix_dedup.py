@@ -37,6 +37,8 @@ Q = 20
 U = np.uint64
 MULTIPLIERS = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 BLOCK, POSITION_BITS = 1 << 21, U(22)
+#: Buckets a task: they even tasks out, and a task holds the arrays of one at a time.
+BUCKETS = 16
 MASK48 = U((1 << 48) - 1)
 
 
@@ -219,34 +221,40 @@ def found_rows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, is_open:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), is_open))], names=FOUND_NAMES)
 
 
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """A partition's rows, bucket by bucket."""
+    held: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.setdefault(bucket, []).append(row)
+    while held:
+        yield held.popitem()[1]
+
+
 def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of RUNS rows: repeated runs, and open ones, whose windows must be compared."""
-    held, done = [], []
-    for batch in batches:
-        for _, key, run, doc, first, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = (np.frombuffer(doc, np.int64), from_planes(first, "<i4"), np.frombuffer(windows, np.uint8))
-            if key:
-                held.append((unpacked48(key), unpacked48(run), *row))
-            else:
-                done.append(row)
-    if done:
-        doc, first, windows = (np.concatenate(c) for c in zip(*done, strict=True))
-        order = np.lexsort((first, doc))
-        yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), False)
-    if not held:
-        return
-    key, run, doc, first, windows = (np.concatenate(c) for c in zip(*held, strict=True))
-    held.clear()
+    for rows in by_bucket(batches):
+        unpacked = [(unpacked48(key), unpacked48(run), np.frombuffer(doc, np.int64), from_planes(first, "<i4"), np.frombuffer(windows, np.uint8)) for key, run, doc, first, windows in rows]
+        done = [r[2:] for r in unpacked if not len(r[0])]
+        if done:
+            doc, first, windows = (np.concatenate(c) for c in zip(*done, strict=True))
+            order = np.lexsort((first, doc))
+            yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), False)
+        if len(done) < len(unpacked):
+            yield from refine_bucket(*(np.concatenate(c) for c in zip(*(r for r in unpacked if len(r[0])), strict=True)))
+
+
+def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.ndarray, windows: np.ndarray) -> Iterator[pa.RecordBatch]:
     order = np.argsort(key)
     new = heads(key[order])
     starts = np.flatnonzero(new)
     low, high = np.minimum.reduceat(doc[order], starts), np.maximum.reduceat(doc[order], starts)
     pick = order[(low < high)[np.cumsum(new) - 1]]
+    if not len(pick):
+        return
     key, run, doc, first, windows = (c[pick] for c in (key, run, doc, first, windows))
     order = np.lexsort((doc, run, key))
     key, run, doc, first, windows = (c[order] for c in (key, run, doc, first, windows))
-    if not len(key):
-        return
     repeated = doc > at_head(doc, heads(key, run))
     group = np.cumsum(heads(key)) - 1
     runs = np.bincount(group, weights=heads(key, run))
@@ -261,19 +269,14 @@ BORDERS = "bucket int, doc binary, first binary, windows binary, bytes binary"
 BORDERS_NAMES = ["bucket", "doc", "first", "windows", "bytes"]
 
 
-def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
+def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of BORDERS for rows (doc_id, text, first, windows): the bytes of open runs, bucketed by their anchors."""
-    for batch in slices(batches, "text", 4 << 20):
-        parts: list[tuple] = []
-        for doc, text, firsts, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "first", "windows")), strict=True):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            parts += ((doc, a, n, data[a : a + n + length - 1]) for a, n in zip(firsts, counts, strict=True))
-        if not parts:
-            continue
+
+    def flush(parts: list[tuple]) -> pa.RecordBatch:
         sizes = np.array([len(p[3]) for p in parts])
-        ends = np.cumsum(sizes)
-        x = qgrams(np.frombuffer(b"".join(p[3] for p in parts) + bytes(Q), np.uint8))
-        anchor = sliding_min(x >> POSITION_BITS, length - Q + 1)[ends - sizes]  # all windows of a run have the same
+        starts = np.cumsum(sizes) - sizes
+        x = qgrams(np.frombuffer(b"".join(p[3] for p in parts) + bytes(length), np.uint8))
+        anchor = sliding_min(x >> POSITION_BITS, length - Q + 1)[starts]  # all windows of a run have the same
         bucket = mixed(anchor) % U(buckets)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(heads(bucket[order]))
@@ -282,19 +285,30 @@ def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int) ->
             own = [parts[k] for k in order[a:b].tolist()]
             for column, value in zip(rows, (int(bucket[order[a]]), np.array([p[0] for p in own], np.int64).tobytes(), np.array([p[1] for p in own], "<i4").tobytes(), np.array([p[2] for p in own], np.uint8).tobytes(), b"".join(p[3] for p in own)), strict=True):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=BORDERS_NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=BORDERS_NAMES)
+
+    parts, size = [], 0
+    for batch in slices(batches, "text", 4 << 20):
+        for doc, text, firsts, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "first", "windows")), strict=True):
+            data = (text or "").encode("utf-8", "surrogatepass")
+            for first, n in zip(firsts, counts, strict=True):
+                parts.append((doc, first, n, data[first : first + n + length - 1]))
+                size += n + length - 1
+                if size >= most_bytes:
+                    yield flush(parts)
+                    parts, size = [], 0
+    if parts:
+        yield flush(parts)
 
 
 def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of BORDERS rows: windows that an earlier document has, as ranges."""
-    held = []
-    for batch in batches:
-        for _, doc, first, windows, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            held.append((np.frombuffer(doc, np.int64), np.frombuffer(first, "<i4"), np.frombuffer(windows, np.uint8), np.frombuffer(data, np.uint8)))
-    if not held:
-        return
-    doc, first, windows, data = (np.concatenate(c) for c in zip(*held, strict=True))
-    held.clear()
+    for rows in by_bucket(batches):
+        kinds = (np.int64, "<i4", np.uint8, np.uint8)
+        yield from compare_windows(*(np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate(kinds)), length)
+
+
+def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
     windows = windows.astype(np.int64)
     begin = np.cumsum(windows + length - 1) - (windows + length - 1)
     owner = np.repeat(np.arange(len(doc)), windows)
@@ -322,40 +336,41 @@ def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
     of, position = doc[owner[repeated]], first[owner[repeated]] + step[repeated]
     order = np.lexsort((position, of))
     of, position = of[order], position[order]
-    new = heads(of, position - np.arange(len(position)))
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(heads(of, position - np.arange(len(position))))
     yield from found_rows(of[starts], position[starts].astype(np.int32), np.diff(np.append(starts, len(of))).astype(np.int32), False)
 
 
+def cut_text(text: str | None, found: list[dict] | None, length: int) -> tuple[int, list[dict], bytes]:
+    """(bytes, removed spans, kept bytes) of a text, given its repeated windows as ranges."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    if not found:
+        return len(data), [], data
+    first = np.concatenate([np.array(f["first"]) for f in found])
+    end = first + np.concatenate([np.array(f["windows"]) for f in found]) + length - 1
+    change = np.bincount(first, minlength=len(data) + 1) - np.bincount(end, minlength=len(data) + 1)
+    gone = np.cumsum(change[: len(data)]) > 0
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
+    spans = [{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
+    return len(data), spans, np.frombuffer(data, np.uint8)[~gone].tobytes()
+
+
 def cut_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in slices(batches, "text"):
-        rows: list[list] = [[], [], []]
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            spans, kept = [], data
-            if found:
-                first = np.concatenate([np.array(f["first"]) for f in found])
-                end = first + np.concatenate([np.array(f["windows"]) for f in found]) + length - 1
-                change = np.bincount(first, minlength=len(data) + 1) - np.bincount(end, minlength=len(data) + 1)
-                gone = np.cumsum(change[: len(data)]) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-                spans = [{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            for column, value in zip(rows, (len(data), spans, kept), strict=True):
-                column.append(value)
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1], kind), pa.array(rows[2], pa.binary())], names=["doc_id", "n_bytes", "removed", "kept"])
+        rows = [cut_text(text, found, length) for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), kind, pa.binary())))], names=["doc_id", "n_bytes", "removed", "kept"])
 
 
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, first, windows): ranges of windows that an earlier document has, in any number of rows per document."""
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
-    runs = docs.mapInArrow(lambda b: run_rows(b, buckets, length), RUNS).repartition(buckets, "bucket")
+    tasks = shuffle_partitions(spark)
+    buckets = BUCKETS * tasks
+    runs = docs.mapInArrow(lambda b: run_rows(b, buckets, length), RUNS).repartition(tasks, "bucket")
     found, _ = materialize(runs.mapInArrow(refine_runs, FOUND), "runs")
     unsettled = found.where("open").groupBy("doc_id").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("windows")).alias("windows"))
     borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "first", "windows").mapInArrow(lambda b: border_rows(b, buckets, length), BORDERS)
-    more, _ = materialize(borders.repartition(buckets, "bucket").mapInArrow(lambda b: refine_windows(b, length), FOUND), "borders")
+    more, _ = materialize(borders.repartition(tasks, "bucket").mapInArrow(lambda b: refine_windows(b, length), FOUND), "borders")
     return found.where("not open").unionByName(more).select("doc_id", "first", "windows")
 
 
@@ -376,9 +391,9 @@ def text_of(kept: bytes) -> str:
 def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows as they came, texts cut, and n_chars, if there is one, counted anew for cut texts."""
     for batch in slices(batches, "text"):
-        cut = next(cut_rows([batch], length))
-        touched = [len(x) > 0 for x in cut.column("removed").to_pylist()]
-        texts = [text_of(k) if t else x for x, t, k in zip(batch.column("text").to_pylist(), touched, cut.column("kept").to_pylist(), strict=True)]
+        given, found = batch.column("text").to_pylist(), batch.column("found").to_pylist()
+        touched = [bool(f) for f in found]
+        texts = [text_of(cut_text(x, f, length)[2]) if f else x for x, f in zip(given, found, strict=True)]
         columns = {n: batch.column(n) for n in names}
         columns["text"] = pa.array(texts, pa.string())
         if "n_chars" in columns:
