@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +57,25 @@ def forget(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or one like it that df has no column of."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_ids(spark: SparkSession, partitions: int) -> list[int]:
+    """For each of so many shuffle partitions a number that repartition() by that number sends there: even buckets, one a task."""
+    numbers = spark.range(16 * partitions + 64).select(F.col("id").cast("int").alias("id"))
+    rows = numbers.groupBy(F.pmod(F.hash("id"), F.lit(partitions)).alias("p")).agg(F.min("id").alias("id")).collect()
+    found = {r["p"]: r["id"] for r in rows}
+    return [found.get(p, p) for p in range(partitions)]
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about most_bytes of the named column (one row at least)."""
     for batch in batches:

@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import materialize, shuffle_partitions, slices
+from graphloom.llm.common import bucket_ids, fresh, materialize, shuffle_partitions, slices
 
 Q = 20
 U = np.uint64
 MULTIPLIERS = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 BLOCK, POSITION_BITS = 1 << 21, U(22)
-#: Buckets a task: they even tasks out, and a task holds the arrays of one at a time.
-BUCKETS = 16
+#: A task refines its bucket in so many parts, one at a time, to hold few arrays at once.
+PARTS = 16
 MASK48 = U((1 << 48) - 1)
 
 
@@ -143,7 +143,7 @@ RUNS = "bucket int, key binary, run binary, doc binary, first binary, windows bi
 RUNS_NAMES = ["bucket", "key", "run", "doc", "first", "windows"]
 
 
-def run_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most_bytes: int = 24 << 20) -> Iterator[pa.RecordBatch]:
+def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 24 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of RUNS: runs still open, by bucket, and settled ones (no key), spread by their documents."""
 
     def flush(held: list) -> pa.RecordBatch:
@@ -155,13 +155,13 @@ def run_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most_
         rows: list[list] = [[] for _ in RUNS_NAMES]
         for part in (False, True):
             pick = np.flatnonzero(settled == part)
-            bucket = (mixed(doc[pick].astype(U)) if part else key[pick]) % U(buckets)
+            bucket = (mixed(doc[pick].astype(U)) if part else key[pick]) % U(len(ids))
             by = np.lexsort((first[pick], doc[pick], bucket))
             pick, bucket = pick[by], bucket[by]
             cuts = np.flatnonzero(heads(bucket))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True) if len(bucket) else ():
                 own = pick[a:b]
-                for column, value in zip(rows, (int(bucket[a]), b"" if part else packed48(key[own]), b"" if part else packed48(run[own]), doc[own].tobytes(), planes(first[own].astype("<i4")), windows[own].astype("u1").tobytes()), strict=True):
+                for column, value in zip(rows, (ids[int(bucket[a])], b"" if part else packed48(key[own]), b"" if part else packed48(run[own]), doc[own].tobytes(), planes(first[own].astype("<i4")), windows[own].astype("u1").tobytes()), strict=True):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=RUNS_NAMES)
 
@@ -221,27 +221,29 @@ def found_rows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, is_open:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), is_open))], names=FOUND_NAMES)
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """A partition's rows, bucket by bucket."""
-    held: dict[int, list[tuple]] = {}
-    for batch in batches:
-        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            held.setdefault(bucket, []).append(row)
-    while held:
-        yield held.popitem()[1]
-
-
 def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of RUNS rows: repeated runs, and open ones, whose windows must be compared."""
-    for rows in by_bucket(batches):
-        unpacked = [(unpacked48(key), unpacked48(run), np.frombuffer(doc, np.int64), from_planes(first, "<i4"), np.frombuffer(windows, np.uint8)) for key, run, doc, first, windows in rows]
-        done = [r[2:] for r in unpacked if not len(r[0])]
-        if done:
-            doc, first, windows = (np.concatenate(c) for c in zip(*done, strict=True))
-            order = np.lexsort((first, doc))
-            yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), False)
-        if len(done) < len(unpacked):
-            yield from refine_bucket(*(np.concatenate(c) for c in zip(*(r for r in unpacked if len(r[0])), strict=True)))
+    held, done = [], []
+    for batch in batches:
+        for _, key, run, doc, first, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = (np.frombuffer(doc, np.int64), from_planes(first, "<i4"), np.frombuffer(windows, np.uint8))
+            if key:
+                held.append((unpacked48(key), unpacked48(run), *row))
+            else:
+                done.append(row)
+    if done:
+        doc, first, windows = (np.concatenate(c) for c in zip(*done, strict=True))
+        done.clear()
+        order = np.lexsort((first, doc))
+        yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), False)
+    if held:
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        held.clear()
+        part = (columns[0] >> U(40)).astype(np.uint8) % PARTS
+        for k in range(PARTS):
+            mine = part == k
+            if mine.any():
+                yield from refine_bucket(*(c[mine] for c in columns))
 
 
 def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.ndarray, windows: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -265,11 +267,11 @@ def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.n
         yield from found_rows(doc[pick], first[pick], windows[pick].astype(np.int32), is_open)
 
 
-BORDERS = "bucket int, doc binary, first binary, windows binary, bytes binary"
-BORDERS_NAMES = ["bucket", "doc", "first", "windows", "bytes"]
+BORDERS = "bucket int, part binary, doc binary, first binary, windows binary, bytes binary"
+BORDERS_NAMES = ["bucket", "part", "doc", "first", "windows", "bytes"]
 
 
-def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def border_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of BORDERS for rows (doc_id, text, first, windows): the bytes of open runs, bucketed by their anchors."""
 
     def flush(parts: list[tuple]) -> pa.RecordBatch:
@@ -277,13 +279,14 @@ def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, mo
         starts = np.cumsum(sizes) - sizes
         x = qgrams(np.frombuffer(b"".join(p[3] for p in parts) + bytes(length), np.uint8))
         anchor = sliding_min(x >> POSITION_BITS, length - Q + 1)[starts]  # all windows of a run have the same
-        bucket = mixed(anchor) % U(buckets)
+        code = mixed(anchor)
+        bucket, part = code % U(len(ids)), (code >> U(56)).astype(np.uint8) % PARTS
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(heads(bucket[order]))
         rows: list[list] = [[] for _ in BORDERS_NAMES]
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
             own = [parts[k] for k in order[a:b].tolist()]
-            for column, value in zip(rows, (int(bucket[order[a]]), np.array([p[0] for p in own], np.int64).tobytes(), np.array([p[1] for p in own], "<i4").tobytes(), np.array([p[2] for p in own], np.uint8).tobytes(), b"".join(p[3] for p in own)), strict=True):
+            for column, value in zip(rows, (ids[int(bucket[order[a]])], part[order[a:b]].tobytes(), np.array([p[0] for p in own], np.int64).tobytes(), np.array([p[1] for p in own], "<i4").tobytes(), np.array([p[2] for p in own], np.uint8).tobytes(), b"".join(p[3] for p in own)), strict=True):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=BORDERS_NAMES)
 
@@ -303,9 +306,17 @@ def border_rows(batches: Iterator[pa.RecordBatch], buckets: int, length: int, mo
 
 def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of BORDERS rows: windows that an earlier document has, as ranges."""
-    for rows in by_bucket(batches):
-        kinds = (np.int64, "<i4", np.uint8, np.uint8)
-        yield from compare_windows(*(np.concatenate([np.frombuffer(r[k], kind) for r in rows]) for k, kind in enumerate(kinds)), length)
+    kinds = (np.uint8, np.int64, "<i4", np.uint8, np.uint8)
+    held = [[np.frombuffer(x, k) for x, k in zip(row[1:], kinds, strict=True)] for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    if not held:
+        return
+    part, doc, first, windows, data = (np.concatenate(c) for c in zip(*held, strict=True))
+    held.clear()
+    sizes = windows.astype(np.int64) + length - 1
+    for k in range(PARTS):
+        mine = part == k
+        if mine.any():
+            yield from compare_windows(doc[mine], first[mine], windows[mine], data[np.repeat(mine, sizes)], length)
 
 
 def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
@@ -365,11 +376,11 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     """(doc_id, first, windows): ranges of windows that an earlier document has, in any number of rows per document."""
     spark = docs.sparkSession
     tasks = shuffle_partitions(spark)
-    buckets = BUCKETS * tasks
-    runs = docs.mapInArrow(lambda b: run_rows(b, buckets, length), RUNS).repartition(tasks, "bucket")
+    ids = bucket_ids(spark, tasks)
+    runs = docs.mapInArrow(lambda b: run_rows(b, ids, length), RUNS).repartition(tasks, "bucket")
     found, _ = materialize(runs.mapInArrow(refine_runs, FOUND), "runs")
     unsettled = found.where("open").groupBy("doc_id").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("windows")).alias("windows"))
-    borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "first", "windows").mapInArrow(lambda b: border_rows(b, buckets, length), BORDERS)
+    borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "first", "windows").mapInArrow(lambda b: border_rows(b, ids, length), BORDERS)
     more, _ = materialize(borders.repartition(tasks, "bucket").mapInArrow(lambda b: refine_windows(b, length), FOUND), "borders")
     return found.where("not open").unionByName(more).select("doc_id", "first", "windows")
 
@@ -388,10 +399,10 @@ def text_of(kept: bytes) -> str:
     return kept.decode("utf-8", "ignore")
 
 
-def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str], held: str) -> Iterator[pa.RecordBatch]:
     """Rows as they came, texts cut, and n_chars, if there is one, counted anew for cut texts."""
     for batch in slices(batches, "text"):
-        given, found = batch.column("text").to_pylist(), batch.column("found").to_pylist()
+        given, found = batch.column("text").to_pylist(), batch.column(held).to_pylist()
         touched = [bool(f) for f in found]
         texts = [text_of(cut_text(x, f, length)[2]) if f else x for x, f in zip(given, found, strict=True)]
         columns = {n: batch.column(n) for n in names}
@@ -405,8 +416,9 @@ def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str])
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """docs (doc_id, text and any others) with repeated passages cut from their texts; rests of split characters go."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = repeated_windows(narrow, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
-    both = docs.join(found.withColumnRenamed("doc_id", "_doc").hint("shuffle_merge"), F.col("doc_id") == F.col("_doc"), "left")
+    held, key = fresh(docs, "_found"), fresh(docs, "_key")
+    found = repeated_windows(narrow, length).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("first", "windows")).alias(held))
+    both = docs.join(found.hint("shuffle_merge"), docs["doc_id"] == found[key], "left")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = docs.columns
-    return both.select(*names, "found").mapInArrow(lambda b: cut_texts(b, length, names), kinds)
+    return both.drop(key).mapInArrow(lambda b: cut_texts(b, length, names, held), kinds)
