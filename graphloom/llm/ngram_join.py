@@ -2,8 +2,8 @@
 
 Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent * |union|. Steps:
 
-1. Each text becomes its set's size, fingerprint, hashed bitmap and prefix: shingles are ordered by hash, and two linked
-   sets share one of their first n - ceil(t n) + 1 shingles. Texts with equal sets form a class with one representative, by
+1. Each text becomes its set's size, fingerprint, hashed bitmap and prefix: shingles are ordered from rare to frequent
+   (by lists of bounded size of frequent words and shingles, learned from all texts), then by hash, and two linked sets share one of their first n - ceil(t n) + 1 shingles. Texts with equal sets form a class with one representative, by
    aggregation, so copies cost nothing below.
 2. Representatives meet where they share a prefix shingle. Equal lists of documents, as near copies leave many, count once.
 3. Within each list, size-banded tiles bound overlaps from bitmaps: a bit that is set in one bitmap and not in the other is a
@@ -25,20 +25,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import materialize, shuffle_partitions, slices
+from graphloom.llm.common import bucket_ids, materialize, shuffle_partitions, slices
 from graphloom.llm.components import components
 
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 #: Lists and groups up to these sizes are one tile; larger ones are cut.
 LIST, BLOCK, ELEMENTS = 64, 1024, 1 << 20
+#: A task takes its bucket in so many parts, one at a time, to hold few arrays at once.
+PARTS = 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -47,19 +50,107 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """The distinct shingles' hashes, ascending."""
+def word_hashes(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, U)
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter(map(digest, words), U, len(words))
-    n = max(1, len(words) - width + 1)
-    size = min(width, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), U, len(words))
+
+
+class Frequent:
+    """Counts of the more frequent values of a stream in bounded memory; rare ones are dropped now and then."""
+
+    def __init__(self, most: int = 150_000, block: int = 1 << 20):
+        self.most, self.block, self.waiting, self.size = most, block, [], 0
+        self.values, self.counts = np.empty(0, U), np.empty(0, np.int64)
+
+    def add(self, x: np.ndarray) -> None:
+        self.waiting.append(x)
+        self.size += len(x)
+        if self.size >= self.block:
+            self.settle()
+
+    def settle(self) -> None:
+        new, times = np.unique(np.concatenate([*self.waiting, np.empty(0, U)]), return_counts=True)
+        values, counts = np.concatenate([self.values, new]), np.concatenate([self.counts, times])
+        self.waiting, self.size = [], 0
+        if not len(values):
+            return
+        order = np.argsort(values, kind="stable")
+        starts = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
+        values, counts = values[order][starts], np.add.reduceat(counts[order], starts)
+        if len(values) > self.most:
+            keep = counts > max(1, np.partition(counts, len(counts) - self.most)[len(counts) - self.most])
+            values, counts = values[keep], counts[keep]
+        self.values, self.counts = values, counts
+
+    def found(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        keep = self.counts >= least
+        return self.values[keep], self.counts[keep]
+
+
+@dataclass(frozen=True)
+class Order:
+    """An order of shingles, rare ones first, by lists of bounded size: frequent words with a class each, larger for more frequent ones, and frequent shingles. It decides only which shingles make a prefix; results are the same with any."""
+
+    words: np.ndarray = field(default_factory=lambda: np.empty(0, U))
+    classes: np.ndarray = field(default_factory=lambda: np.empty(0, U))
+    shingles: np.ndarray = field(default_factory=lambda: np.empty(0, U))
+
+
+def learn_order(docs: DataFrame, width: int, words: int = 4096, most: int = 1 << 16, least: int = 8) -> Order:
+    """From all texts: tasks pass on what they counted `least` times or more, sums decide."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_word, by_shingle = Frequent(), Frequent()
+        for batch in slices(batches, "text", 1 << 20):
+            for text in batch.column("text").to_pylist():
+                h = word_hashes(text)
+                if len(h):
+                    by_word.add(h)
+                    by_shingle.add(np.unique(hashed(h, width)))
+        for kind, of in (("w", by_word), ("s", by_shingle)):
+            values, counts = of.found(least)
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(counts)], names=["kind", "value", "n"])
+
+    sums = docs.select("text").mapInArrow(counted, "kind string, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    top = lambda kind, limit: sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "value").limit(limit)
+    rows = top("w", words).unionByName(top("s", most).where(F.col("n") > LIST)).collect()
+    found = sorted((r["value"] & (1 << 64) - 1, min(30, r["n"].bit_length())) for r in rows if r["kind"] == "w")
+    return Order(np.array([w for w, _ in found], U), np.array([c for _, c in found], U), np.array(sorted(r["value"] & (1 << 64) - 1 for r in rows if r["kind"] == "s"), U))
+
+
+def among(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each value is in the ordered list, where)."""
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values, at
+
+
+def hashed(h: np.ndarray, width: int) -> np.ndarray:
+    """A 59-bit hash of each shingle of hashed words."""
+    n, size = max(1, len(h) - width + 1), min(width, len(h))
     x = np.full(n, ODD[0]) * U(size)
     for k in range(size):
         x = (x ^ (x >> U(31))) * ODD[1] + h[k : k + n]
-    return np.unique(mixed(x))
+    return mixed(x) >> U(5)
+
+
+def shingles(text: str | None, width: int, order: Order | None = None) -> np.ndarray:
+    """The distinct shingles' hashes, ascending. The upper five bits are the class of a shingle's rarest word, 0 for words that aren't frequent, and 31 for frequent shingles, so rare shingles come first."""
+    h = word_hashes(text)
+    if not len(h):
+        return np.empty(0, U)
+    x = hashed(h, width)
+    if order is not None and len(order.words):
+        known, at = among(h, order.words)
+        level = np.where(known, order.classes[at], U(0))
+        n = len(x)
+        lowest = level[:n]
+        for k in range(1, min(width, len(h))):
+            lowest = np.minimum(lowest, level[k : k + n])
+        if len(order.shingles):
+            lowest = np.where(among(x, order.shingles)[0], U(31), lowest)
+        x |= lowest << U(59)
+    return np.unique(x)
 
 
 def bits_of(n: int) -> int:
@@ -85,11 +176,11 @@ def prefix(n: int, percent: int) -> int:
 SETS = "doc_id long, n long, low long, high long, bits binary, head binary"
 
 
-def set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+def set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int, order: Order) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", 4 << 20):
         rows: list[list] = [[] for _ in range(5)]
         for text in batch.column("text").to_pylist():
-            x = shingles(text, width)
+            x = shingles(text, width, order)
             low, high = ((mixed(x * m).sum(dtype=U) if len(x) else U(0)) for m in ODD[2:4])
             for column, value in zip(rows, (len(x), int(low.astype(np.int64)), int(high.astype(np.int64)), bitmap(x, bits_of(len(x))).tobytes() if len(x) else b"", x[: prefix(len(x), percent)].tobytes()), strict=True):
                 column.append(value)
@@ -97,26 +188,26 @@ def set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], names=["doc_id", "n", "low", "high", "bits", "head"])
 
 
-ENTRIES = "bucket int, shingles binary, docs binary"
+ENTRIES = "bucket int, shingles binary, docs binary, sizes binary"
 
 
-def entry_rows(batches: Iterator[pa.RecordBatch], buckets: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Prefix shingles with their documents, by bucket."""
+def entry_rows(batches: Iterator[pa.RecordBatch], ids: list[int], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Prefix shingles with their documents and set sizes, by bucket."""
 
     def flush(held: list) -> pa.RecordBatch:
-        x, doc = (np.concatenate(c) for c in zip(*held, strict=True))
-        bucket = (x >> U(8)) % U(buckets)
+        x, doc, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        bucket = (x >> U(8)) % U(len(ids))
         order = np.argsort(bucket, kind="stable")
-        x, doc, bucket = x[order], doc[order], bucket[order]
+        x, doc, n, bucket = x[order], doc[order], n[order], bucket[order]
         cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(x)], strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([doc[a:b].tobytes() for a, b in spans], pa.binary())], names=["bucket", "shingles", "docs"])
+        return pa.RecordBatch.from_arrays([pa.array([ids[k] for k in bucket[cuts].tolist()], pa.int32()), *(pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (x, doc, n))], names=["bucket", "shingles", "docs", "sizes"])
 
     held, size = [], 0
     for batch in batches:
-        for doc, head in zip(batch.column("doc_id").to_pylist(), batch.column("head").to_pylist(), strict=True):
+        for doc, n, head in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "head")), strict=True):
             x = np.frombuffer(head, U)
-            held.append((x, np.full(len(x), doc, np.int64)))
+            held.append((x, np.full(len(x), doc, np.int64), np.full(len(x), n, np.int32)))
             size += len(x)
             if size >= most:
                 yield flush(held)
@@ -128,32 +219,45 @@ def entry_rows(batches: Iterator[pa.RecordBatch], buckets: int, most: int = 1 <<
 LISTS = "list long, members int, hub long, doc_id long"
 
 
-def list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that share a prefix shingle: (list, members, smallest document, document), equal lists once."""
-    held = []
-    for batch in batches:
-        held += [(np.frombuffer(x, U), np.frombuffer(d, np.int64)) for x, d in zip(batch.column("shingles").to_pylist(), batch.column("docs").to_pylist(), strict=True)]
+def list_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Documents that share a prefix shingle and may link by their sizes: (list, members, smallest document, document), equal lists once."""
+    held = [(np.frombuffer(x, U), np.frombuffer(d, np.int64), np.frombuffer(n, np.int32)) for batch in batches for _, x, d, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
     if not held:
         return
-    x, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+    columns = [np.concatenate(c) for c in zip(*held, strict=True)]
     held.clear()
-    order = np.argsort(x)
-    x, doc = x[order], doc[order]
-    new = np.append(True, x[1:] != x[:-1])
+    part, seen = columns[0] & U(PARTS - 1), set()
+    for k in range(PARTS):
+        mine = part == k
+        if mine.any():
+            yield from lists_of(*(c[mine] for c in columns), percent, seen)
+        if len(seen) > 1 << 20:  # repeats are only more rows for the aggregation that follows
+            seen.clear()
+
+
+def lists_of(x: np.ndarray, doc: np.ndarray, n: np.ndarray, percent: int, seen: set[int]) -> Iterator[pa.RecordBatch]:
+    order = np.lexsort((n, x))
+    x, doc, n = x[order], doc[order], n[order].astype(np.int64)
+    # a list ends where the next larger set is too large to link with any before it
+    new = np.append(True, (x[1:] != x[:-1]) | (n[:-1] * 100 < n[1:] * percent))
     group = np.cumsum(new) - 1
     many = (np.bincount(group) > 1)[group]
-    x, doc = x[many], doc[many]
+    x, doc = group[many], doc[many]
     if not len(x):
         return
+    order = np.lexsort((doc, x))
+    x, doc = x[order], doc[order]
     starts = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
     size = np.diff(np.append(starts, len(x)))
     name = mixed(np.add.reduceat(mixed(doc.astype(U) * ODD[0] + U(1)), starts) + size.astype(U) * ODD[3]).astype(np.int64)
     hub = np.minimum.reduceat(doc, starts)
-    _, one = np.unique(name, return_index=True)
+    one = np.unique(name, return_index=True)[1]
+    one = [k for k, x in zip(one.tolist(), name[one].tolist(), strict=True) if x not in seen]
+    seen.update(name[one].tolist())
     keep = np.zeros(len(starts), bool)
     keep[one] = True
-    row = np.repeat(keep, size)
-    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name[keep], size[keep])), pa.array(np.repeat(size[keep], size[keep]).astype(np.int32)), pa.array(np.repeat(hub[keep], size[keep])), pa.array(doc[row])], names=["list", "members", "hub", "doc_id"])
+    columns = (np.repeat(name[keep], size[keep]), np.repeat(size[keep], size[keep]).astype(np.int32), np.repeat(hub[keep], size[keep]), doc[np.repeat(keep, size)])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "members", "hub", "doc_id"])
 
 
 def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.ndarray], arrays: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -224,56 +328,73 @@ def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool) -> I
         yield batch_of(found)
 
 
-def tiles(rows: DataFrame, size: str, percent: int) -> DataFrame:
-    """(tile, side, doc_id, n, data) for rows (set, whole boolean, doc_id, n, data): a whole set is one tile; others are cut by size bands of ratio percent / 100, a band with the next one, and by pairs of blocks with about BLOCK rows or ELEMENTS shingles."""
-    one = rows.where("whole").select(F.xxhash64("set", F.lit(-1)).alias("tile"), F.lit(0).alias("side"), "doc_id", "n", "data")
+def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
+    """(doc_id, tile, side) for rows (set, whole boolean, doc_id, n): a whole set is one tile; others are cut by size bands of ratio percent / 100, a band with the next one, and by pairs of blocks, a block being rows with a load of about 1."""
+    one = rows.where("whole").select("doc_id", F.xxhash64("set", F.lit(-1)).alias("tile"), F.lit(0).alias("side"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9)).cast("int")
     cut = rows.where("not whole").withColumn("_own", band).withColumn("_band", F.explode(F.array(F.col("_own"), F.col("_own") - 1)))
-    load = F.sum(F.lit(1.0) / BLOCK if size == "rows" else F.col("n") / F.lit(float(ELEMENTS)))
-    counts = cut.groupBy("set", "_band").agg(F.ceil(load).cast("int").alias("_blocks"))
+    counts = cut.groupBy("set", "_band").agg(F.ceil(F.sum(load)).cast("int").alias("_blocks"))
     dealt = cut.join(counts, ["set", "_band"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
     paired = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     p, q = F.least("_block", "_with"), F.greatest("_block", "_with")
     side = F.when(F.col("_block") == F.col("_with"), 0).when(F.col("_block") < F.col("_with"), 1).otherwise(2)
-    return one.unionByName(paired.select(F.xxhash64("set", "_band", p, q).alias("tile"), side.alias("side"), "doc_id", "n", "data"))
+    return one.unionByName(paired.select("doc_id", F.xxhash64("set", "_band", p, q).alias("tile"), side.alias("side")))
 
 
-def tile_links(rows: DataFrame, size: str, percent: int, exact: bool) -> DataFrame:
-    dealt = tiles(rows, size, percent)
-    return dealt.repartition(shuffle_partitions(rows.sparkSession), "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact), "a long, b long")
+def tile_links(dealt: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links of rows (tile, side, doc_id, n, data); the only shuffle that carries data."""
+    return dealt.repartition(shuffle_partitions(dealt.sparkSession), "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id): class_id is the smallest doc_id with an equal set, component_id the smallest reached by links."""
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
+    tasks = shuffle_partitions(spark)
+    ids = bucket_ids(spark, tasks)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    sets, _ = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent), SETS), "sets")
+    order = learn_order(narrow, width)
+    sets, _ = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent, order), SETS), "sets")
     classes = sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id"))
     firsts, _ = materialize(classes, "classes")
     chosen = sets.join(firsts.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
 
-    entries = chosen.select("doc_id", "head").mapInArrow(lambda b: entry_rows(b, buckets), ENTRIES).repartition(buckets, "bucket")
-    lists, _ = materialize(entries.mapInArrow(list_rows, LISTS).distinct(), "lists")
+    entries = chosen.select("doc_id", "n", "head").mapInArrow(lambda b: entry_rows(b, ids), ENTRIES).repartition(tasks, "bucket")
+    lists, _ = materialize(entries.mapInArrow(lambda b: list_rows(b, percent), LISTS).distinct(), "lists")
     merged = components(lists.where(f"members > {LIST} and hub != doc_id"), "hub", "doc_id")
     met = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), F.lit(True).alias("whole"), "doc_id").unionByName(merged.select(F.col("component").alias("set"), F.lit(False).alias("whole"), F.col("node").alias("doc_id")))
-    bounded = met.join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
-    candidates = components(tile_links(bounded, "rows", percent, exact=False))
+    sizes = chosen.select("doc_id", "n")
+    dealt = tiles(met.join(sizes, "doc_id"), F.lit(1.0 / BLOCK), percent)
+    bounded = dealt.join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
+    candidates = components(tile_links(bounded, percent, exact=False))
 
     counts = candidates.groupBy("component").agg(F.count("*").alias("_members"))
     grouped = candidates.join(counts, "component").select(F.col("component").alias("set"), (F.col("_members") <= LIST).alias("whole"), F.col("node").alias("doc_id"))
-    arrays = narrow.join(grouped, "doc_id").mapInArrow(lambda b: array_rows(b, width), "set long, whole boolean, doc_id long, n long, data binary")
-    linked = components(tile_links(arrays, "elements", percent, exact=True))
+    placed = tiles(grouped.join(sizes, "doc_id"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
+    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side")).alias("places"))
+    arrays = narrow.join(places, "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, doc_id long, n long, data binary")
+    linked = components(tile_links(arrays, percent, exact=True))
 
     named = firsts.join(linked.withColumnRenamed("node", "class_id"), "class_id", "left").select("n", "low", "high", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     members = sets.select("doc_id", "n", "low", "high").join(named, ["n", "low", "high"], "left")
     return members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def array_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Each document's shingles, once for each of its tiles."""
+    names = ("tile", "side", "doc_id", "n", "data")
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    rows, size = [], 0
     for batch in slices(batches, "text", 4 << 20):
-        found = [shingles(x, width) for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("set"), batch.column("whole"), batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], names=["set", "whole", "doc_id", "n", "data"])
+        for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places")), strict=True):
+            x = shingles(text, width, order)
+            for place in places:
+                rows.append((place["tile"], place["side"], doc, len(x), x.tobytes()))
+                size += x.nbytes
+                if size >= most_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
