@@ -129,4 +129,21 @@ ORACLES: dict[str, str] = {
         SELECT c.page_id, c.url, CAST(c.day AS VARCHAR) AS fetched_on, c.host, m.pattern AS matched_pattern, CAST(m.listed_at AS VARCHAR) AS listed_at, m.action, coalesce(m.action <> 'block', true) AS kept
         FROM captures c LEFT JOIN met m ON m.page_id = c.page_id AND m.r = 1
     """,
+    "op8_suffix_dedup": """
+        WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        sized AS (SELECT doc_id, h, len(h) // 2 AS n FROM bytes),
+        places AS (SELECT doc_id, h, n, unnest(range(n)) AS p FROM sized),
+        starts AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM places WHERE p <= n - 50),
+        firsts AS (SELECT s, min(doc_id) AS first FROM starts GROUP BY s),
+        later AS (SELECT doc_id, p FROM starts JOIN firsts USING (s) WHERE first < doc_id),
+        marked AS (SELECT a.doc_id, a.p, substr(a.h, 2 * a.p + 1, 2) AS byte, l.p IS NOT NULL AS begins FROM places a LEFT JOIN later l ON l.doc_id = a.doc_id AND l.p = a.p),
+        covered AS (SELECT doc_id, p, byte, bool_or(begins) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM marked),
+        edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM covered),
+        cut AS (
+            SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+                   string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT gone) AS kept
+            FROM edges GROUP BY doc_id)
+        SELECT s.doc_id, s.n AS n_bytes, coalesce(c.n_removed, 0) AS n_removed, coalesce(c.n_spans, 0) AS n_spans, sha256(unhex(coalesce(c.kept, ''))) AS kept_sha256
+        FROM sized s LEFT JOIN cut c ON c.doc_id = s.doc_id
+    """,
 }

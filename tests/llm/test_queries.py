@@ -25,7 +25,7 @@ def entry():
     return __spark_entry__
 
 
-@pytest.mark.parametrize("name", ["op2_ngram_join", "op4_topk", "op5_url_filters"])
+@pytest.mark.parametrize("name", ["op2_ngram_join", "op4_topk", "op5_url_filters", "op8_suffix_dedup"])
 def test_sql(spark, duck, name):
     found = entry().queries()[name](spark, str(DATA))
     sql = duck.sql(entry().oracle_sql()[name])
