@@ -44,7 +44,7 @@ FEW, DEAD = 12, -2
 class Transducer:
     """Byte-level BPE of one pre-token at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000, most_pieces: int = 200_000, most_pairs: int = 120_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 80_000, most_pieces: int = 300_000, most_pairs: int = 120_000):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.most_states, self.most_pairs = most_states, most_pairs
@@ -347,5 +347,19 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return encoded.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept)}, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, decoded): encode() and decode() in one pass, so that a task needs one Python worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = machine(path)
+        for batch in slices(batches, text, 4 << 20):
+            ids = [encode_text(x, path, pattern) for x in texts(batch, text)]
+            decoded = pa.array([b"".join(of.chunks(x)) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(ids, pa.list_(pa.int32())), decoded], names=[key, "ids", "decoded"])
+
+    narrow = docs.select(key, text)
+    return narrow.mapInArrow(run, f"{key} {narrow.schema[key].dataType.simpleString()}, ids array<int>, decoded binary")
+
+
 def decode_text(ids, path: str) -> str:
     return b"".join(machine(path).chunks(ids)).decode("utf-8", "replace")

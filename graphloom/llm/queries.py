@@ -15,9 +15,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
     ids = F.col("ids")
-    return byte_bpe.decode(encoded, RANKS).select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN).select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
