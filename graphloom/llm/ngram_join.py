@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import bucket_ids, materialize, shuffle_partitions, slices
+from graphloom.llm.common import bucket_ids, forget, materialize, shuffle_partitions, slices
 from graphloom.llm.components import components
 
 U = np.uint64
@@ -112,9 +112,10 @@ def learn_order(docs: DataFrame, width: int, words: int = 4096, most: int = 1 <<
             values, counts = of.found(least)
             yield pa.RecordBatch.from_arrays([pa.array([kind] * len(values), pa.string()), pa.array(values.astype(np.int64)), pa.array(counts)], names=["kind", "value", "n"])
 
-    sums = docs.select("text").mapInArrow(counted, "kind string, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    sums, path = materialize(docs.select("text").mapInArrow(counted, "kind string, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n")), "frequent")
     top = lambda kind, limit: sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "value").limit(limit)
     rows = top("w", words).unionByName(top("s", most).where(F.col("n") > LIST)).collect()
+    forget(docs.sparkSession, path)
     found = sorted((r["value"] & (1 << 64) - 1, min(30, r["n"].bit_length())) for r in rows if r["kind"] == "w")
     return Order(np.array([w for w, _ in found], U), np.array([c for _, c in found], U), np.array(sorted(r["value"] & (1 << 64) - 1 for r in rows if r["kind"] == "s"), U))
 
@@ -362,7 +363,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     lists, _ = materialize(entries.mapInArrow(lambda b: list_rows(b, percent), LISTS).distinct(), "lists")
     merged = components(lists.where(f"members > {LIST} and hub != doc_id"), "hub", "doc_id")
     met = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), F.lit(True).alias("whole"), "doc_id").unionByName(merged.select(F.col("component").alias("set"), F.lit(False).alias("whole"), F.col("node").alias("doc_id")))
-    sizes = chosen.select("doc_id", "n")
+    sizes, _ = materialize(chosen.select("doc_id", "n"), "sizes")
     dealt = tiles(met.join(sizes, "doc_id"), F.lit(1.0 / BLOCK), percent)
     bounded = dealt.join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
     candidates = components(tile_links(bounded, percent, exact=False))

@@ -36,7 +36,7 @@ from graphloom.llm.common import bucket_ids, fresh, materialize, shuffle_partiti
 Q = 20
 U = np.uint64
 MULTIPLIERS = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
-BLOCK, POSITION_BITS = 1 << 21, U(22)
+BLOCK, POSITION_BITS = 1 << 19, U(22)
 #: A task refines its bucket in so many parts, one at a time, to hold few arrays at once.
 PARTS = 16
 MASK48 = U((1 << 48) - 1)
@@ -143,7 +143,7 @@ RUNS = "bucket int, key binary, run binary, doc binary, first binary, windows bi
 RUNS_NAMES = ["bucket", "key", "run", "doc", "first", "windows"]
 
 
-def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 24 << 20) -> Iterator[pa.RecordBatch]:
+def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 12 << 20) -> Iterator[pa.RecordBatch]:
     """Rows of RUNS: runs still open, by bucket, and settled ones (no key), spread by their documents."""
 
     def flush(held: list) -> pa.RecordBatch:
