@@ -11,7 +11,7 @@ as a residual, and a busy host's rows fall into many keys. Everything is DataFra
 
 Results: one row per capture, repeated ones too. A null or malformed URL or a null time matches nothing and has a null action.
 Entries with a null pattern or date are ignored; several of one pattern and moment: the alphabetically last action holds.
-Times are days (dates); the list's open intervals end at `horizon`, which must lie after all captures.
+A result column whose name captures has already gets an underscore. Times are days (dates); the list's open intervals end at `horizon`, which must lie after all captures.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.llm.common import fresh
+
 
 def host(url: Column) -> Column:
     """The lower-cased host: no user, port or final dot; null if there is none."""
@@ -43,13 +45,15 @@ def intervals(entries: DataFrame, horizon: str = "2100-01-01") -> DataFrame:
 
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_on", horizon: str = "2100-01-01") -> DataFrame:
     """captures with host, matched_pattern, listed_at and action (null: no active entry)."""
-    base = captures.withColumn("host", host(F.col(url)))
-    keys = base.select("host", F.col(fetched).cast("date").alias("_day")).where("host is not null and _day is not null").distinct()
+    own, day, held = (fresh(captures, name) for name in ("_host", "_day", "_best"))
+    base = captures.withColumn(own, host(F.col(url))).withColumn(day, F.col(fetched).cast("date"))
+    keys = base.select(F.col(own).alias("host"), F.col(day).alias("_day")).where("host is not null and _day is not null").distinct()
     probes = keys.withColumn("pattern", F.explode(suffixes(F.col("host")))).withColumn("_month", F.trunc("_day", "month"))
-    last = captures.agg(F.max(F.col(fetched).cast("date")).alias("_last"))
-    listed = intervals(entries, horizon).crossJoin(F.broadcast(last)).where("listed_at <= _last")
-    spread = listed.withColumn("_month", F.explode(F.sequence(F.trunc("listed_at", "month"), F.trunc(F.least("until", "_last"), "month"), F.expr("interval 1 month"))))
+    last = captures.agg(F.max(F.col(fetched).cast("date"))).scalar()
+    listed = intervals(entries, horizon).where(F.col("listed_at") <= last)
+    spread = listed.withColumn("_month", F.explode(F.sequence(F.trunc("listed_at", "month"), F.trunc(F.least("until", last), "month"), F.expr("interval 1 month"))))
     met = probes.join(spread, ["pattern", "_month"]).where("_day >= listed_at and _day < until")
     best = met.groupBy("host", "_day").agg(F.max_by(F.struct("pattern", "listed_at", "action"), F.length("pattern")).alias("_best"))
-    judged = base.withColumn("_day", F.col(fetched).cast("date")).join(best, ["host", "_day"], "left")
-    return judged.select(*captures.columns, "host", F.col("_best.pattern").alias("matched_pattern"), F.col("_best.listed_at").alias("listed_at"), F.col("_best.action").alias("action"))
+    judged = base.join(best.select(F.col("host").alias(own), F.col("_day").alias(day), F.col("_best").alias(held)), [own, day], "left")
+    results = {"host": own, "matched_pattern": f"{held}.pattern", "listed_at": f"{held}.listed_at", "action": f"{held}.action"}
+    return judged.select(*(f"`{c}`" for c in captures.columns), *(F.col(at).alias(fresh(captures, name)) for name, at in results.items()))

@@ -257,3 +257,7 @@ def test_url_filters_equal_brute_force(spark):
         found = (r["matched_pattern"], r["action"]) if r["action"] else None
         assert found == expected(r["url"], r["fetched_on"]), r
     assert url_filters.judge(table.limit(0), listed).count() == 0 and url_filters.judge(table, listed.limit(0)).where("action is not null").count() == 0
+    clashing = table.selectExpr("*", "'mine' as host", "1 as _day", "2 as _best", "'x' as action", "3 as `a.b`")
+    again = url_filters.judge(clashing, listed)
+    assert again.columns == [*clashing.columns, "host__", "matched_pattern", "listed_at", "action_"]
+    assert sorted((r["page_id"], str(r["action_"])) for r in again.collect()) == sorted((r["page_id"], str(r["action"])) for r in rows)
