@@ -91,19 +91,25 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 class Kept:
-    """Results by key in bounded memory: when the younger half is full it becomes the older one, and what is still used moves on."""
+    """Results by string key in bounded memory: when the younger half is full it becomes the older one, and what is still used moves on. Keys count once, and once more for each 256 characters, so long ones fill a half sooner."""
 
     def __init__(self, most: int):
-        self.half, self.young, self.old = max(1, most // 2), {}, {}
+        self.half, self.young, self.old, self.used = max(1, most // 2), {}, {}, 0
+
+    @staticmethod
+    def weight(keys: set) -> int:
+        return len(keys) + (sum(map(len, keys)) >> 8)
 
     def of(self, keys: list, find) -> dict:
         """A dict that has all keys; find(keys) gives the results of keys not kept."""
         young, old = self.young, self.old
         new = {k for k in keys if k not in young}
         if new:
-            if len(young) + len(new) > self.half:
+            self.used += self.weight(new)
+            if self.used > self.half:
                 self.old, self.young = old, young = young, {}
                 new = set(keys)
+                self.used = self.weight(new)
             fresh = []
             for k in new:
                 found = old.get(k)

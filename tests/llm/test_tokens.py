@@ -84,6 +84,9 @@ def test_bounded_cache():
     for word in "abcabcdefgabc":
         assert kept.of([word], find)[word] == word.upper()
     assert len(kept.young) + len(kept.old) <= 6 and asked.count("a") <= 2
+    for word in "xyz":  # long keys fill a half sooner
+        assert kept.of([word * 1000], find)[word * 1000] == word.upper() * 1000
+    assert len(kept.young) == len(kept.old) == 1
 
 
 @pytest.mark.parametrize("with_copies", [False, True])
