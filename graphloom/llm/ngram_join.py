@@ -11,7 +11,8 @@ Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent
    joined into candidate groups. Long lists that overlap are merged first and cut into tiles by size band (a band and the next
    one) and by blocks, each pair of blocks being a tile: no list meets in one task, however many documents share a shingle.
 4. Candidate groups get their whole shingle arrays, again in size-banded tiles: bitmaps first, then exact intersections
-   of sorted arrays, skipping pairs that are already connected; tiles return spanning links only.
+   of sorted arrays, skipping pairs that are already connected; tiles return spanning links only, or every link for
+   similar_pairs() and link_counts().
 5. Components of the links, then of all members of the classes.
 
 Shingles are compared by 64-bit hashes, classes by 128 bits.
@@ -261,8 +262,8 @@ def lists_of(x: np.ndarray, doc: np.ndarray, n: np.ndarray, percent: int, seen:
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "members", "hub", "doc_id"])
 
 
-def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.ndarray], arrays: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what the tile's links connect; without arrays, pairs that bitmaps don't rule out count as links.
+def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.ndarray], arrays: list[np.ndarray] | None, percent: int, every: bool = False) -> list[tuple[int, int]]:
+    """Links that connect what the tile's links connect, or every link; without arrays, pairs that bitmaps don't rule out count as links.
 
     side: 0 compares with all, 1 only with 2 and 2 only with 1.
     """
@@ -289,12 +290,13 @@ def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.nda
                 if np.count_nonzero(both[1:] == both[:-1]) < least:
                     continue
             links.append((int(doc[i]), int(doc[j])))
-            root[root == root[j]] = root[i]
+            if not every:
+                root[root == root[j]] = root[i]
     return links
 
 
-def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each tile; rows come ordered by tile."""
+def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool, every: bool = False) -> Iterator[pa.RecordBatch]:
+    """Spanning links of each tile, or every link; rows come ordered by tile."""
 
     def links(rows: list) -> list[tuple[int, int]]:
         seen, one = set(), []
@@ -308,7 +310,7 @@ def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool) -> I
         data = [np.frombuffer(r[4], U) for r in one]
         if exact:
             words = bits_of(int(n.min()))
-            return spanning(doc, n, side, [bitmap(x, words) for x in data], data, percent)
+            return spanning(doc, n, side, [bitmap(x, words) for x in data], data, percent, every)
         return spanning(doc, n, side, data, None, percent)
 
     def batch_of(found: list) -> pa.RecordBatch:
@@ -320,10 +322,10 @@ def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool) -> I
             if row[0] != tile:
                 found += links(rows)
                 tile, rows = row[0], []
+                if len(found) > 10_000:
+                    yield batch_of(found)
+                    found = []
             rows.append(row)
-        if len(found) > 10_000:
-            yield batch_of(found)
-            found = []
     found += links(rows)
     if found:
         yield batch_of(found)
@@ -342,13 +344,13 @@ def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
     return one.unionByName(paired.select("doc_id", F.xxhash64("set", "_band", p, q).alias("tile"), side.alias("side")))
 
 
-def tile_links(dealt: DataFrame, percent: int, exact: bool) -> DataFrame:
+def tile_links(dealt: DataFrame, percent: int, exact: bool, every: bool = False) -> DataFrame:
     """Links of rows (tile, side, doc_id, n, data); the only shuffle that carries data."""
-    return dealt.repartition(shuffle_partitions(dealt.sparkSession), "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact), "a long, b long")
+    return dealt.repartition(shuffle_partitions(dealt.sparkSession), "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact, every), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id): class_id is the smallest doc_id with an equal set, component_id the smallest reached by links."""
+def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(each text's set, each class's representative, rows of the exact tiles): any two representatives that link share a tile."""
     spark = docs.sparkSession
     tasks = shuffle_partitions(spark)
     ids = bucket_ids(spark, tasks)
@@ -373,6 +375,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     placed = tiles(grouped.join(sizes, "doc_id"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
     places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side")).alias("places"))
     arrays = narrow.join(places, "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, doc_id long, n long, data binary")
+    return sets, firsts, arrays
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id): class_id is the smallest doc_id with an equal set, component_id the smallest reached by links."""
+    sets, firsts, arrays = exact_tiles(docs, width, percent, key, text)
     linked = components(tile_links(arrays, percent, exact=True))
 
     named = firsts.join(linked.withColumnRenamed("node", "class_id"), "class_id", "left").select("n", "low", "high", "class_id", F.coalesce("component", "class_id").alias("component_id"))
@@ -380,6 +388,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     return members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def every_link(arrays: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b, of the exact tiles, once however many tiles two documents share."""
+    return tile_links(arrays, percent, exact=True, every=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar_pairs(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b), a < b: every pair of class representatives that links, once; near_duplicates() has the members of the classes. As many rows as there are such pairs, so the square of a group of similar texts with different sets."""
+    return every_link(exact_tiles(docs, width, percent, key, text)[2], percent)
+
+
+def link_counts(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(class_id, n_links): for each class of texts with words, how many other classes it links with."""
+    _, firsts, arrays = exact_tiles(docs, width, percent, key, text)
+    counted = every_link(arrays, percent).select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    return firsts.select("class_id").join(counted, "class_id", "left").select("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Each document's shingles, once for each of its tiles."""
     names = ("tile", "side", "doc_id", "n", "data")

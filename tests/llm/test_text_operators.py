@@ -43,6 +43,28 @@ def test_join_equals_brute_force(spark, width, percent, seed, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == expected and len(rows) == len(docs)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_every_link_between_classes(spark, small, monkeypatch):
+    if small:
+        monkeypatch.setattr(ngram_join, "LIST", 2)
+        monkeypatch.setattr(ngram_join, "BLOCK", 4)
+        monkeypatch.setattr(ngram_join, "ELEMENTS", 400)
+    group = " ".join(f"w{k}" for k in range(60))
+    docs = near_copies(5) + [(k, f"{group} end{k // 2}") for k in range(100, 124)]
+    classes = {}
+    for d, t in docs:
+        if sets := brute.shingle_set(t, 3):
+            classes[sets] = min(d, classes.get(sets, d))
+    names = sorted((d, x) for x, d in classes.items())
+    expected = {(a, b) for k, (b, y) in enumerate(names) for a, x in names[:k] if 100 * len(x & y) >= 80 * len(x | y)}
+    assert {(a, b) for a in range(100, 124, 2) for b in range(a + 2, 124, 2)} <= expected  # a group whose links a spanning tree lacks
+    frame = brute.frame(spark, [(d, t, "s") for d, t in docs])
+    found = [(r["a"], r["b"]) for r in ngram_join.similar_pairs(frame, 3, 80).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    counts = {r["class_id"]: r["n_links"] for r in ngram_join.link_counts(frame, 3, 80).collect()}
+    assert counts == {d: sum(d in pair for pair in expected) for d, _ in names}
+
+
 def test_join_of_nulls_repeats_and_nothing(spark):
     docs = brute.frame(spark, [(None, "a b c d e f", "s"), (1, "a b c d e f", "s"), (1, "a b c d e f", "s"), (2, "A B  c d\te f", "s"), (3, None, "s")])
     rows = sorted((r["doc_id"], r["class_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs, 3, 90).collect())
