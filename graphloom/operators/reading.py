@@ -7,6 +7,7 @@ import hashlib
 import hmac
 import json
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,29 +89,31 @@ def edge_counts(edges: DataFrame) -> DataFrame:
     return ends.groupBy("internal_id").agg(F.sum("o").alias("outbound"), F.sum("i").alias("inbound"), F.count("*").alias("edges"))
 
 
-def closure(pairs: DataFrame, parent: str = "parent", child: str = "child", most_depth: int = 20) -> DataFrame:
-    """(ancestor, descendant, depth), the shortest depth each: pairs are joined round by round until no new pair appears, so cycles end. Hierarchies are shallow, and each round is one join."""
+def closure(pairs: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
+    """(ancestor, descendant, depth), the shortest depth each: pairs are joined round by round until no new pair appears, so cycles end. Hierarchies are mostly shallow, and each round is one join."""
     ensure_checkpoints(pairs.sparkSession)
     base = pairs.select(F.col(parent).alias("ancestor"), F.col(child).alias("descendant")).where("ancestor is not null and descendant is not null").distinct()
     step = base.select(F.col("ancestor").alias("descendant"), F.col("descendant").alias("_next"))
     known = front = base.withColumn("depth", F.lit(1))
-    for depth in range(2, most_depth + 1):
+    for depth in count(2):
         reached = front.join(step, "descendant").select("ancestor", F.col("_next").alias("descendant")).distinct()
         front = reached.join(known, ["ancestor", "descendant"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
         if front.isEmpty():
             break
         known = known.unionByName(front)
+        if depth % 10 == 0:  # plans of deep hierarchies stay small
+            known = known.coalesce(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).checkpoint()
     return known
 
 
 def closure_sql(spark, pairs_view: str, most_depth: int = 20) -> DataFrame:
-    """The same as one recursive query, for hierarchies without long cycles."""
+    """The same as one recursive query, for hierarchies without long cycles. Walks go one step beyond most_depth, and a pair that no shorter walk connects raises, so none is lost."""
     return spark.sql(f"""
         WITH RECURSIVE walk(ancestor, descendant, depth) AS (
             SELECT parent, child, 1 FROM {pairs_view} WHERE parent IS NOT NULL AND child IS NOT NULL
             UNION ALL
-            SELECT w.ancestor, p.child, w.depth + 1 FROM walk w JOIN {pairs_view} p ON p.parent = w.descendant WHERE w.depth < {most_depth})
-        SELECT ancestor, descendant, min(depth) AS depth FROM walk GROUP BY ancestor, descendant""")
+            SELECT w.ancestor, p.child, w.depth + 1 FROM walk w JOIN {pairs_view} p ON p.parent = w.descendant WHERE w.depth <= {most_depth})
+        SELECT ancestor, descendant, CASE WHEN min(depth) > {most_depth} THEN CAST(raise_error('pairs more than {most_depth} levels apart') AS INT) ELSE min(depth) END AS depth FROM walk GROUP BY ancestor, descendant""")
 
 
 def _of_type(kind: str) -> Callable:

@@ -97,6 +97,15 @@ def test_closure_ends_on_cycles(spark):
     assert {(r["ancestor"], r["descendant"]) for r in reading.closure_sql(spark, "pairs").collect()} == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
 
 
+def test_closure_of_deep_chains(spark):
+    pairs = spark.createDataFrame([(k, k + 1) for k in range(24)], "parent long, child long")
+    assert {(r["ancestor"], r["descendant"], r["depth"]) for r in reading.closure(pairs).collect()} == {(a, b, b - a) for b in range(25) for a in range(b)}
+    pairs.createOrReplaceTempView("deep")
+    assert reading.closure_sql(spark, "deep", 24).count() == 300
+    with pytest.raises(PySparkException, match="levels apart"):
+        reading.closure_sql(spark, "deep").collect()
+
+
 def test_named_reads(spark):
     rows = spark.createDataFrame([(i, "MBI", "Clients", "client_id") for i in range(1, 6)], "id_value long, id_source string, id_type string, id_name string")
     made = vertices.build(rows, EXTERNAL)
