@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from graphloom.llm.common import Kept, materialize, shuffle_partitions, slices, texts
-from graphloom.llm.token_files import byte_characters
+from graphloom.llm.token_files import Added, byte_characters
 
 #: Separators that str.split() takes for white space and the tokenizer doesn't.
 ODD = re.compile("[\x1c-\x1f]")
@@ -40,12 +40,12 @@ PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-
 
 
 class WordEncoder:
-    """The library's ids of a text, packed to four bytes; ids of words between white space are kept, as the tokenizer drops white space before it merges."""
+    """The library's ids of a text, packed to four bytes; ids of words between white space are kept, as the tokenizer drops white space before it merges. Texts with added tokens go through the library whole."""
 
     def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = Added(self.library)
         self.model, self.kept, self.shown = self.library.model, Kept(most), byte_characters()
 
     def ids(self, text: str) -> list[int]:
@@ -59,7 +59,7 @@ class WordEncoder:
             yield struct.pack(f"<{len(ids)}I", *ids)
 
     def packed(self, text: str) -> bytes:
-        if ODD.search(text):
+        if ODD.search(text) or self.added.within(text):
             return np.array(self.ids(text), "<u4").tobytes()
         words = text.split()
         return b"".join(map(self.kept.of(words, self.found).__getitem__, words))

@@ -75,12 +75,31 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
+class Added:
+    """Finds texts that may hold a token added to a vocabulary (special ones too), which the library takes out before anything else. Tokens that are matched in normalized text are looked for there."""
+
+    def __init__(self, library: Tokenizer):
+        tokens, self.normalizer = library.get_added_tokens_decoder().values(), library.normalizer
+        self.plain = [t.content for t in tokens if not t.normalized]
+        given = [t.content for t in tokens if t.normalized]
+        self.normal = [self.normalizer.normalize_str(x) for x in given] if self.normalizer else given
+
+    def within(self, text: str) -> bool:
+        if any(x in text for x in self.plain):
+            return True
+        if not self.normal:
+            return False
+        normal = self.normalizer.normalize_str(text) if self.normalizer else text
+        return any(x in normal for x in self.normal)
+
+
 class PieceEncoder:
-    """The library's ids of a text, pre-token by pre-token; those of a pre-token don't depend on its neighbours and are kept."""
+    """The library's ids of a text, pre-token by pre-token; those of a pre-token don't depend on its neighbours and are kept. Texts with added tokens go through the library whole."""
 
     def __init__(self, path: str, pattern: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library = Tokenizer.from_file(path)
+        library = self.library = Tokenizer.from_file(path)
+        self.added = Added(library)
         self.model, self.split, self.kept = library.model, splitter(pattern).findall, Kept(most)
         self.width = 2 if library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.shown, self.kind = byte_characters(), f"<{'H' if self.width == 2 else 'I'}"
@@ -92,6 +111,8 @@ class PieceEncoder:
 
     def packed(self, text: str) -> bytes:
         """The ids, packed to width."""
+        if self.added.within(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
         pieces = self.split(text)
         return b"".join(map(self.kept.of(pieces, self.found).__getitem__, pieces))
 

@@ -106,6 +106,19 @@ def test_token_files(spark, tmp_path, with_copies):
     assert {p.name for p in (tmp_path / "tokens").iterdir()} == {r[k].rsplit("/", 1)[1] for r in manifest for k in ("path", "index")} | {"manifest.json"}
 
 
+def test_added_tokens_in_texts(spark, tmp_path):
+    docs = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|>Y <|ENDOFTEXT|> <|endoftext|>"), (3, "plain <| text"), (4, "<|endoftext|>\x1c")]
+    frame = brute.frame(spark, [(d, t, "s") for d, t in docs])
+    ids = lambda path, text, end: [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, end]
+    manifest = token_files.write(frame, str(tmp_path / "t"), brute.PIECES, public_tokenizers.PATTERN)
+    rows = {r["doc_id"]: bytes(r["ids"]) for r in token_files.read(spark, str(tmp_path / "t"), manifest).collect()}
+    assert rows == {d: np.array(ids(brute.PIECES, t, 0), "<u4").tobytes() for d, t in docs}
+    assert np.frombuffer(rows[1], "<u4").tolist() == [64, 220, 50256, 275, 0]
+    rows = {r["doc_id"]: bytes(r["ids"]) for r in packing.pack(frame, brute.WORDS, with_ids=True).collect()}
+    assert rows == {d: np.array(ids(brute.WORDS, t, 2), "<u4").tobytes() for d, t in docs}
+    assert np.frombuffer(rows[1], "<u4").tolist() == [320, 49407, 321, 2]
+
+
 def test_token_files_of_nothing(spark, tmp_path):
     manifest = token_files.write(brute.frame(spark).limit(0), str(tmp_path / "none"), brute.PIECES, public_tokenizers.PATTERN)
     assert manifest == [] and token_files.read(spark, str(tmp_path / "none"), manifest).count() == 0
