@@ -16,21 +16,53 @@ def matched_once(left: DataFrame, right: DataFrame, on: Column, left_key: str, r
 def patient_match(records: DataFrame, clients: DataFrame) -> DataFrame:
     """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, both names are equal.
 
-    The condition always implies that one of the names is equal, so it is split into equality joins by name, whose union
-    is counted: no nested loop.
+    The condition always implies that one of the names is equal, so it is split into equality joins by name. Both sides are
+    first grouped by name and medicaid number, so a frequent name costs the product of its distinct numbers and not of its
+    rows; clients with both names equal are met by either join and counted once. Ids that come with several names or
+    numbers are matched row by row.
     """
     low = lambda c: F.lower(F.col(c))
-    r = records.select("record_id", "medicaid", low("first_name").alias("rf"), low("last_name").alias("rl"))
-    c = clients.select("client_id", F.col("medicaid").alias("cm"), low("first_name").alias("cf"), low("last_name").alias("cl"))
-    has = F.col("medicaid").isNotNull() & (F.col("medicaid") != "")
-    by_last = r.join(c, r.rl == c.cl).where((has & F.col("cm").contains(F.col("medicaid"))) | (~has & (F.col("rf") == F.col("cf"))))
-    by_first = r.join(c, r.rf == c.cf).where(has & F.col("cm").contains(F.col("medicaid")))
-    found = by_last.select("record_id", "client_id").unionByName(by_first.select("record_id", "client_id")).distinct()
-    counted = found.groupBy("record_id").agg(F.count("*").alias("matches"), F.min("client_id").alias("_one"))
+    r = records.select("record_id", "medicaid", low("first_name").alias("rf"), low("last_name").alias("rl")).distinct()
+    c = clients.select("client_id", F.col("medicaid").alias("cm"), low("first_name").alias("cf"), low("last_name").alias("cl")).where("client_id is not null").distinct()
+    r_odd, c_odd = (x.groupBy(key).count().where("count > 1").select(key) for x, key in ((r, "record_id"), (c, "client_id")))
+    r_one, c_one = r.join(r_odd, "record_id", "left_anti"), c.join(c_odd, "client_id", "left_anti")
+    single = _matched_groups(r_one, c_one)
+    pairs = _matched_rows(r_one, c.join(c_odd, "client_id", "left_semi")).unionByName(_matched_rows(r.join(r_odd, "record_id", "left_semi"), c)).distinct()
+    each = single.unionByName(pairs.groupBy("record_id").agg(F.count("*").alias("matches"), F.min("client_id").alias("_one")))
+    counted = each.groupBy("record_id").agg(F.sum("matches").alias("matches"), F.min("_one").alias("_one"))
     outcome = F.when(F.col("matches") == 1, "unique").when(F.col("matches") == 0, "missing").otherwise("duplicate")
     return records.select("record_id").join(counted, "record_id", "left").withColumn("matches", F.coalesce("matches", F.lit(0))).select("record_id", "matches", F.when(F.col("matches") == 1, F.col("_one")).alias("client_id"), outcome.alias("outcome"))
 
 
+HAS_NUMBER = "medicaid is not null and medicaid <> ''"
+
+
+def _matched_groups(r: DataFrame, c: DataFrame) -> DataFrame:
+    """(record_id, matches, _one) of rows whose ids come once: the clients of each group of names and number."""
+
+    def met(tag: str, *names: str) -> DataFrame:
+        left = r.where(HAS_NUMBER).select("medicaid", *(f"r{n}" for n in names)).distinct()
+        right = c.where("cm is not null").groupBy("cm", *(F.col(f"c{n}").alias(f"r{n}") for n in names)).agg(F.count("*").alias("_n"), F.min("client_id").alias("_id"))
+        both = left.join(right, [f"r{n}" for n in names]).where(F.col("cm").contains(F.col("medicaid")))
+        return both.groupBy("medicaid", *(f"r{n}" for n in names)).agg(F.sum("_n").alias(f"_n{tag}"), F.min("_id").alias(f"_id{tag}"))
+
+    numbered = r.where(HAS_NUMBER)
+    for tag, names in (("l", "l"), ("f", "f"), ("b", "fl")):
+        numbered = numbered.join(met(tag, *names), ["medicaid", *(f"r{n}" for n in names)], "left")
+    n = lambda x: F.coalesce(F.col(x), F.lit(0))
+    with_number = numbered.select("record_id", (n("_nl") + n("_nf") - n("_nb")).alias("matches"), F.least("_idl", "_idf").alias("_one"))
+    named = c.groupBy(F.col("cf").alias("rf"), F.col("cl").alias("rl")).agg(F.count("*").alias("matches"), F.min("client_id").alias("_one"))
+    return with_number.unionByName(r.where(f"not ({HAS_NUMBER})").join(named, ["rf", "rl"]).select("record_id", "matches", "_one"))
+
+
+def _matched_rows(r: DataFrame, c: DataFrame) -> DataFrame:
+    """(record_id, client_id) of rows that match, for the few whose ids come several times."""
+    has = F.expr(HAS_NUMBER)
+    by_last = r.join(c, r.rl == c.cl).where((has & F.col("cm").contains(F.col("medicaid"))) | (~has & (F.col("rf") == F.col("cf"))))
+    by_first = r.join(c, r.rf == c.cf).where(has & F.col("cm").contains(F.col("medicaid")))
+    return by_last.select("record_id", "client_id").unionByName(by_first.select("record_id", "client_id"))
+
+
 def first_listed(text: Column, names: list[str]) -> Column:
     """The first name of a short ordered list that the text contains: a chain of conditions, no join."""
     found = F.lit(None).cast("string")

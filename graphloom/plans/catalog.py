@@ -393,19 +393,35 @@ def theta_match_cardinality(spark: SparkSession, d: str) -> DataFrame:
     return matching.patient_match(records, clients)
 
 
+@query("""
+    WITH r AS (SELECT p_partkey AS record_id, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS medicaid, split_part(p_name, ' ', 1) AS f, split_part(p_name, ' ', 2) AS l FROM part),
+    c AS (SELECT p_partkey AS client_id, CAST(p_size * 100 + p_partkey % 50 AS VARCHAR) AS medicaid, upper(split_part(p_name, ' ', 1)) AS f, split_part(p_name, ' ', 2) AS l FROM part),
+    m AS (SELECT record_id, client_id FROM r JOIN c ON (r.medicaid IS NOT NULL AND contains(c.medicaid, r.medicaid) AND (lower(r.l) = lower(c.l) OR lower(r.f) = lower(c.f))) OR (r.medicaid IS NULL AND lower(r.l) = lower(c.l) AND lower(r.f) = lower(c.f)))
+    SELECT r.record_id, count(DISTINCT client_id) AS matches, CASE WHEN count(DISTINCT client_id) = 1 THEN min(client_id) END AS client_id,
+           CASE WHEN count(DISTINCT client_id) = 1 THEN 'unique' WHEN count(DISTINCT client_id) = 0 THEN 'missing' ELSE 'duplicate' END AS outcome
+    FROM r LEFT JOIN m ON m.record_id = r.record_id GROUP BY 1
+""")
+def theta_match_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every part as a record against every part as a client."""
+    part = t(spark, d, "part")
+    name = lambda k: F.split_part("p_name", F.lit(" "), F.lit(k))
+    records = part.select(F.col("p_partkey").alias("record_id"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_size").cast("string")).alias("medicaid"), name(1).alias("first_name"), name(2).alias("last_name"))
+    clients = part.select(F.col("p_partkey").alias("client_id"), (F.col("p_size") * 100 + F.col("p_partkey") % 50).cast("string").alias("medicaid"), F.upper(name(1)).alias("first_name"), name(2).alias("last_name"))
+    return matching.patient_match(records, clients)
+
+
 @query("""
     SELECT e.event_id, coalesce(s.s_suppkey, e.user_id) AS emp_id, n.n_name AS category
     FROM events e LEFT JOIN supplier s ON s.s_suppkey = e.user_id % 20 + 5 LEFT JOIN nation n ON n.n_nationkey = e.event_id % 30
 """)
 def enrichment_lookup_chain(spark: SparkSession, d: str) -> DataFrame:
     """Employee by moment with the driving id as default, then details."""
-    log = t(spark, d, "events").select("event_id", "user_id", (F.col("user_id") % 20 + 5).alias("emp_key"), (F.col("event_id") % 30).alias("detail_key"))
-    by_emp = t(spark, d, "supplier").select(F.col("s_suppkey").alias("emp_key"), F.col("s_suppkey").alias("emp_id"))
+    log = t(spark, d, "events").select("event_id", "user_id", (F.col("user_id") % 20 + 5).alias("emp_key"), (F.col("event_id") % 30).alias("detail_key")).withColumn("change_date_utc", F.struct("emp_key", "detail_key"))
+    moments = log.select("change_date_utc", "emp_key", "detail_key").distinct()
+    by_emp = moments.join(t(spark, d, "supplier").select(F.col("s_suppkey").alias("emp_key"), F.col("s_suppkey").alias("emp_id")), "emp_key").select("change_date_utc", "emp_id")
     details = t(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("changelog_id"), F.col("n_name").alias("category"))
-    ids_ = details.select(F.col("changelog_id").alias("change_date_utc"), "changelog_id")
-    rows = log.join(by_emp, "emp_key", "left").withColumnRenamed("detail_key", "change_date_utc")
-    found = changes.enrich(rows.drop("emp_id"), rows.select(F.col("change_date_utc"), "emp_id").where("false"), ids_, details, "user_id")
-    return found.drop("emp_id").join(rows.select("event_id", F.coalesce("emp_id", "user_id").alias("emp_id")), "event_id").select("event_id", "emp_id", "category")
+    found = changes.enrich(log, by_emp, moments.select("change_date_utc", F.col("detail_key").alias("changelog_id")), details, "user_id")
+    return found.select("event_id", "emp_id", "category")
 
 
 @query("SELECT event_type AS action, count(*) AS changes, count(DISTINCT user_id) AS users, min(event_id) AS first_id FROM events GROUP BY 1")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from graphloom.operators import changes, history, links, reading, rules, vertices
+from graphloom.operators import changes, history, links, matching, reading, rules, vertices
 from graphloom.plans.graph_etl import assimilate, upsert
 from graphloom.registry import arguments, merged
 from graphloom.schema import EdgeEntry, EdgeProperty, Property, Rule, Schema, SchemaError, VertexEntry, newer
@@ -145,3 +145,21 @@ def test_changes(spark):
 def test_registries():
     assert merged({"a": {"b": 1}, "l": [1]}, {"a": {"c": 2}, "l": [2]}) == {"a": {"b": 1, "c": 2}, "l": [1, 2]}
     assert arguments({"x": 1, "y": {"provided": "p"}, "z": {"function": lambda p: p + 1}}, {"p": 4}) == {"x": 1, "y": 4, "z": 5}
+
+
+def test_patient_match_equals_every_pair(spark):
+    names, numbers = ("Ann", "ANN", "bo", None), ("1", "12", "", None)
+    people = [(k, numbers[k % 4], names[k // 4 % 4], names[k // 16 % 3]) for k in range(48)] + [(3, "1", "bo", "bo"), (5, "12", "Ann", "x"), (5, "12", "Ann", "x"), (99, "5", "y", "z")]
+    clients = [(k, m and m + "2", f, s) for k, m, f, s in people if k % 3] + [(200, "512", "Y", "q")]
+    same = lambda a, b: a is not None and b is not None and a.lower() == b.lower()
+    hit = lambda r, c: c[1] is not None and r[1] in c[1] and (same(r[2], c[2]) or same(r[3], c[3])) if r[1] else same(r[2], c[2]) and same(r[3], c[3])
+    expected = {k: {c[0] for r in people if r[0] == k for c in clients if hit(r, c)} for k, *_ in people}
+    kinds = "medicaid string, first_name string, last_name string"
+    rows = matching.patient_match(spark.createDataFrame(people, f"record_id long, {kinds}"), spark.createDataFrame(clients, f"client_id long, {kinds}")).collect()
+    assert len(rows) == len(people) and {r["record_id"]: (r["matches"], r["client_id"]) for r in rows} == {k: (len(x), min(x) if len(x) == 1 else None) for k, x in expected.items()}
+
+
+def test_a_frequent_name_costs_its_distinct_numbers(spark):
+    rows = spark.range(20_000).selectExpr("id", "cast(id % 3 + 1 as string) as medicaid", "'Ann' as first_name", "'Lee' as last_name")
+    found = matching.patient_match(rows.withColumnRenamed("id", "record_id"), rows.withColumnRenamed("id", "client_id"))
+    assert {(r["matches"], r["outcome"]) for r in found.select("matches", "outcome").distinct().collect()} == {(6667, "duplicate"), (6666, "duplicate")}
