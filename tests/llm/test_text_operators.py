@@ -162,54 +162,119 @@ def vectors(spark, seed=1, count=900):
     centres = draw.normal(size=(6, 8))
     rows = [(int(i), (centres[i % 6] + 0.2 * draw.normal(size=8)).astype(float).tolist()) for i in draw.permutation(count)]
     rows += [(5000 + 20 * i, [1.0] * 8) for i in range(30)]
-    odd = [(7000, None), (7020, [1.0, None] + [0.0] * 6), (7040, [float("nan")] * 8), (7060, [float("inf")] * 8), (7080, []), (None, [1.0] * 8), (7100, [1.0] * 3), (7120, [0.5] * 3), (20, rows[0][1])]
-    return spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    odd = [(7000, None), (7020, [1.0, None] + [0.0] * 6), (7040, [float("nan")] * 8), (7060, [float("inf")] * 8), (7080, []), (None, [1.0] * 8), (7100, [1.0] * 3), (7120, [0.5] * 3), (20, rows[0][1]), (7140, [1e30] + [0.0] * 7), (7160, [3e7, -2e7] + [0.0] * 6)]
+    return spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("v", F.lit("clash")).withColumn("score", F.lit(1))
 
 
-@pytest.mark.parametrize("leaf", [256, 4])
-def test_top_k_equals_brute_force(spark, leaf, monkeypatch):
+@pytest.mark.parametrize(("leaf", "most_block", "count"), [(16, 32_768, 900), (4, 64, 900), (2, 200, 2400)])
+def test_top_k_equals_brute_force(spark, leaf, most_block, count, monkeypatch):
     monkeypatch.setattr(topk, "LEAF", leaf)
-    table = vectors(spark)
+    table = vectors(spark, count=count)
     found = {}
-    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, 20).collect():
+    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, 20, most_block=most_block).collect():
         found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     clean = {}
     for r in table.collect():
         v = r["embedding"]
         if r["vec_id"] is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            ints = np.floor(64 * np.array(v)).astype(int).tolist()
-            clean[r["vec_id"]] = min(ints, clean.get(r["vec_id"], ints))
+            ints = [int(np.floor(64 * x)) for x in v]
+            if sum(x * x for x in ints) < 2**63:
+                clean[r["vec_id"]] = min(ints, clean.get(r["vec_id"], ints))
     expected = {}
     for q, v in clean.items():
         if q % 20 == 0:
             best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in clean.items() if i != q and len(w) == len(v))[:20]
             if best:
                 expected[q] = [(k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert 7140 not in expected and 7160 in expected
     assert {q: sorted(rows) for q, rows in found.items()} == expected
 
 
+def brute_top(q_ids, q, ids, c, k):
+    rows = []
+    for own, v in zip(q_ids.tolist(), q.tolist(), strict=True):
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in zip(ids.tolist(), c.tolist(), strict=True) if i != own)[:k]
+        rows += [(own, i, -s) for s, i in best]
+    return sorted(rows)
+
+
+@pytest.mark.parametrize("kind", ["ties", "scattered", "clusters", "huge", "equal"])
+def test_search_equals_brute_force(kind):
+    draw = np.random.default_rng(8)
+    for size in (1, 5, 40, 300):
+        d = int(draw.integers(1, 6))
+        c = {
+            "ties": draw.integers(-3, 4, (size, d)),
+            "scattered": draw.normal(size=(size, d)) * 50,
+            "clusters": draw.normal(size=(5, d))[draw.integers(0, 5, size)] * 300 + draw.normal(size=(size, d)) * 5,
+            "huge": draw.normal(size=(size, d)) * 2**28,
+            "equal": np.full((size, d), 7),
+        }[kind].astype(np.int64)
+        ids = draw.permutation(3 * size)[:size]
+        asks = draw.random(size) < 0.4
+        asks[0] = True
+        found = topk.Search(ids[asks], c[asks], ids, c, 7).run()
+        assert sorted(map(tuple, found.tolist())) == brute_top(ids[asks], c[asks], ids, c, 7)
+
+
+def test_dual_trees_prune_clustered_vectors():
+    draw = np.random.default_rng(4)
+    for d in (8, 64):
+        x = draw.normal(size=(200, d))[draw.integers(0, 200, 12_000)] + draw.normal(size=(12_000, d)) * 0.03
+        v = np.floor(64 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+        ids = np.arange(len(v))
+        asks = ids % 20 == 0
+        search = topk.Search(ids[asks], v[asks], ids, v, 20)
+        found = search.run()
+        assert search.scored < 0.1 * asks.sum() * len(v)
+        few = np.flatnonzero(asks)[:15]
+        assert sorted(r for r in map(tuple, found.tolist()) if r[0] <= few[-1]) == brute_top(few, v[few], ids, v, 20)
+
+
+def test_pairs_of_blocks_are_dropped_before_they_are_shuffled(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(12, 16))[draw.integers(0, 12, 6000)] + draw.normal(size=(6000, 16)) * 0.01
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    written = {}
+
+    def keep(df, tag, materialize=topk.materialize):
+        written[tag] = materialize(df, tag)
+        return written[tag]
+
+    monkeypatch.setattr(topk, "materialize", keep)
+    rows = topk.top_k(table, F.col("vec_id") % 20 == 0, 5, most_block=500).collect()
+    assert len(rows) == 300 * 5
+    worst = written["seeds"][0].where("rank = 5").agg(F.min("score")).first()[0]
+    pairs = written["pairs"][0].collect()
+    assert len(pairs) > 20 and sum(r["seeds"] or r["upper"] >= worst for r in pairs) < 0.5 * len(pairs)
+
+
 def test_search_of_huge_integers():
-    q = np.array([[2**40, -(2**40)]])
-    c = np.array([[2**20, 1], [2**20, 2], [5, 5]])
-    ids, found, score = topk.search(np.array([9]), q, np.array([1, 2, 3]), c, 2)
-    assert found.tolist() == [1, 2] and score.tolist() == [2**60 - 2**40, 2**60 - 2**41]
+    q = np.array([[2**30, -(2**30)]])
+    c = np.array([[2**30, 1], [2**30, 2], [5, 5]])
+    found = topk.Search(np.array([9]), q, np.array([1, 2, 3]), c, 2).run()
+    assert sorted(found.tolist()) == [[9, 1, 2**60 - 2**30], [9, 2, 2**60 - 2**31]]
 
 
 def test_top_k_of_nothing(spark):
     assert topk.top_k(vectors(spark).limit(0), F.col("vec_id") % 20 == 0).count() == 0
-
-
-def test_tree_covers():
-    x = np.random.default_rng(3).normal(size=(2000, 5))
-
-    def check(node):
-        assert np.sqrt(((x[node.rows] - node.centre) ** 2).sum(1)).max() <= node.radius + 1e-12
-        if node.children:
-            assert sorted(np.concatenate([n.rows for n in node.children]).tolist()) == sorted(node.rows.tolist())
-            for child in node.children:
-                check(child)
-
-    check(topk.cover_tree(x, np.arange(2000)))
+    assert topk.top_k(vectors(spark), F.lit(False)).count() == 0
+
+
+def test_cover_trees_cover_and_separate():
+    draw = np.random.default_rng(3)
+    for x in (draw.normal(size=(2000, 3)), draw.normal(size=(9, 4))[draw.integers(0, 9, 800)] + 0.01 * draw.normal(size=(800, 4)), np.zeros((50, 2))):
+        tree = topk.cover_tree(x)
+        assert sorted(tree.rows.tolist()) == list(range(len(x)))
+        for node in range(len(tree.radius)):
+            rows = tree.rows[tree.begin[node] : tree.end[node]]
+            assert np.sqrt(((x[rows] - tree.centre[node]) ** 2).sum(1)).max() <= tree.radius[node] + 1e-12
+            children = np.arange(tree.first[node], tree.last[node])
+            if len(children):
+                assert tree.radius[children].max() <= tree.radius[node] / 2
+                assert sorted(np.concatenate([tree.rows[tree.begin[k] : tree.end[k]] for k in children]).tolist()) == sorted(rows.tolist())
+                apart = np.sqrt(((tree.centre[children][:, None] - tree.centre[children]) ** 2).sum(2))
+                assert apart[~np.eye(len(children), dtype=bool)].min(initial=np.inf) > tree.radius[node] / 2
 
 
 def test_audio_table(spark):
