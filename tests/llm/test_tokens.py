@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,6 +39,27 @@ def test_encoding_of_mixed_and_long_texts():
     assert encode(long) == LIBRARY.encode_ordinary(long)
 
 
+CONTEXTS = ("a{c}b {c}{c} 1{c}  {c}'s", "{c}", " {c} ", "1{c}2", "!{c}?{c}")
+
+
+def test_every_character_splits_as_in_the_libraries():
+    """All code points whose class the module and the libraries see differently, and some of all others, in five contexts: pre-tokens, then ids."""
+    pattern, split = public_tokenizers.PATTERN, byte_bpe.splitter(public_tokenizers.PATTERN)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert byte_bpe.matched(r"\s") == frozenset(regex.findall(r"\s", "".join(every)))
+    library, piece = Tokenizer.from_file(brute.PIECES), token_files.piece_encoder(brute.PIECES, pattern)
+    shown = token_files.byte_characters()
+    draw = random.Random(3)
+    odd = [c for c in every if split.odd(c)]
+    for characters in (*(odd[k : k + 500] for k in range(0, len(odd), 500)), every[:0x700], every[0x1F000:0x1F200], *(draw.sample(every, 500) for _ in range(8))):
+        text = "\n".join(x.replace("{c}", c) for c in characters for x in CONTEXTS)
+        found = [x for x, _ in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert found == ["".join(shown[b] for b in p.encode()) for p in split.findall(text)]
+        if draw.random() < 0.2:
+            ids = LIBRARY.encode_ordinary(text)
+            assert encode(text) == ids and np.frombuffer(piece.packed(text), f"<u{piece.width}").tolist() == ids
+
+
 def test_small_tables_give_the_same():
     small = byte_bpe.Transducer(byte_bpe.load_ranks(brute.RANKS), most_states=50, most_pieces=8, most_pairs=40)
     for text in ("hellowonderfultransducers", "ththingerinoned", "äöüäöü", "xyzzyx" * 9):
@@ -93,7 +115,6 @@ def test_bounded_cache():
 def test_token_files(spark, tmp_path, with_copies):
     docs = brute.frame(spark, brute.ODD_DOCS + (brute.ODD_DOCS[:2] + [(None, "no id", "q")] if with_copies else []))
     library = Tokenizer.from_file(brute.PIECES)
-    library.encode_special_tokens = True
     folder = str(tmp_path / "tokens")
     manifest = token_files.write(docs, folder, brute.PIECES, public_tokenizers.PATTERN)
     rows = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], r["n_tokens"], bytes(r["ids"])) for r in token_files.read(spark, folder, manifest).collect()))
@@ -136,7 +157,6 @@ def test_broken_records_are_seen(tmp_path):
 
 def test_packing(spark):
     library = Tokenizer.from_file(brute.WORDS)
-    library.encode_special_tokens = True
     docs = brute.frame(spark, brute.ODD_DOCS + brute.ODD_DOCS[:2])
     rows = packing.pack(docs, brute.WORDS, with_ids=True).collect()
     ids = {d: library.encode(t or "", add_special_tokens=False).ids + [2] for d, t, _ in brute.ODD_DOCS}
