@@ -7,7 +7,9 @@ column and time spans, and segments of high energy by hysteresis (a segment begi
 ends below the lower one; both are set against the median frame).
 
 Results: null or empty text is a payload of 64 zero bytes; silence has no segments; the last tensor is filled up with the
-floor level. Equal bytes give equal results: each text is computed by itself. Bytes that are no such WAV raise an error.
+floor level. A text of any length is one recording. Equal bytes give equal results: each text is computed by itself, repeated rows
+give repeated rows, null ids stay. An empty table gives no rows. Bytes that are no such WAV raise an error. store() reads only the named
+columns; features() keeps all it is given, and a result column whose name is taken gets an underscore.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from graphloom.llm.common import slices
+from graphloom.llm.common import fresh, slices
 
 FLOOR = -10.0
 SEGMENTS = "array<struct<start_s:double,end_s:double>>"
@@ -149,7 +151,7 @@ def store(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: int =
 
 def features(stored: DataFrame, up: int = 2, down: int = 5, frame: int = 256, hop: int = 128, mels: int = 20, frames: int = 32) -> DataFrame:
     """stored with payload (read back), tensors, segments and a text summary, feature."""
-    names = stored.columns
+    names, made = stored.columns, [fresh(stored, name) for name in ("payload", "tensors", "segments", "feature")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
     spans = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
 
@@ -158,6 +160,6 @@ def features(stored: DataFrame, up: int = 2, down: int = 5, frame: int = 256, ho
             read = [from_wav(x) for x in batch.column("media").to_pylist()]
             found = [describe(x, rate, up, down, frame, hop, mels, frames) for x, rate in read]
             columns = [pa.array([x for x, _ in read], pa.binary()), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], spans), pa.array([x[2] for x in found], pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, "payload", "tensors", "segments", "feature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, *made])
 
-    return stored.mapInArrow(run, f"{kinds}, payload binary, tensors binary, segments {SEGMENTS}, feature string")
+    return stored.mapInArrow(run, f"{kinds}, {made[0]} binary, {made[1]} binary, {made[2]} {SEGMENTS}, {made[3]} string")

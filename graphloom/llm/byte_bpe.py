@@ -14,7 +14,7 @@ complete characters leave at once, an unfinished tail (three bytes at most) is t
 
 Results: null text is empty text and has no ids; ids outside the vocabulary raise ValueError; null ids decode as empty;
 a malformed tail or sequence keeps its bytes in `decoded` and becomes U+FFFD in decoded text. Repeated rows give
-repeated rows. Only the named columns are read, so extra columns don't matter.
+repeated rows, an empty table none. A text of any length is encoded whole. Only the named columns are read, so extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from graphloom.llm.common import Kept, slices, texts
+from graphloom.llm.common import Kept, fresh, slices, texts
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -373,17 +373,17 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """encoded with `decoded` binary: the ids' bytes, through the UTF-8 machine."""
-    kept = encoded.schema
+    """encoded with `decoded` binary (an underscore more if it has that): the ids' bytes, through the UTF-8 machine."""
+    kept, made = encoded.schema, fresh(encoded, "decoded")
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = machine(path)
         for batch in slices(batches, ids, 4 << 20):
             out = [b"".join(of.chunks(x or ())) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, made])
 
-    return encoded.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept)}, decoded binary")
+    return encoded.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept)}, {made} binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,17 +37,34 @@ def new_folder(spark: SparkSession, tag: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+LOCK, WRITING = threading.Lock(), {}
+
+
+@contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that made them; the session's own setting returns when the last of several writers is done."""
+    with LOCK:
+        count, before = WRITING.get(id(spark), (0, spark.conf.get(CLEANUP, "false")))
+        WRITING[id(spark)] = count + 1, before
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with LOCK:
+            count, before = WRITING.pop(id(spark))
+            if count > 1:
+                WRITING[id(spark)] = count - 1, before
+            else:
+                spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors, and the shuffle files that made them go at once."""
     spark = df.sparkSession
     path = new_folder(spark, tag)
     schema = df.schema
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with cleaning(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(schema).parquet(path), path
 
 

@@ -6,8 +6,8 @@ are placed longest first; each goes to the pack that holds least and still has r
 packing patterns, not packs. Then pieces get their places by joining on (length, rank): ranks are taken within (length,
 salt) and shifted by the counts of the salts before, so no length, however common, meets in one task.
 
-Results: null or empty text is one piece with the end id only. Repeated rows are packed as often as they occur. An empty
-table gives no rows. Only the named columns are read. A sequence's end is padded to size, except where its length is a
+Results: null or empty text is one piece with the end id only. A null doc_id is packed and stays null. Repeated rows are packed as often as they occur. A very
+long text is cut into as many pieces as it needs. An empty table gives no rows. Only the named columns are read. A sequence's end is padded to size, except where its length is a
 power of two.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from graphloom.llm.common import Kept, materialize, shuffle_partitions, slices, texts
+from graphloom.llm.common import Kept, fresh, materialize, shuffle_partitions, slices, texts
 from graphloom.llm.token_files import Added, byte_characters
 
 #: Separators that str.split() takes for white space and the tokenizer doesn't.
@@ -134,16 +134,18 @@ def places(found: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def assign(cut: DataFrame, size: int) -> DataFrame:
-    """cut (doc_id, start, length, ...) with sequence_id and offset. cut is read several times: pass a written table."""
+    """cut (doc_id, start, length, ...) with sequence_id and offset (an underscore more if it has them). cut is read several times: pass a written table."""
     spark = cut.sparkSession
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     table = places(patterns(histogram, size))
     salts = max(16, shuffle_partitions(spark))
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    shift = salted.groupBy("length", "_salt").count().select("length", "_salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
-    order = Window.partitionBy("length", "_salt").orderBy("doc_id", "start")
-    ranked = salted.withColumn("_rank", F.row_number().over(order)).join(shift.hint("shuffle_merge"), ["length", "_salt"]).withColumn("_rank", F.col("_rank") - 1 + F.col("_shift"))
+    salt, rank, shift = (fresh(cut, name) for name in ("_salt", "_rank", "_shift"))
+    made = [fresh(cut, name) for name in ("sequence_id", "offset")]
+    salted = cut.withColumn(salt, F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
+    before = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = salted.groupBy("length", salt).agg(F.count("*").alias(rank)).select("length", salt, F.coalesce(F.sum(rank).over(before), F.lit(0)).alias(shift))
+    order = Window.partitionBy("length", salt).orderBy("doc_id", "start")
+    ranked = salted.withColumn(rank, F.row_number().over(order)).join(shifts.hint("shuffle_merge"), ["length", salt]).withColumn(rank, F.col(rank) - 1 + F.col(shift))
     names = cut.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
 
@@ -153,11 +155,11 @@ def assign(cut: DataFrame, size: int) -> DataFrame:
         wide = int(table[:, 1].max()) + 2
         marks = table[:, 0] * wide + table[:, 1]
         for batch in batches:
-            length, rank = (batch.column(c).to_numpy() for c in ("length", "_rank"))
-            row = table[np.searchsorted(marks, length * wide + np.minimum(rank, wide - 1), "right") - 1]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(row[:, 2] + rank - row[:, 1]), pa.array(row[:, 3])], names=[*names, "sequence_id", "offset"])
+            length, at = (batch.column(c).to_numpy() for c in ("length", rank))
+            row = table[np.searchsorted(marks, length * wide + np.minimum(at, wide - 1), "right") - 1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(row[:, 2] + at - row[:, 1]), pa.array(row[:, 3])], names=[*names, *made])
 
-    return ranked.select(*names, F.col("_rank").cast("long").alias("_rank")).mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    return ranked.select(*(f"`{c}`" for c in names), F.col(rank).cast("long").alias(rank)).mapInArrow(run, f"{kinds}, {made[0]} long, {made[1]} long")
 
 
 def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 2, with_ids: bool = False) -> DataFrame:

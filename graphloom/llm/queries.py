@@ -50,7 +50,7 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_on", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 180).cast("int")))
     judged = url_filters.judge(captures, dated_list(pages))
-    text = lambda c: F.col(c).cast("string").alias(c)
+    text = lambda c: F.col(c).cast("date").cast("string").alias(c)
     return judged.select("page_id", "url", text("fetched_on"), "host", "matched_pattern", text("listed_at"), "action", F.coalesce(F.col("action") != "block", F.lit(True)).alias("kept"))
 
 

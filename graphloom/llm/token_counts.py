@@ -10,7 +10,7 @@ Tokens that touch no section are counted under section -1, in a row that exists
 
 Results: null or empty text has no tokens; its only section (a line) is empty and counts 0. Without a sections column,
 sections are lines, each with its line end. A null or empty array of sections leaves section -1 alone. Overlapping or
-reversed sections raise ValueError. Repeated rows give repeated rows; other columns are not read.
+reversed sections raise ValueError. Repeated rows give repeated rows, an empty table none; a text of any length is encoded whole; other columns are not read.
 """
 
 from __future__ import annotations

@@ -8,10 +8,11 @@ doc_id, uint8 whether doc_id is null, uint32 ids; a reader can shuffle records b
 
 Documents are range-partitioned by doc_id, so each task writes one shard and nothing passes through one task. A task
 writes under a name of its own attempt; the manifest lists only shards of attempts that succeeded, so retries and lost
-executors leave at most unlisted files, which are removed. The manifest has one row per shard.
+executors leave at most unlisted files of this run's names, which are removed; files of others in the folder stay, but for
+manifest.json, which is replaced. The manifest has one row per shard.
 
-Results: null or empty text gives a record with only the end id; repeated rows give repeated records; an empty table
-gives no shard. Broken checksums raise ValueError. Only the named columns are read.
+Results: null or empty text gives a record with only the end id; repeated rows give repeated records, in any number of shards; an empty table
+gives no shard. A text of any length is one record. Broken checksums raise ValueError. Only the named columns are read, so extra ones don't matter.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -124,12 +126,13 @@ def piece_encoder(path: str, pattern: str) -> PieceEncoder:
 
 def write(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int = 0, key: str = "doc_id", text: str = "text") -> list[dict]:
     """Write docs' ids to shards in folder; returns the manifest, ordered, one entry per shard that has records."""
+    mark = f"shard-{uuid.uuid4().hex[:12]}-"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, task = piece_encoder(path, pattern), TaskContext.get()
         end = np.array([end_id], f"<u{of.width}").tobytes()
         files, base = store(folder)
-        name = f"{base}/shard-{task.partitionId():06d}-{task.taskAttemptId()}"
+        name = f"{base}/{mark}{task.partitionId():06d}-{task.taskAttemptId()}"
         index, records, out, tokens = [], None, None, 0
         for batch in slices(batches, text):
             if out is None:
@@ -151,12 +154,12 @@ def write(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int = 0
             listed = {"shard": [task.partitionId()], "path": [f"{name}.rec"], "index": [f"{name}.idx"], "width": [of.width], "records": [len(index)], "tokens": [tokens]}
             yield pa.RecordBatch.from_pydict(listed, pa.schema([("shard", pa.int32()), ("path", pa.string()), ("index", pa.string()), ("width", pa.int32()), ("records", pa.int64()), ("tokens", pa.int64())]))
 
-    ordered = docs.select(key, text).repartitionByRange(key).sortWithinPartitions(key, text)
+    ordered = docs.select(key, text).repartitionByRange(key, text).sortWithinPartitions(key, text)
     manifest = sorted((r.asDict() for r in ordered.mapInArrow(run, MANIFEST).collect()), key=lambda r: r["shard"])
     files, base = store(folder)
     listed = {p for r in manifest for p in (r["path"], r["index"])}
     for info in files.get_file_info(fs.FileSelector(base, allow_not_found=True)):
-        if info.path not in listed:
+        if info.base_name.startswith(mark) and info.path not in listed:
             files.delete_file(info.path)
     if manifest:
         with files.open_output_stream(f"{base}/manifest.json") as to:

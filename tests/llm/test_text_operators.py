@@ -348,3 +348,32 @@ def test_url_filters_equal_brute_force(spark):
     again = url_filters.judge(clashing, listed)
     assert again.columns == [*clashing.columns, "host__", "matched_pattern", "listed_at", "action_"]
     assert sorted((r["page_id"], str(r["action_"])) for r in again.collect()) == sorted((r["page_id"], str(r["action"])) for r in rows)
+
+
+def test_audio_keeps_names_that_are_taken(spark):
+    stored = audio.store(brute.frame(spark)).withColumn("payload", F.lit("mine")).withColumn("feature", F.lit(1))
+    found = audio.features(stored)
+    assert found.columns == [*stored.columns, "payload_", "tensors", "segments", "feature_"] and {r["payload"] for r in found.collect()} == {"mine"}
+
+
+def test_long_texts_of_media_and_quality(spark):
+    long = "A sentence of some words, more or less. " * 280_000
+    docs = brute.frame(spark, [(None, long, "s"), (2, long, "s"), (3, "short", "s")])
+    sizes = audio.features(audio.store(docs)).select("n_bytes", F.length("payload").alias("n"), "feature").collect()
+    assert sorted((r["n_bytes"], r["n"]) for r in sizes) == sorted([(len(long), len(long) + -len(long) % 64)] * 2 + [(5, 64)]) and len({r["feature"] for r in sizes}) == 2
+    model = quality.train(docs, spark.createDataFrame([(2, 1), (3, 0)], "doc_id long, quality int"))
+    scores = [r["s"] for r in docs.select(quality.scorer(model).alias("s"), F.length("text").alias("n")).orderBy("n").collect()]
+    assert scores[1] == scores[2] and scores[0] < quality.CUT <= scores[1]
+
+
+def test_a_labelled_id_of_many_rows_is_one(spark):
+    docs = spark.range(4000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text !!! "), (F.col("id") % 7).cast("string")).alias("text"))
+    one = spark.createDataFrame([(0, "text !!! 0"), (1, "text !!! 0")], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    assert quality.train(docs, labels) == quality.train(one, labels)
+
+
+def test_entries_hold_from_their_moment(spark):
+    listed = spark.createDataFrame([("a.org", "2024-03-01 15:00:00", "block"), ("a.org", "2024-03-01 18:00:00", "allow"), ("org", "2190-01-01", "block")], "pattern string, listed_at string, action string")
+    captures = spark.createDataFrame([(1, "http://a.org/", "2024-03-01 09:00:00"), (2, "http://a.org/", "2024-03-01 15:00:00"), (3, "http://x.a.org/" + "y" * 2_000_000, "2024-03-01 19:00:00"), (4, "http://b.org/", "2200-05-05")], "page_id long, url string, fetched_on string")
+    assert {r["page_id"]: r["action"] for r in url_filters.judge(captures, listed).collect()} == {1: None, 2: "block", 3: "allow", 4: "block"}

@@ -10,6 +10,7 @@ import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from graphloom.llm import byte_bpe, common, packing, token_counts, token_files
@@ -222,3 +223,41 @@ def test_given_sections(spark):
     found = token_counts.section_counts(rows, brute.RANKS, public_tokenizers.PATTERN, "majority", "parts").collect()
     by = {(r["doc_id"], r["section"]): r["n_tokens"] for r in found}
     assert by[1, 0] >= 1 and by[1, 1] == 1 and sum(v for (d, _), v in by.items() if d == 1) == len(LIBRARY.encode_ordinary("name: Ann, age: 5")) and by[2, -1] == 0
+
+
+def test_names_that_results_have(spark):
+    encoded = byte_bpe.encode(brute.frame(spark), brute.RANKS, public_tokenizers.PATTERN)
+    twice = byte_bpe.decode(byte_bpe.decode(encoded, brute.RANKS), brute.RANKS)
+    assert twice.columns == ["doc_id", "ids", "decoded", "decoded_"] and twice.where("decoded = decoded_").count() == len(brute.ODD_DOCS)
+    cut = packing.pieces(brute.frame(spark, [(None, "no id", "s"), *brute.ODD_DOCS]), brute.WORDS, 64, 2).withColumn("sequence_id", F.lit("mine")).withColumn("_salt", F.lit("x")).withColumn("_rank", F.lit("x")).withColumn("_shift", F.lit("x"))
+    placed = packing.assign(cut, 64)
+    assert placed.columns == [*cut.columns, "sequence_id_", "offset"]
+    rows = placed.collect()
+    assert len(rows) == cut.count() and {r["doc_id"] for r in rows} == {None, *(d for d, _, _ in brute.ODD_DOCS)} and {r["_salt"] for r in rows} == {"x"}
+
+
+def test_files_of_others_stay(spark, tmp_path):
+    folder = tmp_path / "shared"
+    folder.mkdir()
+    (folder / "keepme.txt").write_text("mine")
+    docs = brute.frame(spark)
+    first = token_files.write(docs, str(folder), brute.PIECES, public_tokenizers.PATTERN)
+    again = token_files.write(docs, str(folder), brute.PIECES, public_tokenizers.PATTERN)
+    assert (folder / "keepme.txt").read_text() == "mine"
+    for manifest in (first, again):
+        assert token_files.read(spark, str(folder), manifest).count() == len(brute.ODD_DOCS)
+
+
+def test_very_long_texts(spark, tmp_path):
+    long = ("Ein längerer Satz, with 12 words and more; " * 300_000)[:11_000_000]
+    docs = brute.frame(spark, [(1, long, "s"), (2, "short", "s")])
+    ids = {d: LIBRARY.encode_ordinary(t) for d, t in ((1, long), (2, "short"))}
+    for r in byte_bpe.round_trip(docs, brute.RANKS, public_tokenizers.PATTERN).collect():
+        assert r["ids"] == ids[r["doc_id"]] and bytes(r["decoded"]).decode() == {1: long, 2: "short"}[r["doc_id"]]
+    manifest = token_files.write(docs, str(tmp_path / "long"), brute.PIECES, public_tokenizers.PATTERN)
+    assert {r["doc_id"]: r["n_tokens"] for r in token_files.read(spark, str(tmp_path / "long"), manifest).select("doc_id", "n_tokens").collect()} == {d: len(x) + 1 for d, x in ids.items()}
+    counts = token_counts.section_counts(docs, brute.RANKS, public_tokenizers.PATTERN).where("doc_id = 1").collect()
+    assert [r["n_tokens"] for r in counts] == [len(ids[1])]
+    whole = Tokenizer.from_file(brute.WORDS).encode(long, add_special_tokens=False).ids
+    pieces = packing.pack(docs, brute.WORDS).where("doc_id = 1").collect()
+    assert sum(r["length"] for r in pieces) == len(whole) + 1 and {r["doc_tokens"] for r in pieces} == {len(whole) + 1}
