@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(docs: DataFrame, text: str, most_bytes: int = 64 << 20) -> int:
+    """Tasks for work on docs' texts: the session's shuffle partitions, or more so that none gets more than about most_bytes."""
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(shuffle_partitions(docs.sparkSession), -(-total // most_bytes))
+
+
 def bucket_ids(spark: SparkSession, partitions: int) -> list[int]:
     """For each of so many shuffle partitions a number that repartition() by that number sends there: even buckets, one a task."""
     numbers = spark.range(16 * partitions + 64).select(F.col("id").cast("int").alias("id"))
@@ -139,3 +146,36 @@ class Kept:
             if fresh:
                 young.update(zip(fresh, find(fresh), strict=True))
         return young
+
+
+class Frequent:
+    """Counts of the more frequent values of a stream in bounded memory; rare ones are dropped now and then."""
+
+    def __init__(self, most: int = 150_000, block: int = 1 << 20):
+        self.most, self.block, self.waiting, self.size = most, block, [], 0
+        self.values, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def add(self, x: np.ndarray) -> None:
+        self.waiting.append(x)
+        self.size += len(x)
+        if self.size >= self.block:
+            self.settle()
+
+    def settle(self) -> None:
+        new, times = np.unique(np.concatenate([*self.waiting, np.empty(0, np.uint64)]), return_counts=True)
+        values, counts = np.concatenate([self.values, new]), np.concatenate([self.counts, times])
+        self.waiting, self.size = [], 0
+        if not len(values):
+            return
+        order = np.argsort(values, kind="stable")
+        starts = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
+        values, counts = values[order][starts], np.add.reduceat(counts[order], starts)
+        if len(values) > self.most:
+            keep = counts > max(1, np.partition(counts, len(counts) - self.most)[len(counts) - self.most])
+            values, counts = values[keep], counts[keep]
+        self.values, self.counts = values, counts
+
+    def found(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        keep = self.counts >= least
+        return self.values[keep], self.counts[keep]

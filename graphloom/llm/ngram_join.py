@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import bucket_ids, forget, materialize, shuffle_partitions, slices
+from graphloom.llm.common import Frequent, bucket_ids, forget, materialize, shuffle_partitions, slices
 from graphloom.llm.components import components
 
 U = np.uint64
@@ -56,39 +56,6 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), U, len(words))
 
 
-class Frequent:
-    """Counts of the more frequent values of a stream in bounded memory; rare ones are dropped now and then."""
-
-    def __init__(self, most: int = 150_000, block: int = 1 << 20):
-        self.most, self.block, self.waiting, self.size = most, block, [], 0
-        self.values, self.counts = np.empty(0, U), np.empty(0, np.int64)
-
-    def add(self, x: np.ndarray) -> None:
-        self.waiting.append(x)
-        self.size += len(x)
-        if self.size >= self.block:
-            self.settle()
-
-    def settle(self) -> None:
-        new, times = np.unique(np.concatenate([*self.waiting, np.empty(0, U)]), return_counts=True)
-        values, counts = np.concatenate([self.values, new]), np.concatenate([self.counts, times])
-        self.waiting, self.size = [], 0
-        if not len(values):
-            return
-        order = np.argsort(values, kind="stable")
-        starts = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
-        values, counts = values[order][starts], np.add.reduceat(counts[order], starts)
-        if len(values) > self.most:
-            keep = counts > max(1, np.partition(counts, len(counts) - self.most)[len(counts) - self.most])
-            values, counts = values[keep], counts[keep]
-        self.values, self.counts = values, counts
-
-    def found(self, least: int) -> tuple[np.ndarray, np.ndarray]:
-        self.settle()
-        keep = self.counts >= least
-        return self.values[keep], self.counts[keep]
-
-
 @dataclass(frozen=True)
 class Order:
     """An order of shingles, rare ones first, by lists of bounded size: frequent words with a class each, larger for more frequent ones, and frequent shingles. It decides only which shingles make a prefix; results are the same with any."""

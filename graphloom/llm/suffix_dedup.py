@@ -3,23 +3,27 @@
 A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id. Sorting every suffix
 would shuffle many times the input, so suffixes are sampled by content: of the q-grams in a window of `length` bytes
 the one with the smallest hash is the window's anchor, so equal windows have equal anchors at equal offsets, and about one
-suffix in fifteen is kept. A run is a stretch of successive windows with the same anchor.
-
-1. Initial buckets: runs are bucketed by their anchor's q-gram. Each bucket is refined by identifiers of the q-grams at
-   later offsets of the run; a run equal to one in an earlier document is repeated as a whole. Each task first does
-   this among its own texts and passes on only one document per run, so copies and frequent passages, however many, arrive
-   as one entry per task. Buckets of a single run or document are settled.
-2. Runs of the first documents in buckets that hold different runs (passages' borders) send their bytes. Their
-   windows' suffixes are refined bucket by bucket: 16-byte buckets get identifiers for all offsets; windows are sorted by
-   (own bucket, identifier at a later offset), the new buckets take the place of the old ones, and suffixes that
-   are alone in a bucket drop out, until `length` bytes are compared.
+suffix in fifteen is kept, which loses no string. A run is a stretch of successive windows with the same anchor.
+
+1. Pre-aggregation of exact copies: runs are bucketed by their anchor's q-gram, and a run equal to one in an earlier document
+   (96 bits of hashes) is repeated as a whole. Each task first does this among its own texts and passes on only one
+   document per run, so copies and frequent passages, however many, arrive as one entry per task. Buckets of a single run or
+   document are settled. What is left are runs that reach past a passage's border.
+2. Refinement: these runs of the first documents send their bytes, bucketed by anchor. Initial buckets hold all positions with equal
+   q-grams of 16 bytes. Each pass sorts positions by (own bucket, bucket at an offset as long as what is compared already),
+   writes the finer buckets back over the old ones, and so the next pass, which reads them at its later offset, compares twice
+   as much; positions alone in their bucket drop out. The last pass compares `length` bytes.
 3. Repeated windows return to their documents as ranges and are cut out there.
 
-Runs are compared by 96 bits of hashes, borders by their bytes. All passes are linear in the bytes.
+Anchors that are frequent in the whole table (counted over all texts beforehand; a list of bounded size) would bring all their
+borders into one task. Their runs are not bucketed by anchor but go straight to step 2, where each of their windows is bucketed by a hash of
+its whole length, once per task and string, so that a bucket holds copies of a string only. The list changes the way, not the results.
+The number of tasks follows the bytes of the texts. All passes are linear in the bytes.
 
 Results: null or empty text has nothing to remove. Matches never cross documents. Rows with a null id are kept whole and
-are no source. doc_id identifies a document: repeated rows of an id count as one document and are treated alike. Other
-columns are not read. Kept bytes may split a character of more than one byte; text_of() drops such rests.
+are no source. Repeated rows of an id count once and are treated alike; different texts of one id are judged each by
+itself, and none of them is earlier than another. An empty table gives no rows. Other columns are not read; without_repeats()
+keeps them. Kept bytes may split a character of more than one byte; text_of() drops such rests.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import bucket_ids, fresh, materialize, shuffle_partitions, slices
+from graphloom.llm.common import Frequent, bucket_ids, forget, fresh, materialize, partitions_for, slices
 
 Q = 20
 U = np.uint64
@@ -40,6 +44,10 @@ BLOCK, POSITION_BITS = 1 << 19, U(22)
 #: A task refines its bucket in so many parts, one at a time, to hold few arrays at once.
 PARTS = 16
 MASK48 = U((1 << 48) - 1)
+#: Anchors with so many runs, and this share of all runs, are frequent; so there are at most FREQUENT of them.
+OFTEN, FREQUENT = 2048, 1 << 17
+#: Different texts of one id lie this far apart in their document's positions.
+APART = 32
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -75,9 +83,15 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (width - reach)], v[width - reach :]) if width > reach else v
 
 
-def runs_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(key, run hash, segment, first window, windows) of all runs in the segments [begin, end) of data, which has fewer than 2**POSITION_BITS bytes."""
+def anchors_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """The keys of runs_of()."""
     x = qgrams(data)
+    anchor, first, _ = bounds_of(x, begins, ends, length)
+    return mixed(x[anchor[first]]) & MASK48
+
+
+def bounds_of(x: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(anchor of each window, whether a run starts there, whether it ends there)."""
     v = x >> POSITION_BITS << POSITION_BITS
     v |= np.arange(len(v), dtype=U)
     anchor = (sliding_min(v, length - Q + 1) & ((U(1) << POSITION_BITS) - U(1))).astype(np.int32)
@@ -89,6 +103,13 @@ def runs_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int)
     first[1:] &= other | ~valid[:-1]
     last = valid.copy()
     last[:-1] &= other | ~valid[1:]
+    return anchor, first, last
+
+
+def runs_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(key, run hash, segment, first window, windows) of all runs in the segments [begin, end) of data, which has fewer than 2**POSITION_BITS bytes."""
+    x = qgrams(data)
+    anchor, first, last = bounds_of(x, begins, ends, length)
     lo, hi = np.flatnonzero(first), np.flatnonzero(last)
     final = hi + length - Q
     whole = (final - lo).astype(U) * MULTIPLIERS[3]
@@ -104,6 +125,13 @@ def class_of(key: np.ndarray, run: np.ndarray) -> np.ndarray:
     return key * MULTIPLIERS[0] ^ run * MULTIPLIERS[1]
 
 
+def among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Whether each value is in the ordered list."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 def heads(*columns: np.ndarray) -> np.ndarray:
     """Where a row differs from the one before."""
     new = np.ones(len(columns[0]), bool)
@@ -143,25 +171,25 @@ RUNS = "bucket int, key binary, run binary, doc binary, first binary, windows bi
 RUNS_NAMES = ["bucket", "key", "run", "doc", "first", "windows"]
 
 
-def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 12 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows of RUNS: runs still open, by bucket, and settled ones (no key), spread by their documents."""
+def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, frequent: np.ndarray, most_bytes: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of RUNS: runs still open, by bucket, and those spread by their documents (no key): settled ones, and with a mark for a run open ones of frequent anchors."""
 
     def flush(held: list) -> pa.RecordBatch:
         key, run, doc, first, windows = (np.concatenate(c) for c in zip(*held, strict=True))
-        group = class_of(key, run)
-        order = np.lexsort((doc, group))
-        key, run, doc, first, windows, group = (c[order] for c in (key, run, doc, first, windows, group))
-        settled = doc > at_head(doc, heads(group))
+        order = np.lexsort((doc, class_of(key, run)))
+        key, run, doc, first, windows = (c[order] for c in (key, run, doc, first, windows))
+        settled = doc > at_head(doc, heads(key, run))
+        state = np.where(settled, 1, np.where(among(key, frequent), 2, 0))
         rows: list[list] = [[] for _ in RUNS_NAMES]
-        for part in (False, True):
-            pick = np.flatnonzero(settled == part)
+        for part in range(3):
+            pick = np.flatnonzero(state == part)
             bucket = (mixed(doc[pick].astype(U)) if part else key[pick]) % U(len(ids))
             by = np.lexsort((first[pick], doc[pick], bucket))
             pick, bucket = pick[by], bucket[by]
             cuts = np.flatnonzero(heads(bucket))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True) if len(bucket) else ():
                 own = pick[a:b]
-                for column, value in zip(rows, (ids[int(bucket[a])], b"" if part else packed48(key[own]), b"" if part else packed48(run[own]), doc[own].tobytes(), planes(first[own].astype("<i4")), windows[own].astype("u1").tobytes()), strict=True):
+                for column, value in zip(rows, (ids[int(bucket[a])], b"" if part else packed48(key[own]), (b"", b"", b"open")[part] if part else packed48(run[own]), doc[own].tobytes(), planes(first[own].astype("<i8")), windows[own].astype("u1").tobytes()), strict=True):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=RUNS_NAMES)
 
@@ -189,7 +217,7 @@ def blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
 
     parts, size = [], 0
     for batch in slices(batches, "text"):
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for doc, text, base in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "base")), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
             if doc is None or len(data) < length:
                 continue
@@ -198,7 +226,7 @@ def blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
                 if size + len(part) > BLOCK and parts:
                     yield joined(parts)
                     parts, size = [], 0
-                parts.append((part, doc, at))
+                parts.append((part, doc, base + at))
                 size += len(part)
     if parts:
         yield joined(parts)
@@ -211,31 +239,32 @@ def by_doc(doc: np.ndarray, *columns: tuple[np.ndarray, pa.DataType]) -> list[pa
     return [pa.array(doc[cuts], pa.int64()), *(pa.ListArray.from_arrays(offsets, pa.array(c, t)) for c, t in columns)]
 
 
-FOUND = "doc_id long, first array<int>, windows array<int>, open boolean"
+FOUND = "doc_id long, first array<long>, windows array<int>, open boolean"
 FOUND_NAMES = ["doc_id", "first", "windows", "open"]
 
 
 def found_rows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, is_open: bool) -> Iterator[pa.RecordBatch]:
     if len(doc):
-        columns = by_doc(doc, (first, pa.int32()), (windows, pa.int32()))
+        columns = by_doc(doc, (first, pa.int64()), (windows, pa.int32()))
         yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), is_open))], names=FOUND_NAMES)
 
 
 def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of RUNS rows: repeated runs, and open ones, whose windows must be compared."""
-    held, done = [], []
+    held, done = [], ([], [])
     for batch in batches:
         for _, key, run, doc, first, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = (np.frombuffer(doc, np.int64), from_planes(first, "<i4"), np.frombuffer(windows, np.uint8))
+            row = (np.frombuffer(doc, np.int64), from_planes(first, "<i8"), np.frombuffer(windows, np.uint8))
             if key:
                 held.append((unpacked48(key), unpacked48(run), *row))
             else:
-                done.append(row)
-    if done:
-        doc, first, windows = (np.concatenate(c) for c in zip(*done, strict=True))
-        done.clear()
-        order = np.lexsort((first, doc))
-        yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), False)
+                done[bool(run)].append(row)
+    for is_open in (False, True):
+        if done[is_open]:
+            doc, first, windows = (np.concatenate(c) for c in zip(*done[is_open], strict=True))
+            done[is_open].clear()
+            order = np.lexsort((first, doc))
+            yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), is_open)
     if held:
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         held.clear()
@@ -271,31 +300,57 @@ BORDERS = "bucket int, part binary, doc binary, first binary, windows binary, by
 BORDERS_NAMES = ["bucket", "part", "doc", "first", "windows", "bytes"]
 
 
-def border_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows of BORDERS for rows (doc_id, text, first, windows): the bytes of open runs, bucketed by their anchors."""
+def border_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, frequent: np.ndarray, most_bytes: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of BORDERS for rows (doc_id, text, base, first, windows): the bytes of open runs, bucketed by their anchors; those of frequent
+    anchors window by window, bucketed by the whole window, and windows that an earlier document of the task has without bytes."""
 
     def flush(parts: list[tuple]) -> pa.RecordBatch:
-        sizes = np.array([len(p[3]) for p in parts])
+        doc, first, windows = (np.array([p[k] for p in parts], np.int64) for k in range(3))
+        sizes = windows + length - 1
         starts = np.cumsum(sizes) - sizes
-        x = qgrams(np.frombuffer(b"".join(p[3] for p in parts) + bytes(length), np.uint8))
-        anchor = sliding_min(x >> POSITION_BITS, length - Q + 1)[starts]  # all windows of a run have the same
-        code = mixed(anchor)
-        bucket, part = code % U(len(ids)), (code >> U(56)).astype(np.uint8) % PARTS
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(heads(bucket[order]))
+        data = np.frombuffer(b"".join(p[3] for p in parts) + bytes(length), np.uint8)
+        x = qgrams(data)
+        v = x >> POSITION_BITS << POSITION_BITS
+        v |= np.arange(len(v), dtype=U)
+        anchor = (sliding_min(v, length - Q + 1)[starts] & ((U(1) << POSITION_BITS) - U(1))).astype(np.int64)  # all windows of a run have the same
+        code = mixed(x[anchor])
+        hot = among(code & MASK48, frequent)
+        of = np.repeat(np.flatnonzero(hot), windows[hot])
+        step = np.arange(len(of)) - np.repeat(np.cumsum(windows[hot]) - windows[hot], windows[hot])
+        at = starts[of] + step
+        whole = np.zeros(len(at), U)
+        for k, offset in enumerate([*range(0, length - Q, Q), length - Q]):
+            whole = mixed(whole + x[at + offset] * MULTIPLIERS[k % 6])
+        order = np.lexsort((doc[of], whole))
+        of, step, at, whole = of[order], step[order], at[order], whole[order]
+        seen = doc[of] > at_head(doc[of], heads(whole))
+        some, one = np.flatnonzero(~hot), np.ones(len(of), np.int64)
+        tables = (  # code, doc, first, windows, where their bytes start, whether these go along
+            (code[some], doc[some], first[some], windows[some], starts[some], True),
+            (whole[~seen], doc[of][~seen], (first[of] + step)[~seen], one[~seen], at[~seen], True),
+            (mixed(doc[of][seen].astype(U)), doc[of][seen], (first[of] + step)[seen], one[seen], at[seen], False),
+        )
         rows: list[list] = [[] for _ in BORDERS_NAMES]
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
-            own = [parts[k] for k in order[a:b].tolist()]
-            for column, value in zip(rows, (ids[int(bucket[order[a]])], part[order[a:b]].tobytes(), np.array([p[0] for p in own], np.int64).tobytes(), np.array([p[1] for p in own], "<i4").tobytes(), np.array([p[2] for p in own], np.uint8).tobytes(), b"".join(p[3] for p in own)), strict=True):
-                column.append(value)
+        for codes, docs, firsts, counts, where, with_bytes in tables:
+            bucket, part = codes % U(len(ids)), (codes >> U(56)).astype(np.uint8) % PARTS
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(heads(bucket[order]))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True) if len(order) else ():
+                own = order[a:b]
+                long = counts[own] + length - 1
+                inside = np.repeat(where[own] - np.cumsum(long) + long, long) + np.arange(long.sum()) if with_bytes else ()
+                for column, value in zip(rows, (ids[int(bucket[own[0]])], part[own].tobytes(), docs[own].tobytes(), firsts[own].tobytes(), counts[own].astype(np.uint8).tobytes(), data[inside].tobytes() if with_bytes else b""), strict=True):
+                    column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=BORDERS_NAMES)
 
     parts, size = [], 0
     for batch in slices(batches, "text", 4 << 20):
-        for doc, text, firsts, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "first", "windows")), strict=True):
+        for doc, text, base, firsts, counts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "base", "first", "windows")), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
             for first, n in zip(firsts, counts, strict=True):
-                parts.append((doc, first, n, data[first : first + n + length - 1]))
+                if first >> APART != base >> APART:
+                    continue  # of another text with this id
+                parts.append((doc, first, n, data[first - base : first - base + n + length - 1]))
                 size += n + length - 1
                 if size >= most_bytes:
                     yield flush(parts)
@@ -306,8 +361,19 @@ def border_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int,
 
 def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of FOUND for a partition of BORDERS rows: windows that an earlier document has, as ranges."""
-    kinds = (np.uint8, np.int64, "<i4", np.uint8, np.uint8)
-    held = [[np.frombuffer(x, k) for x, k in zip(row[1:], kinds, strict=True)] for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    kinds = (np.uint8, np.int64, np.int64, np.uint8, np.uint8)
+    held, done = [], []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            columns = [np.frombuffer(x, k) for x, k in zip(row[1:], kinds, strict=True)]
+            if row[-1]:
+                held.append(columns)
+            else:
+                done.append(columns[1:3])
+    if done:
+        doc, first = (np.concatenate(c) for c in zip(*done, strict=True))
+        done.clear()
+        yield from ranges_of(doc, first)
     if not held:
         return
     part, doc, first, windows, data = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -316,48 +382,61 @@ def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
     for k in range(PARTS):
         mine = part == k
         if mine.any():
-            yield from compare_windows(doc[mine], first[mine], windows[mine], data[np.repeat(mine, sizes)], length)
+            yield from compare_windows(doc[mine], first[mine], windows[mine].astype(np.int64), data[np.repeat(mine, sizes)], length)
 
 
-def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
-    windows = windows.astype(np.int64)
-    begin = np.cumsum(windows + length - 1) - (windows + length - 1)
-    owner = np.repeat(np.arange(len(doc)), windows)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = begin[owner] + step  # where each window starts in data
+def ranges_of(doc: np.ndarray, position: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of FOUND for single repeated windows: neighbours are one range."""
+    order = np.lexsort((position, doc))
+    doc, position = doc[order], position[order]
+    new = np.flatnonzero(heads(doc, position - np.arange(len(position))))
+    yield from found_rows(doc[new], position[new], np.diff(np.append(new, len(doc))).astype(np.int32), False)
+
+
+def refined(data: np.ndarray, left: np.ndarray, length: int, settled: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, buckets) of all positions that share their `length` bytes with another one; left: bytes from each position to its run's end. settled: gets the number of windows settled by each pass."""
     eight = np.ascontiguousarray(words_at(np.append(data, np.zeros(16, np.uint8)), "<u8"))
-    # initial buckets of 16 bytes, for every offset
-    n = len(data)
-    order = np.lexsort((eight[8 : 8 + n], eight[:n]))
-    bucket = np.empty(n, np.int64)
-    bucket[order] = np.cumsum(heads(eight[:n][order], eight[8 : 8 + n][order]))
-    own = bucket[at]
-    for offset in [*range(16, length - 16, 16), length - 16]:
-        later = bucket[at + offset]
-        order = np.lexsort((later, own))
-        new = heads(own[order], later[order])
-        size = np.bincount(np.cumsum(new) - 1)
-        keep = size[np.cumsum(new) - 1] > 1
-        own = np.cumsum(new)[keep]
-        order = order[keep]
-        at, owner, step = at[order], owner[order], step[order]
-    order = np.lexsort((doc[owner], own))
-    own, owner, step = own[order], owner[order], step[order]
-    repeated = doc[owner] > at_head(doc[owner], heads(own))
-    of, position = doc[owner[repeated]], first[owner[repeated]] + step[repeated]
-    order = np.lexsort((position, of))
-    of, position = of[order], position[order]
-    starts = np.flatnonzero(heads(of, position - np.arange(len(position))))
-    yield from found_rows(of[starts], position[starts].astype(np.int32), np.diff(np.append(starts, len(of))).astype(np.int32), False)
-
-
-def cut_text(text: str | None, found: list[dict] | None, length: int) -> tuple[int, list[dict], bytes]:
-    """(bytes, removed spans, kept bytes) of a text, given its repeated windows as ranges."""
+    at = np.flatnonzero(left >= 16)
+    keys = [eight[at + 8], eight[at]]
+    bucket, count, depth = np.zeros(len(data), np.int64), 0, 16
+    while True:
+        order = np.lexsort(keys)
+        new = heads(*(k[order] for k in keys))
+        number = np.cumsum(new) - 1
+        bucket[at[order]] = number + count  # written back: the next pass reads these at its later offset
+        count += len(at)
+        alone = np.bincount(number, minlength=1)[number] == 1
+        if settled is not None:
+            settled.append(int(np.count_nonzero(left[at[order][alone]] >= length)))
+        at = at[order][~alone]
+        if depth == length:
+            return at, bucket[at]
+        offset = min(depth, length - depth)
+        depth += offset
+        at = at[left[at] >= depth]
+        keys = [bucket[at + offset], bucket[at]]
+
+
+def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    sizes = windows + length - 1
+    ends = np.cumsum(sizes)
+    at, bucket = refined(data, np.repeat(ends, sizes) - np.arange(len(data)), length)
+    owner = np.searchsorted(ends, at, "right")
+    order = np.lexsort((doc[owner], bucket))
+    at, owner, bucket = at[order], owner[order], bucket[order]
+    repeated = doc[owner] > at_head(doc[owner], heads(bucket))
+    at, owner = at[repeated], owner[repeated]
+    yield from ranges_of(doc[owner], first[owner] + at - (ends - sizes)[owner])
+
+
+def cut_text(text: str | None, found: list[dict] | None, length: int, base: int) -> tuple[int, list[dict], bytes]:
+    """(bytes, removed spans, kept bytes) of a text, given the repeated windows of its id as ranges."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not found:
         return len(data), [], data
-    first = np.concatenate([np.array(f["first"]) for f in found])
-    end = first + np.concatenate([np.array(f["windows"]) for f in found]) + length - 1
+    first, windows = (np.concatenate([np.array(f[c], np.int64) for f in found]) for c in ("first", "windows"))
+    mine = first >> APART == base >> APART
+    first, end = first[mine] - base, (first + windows)[mine] - base + length - 1
     change = np.bincount(first, minlength=len(data) + 1) - np.bincount(end, minlength=len(data) + 1)
     gone = np.cumsum(change[: len(data)]) > 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
@@ -368,28 +447,60 @@ def cut_text(text: str | None, found: list[dict] | None, length: int) -> tuple[i
 def cut_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in slices(batches, "text"):
-        rows = [cut_text(text, found, length) for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)]
+        rows = [cut_text(text, found, length, base) for text, found, base in zip(*(batch.column(c).to_pylist() for c in ("text", "found", "base")), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), kind, pa.binary())))], names=["doc_id", "n_bytes", "removed", "kept"])
 
 
+def frequent_anchors(docs: DataFrame, length: int, least: int = 16) -> np.ndarray:
+    """Anchors of so many runs that their borders are not to meet in one task, ordered; counted over all texts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, total = Frequent(), 0
+        for buffer, begins, ends, _, _ in blocks(batches, length):
+            key = anchors_of(buffer, begins, ends, length)
+            keys.add(key)
+            total += len(key)
+        values, counts = keys.found(least)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(values.astype(np.int64), -1)), pa.array(np.append(counts, total))], names=["key", "n"])
+
+    sums, path = materialize(docs.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "anchors")
+    total = sums.where("key = -1").agg(F.sum("n")).first()[0] or 0
+    found = sums.where("key >= 0").where(F.col("n") >= max(OFTEN, total // FREQUENT)).orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
+    forget(docs.sparkSession, path)
+    return np.array(sorted(r["key"] for r in found), U)
+
+
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, first, windows): ranges of windows that an earlier document has, in any number of rows per document."""
+    """(doc_id, first, windows): ranges of windows that an earlier document has, in any number of rows per document. docs: doc_id, text, base."""
     spark = docs.sparkSession
-    tasks = shuffle_partitions(spark)
-    ids = bucket_ids(spark, tasks)
-    runs = docs.mapInArrow(lambda b: run_rows(b, ids, length), RUNS).repartition(tasks, "bucket")
+    tasks = partitions_for(docs, "text")
+    ids, frequent = bucket_ids(spark, tasks), frequent_anchors(docs, length)
+    runs = docs.mapInArrow(lambda b: run_rows(b, ids, length, frequent), RUNS).repartition(tasks, "bucket")
     found, _ = materialize(runs.mapInArrow(refine_runs, FOUND), "runs")
     unsettled = found.where("open").groupBy("doc_id").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("windows")).alias("windows"))
-    borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "first", "windows").mapInArrow(lambda b: border_rows(b, ids, length), BORDERS)
+    borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "base", "first", "windows").mapInArrow(lambda b: border_rows(b, ids, length, frequent), BORDERS)
     more, _ = materialize(borders.repartition(tasks, "bucket").mapInArrow(lambda b: refine_windows(b, length), FOUND), "borders")
     return found.where("not open").unionByName(more).select("doc_id", "first", "windows")
 
 
+def based(docs: DataFrame, key: str, text: str, base: str) -> DataFrame:
+    """docs with `base`, where the text's positions begin: 0, or a place by its hash for an id that has several texts."""
+    place = F.xxhash64(F.col(text))
+    several = docs.groupBy(F.col(key).alias(f"{base}_key")).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select(f"{base}_key")
+    several, path = materialize(several, "several")
+    if several.isEmpty():
+        forget(docs.sparkSession, path)
+        return docs.withColumn(base, F.lit(0).cast("long"))
+    marked = docs.join(several, docs[key] == several[f"{base}_key"], "left")
+    at = F.shiftleft(F.pmod(place, F.lit((1 << 31) - 1)), APART)
+    return marked.withColumn(base, F.when(F.col(f"{base}_key").isNotNull(), at).otherwise(F.lit(0).cast("long"))).drop(f"{base}_key")
+
+
 def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, removed array<struct<start,end>>, kept binary): each text with its repeated byte ranges and the rest."""
     if not 2 * Q <= length <= 200:
         raise ValueError("length must be 40 to 200")
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    narrow = based(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", "base")
     found = repeated_windows(narrow, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
     both = narrow.join(found.hint("shuffle_merge"), "doc_id", "left")
     return both.mapInArrow(lambda b: cut_rows(b, length), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
@@ -399,12 +510,13 @@ def text_of(kept: bytes) -> str:
     return kept.decode("utf-8", "ignore")
 
 
-def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str], held: str) -> Iterator[pa.RecordBatch]:
+def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str], held: str, base: str) -> Iterator[pa.RecordBatch]:
     """Rows as they came, texts cut, and n_chars, if there is one, counted anew for cut texts."""
     for batch in slices(batches, "text"):
-        given, found = batch.column("text").to_pylist(), batch.column(held).to_pylist()
-        touched = [bool(f) for f in found]
-        texts = [text_of(cut_text(x, f, length)[2]) if f else x for x, f in zip(given, found, strict=True)]
+        given, found, bases = (batch.column(c).to_pylist() for c in ("text", held, base))
+        cut = [cut_text(x, f, length, b) if f else (0, [], b"") for x, f, b in zip(given, found, bases, strict=True)]
+        touched = [bool(spans) for _, spans, _ in cut]
+        texts = [text_of(kept) if t else x for x, t, (_, _, kept) in zip(given, touched, cut, strict=True)]
         columns = {n: batch.column(n) for n in names}
         columns["text"] = pa.array(texts, pa.string())
         if "n_chars" in columns:
@@ -415,10 +527,11 @@ def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str],
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """docs (doc_id, text and any others) with repeated passages cut from their texts; rests of split characters go."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    held, key = fresh(docs, "_found"), fresh(docs, "_key")
+    held, key, base = fresh(docs, "_found"), fresh(docs, "_key"), fresh(docs, "_base")
+    placed = based(docs, "doc_id", "text", base)
+    narrow = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(base).alias("base"))
     found = repeated_windows(narrow, length).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("first", "windows")).alias(held))
-    both = docs.join(found.hint("shuffle_merge"), docs["doc_id"] == found[key], "left")
+    both = placed.join(found.hint("shuffle_merge"), placed["doc_id"] == found[key], "left")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = docs.columns
-    return both.drop(key).mapInArrow(lambda b: cut_texts(b, length, names, held), kinds)
+    return both.drop(key).mapInArrow(lambda b: cut_texts(b, length, names, held, base), kinds)

@@ -377,3 +377,81 @@ def test_entries_hold_from_their_moment(spark):
     listed = spark.createDataFrame([("a.org", "2024-03-01 15:00:00", "block"), ("a.org", "2024-03-01 18:00:00", "allow"), ("org", "2190-01-01", "block")], "pattern string, listed_at string, action string")
     captures = spark.createDataFrame([(1, "http://a.org/", "2024-03-01 09:00:00"), (2, "http://a.org/", "2024-03-01 15:00:00"), (3, "http://x.a.org/" + "y" * 2_000_000, "2024-03-01 19:00:00"), (4, "http://b.org/", "2200-05-05")], "page_id long, url string, fetched_on string")
     assert {r["page_id"]: r["action"] for r in url_filters.judge(captures, listed).collect()} == {1: None, 2: "block", 3: "allow", 4: "block"}
+
+
+def test_frequent_anchors_give_the_same_repeats(spark, monkeypatch):
+    draw = random.Random(12)
+    passage = "a header that nearly every document of this table has, with a border of its own text "
+    docs = [(d, "".join(draw.choices("abcdefghijklmnop ", k=draw.randint(0, 60))) + passage + "".join(draw.choices("abcdefghijklmnop ", k=draw.randint(20, 80)))) for d in range(300)]
+    docs += repeated_docs(4)[:40]
+    frame = brute.frame(spark, [(d, t, "s") for d, t in docs])
+    expected = brute.repeats(docs)
+    for often in (2048, 5):
+        monkeypatch.setattr(suffix_dedup, "OFTEN", often)
+        anchors = suffix_dedup.frequent_anchors(suffix_dedup.based(frame.select("doc_id", "text"), "doc_id", "text", "base"), 50, least=2)
+        assert (len(anchors) > 0) == (often == 5)
+        monkeypatch.setattr(suffix_dedup, "frequent_anchors", lambda docs, length, found=anchors: found)
+        rows = suffix_dedup.remove_repeats(frame).collect()
+        monkeypatch.undo()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["removed"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in rows} == expected
+
+
+def test_borders_of_a_frequent_anchor_spread_over_buckets():
+    draw = random.Random(1)
+    passage = "a passage of sixty bytes or so that is in every one of them "
+    texts = [passage + "".join(draw.choices("abcdefghijklmnop ", k=60)) for _ in range(2000)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts, "base": [0] * 2000})
+    data, begins, ends, docs, starts = next(suffix_dedup.blocks(iter([batch]), 50))
+    keys = suffix_dedup.anchors_of(data, begins, ends, 50)
+    hot = np.unique(keys)[np.unique(keys, return_counts=True)[1] >= 1000]
+    key, run, segment, first, windows = suffix_dedup.runs_of(data, begins, ends, 50)
+    of = {d: ([], []) for d in range(2000)}
+    for k, s, f, w in zip(key.tolist(), segment.tolist(), first.tolist(), windows.tolist(), strict=True):
+        if k in set(hot.tolist()):
+            of[int(docs[s])][0].append(f)
+            of[int(docs[s])][1].append(w)
+    opened = batch.append_column("first", pa.array([of[d][0] for d in range(2000)], pa.list_(pa.int64()))).append_column("windows", pa.array([of[d][1] for d in range(2000)], pa.list_(pa.int32())))
+
+    def largest(frequent):
+        sizes = {}
+        for out in suffix_dedup.border_rows(iter([opened]), list(range(32)), 50, frequent):
+            for bucket, data in zip(out.column("bucket").to_pylist(), out.column("bytes").to_pylist(), strict=True):
+                sizes[bucket] = sizes.get(bucket, 0) + len(data)
+        return max(sizes.values()) / (sum(sizes.values()) / 32)
+
+    assert largest(np.empty(0, np.uint64)) > 5 and largest(hot) < 1.5
+
+
+def test_refinement_writes_buckets_back():
+    draw = np.random.default_rng(6)
+    for length in (50, 64, 40, 130):
+        parts = [draw.integers(97, 99, draw.integers(length, 260)).astype(np.uint8) for _ in range(60)]
+        parts += [np.concatenate([draw.integers(97, 123, 9).astype(np.uint8), parts[k][:150]]) for k in range(30)]
+        sizes = np.array([len(p) for p in parts])
+        data, ends = np.concatenate(parts), np.cumsum(sizes)
+        left = np.repeat(ends, sizes) - np.arange(len(data))
+        settled = []
+        at, bucket = suffix_dedup.refined(data, left, length, settled)
+        groups = {}
+        for p in np.flatnonzero(left >= length).tolist():
+            groups.setdefault(data[p : p + length].tobytes(), []).append(p)
+        found = {}
+        for p, b in zip(at.tolist(), bucket.tolist(), strict=True):
+            found.setdefault(b, []).append(p)
+        assert sorted(map(sorted, found.values())) == sorted(g for g in groups.values() if len(g) > 1)
+        assert len(settled) == {40: 3, 50: 3, 64: 3, 130: 5}[length] and sum(settled) == sum(len(g) == 1 for g in groups.values())
+
+
+def test_different_texts_of_one_id(spark):
+    long = "".join(random.Random(5).choices("abcdefghijklmnop ", k=1300))
+    other = "0123456789" * 7
+    docs = brute.frame(spark, [(1, long[200:500], "s"), (5, long, "s"), (5, other + long[:260], "s"), (5, None, "s"), (7, other + long[1100:], "s")])
+    rows = {(r["doc_id"], r["n_bytes"]): [(s["start"], s["end"]) for s in r["removed"]] for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert rows[1, 300] == [] and rows[5, 0] == []
+    alone = lambda text, before: brute.repeats([(k, t) for k, t in enumerate([*before, text])])[len(before)][1]
+    for key, text, before in (((5, 1300), long, [long[200:500]]), ((5, 330), other + long[:260], [long[200:500]]), ((7, 270), other + long[1100:], [long[200:500], long, other + long[:260]])):
+        assert sum(b - a for a, b in rows[key]) == alone(text, before)
+    cut = {r["text"] for r in suffix_dedup.without_repeats(docs).collect()}
+    assert len(cut) == 5 and None in cut and long[200:500] in cut
