@@ -72,6 +72,11 @@ def change_stem(source: Column, kind: Column, identifier: Column, category: Colu
     return F.concat(F.lit("#"), F.concat_ws("#", source, kind, identifier, category), F.lit("#"))
 
 
+def stub_sort_id(value: Column, props: Column) -> Column:
+    """What a stub is ordered by: its id, or the JSON of its properties as texts."""
+    return F.coalesce(value.cast("string"), F.to_json(F.transform_values(props, lambda _, v: v.cast("string"))))
+
+
 def link_entry(moment: Column, unlink: Column) -> Column:
     return F.concat(F.unix_seconds(moment.cast("timestamp")).cast("string"), F.when(unlink, "!unlink").otherwise("!link"))
 

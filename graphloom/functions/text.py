@@ -70,9 +70,12 @@ def label_values(html: Column) -> Column:
 
 def log_fields(line: Column) -> Column:
     """A function's log line: '[LEVEL] time request {function} message'."""
-    pattern = r"^\[(\w+)\]\s+(\S+)\s+(\S+)\s+\{([^}]*)\}\s+(.*)$"
+    pattern = r"^\[(\w+)\]\s+([^\s\x01]+)\s+([^\s\x01]+)\s+\{([^}\x01]*)\}\s+(.*)$"
     names = ("level", "logged_at", "request_id", "function_name", "message")
-    return F.struct(*(F.nullif(F.regexp_extract(line, pattern, k), F.lit("")).alias(n) for k, n in enumerate(names, 1)))
+    parts = F.split(F.regexp_replace(line, pattern, "\x01$1\x01$2\x01$3\x01$4\x01$5"), "\x01", 6)  # all groups in one pass
+    found = F.transform(F.filter(F.array(parts), lambda p: (F.size(p) == 6) & (p[0] == "")), lambda p: F.struct(*(F.nullif(p[k], F.lit("")).alias(n) for k, n in enumerate(names, 1))))
+    none = F.struct(*(F.lit(None).cast("string").alias(n) for n in names))
+    return F.coalesce(F.get(found, F.lit(0)), none)
 
 
 def invocation_fields(line: Column) -> Column:

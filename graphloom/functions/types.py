@@ -43,6 +43,21 @@ def source_time(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit(SOURCE_TIME)), F.try_to_timestamp(F.concat(text, F.lit(" 12:00:00 AM")), F.lit(SOURCE_TIME)))
 
 
+def date_from(as_of: str, days: int = 0) -> Column:
+    """The day so many days after a moment."""
+    return F.date_format(F.lit(as_of).cast("timestamp") + F.expr(f"interval {days} days"), "MM/dd/yyyy")
+
+
+def is_true(text: Column) -> Column:
+    """Whether a flag's text is the word True; absent is false."""
+    return F.coalesce(text == "True", F.lit(False))
+
+
+def any_text(text: Column) -> Column:
+    """Whether a flag has any text at all, be it False."""
+    return F.coalesce(F.length(text) > 0, F.lit(False))
+
+
 def filter_date(moment: Column, as_of: str, days: int = 3650) -> Column:
     """A filter's date text; no date means `days` before as_of."""
     return F.date_format(F.coalesce(moment.cast("timestamp"), F.lit(as_of).cast("timestamp") - F.expr(f"interval {days} days")), "MM/dd/yyyy")

@@ -55,6 +55,25 @@ def changed_targets(rows: DataFrame, driving_type: str | None = None) -> DataFra
     return rows.withColumn("_target", F.explode(F.filter(every, lambda t: t.isNotNull() & t["id_value"].isNotNull()))).select(*rows.columns, "_target.id_type", "_target.id_value")
 
 
+def type_index(change_types: DataFrame, prefix: str | None = None) -> DataFrame:
+    """(action, action_id, category_id, category): the dimension's rows, of categories that begin with a prefix if one is given."""
+    rows = change_types if prefix is None else change_types.where(F.col("category").startswith(prefix))
+    return rows.select("action", "action_id", "category_id", "category").dropDuplicates(["action_id"])
+
+
+def by_category(change_types: DataFrame, prefix: str | None = None) -> DataFrame:
+    """(category_id, actions map<action_id, action>) of the same rows."""
+    rows = type_index(change_types, prefix)
+    return rows.groupBy("category_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("action_id", "action")))).alias("actions"))
+
+
+def setup(configs: DataFrame, asked: DataFrame, *keys: str) -> DataFrame:
+    """asked with the configuration of its keys; one that isn't set up is an error that names it."""
+    joined = asked.join(configs, [*keys], "left")
+    names = F.concat_ws(".", *keys)
+    return joined.withColumn("setup", F.when(F.col("setup").isNotNull(), F.col("setup")).otherwise(F.raise_error(F.concat(F.lit("not set up: "), names)).cast(configs.schema["setup"].dataType)))
+
+
 def categories(change_types: DataFrame) -> DataFrame:
     """Per category its actions and what they share; a dimension of a few dozen rows."""
     return change_types.groupBy("category_id").agg(F.min("category").alias("category"), F.sort_array(F.collect_set("action_id")).alias("action_ids"), F.count("*").alias("actions"))

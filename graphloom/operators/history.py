@@ -91,6 +91,24 @@ def latest_stage(states: DataFrame) -> DataFrame:
     return states.withColumn("_at", F.struct("stage_ts", place)).groupBy("identifier_stem", "sid_value").agg(F.max_by("stage", "_at").alias("stage"), F.max("stage_ts").alias("stage_ts"), F.count_distinct("stage").alias("stages"))
 
 
+def completion_last(decisions: DataFrame, run: str = "run_id", sequence: str = "sequence", kind: str = "kind", closing: tuple[str, ...] = ("CompleteWorkflowExecution", "FailWorkflowExecution", "CancelWorkflowExecution")) -> DataFrame:
+    """decisions with their place in each run: in order, those that close the run after all others."""
+    order = Window.partitionBy(run).orderBy(F.col(kind).isin(*closing), sequence)
+    return decisions.withColumn("place", F.row_number().over(order))
+
+
+def open_markers(markers: DataFrame, subtasks: DataFrame, key: str = "operation_id") -> DataFrame:
+    """Worker markers that are open though their subtask has completed: inner join on the operation."""
+    done = subtasks.where("status = 'complete'").select(key)
+    return markers.where("is_open").join(done, key)
+
+
+def reused(checkpoints: DataFrame, as_of: str, days: int = 2) -> DataFrame:
+    """Checkpoints of past runs that may be reused: those of the last days, the latest of each operation."""
+    recent = checkpoints.where(F.col("ts") >= F.lit(as_of).cast("timestamp") - F.expr(f"interval {days} days"))
+    return recent.groupBy("operation_id").agg(F.max_by("result", F.struct("ts", "seq")).alias("result"), F.max("seq").alias("seq"))
+
+
 def tree(flows: DataFrame, run: str = "run_id", parent: str = "parent_id") -> DataFrame:
     """(parent, child) pairs of workflow runs, for closure()."""
     return flows.where(f"{parent} is not null").select(F.col(parent).alias("parent"), F.col(run).alias("child"))

@@ -40,12 +40,32 @@ def source_graph(history: DataFrame, key: str, source: str) -> tuple[DataFrame,
 
 
 def incremental(remote_max: DataFrame, local_max: DataFrame, working: DataFrame) -> DataFrame:
-    """Ids in (local max, remote max] that nothing works on: one-row tables (max_id) and working (id_value)."""
-    span = remote_max.select(F.col("max_id").alias("high")).crossJoin(local_max.select(F.coalesce(F.col("max_id"), F.lit(0)).alias("low")))
-    ids = span.where("high > low").select(F.explode(F.sequence(F.col("low") + 1, F.col("high"))).alias("id_value"))
+    """Ids in (local max, remote max] that nothing works on: one-row tables (max_id) and working (id_value). The driver learns the two
+    bounds only; the range is made by as many tasks as it needs."""
+    high, low = (m.agg(F.max("max_id")).first()[0] for m in (remote_max, local_max))
+    first, last = (low or 0) + 1, high if high is not None else 0
+    ids = remote_max.sparkSession.range(first, max(first, last + 1)).select(F.col("id").alias("id_value"))
     return ids.join(working.select("id_value"), "id_value", "left_anti")
 
 
-def propagate(ids: DataFrame, categories: DataFrame) -> DataFrame:
-    """Every id with every category. categories is a small fixed dimension (the change categories), so the product is linear in ids."""
-    return ids.crossJoin(F.broadcast(categories))
+def max_indexed(vertices: DataFrame, stems: DataFrame, fallback: int | None = None) -> DataFrame:
+    """(identifier_stem, max_id, is_empty) of each asked stem: the largest id indexed under it; an empty index gives the fallback, or an error without one."""
+    found = vertices.groupBy("identifier_stem").agg(F.max("id_value").alias("_max"))
+    joined = stems.select("identifier_stem").distinct().join(found, "identifier_stem", "left")
+    missing = F.lit(fallback).cast("bigint") if fallback is not None else F.raise_error(F.concat(F.lit("nothing is indexed under "), F.col("identifier_stem"))).cast("bigint")
+    return joined.select("identifier_stem", F.when(F.col("_max").isNotNull(), F.col("_max").cast("bigint")).otherwise(missing).alias("max_id"), F.col("_max").isNull().alias("is_empty"))
+
+
+def of_stem(history: DataFrame, stem: str, key: str = "identifier_stem") -> DataFrame:
+    """The current links under one stem, a filter that reaches the scan of the history."""
+    return current(history.where(F.col(key) == stem), key, "id_value").where("is_linked").select(key, "id_value", "changed_at")
+
+
+def propagate(ids: DataFrame, categories: DataFrame, most: int = 1000) -> DataFrame:
+    """Every id with every category. The categories are a fixed dimension of at most `most` rows, which is checked: they become a literal that each id is exploded by, so no table is joined or shuffled."""
+    rows = categories.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} categories")
+    fields = categories.schema.fields
+    listed = F.array(*(F.struct(*(F.lit(r[k]).cast(f.dataType).alias(f.name) for k, f in enumerate(fields))) for r in rows)).cast(f"array<{categories.schema.simpleString()}>")
+    return ids.withColumn("_category", F.explode(listed)).select(*ids.columns, *(F.col(f"_category.`{f.name}`").alias(f.name) for f in fields))

@@ -116,6 +116,14 @@ def closure_sql(spark, pairs_view: str, most_depth: int = 20) -> DataFrame:
         SELECT ancestor, descendant, CASE WHEN min(depth) > {most_depth} THEN CAST(raise_error('pairs more than {most_depth} levels apart') AS INT) ELSE min(depth) END AS depth FROM walk GROUP BY ancestor, descendant""")
 
 
+def without(vertices: DataFrame, edges: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vertices, edges) after dropping the selected vertices (internal_id) and every edge that touches one."""
+    gone = selected.select("internal_id").distinct()
+    ends = [F.col("internal_id").alias("src_id"), F.col("internal_id").alias("dst_id")]
+    left = edges.join(gone.select(ends[0]), "src_id", "left_anti").join(gone.select(ends[1]), "dst_id", "left_anti")
+    return vertices.join(gone, "internal_id", "left_anti"), left.select(*edges.columns)
+
+
 def _of_type(kind: str) -> Callable:
     return lambda v, e, **a: find(v, kind, **a)
 

@@ -87,5 +87,27 @@ def recipients(people: DataFrame, attribute: str, values: list[str], closure: Da
     return chosen.unionByName(above).distinct()
 
 
+def complete(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which none of the columns is null or empty."""
+    on = F.lit(True)
+    for c in columns:
+        on = on & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
+    return rows.where(on)
+
+
+def contains_all(text: Column, parts: tuple[str, ...]) -> Column:
+    """Whether the text holds every part."""
+    on = F.lit(True)
+    for part in parts:
+        on = on & text.contains(part)
+    return on
+
+
+def merged_maps(left: Column, right: Column) -> Column:
+    """A deep merge of two map<string, map<string, string>>: inner maps are joined, the right value wins."""
+    inner = lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.map_zip_with(a, b, lambda _, x, y: F.coalesce(y, x)))
+    return F.map_zip_with(left, right, lambda _, a, b: inner(a, b))
+
+
 def widest(rows: DataFrame, cells: str) -> DataFrame:
     return rows.agg(F.max(F.size(cells)).alias("columns"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +11,7 @@ from graphloom.functions import ids, text, types
 from graphloom.operators import changes, history, links, matching, reading, rules, vertices
 from graphloom.plans import reports
 from graphloom.plans.graph_etl import Graph, assimilate
+from graphloom.session import new_folder
 from graphloom.schema import EdgeEntry, Property, Rule, Schema, VertexEntry
 from graphloom.sources import readers
 from graphloom.streaming import flows
@@ -178,7 +178,7 @@ def linked_id_sets(spark: SparkSession, d: str) -> DataFrame:
     FROM events WHERE event_type IN ('signup', 'error') GROUP BY ALL
 """)
 def source_link_graph(spark: SparkSession, d: str) -> DataFrame:
-    """V09 V18 X48."""
+    """V09 X48."""
     _, edges = links.source_graph(link_history(spark, d).withColumn("source", F.lit("TPC")), "user_id", "source")
     return edges.groupBy("src_id", "dst_id", "edge_label").agg(F.count("*").alias("edges"))
 
@@ -207,7 +207,7 @@ def potential_match_wildcard(spark: SparkSession, d: str) -> DataFrame:
     WHERE id_value IS NOT NULL
 """)
 def changed_targets(spark: SparkSession, d: str) -> DataFrame:
-    """Empty ids are no targets; a record that repeats another id is left out."""
+    """Empty ids are no targets; a record that repeats another id is left out."""
     k = F.get_json_object("props", "$.k")
     rows = t(spark, d, "events").select("event_id", F.when(F.col("event_type") != "click", F.col("user_id").cast("string")).otherwise("").alias("client_id"), F.when(F.col("event_type") != "view", k).otherwise("").alias("clientvisit_id"), F.col("event_id").alias("record_id"), F.when(F.col("event_type") == "error", "Record").otherwise("").alias("record_type"))
     return changes.changed_targets(rows, "Events").select("event_id", "id_type", "id_value")
@@ -251,7 +251,7 @@ def dimension_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_orderstatus AS status, min(o_orderkey) AS min, max(o_orderkey) AS max FROM orders GROUP BY 1")
 def remote_min_max(spark: SparkSession, d: str) -> DataFrame:
-    """G01 G03 G04 G05 S07."""
+    """G01 G03 G04 G05."""
     return t(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.min("o_orderkey").alias("min"), F.max("o_orderkey").alias("max"))
 
 
@@ -444,7 +444,7 @@ def multimap_first_col(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) WHERE r = 1")
 def latest_version_per_key(spark: SparkSession, d: str) -> DataFrame:
-    """G13 G29 S49 W04."""
+    """G13 S49 W04."""
     return readers.latest_versions(t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
@@ -457,7 +457,7 @@ def dedupe_last_wins(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT o_custkey AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
 def first_wins_index(spark: SparkSession, d: str) -> DataFrame:
-    """A conditional put as an anti join."""
+    """A conditional put as an anti join."""
     new = t(spark, d, "orders").select(F.col("o_custkey").alias("id"))
     return vertices.first_wins(new, t(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id")), "id")
 
@@ -510,13 +510,13 @@ SMALL_SQL = """
     FROM ({SMALL_SQL}) WHERE src_id = 'n3' OR dst_id = 'n3' ORDER BY internal_id LIMIT 10 OFFSET 2
 """)
 def page_edges(spark: SparkSession, d: str) -> DataFrame:
-    """A page of ten, after two; limits are the feature."""
+    """A page of ten, after two; limits are the feature."""
     return reading.edge_page(small_edges(spark, d), "n3", 2, 10).select("internal_id", "edge_label", "direction", "more")
 
 
 @query("SELECT o_orderkey AS id_value FROM orders ORDER BY o_orderkey DESC LIMIT 20 OFFSET 5")
 def top_k_ids(spark: SparkSession, d: str) -> DataFrame:
-    """A page of a total order."""
+    """A page of a total order."""
     return t(spark, d, "orders").select(F.col("o_orderkey").alias("id_value")).orderBy(F.desc("id_value")).offset(5).limit(20)
 
 
@@ -535,13 +535,13 @@ def edge_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT src_id AS descendant, dst_id AS ancestor, 1 AS depth FROM ({SMALL_SQL}) UNION ALL SELECT a.src_id, b.dst_id, 2 FROM ({SMALL_SQL}) a JOIN ({SMALL_SQL}) b ON a.dst_id = b.src_id")
 def hierarchy_closure(spark: SparkSession, d: str) -> DataFrame:
-    """Shortest depths; cycles end."""
+    """Shortest depths; cycles end."""
     return reading.closure(small_edges(spark, d).select(F.col("dst_id").alias("parent"), F.col("src_id").alias("child"))).select("descendant", "ancestor", "depth")
 
 
 @query("SELECT 'ExternalId' AS kind, max(c_custkey) AS max, min(c_custkey) AS min FROM customer WHERE c_custkey <> 0")
 def named_graph_reads(spark: SparkSession, d: str) -> DataFrame:
-    """A named query over typed vertices."""
+    """A named query over typed vertices."""
     entry = VertexEntry("ExternalId", (Property("c_custkey", "Number", is_id=True),), ("object_type", "c_custkey"), ())
     found = reading.NAMED["getExtIdMaxMin"](vertices.build(t(spark, d, "customer").where("c_custkey <> 0"), entry), small_edges(spark, d))
     return found.select(F.lit("ExternalId").alias("kind"), F.col("max").cast("bigint").alias("max"), F.col("min").cast("bigint").alias("min"))
@@ -571,7 +571,7 @@ def money_parse(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00+0000') END AS moment FROM orders")
 def date_fallback(spark: SparkSession, d: str) -> DataFrame:
-    """With a time, without one, and no date."""
+    """With a time, without one, and no date."""
     k = F.col("o_orderkey") % 3
     made = F.when(k == 0, F.date_format("o_orderdate", "M/d/yyyy h:mm:ss a")).when(k == 1, F.date_format("o_orderdate", "M/d/yyyy")).otherwise("soon")
     return t(spark, d, "orders").select("o_orderkey", types.graph_time(types.source_time(made)).alias("moment"))
@@ -579,7 +579,7 @@ def date_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_partkey, string_split(p_name, ' ')[1] AS first_staff, len(string_split(p_name, ' ')) AS staff FROM part")
 def staff_names(spark: SparkSession, d: str) -> DataFrame:
-    """X19 X22 X47."""
+    """X19."""
     made = F.regexp_replace("p_name", " ", " (CSW), ")
     return t(spark, d, "part").select("p_partkey", text.staff_names(made).alias("n")).select("p_partkey", F.col("n")[0].alias("first_staff"), F.size("n").alias("staff"))
 
@@ -602,7 +602,7 @@ def log_line_parse(spark: SparkSession, d: str) -> DataFrame:
     SELECT page_id, count(*) AS links, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM (SELECT page_id, html, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS l FROM pages) GROUP BY page_id, html
 """)
 def html_links(spark: SparkSession, d: str) -> DataFrame:
-    """S24-S28 S30 X39."""
+    """Links and titles of pages."""
     found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1))
     return t(spark, d, "pages").select("page_id", F.size(found).cast("bigint").alias("links"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")).where("links > 0")
 
@@ -616,7 +616,7 @@ def html_label_values(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_props(spark: SparkSession, d: str) -> DataFrame:
-    """S51 X36 X37 X34."""
+    """A member of typed JSON."""
     return t(spark, d, "events").select("event_id", F.try_variant_get(readers.typed_json(F.col("props")), "$.k", "bigint").alias("k"))
 
 
@@ -630,7 +630,7 @@ FOLD_SQL = """
 
 @query(FOLD_SQL)
 def event_fold_status(spark: SparkSession, d: str) -> DataFrame:
-    """T08-T12 T18 G20-G23 F17 J27 J28 U05."""
+    """T08 T11 T18 G20 G21 F17."""
     names = {"view": "ActivityTaskScheduled", "click": "ActivityTaskStarted", "error": "ActivityTaskFailed", "purchase": "ActivityTaskCompleted"}
     kind = F.create_map(*(x for k, v in names.items() for x in (F.lit(k), F.lit(v))))[F.col("event_type")]
     rows = t(spark, d, "events").select(F.col("user_id").alias("operation_id"), (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("started_id"), "ts", "event_id", history.state_of(kind).alias("state"))
@@ -670,8 +670,7 @@ def stream_trigger(spark: SparkSession, d: str) -> DataFrame:
 
 def drained(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
     """Run a stream over what there is into the shared folder and read the result."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-")
-    folder = f"{base.rstrip('/')}/graphloom-stream/{spark.sparkContext.applicationId}-{abs(hash((id(stream), mode)))}-{int(spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0])}"
+    folder = new_folder(spark, "stream")
     if mode == "append":
         stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
     else:
@@ -681,7 +680,7 @@ def drained(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
 
 @query("SELECT DISTINCT user_id FROM events")
 def stream_dedupe_state(spark: SparkSession, d: str) -> DataFrame:
-    """First of a key, kept in streaming state."""
+    """First of a key, kept in streaming state."""
     stream = spark.readStream.schema(t(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
     return drained(spark, stream.select("user_id").dropDuplicates(["user_id"]), "append")
 
@@ -691,7 +690,7 @@ def stream_dedupe_state(spark: SparkSession, d: str) -> DataFrame:
     SELECT CAST(stem AS VARCHAR) AS identifier_stem, CAST(sid AS VARCHAR) AS sid_value, (['monitoring', 'extraction', 'transformation', 'assimilation', 'graphing'])[arg_max(n, (ts, n))] AS stage, count(DISTINCT n) AS stages FROM s GROUP BY 1, 2
 """)
 def state_machine_latest(spark: SparkSession, d: str) -> DataFrame:
-    """T06 K04 T13 F09."""
+    """T06 K04."""
     stage = F.create_map(*map(F.lit, ("signup", "monitoring", "view", "extraction", "click", "transformation", "purchase", "assimilation", "error", "graphing")))[F.col("event_type")]
     rows = t(spark, d, "events").select((F.col("user_id") % 5).cast("string").alias("identifier_stem"), F.col("user_id").cast("string").alias("sid_value"), stage.alias("stage"), F.col("ts").alias("stage_ts"))
     return history.latest_stage(rows).select("identifier_stem", "sid_value", "stage", "stages")
@@ -719,14 +718,14 @@ def advanced_search(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_partkey, p_name AS name, p_size AS size, p_retailprice AS price FROM part")
 def xml_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Rows through XML and back."""
+    """Rows through XML and back."""
     made = F.concat(F.lit("<NewDataSet><Table1><name><![CDATA[<b>"), "p_name", F.lit("</b>]]></name><size>"), F.col("p_size").cast("string"), F.lit("</size><price>"), F.col("p_retailprice").cast("string"), F.lit("</price></Table1></NewDataSet>"))
     return readers.xml_rows(t(spark, d, "part").select("p_partkey", made.alias("xml")), "xml", {"name": "string", "size": "int", "price": "double"}).select("p_partkey", "name", F.col("size").cast("int").alias("size"), "price")
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS moment, CAST(CAST(o_totalprice AS DECIMAL(38,2)) AS DOUBLE) AS total, nullif(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE o_orderpriority END, '') AS note FROM orders")
 def csv_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Typed cells of CSV lines."""
+    """Typed cells of CSV lines."""
     line = F.concat(F.date_format("o_orderdate", "M/d/yyyy"), F.lit(","), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit(',"'), F.when(F.col("o_orderkey") % 2 == 0, "").otherwise(F.col("o_orderpriority")), F.lit('"'))
     rows = readers.csv_texts(t(spark, d, "orders").select("o_orderkey", line.alias("line")), "line", {"moment": "datetime", "total": "number", "note": "string"})
     return rows.select("o_orderkey", day("moment").alias("moment"), F.col("total").cast("double").alias("total"), "note")

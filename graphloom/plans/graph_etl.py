@@ -20,6 +20,7 @@ class Graph:
     vertices: DataFrame
     edges: DataFrame
     secrets: DataFrame | None
+    stub_edges: DataFrame | None = None
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -36,7 +37,7 @@ def distinct_edges(parts: list[DataFrame], schema: Schema) -> DataFrame:
 
 
 def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None) -> Graph:
-    """extracted: rows by vertex type (with the arrays that extraction rules name; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target are left out."""
+    """extracted: rows by vertex type (with the arrays that extraction rules name; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target id are kept apart, as stub edges."""
     vertices, edges, hidden = [], [], []
     for name, rows in extracted.items():
         entry = schema.vertices[name]
@@ -51,7 +52,14 @@ def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str,
             vertices.append(new.select(*VERTEX))
             edges.append(linked)
     best = union(vertices).where("internal_id is not null").groupBy("internal_id").agg(F.max_by(F.struct(*VERTEX), F.struct(F.col("is_complete"), ~F.col("is_stub"), F.size("props"))).alias("v")).select("v.*")
-    return Graph(best, distinct_edges(edges, schema) if edges else None, union(hidden) if hidden else None)
+    stubs = union(edges).where("internal_id is null").dropDuplicates(["edge_label", "src_id", "dst_id", "inbound"]) if edges else None
+    return Graph(best, distinct_edges(edges, schema) if edges else None, union(hidden) if hidden else None, stubs)
+
+
+def assimilated(graph: Graph) -> DataFrame:
+    """(internal_id, object_type, edge_label, edge_id, other_id): each new vertex with the edges that leave it."""
+    edges = graph.edges.select(F.col("src_id").alias("internal_id"), "edge_label", F.col("internal_id").alias("edge_id"), F.col("dst_id").alias("other_id"))
+    return graph.vertices.select("internal_id", "object_type").join(edges, "internal_id")
 
 
 def upsert(new: Graph, stored_vertices: DataFrame, stored_edges: DataFrame) -> Graph:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +21,10 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         if not configured and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="graphloom-"))
+
+
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    ensure_checkpoints(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{base.rstrip('/')}/graphloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"

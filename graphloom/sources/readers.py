@@ -134,11 +134,25 @@ def log_records(records: DataFrame) -> DataFrame:
     return rows.select("record_id", "result", "log_group", "_e.id", "_e.timestamp", "_e.message")
 
 
-def put_batches(data: DataFrame, order: str, size: str, by: str, most_bytes: int = 6_000_000, most_rows: int = 500) -> DataFrame:
-    """Rows with the number of the batch that takes them: running bytes and rows within each `by` shard, whichever fills first."""
-    upto = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    place = Window.partitionBy(by).orderBy(order)
-    return data.withColumn("batch", F.greatest(F.floor((F.sum(size).over(upto) - F.col(size)) / most_bytes), F.floor((F.row_number().over(place) - 1) / most_rows)).cast("int"))
+def put_batches(data: DataFrame, order: str, size: str, by: str, most_bytes: int = 6_000_000, most_rows: int = 500, stretch: int = 100_000) -> DataFrame:
+    """Rows with the number of the batch that takes them: running bytes and rows within each `by` shard, whichever fills first.
+
+    The running sums are made in stretches of the order (numbers or times; other orders are one stretch), whose own sums are
+    added up first, so a shard that holds most rows is many tasks.
+    """
+    value = F.coalesce(F.col(order).try_cast("double"), F.lit(0.0)) if data.schema[order].dataType.typeName() != "timestamp" else F.unix_micros(order).cast("double")
+    low, high, rows = data.agg(F.min(value), F.max(value), F.count("*")).first()
+    stretches = max(1, -(-rows // stretch))
+    width = ((high - low) / stretches or 1.0) if rows else 1.0
+    dealt = data.withColumn("_stretch", F.floor((value - F.lit(low or 0.0)) / F.lit(width)).cast("long"))
+    before = Window.partitionBy(by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    sums = dealt.groupBy(by, "_stretch").agg(F.sum(size).alias("_b"), F.count("*").alias("_n")).select(by, "_stretch", zero("_b").alias("_bytes"), zero("_n").alias("_rows"))
+    place = Window.partitionBy(by, "_stretch").orderBy(order)
+    upto = place.rowsBetween(Window.unboundedPreceding, 0)
+    own = dealt.withColumn("_sum", F.sum(size).over(upto) - F.col(size)).withColumn("_at", F.row_number().over(place) - 1)
+    batch = F.greatest(F.floor((F.col("_sum") + F.col("_bytes")) / most_bytes), F.floor((F.col("_at") + F.col("_rows")) / most_rows)).cast("int")
+    return own.join(sums.hint("shuffle_merge"), [by, "_stretch"]).withColumn("batch", batch).select(*data.columns, "batch")
 
 
 def static_json(spark: SparkSession, path: str) -> DataFrame:
@@ -154,10 +168,13 @@ def latest_versions(entries: DataFrame, key: str = "entry_name", version: str =
     return keyed_last(entries, key, version)
 
 
-def write_sheets(sheets: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """A report as one folder of CSV files per sheet, written by the executors; the paths."""
+def write_sheets(sheets: dict[str, DataFrame], folder: str, title: str = "") -> dict[str, str]:
+    """A report as one folder of CSV files per sheet, written by the executors; the paths. With a title each sheet gets a folder beside it with the title and how many columns it spans."""
     paths = {}
     for name, rows in sheets.items():
+        if title:
+            spark = rows.sparkSession
+            spark.createDataFrame([(title, name, len(rows.columns))], "title string, sheet string, columns int").write.mode("errorifexists").csv(f"{folder}/{re.sub(r'[^A-Za-z0-9]+', '_', name)}_title", header=True)
         paths[name] = f"{folder}/{re.sub(r'[^A-Za-z0-9]+', '_', name)}"
         text = rows.select(*(F.to_json(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f"`{f.name}`") for f in rows.schema))
         text.write.mode("errorifexists").csv(paths[name], header=True)
