@@ -607,9 +607,18 @@ def html_links(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "pages").select("page_id", F.size(found).cast("bigint").alias("links"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")).where("links > 0")
 
 
-@query()
+TAGS_SQL = r"""
+    WITH bare AS (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '', 'g') AS h FROM pages),
+    parts AS (SELECT page_id, list_filter(list_transform(string_split_regex(h, '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'))), lambda x: x <> '') AS p FROM bare),
+    pairs AS (SELECT page_id, i, p[i] AS label, p[i + 1] AS value FROM (SELECT page_id, p, unnest(range(1, len(p) + 1)) AS i FROM parts)),
+    firsts AS (SELECT page_id, label, min(i) AS i FROM pairs GROUP BY 1, 2)
+    SELECT page_id, label, value FROM firsts JOIN pairs USING (page_id, label, i)
+"""
+
+
+@query(TAGS_SQL)
 def html_label_values(spark: SparkSession, d: str) -> DataFrame:
-    """Texts with the one after them, the first of each label."""
+    """Texts with the one after them, the first of each label."""
     pairs = t(spark, d, "pages").select("page_id", F.explode(text.label_values(F.col("html"))).alias("p"))
     return pairs.groupBy("page_id", "p.label").agg(F.min_by("p.value", "p.pos").alias("value"))
 

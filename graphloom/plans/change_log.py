@@ -25,7 +25,7 @@ def grow(remote: DataFrame, known: DataFrame, categories: DataFrame, log: DataFr
     """remote (id_value), known (id_value, is_linked), log (id_value, raw columns of the mapping).
 
     New and linked ids are propagated over the categories; only their changes are read (a semi join before anything else),
-    then renamed by the mapping, given a category, enriched and split into targets.
+    then renamed by the mapping, given a category, enriched and split into targets, which keep the id that drove them as driving_id_value.
     """
     outcomes = links.reconcile(remote, known)
     working = outcomes.where("outcome <> 'unlink'").select("id_value")
@@ -34,7 +34,7 @@ def grow(remote: DataFrame, known: DataFrame, categories: DataFrame, log: DataFr
     mapped = changes.mapped(raw, {**mapping, "id_value": {"name": "id_value"}})
     kept = changes.with_category(mapped, change_types).join(propagated.select("id_value", F.col("category").alias("category")).distinct(), ["id_value", "category"], "left_semi")
     full = changes.enrich(kept, by_emp, detail_ids, details, driving_id)
-    return Growth(outcomes, links.link_entries(outcomes, as_of), propagated, full, changes.changed_targets(full))
+    return Growth(outcomes, links.link_entries(outcomes, as_of), propagated, full, changes.changed_targets(full.withColumnRenamed("id_value", "driving_id_value")))
 
 
 def query_sets(sources: Mapping[str, DataFrame], searches: Mapping[str, dict]) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from graphloom.plans import catalog
+from graphloom.plans import catalog, catalog_graph, catalog_sources  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="the driver's tables are not here")
@@ -38,8 +38,3 @@ def test_query(spark, duck, name):
     names = list(expected.columns)
     assert columns == sorted(names)
     assert rows == sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in expected.fetchall()), key=repr)
-
-
-def test_label_values(spark):
-    rows = catalog.html_label_values(spark, str(DATA)).limit(5).collect()
-    assert all(r["label"] for r in rows)
