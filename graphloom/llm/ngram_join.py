@@ -3,23 +3,27 @@
 Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent * |union|. Steps:
 
 1. Each text becomes its set's size, fingerprint, hashed bitmap and prefix: shingles are ordered from rare to frequent
-   (by lists of bounded size of frequent words and shingles, learned from all texts), then by hash, and two linked sets share one of their first n - ceil(t n) + 1 shingles. Texts with equal sets form a class with one representative, by
-   aggregation, so copies cost nothing below.
-2. Representatives meet where they share a prefix shingle. Equal lists of documents, as near copies leave many, count once.
-3. Within each list, size-banded tiles bound overlaps from bitmaps: a bit that is set in one bitmap and not in the other is a
-   shingle missing there, so |intersection| <= n - popcount(own and not other). Pairs that may still link are
-   joined into candidate groups. Long lists that overlap are merged first and cut into tiles by size band (a band and the next
-   one) and by blocks, each pair of blocks being a tile: no list meets in one task, however many documents share a shingle.
-4. Candidate groups get their whole shingle arrays, again in size-banded tiles: bitmaps first, then exact intersections
-   of sorted arrays, skipping pairs that are already connected; tiles return spanning links only, or every link for
-   similar_pairs() and link_counts().
-5. Components of the links, then of all members of the classes.
-
-Shingles are compared by 64-bit hashes, classes by 128 bits.
+   (by lists of bounded size of frequent words and shingles, learned from all texts), then by hash, and two linked sets share one of their
+   first n - ceil(t n) + 1 shingles. Texts with equal sets form a class with one representative, by aggregation, so copies cost nothing
+   below. Sets too small to link with any other set end here.
+2. Representatives meet where they share a prefix shingle. Short lists of documents are made bucket by bucket; equal ones, as near
+   copies leave many, count once. Frequent shingles have long lists: these stay rows and are never put together in one task.
+3. Long lists are linked in part first: each of their documents goes to one tile of its list, twice with other lists, bands and blocks,
+   and exact links there give components so far. That joins a group of near copies, however large, at a cost linear in its size.
+4. Size-banded tiles then bound overlaps from bitmaps: a bit that is set in one bitmap and not in the other is a shingle
+   missing there, so |intersection| <= n - popcount(own and not other). Only pairs of different components are looked at. Short
+   lists are a tile each; long ones of several components are cut by size band (a band and the next one) and into blocks, of one
+   component if it fills them, and two blocks are a tile unless they hold the same component. Pairs that may link join components into candidate groups.
+5. Candidate groups get their whole shingle arrays, again in size-banded tiles: bitmaps first, then exact intersections
+   of sorted arrays of pairs not yet connected; every link for similar_pairs() and link_counts(), which skip step 3.
+6. Components of the links, then of all members of the classes.
+
+What stays quadratic are long lists of very many documents none of which link: their blocks all meet, as bitmaps in tiles.
+Shingles are compared by 64-bit hashes, classes by 128 bits. The number of tasks follows the bytes of the texts.
 
 Results: null text and text without words is an empty set, linked with nothing. Rows with a null id are left out. Repeated
 rows of an id count once each in the result and have the same component. Fewer words than the width: the whole sequence is the one shingle.
-Other columns are not read.
+A text of any length is read whole. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,16 +35,20 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import Frequent, bucket_ids, forget, materialize, shuffle_partitions, slices
+from graphloom.llm.common import Frequent, bucket_ids, forget, materialize, partitions_for, slices
 from graphloom.llm.components import components
 
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
-#: Lists and groups up to these sizes are one tile; larger ones are cut.
-LIST, BLOCK, ELEMENTS = 64, 1024, 1 << 20
+#: Lists and groups up to LIST documents are one tile; larger ones are cut into blocks of so many documents or shingles.
+LIST, BLOCK, ELEMENTS = 64, 256, 1 << 20
+#: How often the documents of long lists are linked in part.
+ROUNDS = 2
+#: The class of frequent shingles, in the upper five bits.
+FREQUENT = 31
 #: A task takes its bucket in so many parts, one at a time, to hold few arrays at once.
 PARTS = 16
 
@@ -117,7 +125,7 @@ def shingles(text: str | None, width: int, order: Order | None = None) -> np.nda
         for k in range(1, min(width, len(h))):
             lowest = np.minimum(lowest, level[k : k + n])
         if len(order.shingles):
-            lowest = np.where(among(x, order.shingles)[0], U(31), lowest)
+            lowest = np.where(among(x, order.shingles)[0], U(FREQUENT), lowest)
         x |= lowest << U(59)
     return np.unique(x)
 
@@ -161,7 +169,7 @@ ENTRIES = "bucket int, shingles binary, docs binary, sizes binary"
 
 
 def entry_rows(batches: Iterator[pa.RecordBatch], ids: list[int], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Prefix shingles with their documents and set sizes, by bucket."""
+    """Prefix shingles that aren't frequent, with their documents and set sizes, by bucket."""
 
     def flush(held: list) -> pa.RecordBatch:
         x, doc, n = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -176,6 +184,7 @@ def entry_rows(batches: Iterator[pa.RecordBatch], ids: list[int], most: int = 1
     for batch in batches:
         for doc, n, head in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "head")), strict=True):
             x = np.frombuffer(head, U)
+            x = x[x >> U(59) != U(FREQUENT)]
             held.append((x, np.full(len(x), doc, np.int64), np.full(len(x), n, np.int32)))
             size += len(x)
             if size >= most:
@@ -185,11 +194,25 @@ def entry_rows(batches: Iterator[pa.RecordBatch], ids: list[int], most: int = 1
         yield flush(held)
 
 
-LISTS = "list long, members int, hub long, doc_id long"
+LONG = "set long, doc_id long, n long"
+
+
+def long_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set, doc_id, n) of frequent prefix shingles, which are the names of their lists."""
+    for batch in batches:
+        heads = [np.frombuffer(h, U) for h in batch.column("head").to_pylist()]
+        heads = [x[x >> U(59) == U(FREQUENT)] for x in heads]
+        count = np.array([len(x) for x in heads])
+        if count.sum():
+            columns = (np.repeat(batch.column(c).to_numpy(), count) for c in ("doc_id", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).astype(np.int64)), *map(pa.array, columns)], names=["set", "doc_id", "n"])
+
+
+LISTS = "list long, members int, doc_id long"
 
 
 def list_rows(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Documents that share a prefix shingle and may link by their sizes: (list, members, smallest document, document), equal lists once."""
+    """Documents that share a prefix shingle and may link by their sizes: (list, members, document), equal lists once."""
     held = [(np.frombuffer(x, U), np.frombuffer(d, np.int64), np.frombuffer(n, np.int32)) for batch in batches for _, x, d, n in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
     if not held:
         return
@@ -219,26 +242,25 @@ def lists_of(x: np.ndarray, doc: np.ndarray, n: np.ndarray, percent: int, seen:
     starts = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
     size = np.diff(np.append(starts, len(x)))
     name = mixed(np.add.reduceat(mixed(doc.astype(U) * ODD[0] + U(1)), starts) + size.astype(U) * ODD[3]).astype(np.int64)
-    hub = np.minimum.reduceat(doc, starts)
     one = np.unique(name, return_index=True)[1]
     one = [k for k, x in zip(one.tolist(), name[one].tolist(), strict=True) if x not in seen]
     seen.update(name[one].tolist())
     keep = np.zeros(len(starts), bool)
     keep[one] = True
-    columns = (np.repeat(name[keep], size[keep]), np.repeat(size[keep], size[keep]).astype(np.int32), np.repeat(hub[keep], size[keep]), doc[np.repeat(keep, size)])
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "members", "hub", "doc_id"])
+    columns = (np.repeat(name[keep], size[keep]), np.repeat(size[keep], size[keep]).astype(np.int32), doc[np.repeat(keep, size)])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "members", "doc_id"])
 
 
-def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.ndarray], arrays: list[np.ndarray] | None, percent: int, every: bool = False) -> list[tuple[int, int]]:
-    """Links that connect what the tile's links connect, or every link; without arrays, pairs that bitmaps don't rule out count as links.
+def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, part: np.ndarray, bits: list[np.ndarray], arrays: list[np.ndarray] | None, percent: int, every: bool = False) -> list[tuple[int, int]]:
+    """Links between parts (components so far) that connect what the tile's links connect, or every link; without arrays, pairs that bitmaps don't rule out count as links.
 
     side: 0 compares with all, 1 only with 2 and 2 only with 1.
     """
     order = np.lexsort((doc, n))
-    doc, n, side = doc[order], n[order], side[order]
+    doc, n, side, part = doc[order], n[order], side[order], part[order]
     words = min(len(b) for b in bits)
     table = np.stack([folded(bits[k], words) for k in order])
-    root, links = np.arange(len(doc)), []
+    root, links = np.unique(part, return_inverse=True)[1], []
     for i in range(1, len(doc)):
         begin = int(np.searchsorted(n, -(-int(n[i]) * percent // 100)))
         among = np.arange(begin, i)
@@ -256,36 +278,39 @@ def spanning(doc: np.ndarray, n: np.ndarray, side: np.ndarray, bits: list[np.nda
                 both.sort()
                 if np.count_nonzero(both[1:] == both[:-1]) < least:
                     continue
-            links.append((int(doc[i]), int(doc[j])))
+            links.append((int(part[i]), int(part[j])))
             if not every:
                 root[root == root[j]] = root[i]
     return links
 
 
+ROW = ("tile", "side", "part", "doc_id", "n", "data")
+
+
 def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool, every: bool = False) -> Iterator[pa.RecordBatch]:
     """Spanning links of each tile, or every link; rows come ordered by tile."""
 
     def links(rows: list) -> list[tuple[int, int]]:
         seen, one = set(), []
         for r in rows:
-            if r[2] not in seen:
-                seen.add(r[2])
+            if r[3] not in seen:
+                seen.add(r[3])
                 one.append(r)
         if len(one) < 2:
             return []
-        doc, n, side = (np.array([r[k] for r in one], np.int64) for k in (2, 3, 1))
-        data = [np.frombuffer(r[4], U) for r in one]
+        side, part, doc, n = (np.array([r[k] for r in one], np.int64) for k in (1, 2, 3, 4))
+        data = [np.frombuffer(r[5], U) for r in one]
         if exact:
             words = bits_of(int(n.min()))
-            return spanning(doc, n, side, [bitmap(x, words) for x in data], data, percent, every)
-        return spanning(doc, n, side, data, None, percent)
+            return spanning(doc, n, side, part, [bitmap(x, words) for x in data], data, percent, every)
+        return spanning(doc, n, side, part, data, None, percent)
 
     def batch_of(found: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
     tile, rows, found = None, [], []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "side", "doc_id", "n", "data")), strict=True):
+        for row in zip(*(batch.column(c).to_pylist() for c in ROW), strict=True):
             if row[0] != tile:
                 found += links(rows)
                 tile, rows = row[0], []
@@ -298,90 +323,145 @@ def tile_rows(batches: Iterator[pa.RecordBatch], percent: int, exact: bool, ever
         yield batch_of(found)
 
 
+def banded(n: Column, percent: int, shift: float = 0.0) -> Column:
+    """The size band of ratio percent / 100; sets that may link are in one band or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9 + shift)).cast("int")
+
+
 def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
-    """(doc_id, tile, side) for rows (set, whole boolean, doc_id, n): a whole set is one tile; others are cut by size bands of ratio percent / 100, a band with the next one, and by pairs of blocks, a block being rows with a load of about 1."""
-    one = rows.where("whole").select("doc_id", F.xxhash64("set", F.lit(-1)).alias("tile"), F.lit(0).alias("side"))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent)) + F.lit(1e-9)).cast("int")
-    cut = rows.where("not whole").withColumn("_own", band).withColumn("_band", F.explode(F.array(F.col("_own"), F.col("_own") - 1)))
-    counts = cut.groupBy("set", "_band").agg(F.ceil(F.sum(load)).cast("int").alias("_blocks"))
-    dealt = cut.join(counts, ["set", "_band"]).withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
-    paired = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    p, q = F.least("_block", "_with"), F.greatest("_block", "_with")
-    side = F.when(F.col("_block") == F.col("_with"), 0).when(F.col("_block") < F.col("_with"), 1).otherwise(2)
-    return one.unionByName(paired.select("doc_id", F.xxhash64("set", "_band", p, q).alias("tile"), side.alias("side")))
+    """(doc_id, part, tile, side) for rows (set, whole boolean, doc_id, n, part): a whole set is one tile; others are cut by size bands, a
+    band with the next one, and by pairs of blocks with a load of about 1. Parts that fill blocks have blocks of their own, which don't meet each other."""
+    one = rows.where("whole").select("doc_id", "part", F.xxhash64("set", F.lit(-1)).alias("tile"), F.lit(0).alias("side"))
+    own = banded(F.col("n"), percent)
+    cut = rows.where("not whole").withColumn("_band", F.explode(F.array(own, own - 1)))
+    loads = cut.groupBy("set", "_band", "part").agg(F.sum(load).alias("_load"))
+    big = F.col("_load") >= 1
+    mixed_blocks = F.greatest(F.ceil(F.sum(F.when(~big, F.col("_load"))).over(Window.partitionBy("set", "_band"))), F.lit(1))
+    placed = loads.select("set", "_band", "part", big.alias("_pure"), F.when(big, F.ceil("_load")).otherwise(mixed_blocks).cast("int").alias("_blocks"))
+    turn = F.pmod(F.when(F.col("_pure"), F.xxhash64("doc_id")).otherwise(F.xxhash64("part")), F.col("_blocks"))
+    dealt = cut.join(placed, ["set", "_band", "part"]).select("set", "_band", "doc_id", "part", F.when(F.col("_pure"), F.col("part")).alias("_of"), turn.alias("_turn"))
+    dealt = dealt.withColumn("_block", F.xxhash64("_of", "_turn"))
+    blocks = dealt.groupBy("set", "_band", "_block", "_of").agg(F.min("part").alias("_low"), F.max("part").alias("_high"))
+    left = blocks.select("set", "_band", F.col("_block").alias("_p"), F.col("_of").alias("_of_p"), F.col("_low").alias("_low_p"), F.col("_high").alias("_high_p"))
+    right = blocks.select("set", "_band", F.col("_block").alias("_q"), "_of", "_low", "_high")
+    met = left.join(right, ["set", "_band"]).where("_p <= _q and not (_low = _high and _low_p = _high_p and _low = _low_p)")
+    ends = [(F.col("_p").alias("_block"), F.when(F.col("_p") == F.col("_q"), 0).otherwise(1)), (F.col("_q").alias("_block"), F.lit(2))]
+    sides = [met.where("true" if k == 0 else "_p <> _q").select("set", "_band", at, F.xxhash64("set", "_band", "_p", "_q").alias("tile"), side.alias("side")) for k, (at, side) in enumerate(ends)]
+    return one.unionByName(dealt.join(sides[0].unionByName(sides[1]), ["set", "_band", "_block"]).select("doc_id", "part", "tile", "side"))
+
+
+def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: bool = False) -> DataFrame:
+    """Links (a, b) between parts, of rows (tile, side, part, doc_id, n, data); the only shuffle that carries data."""
+    return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact, every), "a long, b long")
+
+
+def with_arrays(narrow: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
+    """Rows of exact tiles for placed (doc_id, part, tile, side)."""
+    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "part")).alias("places"))
+    return narrow.join(places, "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, part long, doc_id long, n long, data binary")
+
+
+def first_places(long: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, part, tile, side): each document of long lists in ROUNDS tiles of at most about BLOCK documents."""
+    placed = None
+    for k in range(ROUNDS):
+        one = long.groupBy("doc_id", "n").agg(F.min_by("set", F.xxhash64("set", F.lit(k))).alias("set")).withColumn("_band", banded(F.col("n"), percent, k / ROUNDS))
+        counts = one.groupBy("set", "_band").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).alias("_blocks"))
+        turn = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.col("_blocks"))
+        part = one.join(counts, ["set", "_band"]).select("doc_id", F.col("doc_id").alias("part"), F.xxhash64("set", "_band", turn, F.lit(k)).alias("tile"), F.lit(0).alias("side"))
+        placed = part if placed is None else placed.unionByName(part)
+    return placed
 
 
-def tile_links(dealt: DataFrame, percent: int, exact: bool, every: bool = False) -> DataFrame:
-    """Links of rows (tile, side, doc_id, n, data); the only shuffle that carries data."""
-    return dealt.repartition(shuffle_partitions(dealt.sparkSession), "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact, every), "a long, b long")
+@dataclass(frozen=True)
+class Met:
+    """What a join has before its exact tiles' links: each text's set, each class's representative, each representative's component so far, the rows of the exact tiles."""
+
+    sets: DataFrame
+    firsts: DataFrame
+    parts: DataFrame
+    arrays: DataFrame
+    tasks: int
 
 
-def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(each text's set, each class's representative, rows of the exact tiles): any two representatives that link share a tile."""
+def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str, every: bool = False) -> Met:
+    """Any two representatives that link share a tile or, unless every link is wanted, a component so far."""
     spark = docs.sparkSession
-    tasks = shuffle_partitions(spark)
-    ids = bucket_ids(spark, tasks)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    tasks = partitions_for(narrow, "text")
+    ids = bucket_ids(spark, tasks)
     order = learn_order(narrow, width)
     sets, _ = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent, order), SETS), "sets")
-    classes = sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id"))
-    firsts, _ = materialize(classes, "classes")
-    chosen = sets.join(firsts.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    firsts, _ = materialize(sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id")), "classes")
+    able = sets.where(F.col("n") * 100 >= (F.col("n") + 1) * percent)
+    chosen = able.join(firsts.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    heads = chosen.select("doc_id", "n", "head")
+    sizes, _ = materialize(chosen.select("doc_id", "n").distinct(), "sizes")
 
-    entries = chosen.select("doc_id", "n", "head").mapInArrow(lambda b: entry_rows(b, ids), ENTRIES).repartition(tasks, "bucket")
+    entries = heads.mapInArrow(lambda b: entry_rows(b, ids), ENTRIES).repartition(tasks, "bucket")
     lists, _ = materialize(entries.mapInArrow(lambda b: list_rows(b, percent), LISTS).distinct(), "lists")
-    merged = components(lists.where(f"members > {LIST} and hub != doc_id"), "hub", "doc_id")
-    met = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), F.lit(True).alias("whole"), "doc_id").unionByName(merged.select(F.col("component").alias("set"), F.lit(False).alias("whole"), F.col("node").alias("doc_id")))
-    sizes, _ = materialize(chosen.select("doc_id", "n"), "sizes")
-    dealt = tiles(met.join(sizes, "doc_id"), F.lit(1.0 / BLOCK), percent)
-    bounded = dealt.join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
-    candidates = components(tile_links(bounded, percent, exact=False))
-
-    counts = candidates.groupBy("component").agg(F.count("*").alias("_members"))
-    grouped = candidates.join(counts, "component").select(F.col("component").alias("set"), (F.col("_members") <= LIST).alias("whole"), F.col("node").alias("doc_id"))
-    placed = tiles(grouped.join(sizes, "doc_id"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
-    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side")).alias("places"))
-    arrays = narrow.join(places, "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, doc_id long, n long, data binary")
-    return sets, firsts, arrays
+    unlisted = lists.where(f"members > {LIST}").select(F.col("list").alias("set"), "doc_id").join(sizes, "doc_id").select("set", "doc_id", "n")
+    long, _ = materialize(heads.mapInArrow(long_rows, LONG).unionByName(unlisted), "long")
+
+    parts = sizes.withColumn("part", F.col("doc_id"))
+    if not every and not long.isEmpty():
+        linked = components(tile_links(with_arrays(narrow, first_places(long, percent), width, order), percent, tasks, exact=True))
+        joined = sizes.join(linked.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        parts, _ = materialize(joined.select("doc_id", "n", F.coalesce("component", "doc_id").alias("part")), "parts")
+
+    short = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(True))
+    far = long.select("set", "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(False))
+    about = far.groupBy("set").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("doc_id")).alias("_x"), F.sum(F.col("doc_id").cast("decimal(38,0)")).alias("_s"), F.min("part").alias("_low"), F.max("part").alias("_high"))
+    open_ = about.where("_low <> _high").groupBy("_n", "_x", "_s").agg(F.min("set").alias("set")).select("set")  # of several parts, equal lists once
+    met = short.unionByName(far.join(open_, "set", "left_semi").select(*short.columns))
+    bounded = tiles(met, F.lit(1.0 / BLOCK), percent).join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
+    candidates = components(tile_links(bounded, percent, tasks, exact=False))
+
+    grouped = parts.join(candidates.select(F.col("node").alias("part"), F.col("component").alias("set")), "part")
+    counts = grouped.groupBy("set").agg(F.count("*").alias("_members"))
+    groups = grouped.join(counts, "set").withColumn("whole", F.col("_members") <= LIST)
+    placed = tiles(groups.select("set", "whole", "doc_id", "n", "part"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
+    return Met(sets, firsts, parts, with_arrays(narrow, placed, width, order), tasks)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id): class_id is the smallest doc_id with an equal set, component_id the smallest reached by links."""
-    sets, firsts, arrays = exact_tiles(docs, width, percent, key, text)
-    linked = components(tile_links(arrays, percent, exact=True))
+    found = exact_tiles(docs, width, percent, key, text)
+    known = found.parts.where("part <> doc_id").select(F.col("part").alias("a"), F.col("doc_id").alias("b"))
+    linked = components(tile_links(found.arrays, percent, found.tasks, exact=True).unionByName(known))
+    sets, firsts = found.sets, found.firsts
 
     named = firsts.join(linked.withColumnRenamed("node", "class_id"), "class_id", "left").select("n", "low", "high", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     members = sets.select("doc_id", "n", "low", "high").join(named, ["n", "low", "high"], "left")
     return members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def every_link(arrays: DataFrame, percent: int) -> DataFrame:
+def every_link(found: Met, percent: int) -> DataFrame:
     """(a, b), a < b, of the exact tiles, once however many tiles two documents share."""
-    return tile_links(arrays, percent, exact=True, every=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return tile_links(found.arrays, percent, found.tasks, exact=True, every=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar_pairs(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b), a < b: every pair of class representatives that links, once; near_duplicates() has the members of the classes. As many rows as there are such pairs, so the square of a group of similar texts with different sets."""
-    return every_link(exact_tiles(docs, width, percent, key, text)[2], percent)
+    return every_link(exact_tiles(docs, width, percent, key, text, every=True), percent)
 
 
 def link_counts(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(class_id, n_links): for each class of texts with words, how many other classes it links with."""
-    _, firsts, arrays = exact_tiles(docs, width, percent, key, text)
-    counted = every_link(arrays, percent).select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    found = exact_tiles(docs, width, percent, key, text, every=True)
+    firsts, counted = found.firsts, every_link(found, percent).select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     return firsts.select("class_id").join(counted, "class_id", "left").select("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Each document's shingles, once for each of its tiles."""
-    names = ("tile", "side", "doc_id", "n", "data")
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    names, kinds = ROW, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     rows, size = [], 0
     for batch in slices(batches, "text", 4 << 20):
         for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places")), strict=True):
             x = shingles(text, width, order)
             for place in places:
-                rows.append((place["tile"], place["side"], doc, len(x), x.tobytes()))
+                rows.append((place["tile"], place["side"], place["part"], doc, len(x), x.tobytes()))
                 size += x.nbytes
                 if size >= most_bytes:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
