@@ -8,7 +8,7 @@ only sample, everything else covers all rows. The threshold is the quantile of t
 of the training labels; strengths are mapped to scores by a sigmoid that puts this threshold at 0.3.
 
 Results: null or empty text has the features of empty text and a score. Null labels or ids are left out of the fit; an id
-labelled twice counts with its smaller label, one with several texts with the smallest of them. Without both labels every score is 0.5. Rows keep all their columns, whatever their names;
+labelled twice counts with its smaller label, one with several texts with the smallest of their features. Without both labels every score is 0.5. Rows keep all their columns, whatever their names;
 the score's column is named by the caller. Repeated rows give equal scores. A very long text is measured whole. An empty table is scored to no rows.
 """
 
@@ -125,8 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, key:
         return x.map(lambda t: features(t or ""))
 
     found = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
-    single = found.groupBy("_key", "_label").agg(F.min("_text").alias("_text"))
-    rows = single.select("_key", "_label", measured("_text").alias("x")).toPandas().sort_values("_key")
+    single = found.select("_key", "_label", measured("_text").alias("x")).groupBy("_key", "_label").agg(F.min("x").alias("x"))
+    rows = single.toPandas().sort_values("_key")
     x = np.array(rows["x"].tolist(), float).reshape(-1, len(NAMES))
     return fit(x, rows["_label"].to_numpy(int))
 
