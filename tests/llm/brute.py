@@ -5,6 +5,8 @@ import re
 from collections import defaultdict
 
 import public_tokenizers
+import tiktoken
+import tiktoken.load
 
 ODD_DOCS = [
     (1, "The quick brown fox jumps over the lazy dog. " * 8, "x"),
@@ -70,6 +72,27 @@ def repeats(docs, length=50):
     return found
 
 
+def section_counts(text):
+    """Tokens of each line of a text, with its line end: by walking tokens' bytes and counting characters, ties to the earlier line."""
+    library = tiktoken.Encoding("brute", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(RANKS), special_tokens={})
+    lines = text.split("\n")
+    lines = [x + "\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] or len(lines) == 1 else [])
+    line_of = [k for k, x in enumerate(lines) for _ in x]
+    char_of = [k for k, c in enumerate(text) for _ in c.encode()]
+    ids, at = library.encode_ordinary(text), 0
+    counts, crossing = [0.0] * len(lines), [0] * len(lines)
+    for i in ids:
+        size = len(library.decode_single_token_bytes(i))
+        touched = [line_of[c] for c in dict.fromkeys(char_of[at : at + size])]
+        own = sorted(set(touched), key=lambda k: (-touched.count(k), k))
+        counts[own[0]] += 1
+        for k in own if len(own) > 1 else ():
+            crossing[k] += 1
+        at += size
+    ends = [sum(map(len, lines[: k + 1])) for k in range(len(lines))]
+    return {k: (ends[k] - len(x), ends[k], counts[k], crossing[k], len(ids)) for k, x in enumerate(lines)}
+
+
 def frame(spark, docs=ODD_DOCS):
     """A documents table with columns that clash with those the operators make."""
     from pyspark.sql import functions as F
