@@ -21,14 +21,18 @@ def constant(value: str) -> Column:
     return F.col(f"`{value.removeprefix('source.')}`").cast("string") if value.startswith("source.") else F.lit(value)
 
 
-def targets(sources: DataFrame, rule: Rule, *keep: str) -> DataFrame:
-    """One row per target: `keep` columns, the target's properties as columns, and `extracted` for extraction rules. Constants win over extracted values."""
+def targets(sources: DataFrame, rule: Rule, *keep: str, child: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """One row per target: `keep` columns, the target's properties as columns, and `extracted` for extraction rules, whose rows are an array of the source or a table of their own (child, key), joined by a column of the source. Constants win over extracted values."""
     fixed = {name: constant(value) for name, value in rule.constants}
     if rule.specifier == "shared":
         given = {name: F.col(f"`{name}`") for name in rule.shared}
         return sources.select(*keep, *(c.alias(n) for n, c in {**given, **fixed}.items()))
     if rule.specifier == "extraction":
-        each = sources.withColumn("extracted", F.explode(rule.name))
+        if child is None:
+            each = sources.withColumn("extracted", F.explode(rule.name))
+        else:
+            rows, key = child
+            each = sources.join(rows.select(key, F.struct(*(c for c in rows.columns if c != key)).alias("extracted")), key)
         fields = each.schema["extracted"].dataType.names
         given = {n: F.col(f"extracted.{n}") for n in fields if n not in keep}
         return each.select(*keep, "extracted", *(c.alias(n) for n, c in {**given, **fixed}.items()))
@@ -99,12 +103,12 @@ def edges(linked: DataFrame, entry: EdgeEntry, inbound: bool = False) -> DataFra
     )
 
 
-def follow(sources: DataFrame, entry: VertexEntry, rule: Rule, schema: Schema, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new target vertices, edges) of one rule. sources: vertices of entry beside the columns its rules read. known: vertices of the target type, with their properties as columns."""
+def follow(sources: DataFrame, entry: VertexEntry, rule: Rule, schema: Schema, known: DataFrame | None = None, child: tuple[DataFrame, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new target vertices, edges) of one rule. sources: vertices of entry beside the columns its rules read. known: vertices of the target type, with their properties as columns. child: see targets()."""
     target = schema.vertices[rule.target_type]
     own = sources.withColumnsRenamed({"internal_id": "source_id", "props": "source_props", "object_type": "source_type"})
     keep = ["source_id", "source_type", "source_props"]
-    rows = targets(own, rule, *keep)
+    rows = targets(own, rule, *keep, child=child)
     extra = ["extracted"] if "extracted" in rows.columns else []
     names = tuple(p.name for p in target.properties if p.name in rows.columns)
     made = build(rows.withColumn("_given", F.struct(*names)), target, (*keep, *extra, "_given"))

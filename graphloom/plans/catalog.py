@@ -63,9 +63,9 @@ ORDERS = Schema(
 
 
 def order_graph(spark: SparkSession, d: str) -> Graph:
-    contents = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id_value")).agg(F.collect_set(F.struct(F.col("l_partkey").alias("id_value"))).alias("contents"))
-    orders = t(spark, d, "orders").select(F.lit("TPC").alias("id_source"), F.lit("Order").alias("id_type"), F.col("o_orderkey").alias("id_value"), F.col("o_custkey").alias("customer"))
-    return assimilate({"Order": orders.join(contents, "id_value", "left")}, ORDERS)
+    contents = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_key"), F.col("l_partkey").alias("id_value"))
+    orders = t(spark, d, "orders").select(F.lit("TPC").alias("id_source"), F.lit("Order").alias("id_type"), F.col("o_orderkey").alias("id_value"), F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"))
+    return assimilate({"Order": orders}, ORDERS, children={"contents": (contents, "order_key")})
 
 
 KEY = "md5('TPC' || '{0}' || CAST({1} AS VARCHAR))"

@@ -36,8 +36,8 @@ def distinct_edges(parts: list[DataFrame], schema: Schema) -> DataFrame:
     return plain.select("edge_label", "internal_id", "src_id", "dst_id", F.create_map().cast("map<string,string>").alias("props"), "inbound")
 
 
-def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None) -> Graph:
-    """extracted: rows by vertex type (with the arrays that extraction rules name; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target id are kept apart, as stub edges."""
+def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None, children: dict[str, tuple[DataFrame, str]] | None = None) -> Graph:
+    """extracted: rows by vertex type (with the arrays that extraction rules name, or those in `children`, tables by rule name with the column that joins them; columns that rules read can't have a vertex column's name). Vertices that several rules make are one row, complete ones before stubs; edges without a target id are kept apart, as stub edges."""
     vertices, edges, hidden = [], [], []
     for name, rows in extracted.items():
         entry = schema.vertices[name]
@@ -48,7 +48,7 @@ def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str,
             hidden.append(secrets(rows, entry))
         for rule in entry.rules:
             own = sources.select("internal_id", "props", "object_type", *wanted)
-            new, linked = follow(own, entry, rule, schema, (known or {}).get(rule.target_type))
+            new, linked = follow(own, entry, rule, schema, (known or {}).get(rule.target_type), (children or {}).get(rule.name))
             vertices.append(new.select(*VERTEX))
             edges.append(linked)
     best = union(vertices).where("internal_id is not null").groupBy("internal_id").agg(F.max_by(F.struct(*VERTEX), F.struct(F.col("is_complete"), ~F.col("is_stub"), F.size("props"))).alias("v")).select("v.*")
