@@ -1,6 +1,6 @@
 """Token ids in files of length-delimited binary records.
 
-A shard holds one record per document in ascending doc_id order (null ids first, ties by text):
+A shard holds one record per document in ascending doc_id order (null ids first, ties by the hash of their texts, then by text):
     uint64 length | uint32 masked crc of those 8 bytes | payload | uint32 masked crc of the payload
 with all numbers little-endian and payload = int64 doc_id, then the ids in the shard's width (two bytes if the vocabulary
 fits, else four). A shard's index file holds a header (magic, width, records) and per record: uint64 offset, int64
@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from graphloom.llm.byte_bpe import splitter
@@ -154,7 +155,8 @@ def write(docs: DataFrame, folder: str, path: str, pattern: str, end_id: int = 0
             listed = {"shard": [task.partitionId()], "path": [f"{name}.rec"], "index": [f"{name}.idx"], "width": [of.width], "records": [len(index)], "tokens": [tokens]}
             yield pa.RecordBatch.from_pydict(listed, pa.schema([("shard", pa.int32()), ("path", pa.string()), ("index", pa.string()), ("width", pa.int32()), ("records", pa.int64()), ("tokens", pa.int64())]))
 
-    ordered = docs.select(key, text).repartitionByRange(key, text).sortWithinPartitions(key, text)
+    place = F.xxhash64(text)  # so that many rows of one id are many shards; short, as the driver samples what ranges are cut by
+    ordered = docs.select(key, text).repartitionByRange(F.col(key), place).sortWithinPartitions(F.col(key), place, F.col(text))
     manifest = sorted((r.asDict() for r in ordered.mapInArrow(run, MANIFEST).collect()), key=lambda r: r["shard"])
     files, base = store(folder)
     listed = {p for r in manifest for p in (r["path"], r["index"])}
