@@ -14,7 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Ask the session for Arrow batches of at most BATCH_BYTES, as rows may be long texts: both sides of every Python stage hold whole batches. Changes memory, never results."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name).rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,6 +74,7 @@ def cleaning(spark: SparkSession) -> Iterator[None]:
 def materialize(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors, and the shuffle files that made them go at once."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = new_folder(spark, tag)
     schema = df.schema
     with cleaning(spark):

@@ -8,6 +8,8 @@ Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent
    below. Sets too small to link with any other set end here.
 2. Representatives meet where they share a prefix shingle. Short lists of documents are made bucket by bucket; equal ones, as near
    copies leave many, count once. Frequent shingles have long lists: these stay rows and are never put together in one task.
+   Long lists with the same smallest hashed document, as near copies leave many, are one list: lists that hardly differ mostly
+   have it in common, and no document brings together more lists than it is in.
 3. Long lists are linked in part first: each of their documents goes to one tile of its list, twice with other lists, bands and blocks,
    and exact links there give components so far. That joins a group of near copies, however large, at a cost linear in its size.
 4. Size-banded tiles then bound overlaps from bitmaps: a bit that is set in one bitmap and not in the other is a shingle
@@ -44,7 +46,7 @@ from graphloom.llm.components import components
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 #: Lists and groups up to LIST documents are one tile; larger ones are cut into blocks of so many documents or shingles.
-LIST, BLOCK, ELEMENTS = 64, 256, 1 << 20
+LIST, BLOCK, ELEMENTS = 64, 512, 1 << 20
 #: How often the documents of long lists are linked in part.
 ROUNDS = 2
 #: The class of frequent shingles, in the upper five bits.
@@ -401,7 +403,9 @@ def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str,
     entries = heads.mapInArrow(lambda b: entry_rows(b, ids), ENTRIES).repartition(tasks, "bucket")
     lists, _ = materialize(entries.mapInArrow(lambda b: list_rows(b, percent), LISTS).distinct(), "lists")
     unlisted = lists.where(f"members > {LIST}").select(F.col("list").alias("set"), "doc_id").join(sizes, "doc_id").select("set", "doc_id", "n")
-    long, _ = materialize(heads.mapInArrow(long_rows, LONG).unionByName(unlisted), "long")
+    each, _ = materialize(heads.mapInArrow(long_rows, LONG).unionByName(unlisted), "each")
+    named = each.groupBy("set").agg(F.min(F.xxhash64("doc_id")).alias("_name"))
+    long, _ = materialize(each.join(named, "set").select(F.col("_name").alias("set"), "doc_id", "n").distinct(), "long")
 
     parts = sizes.withColumn("part", F.col("doc_id"))
     if not every and not long.isEmpty():
@@ -411,8 +415,7 @@ def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str,
 
     short = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(True))
     far = long.select("set", "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(False))
-    about = far.groupBy("set").agg(F.count("*").alias("_n"), F.bit_xor(F.xxhash64("doc_id")).alias("_x"), F.sum(F.col("doc_id").cast("decimal(38,0)")).alias("_s"), F.min("part").alias("_low"), F.max("part").alias("_high"))
-    open_ = about.where("_low <> _high").groupBy("_n", "_x", "_s").agg(F.min("set").alias("set")).select("set")  # of several parts, equal lists once
+    open_ = far.groupBy("set").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high").select("set")
     met = short.unionByName(far.join(open_, "set", "left_semi").select(*short.columns))
     bounded = tiles(met, F.lit(1.0 / BLOCK), percent).join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
     candidates = components(tile_links(bounded, percent, tasks, exact=False))
