@@ -11,18 +11,18 @@ from graphloom.llm.common import forget, materialize
 def components(links: DataFrame, left: str = "a", right: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, component): every node of a link with the smallest node that it reaches.
 
-    Each round hangs all larger neighbours of a node below the smallest one around it (large star), then does the same
-    for the smaller ones (small star), until nothing changes; minima are aggregated before the shuffle, so a hub with any number of
-    links is one row per task. Each round's links are written to the shared folder. Links to oneself and nulls are ignored.
+    Links are kept as (v, u) with u < v. Each round hangs all larger neighbours of a node below the smallest one around it (large
+    star), then does the same for the smaller ones (small star), until nothing changes. Minima are aggregated before the shuffle; a hub
+    has many rows on the left side of the join that follows, which adaptive execution splits. Each round's links are written to
+    the shared folder. Links to oneself and nulls are ignored.
     """
     spark = links.sparkSession
     pairs = links.select(F.greatest(left, right).alias("v"), F.least(left, right).alias("u")).where(f"`{left}` is not null and `{right}` is not null").where("u != v").distinct()
     now, path = materialize(pairs, "links")
     seen = None
     for _ in range(most_rounds):
-        both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least("v", F.min("u")).alias("m"))
-        large = both.where("u > v").join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        least = now.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("m"))  # the smallest node around one that isn't the smallest itself
+        large = now.join(least, "u", "left").select("v", F.coalesce("m", "u").alias("u")).distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v")
         stars = small.select("v", F.col("m").alias("u")).unionByName(small.where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))).distinct()
