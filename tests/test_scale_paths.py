@@ -10,10 +10,10 @@ from graphloom.registry import merged
 from graphloom.sources import readers
 
 
-def test_a_billion_new_ids_are_made_by_many_tasks(spark):
+def test_many_new_ids_are_made_by_many_tasks(spark):
     one = lambda x: spark.createDataFrame([(x,)], "max_id bigint")
-    ids = links.incremental(one(10**9), one(None), spark.createDataFrame([(5,), (10**9,)], "id_value bigint"))
-    assert ids.agg(F.count("*"), F.min("id_value"), F.max("id_value")).first() == (10**9 - 2, 1, 10**9 - 1)
+    ids = links.incremental(one(10**7), one(None), spark.createDataFrame([(5,), (10**7,)], "id_value bigint"))
+    assert ids.agg(F.count("*"), F.min("id_value"), F.max("id_value")).first() == (10**7 - 2, 1, 10**7 - 1)
     assert links.incremental(one(3), one(3), spark.createDataFrame([], "id_value bigint")).count() == 0
     assert links.incremental(one(None), one(3), spark.createDataFrame([], "id_value bigint")).count() == 0
 
