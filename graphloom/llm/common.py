@@ -44,7 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/graphloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+    """A new folder below the application's own one in the shared folder, which goes when the driver's JVM ends."""
+    base = f"{shared_dir(spark)}/graphloom/{spark.sparkContext.applicationId}"
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(own)
+    files.deleteOnExit(own)
+    return f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
