@@ -24,7 +24,12 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
-    """A new folder below the shared checkpoint folder."""
+    """A new folder below the application's own one in the shared checkpoint folder, which goes when the driver's JVM ends."""
     ensure_checkpoints(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return f"{base.rstrip('/')}/graphloom/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    base = f"{shared.rstrip('/')}/graphloom/{spark.sparkContext.applicationId}"
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(own)
+    files.deleteOnExit(own)
+    return f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
