@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphloom.operators import changes, history, links, matching, reading, rules, vertices
+from graphloom.plans import catalog
 from graphloom.plans.graph_etl import assimilate, upsert
 from graphloom.registry import arguments, merged
 from graphloom.schema import EdgeEntry, EdgeProperty, Property, Rule, Schema, SchemaError, VertexEntry, newer
@@ -163,3 +164,14 @@ def test_a_frequent_name_costs_its_distinct_numbers(spark):
     rows = spark.range(20_000).selectExpr("id", "cast(id % 3 + 1 as string) as medicaid", "'Ann' as first_name", "'Lee' as last_name")
     found = matching.patient_match(rows.withColumnRenamed("id", "record_id"), rows.withColumnRenamed("id", "client_id"))
     assert {(r["matches"], r["outcome"]) for r in found.select("matches", "outcome").distinct().collect()} == {(6667, "duplicate"), (6666, "duplicate")}
+
+
+def test_extraction_from_a_table_equals_extraction_from_an_array(spark):
+    orders = spark.createDataFrame([(1, 10), (2, 11), (3, 12)], "id_value long, customer long").select(F.lit("TPC").alias("id_source"), F.lit("Order").alias("id_type"), "id_value", "customer", F.col("id_value").alias("order_key"))
+    parts = spark.createDataFrame([(1, 5), (1, 6), (1, 6), (2, 5), (9, 7)], "order_key long, id_value long")
+    arrays = parts.groupBy("order_key").agg(F.collect_set(F.struct("id_value")).alias("contents"))
+    one = assimilate({"Order": orders.join(arrays, "order_key", "left")}, catalog.ORDERS)
+    two = assimilate({"Order": orders}, catalog.ORDERS, children={"contents": (parts, "order_key")})
+    columns = ("edge_label", "internal_id", "src_id", "dst_id")
+    assert sorted(map(tuple, one.edges.select(*columns).collect())) == sorted(map(tuple, two.edges.select(*columns).collect())) and two.edges.count() == 6
+    assert {r[0] for r in one.vertices.select("internal_id").collect()} == {r[0] for r in two.vertices.select("internal_id").collect()}
