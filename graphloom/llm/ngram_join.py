@@ -332,14 +332,17 @@ def banded(n: Column, percent: int, shift: float = 0.0) -> Column:
 
 def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
     """(doc_id, part, tile, side) for rows (set, whole boolean, doc_id, n, part): a whole set is one tile; others are cut by size bands, a
-    band with the next one, and by pairs of blocks with a load of about 1. Parts that fill blocks have blocks of their own, which don't meet each other."""
+    band with the next one, and by pairs of blocks with a load of about 1. Parts that fill blocks have blocks of their own, which don't meet each other.
+
+    What each set's parts and blocks are is written first: these tables have no row per document, and the rows are joined with them by a
+    broadcast if they are small or a join whose large groups adaptive execution splits."""
     one = rows.where("whole").select("doc_id", "part", F.xxhash64("set", F.lit(-1)).alias("tile"), F.lit(0).alias("side"))
     own = banded(F.col("n"), percent)
     cut = rows.where("not whole").withColumn("_band", F.explode(F.array(own, own - 1)))
     loads = cut.groupBy("set", "_band", "part").agg(F.sum(load).alias("_load"))
     big = F.col("_load") >= 1
     mixed_blocks = F.greatest(F.ceil(F.sum(F.when(~big, F.col("_load"))).over(Window.partitionBy("set", "_band"))), F.lit(1))
-    placed = loads.select("set", "_band", "part", big.alias("_pure"), F.when(big, F.ceil("_load")).otherwise(mixed_blocks).cast("int").alias("_blocks"))
+    placed, _ = materialize(loads.select("set", "_band", "part", big.alias("_pure"), F.when(big, F.ceil("_load")).otherwise(mixed_blocks).cast("int").alias("_blocks")), "turns")
     turn = F.pmod(F.when(F.col("_pure"), F.xxhash64("doc_id")).otherwise(F.xxhash64("part")), F.col("_blocks"))
     dealt = cut.join(placed, ["set", "_band", "part"]).select("set", "_band", "doc_id", "part", F.when(F.col("_pure"), F.col("part")).alias("_of"), turn.alias("_turn"))
     dealt = dealt.withColumn("_block", F.xxhash64("_of", "_turn"))
@@ -348,6 +351,7 @@ def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
     right = blocks.select("set", "_band", F.col("_block").alias("_q"), "_of", "_low", "_high")
     met = left.join(right, ["set", "_band"]).where("_p <= _q and not (_low = _high and _low_p = _high_p and _low = _low_p)")
     ends = [(F.col("_p").alias("_block"), F.when(F.col("_p") == F.col("_q"), 0).otherwise(1)), (F.col("_q").alias("_block"), F.lit(2))]
+    met, _ = materialize(met.select("set", "_band", "_p", "_q"), "met")
     sides = [met.where("true" if k == 0 else "_p <> _q").select("set", "_band", at, F.xxhash64("set", "_band", "_p", "_q").alias("tile"), side.alias("side")) for k, (at, side) in enumerate(ends)]
     return one.unionByName(dealt.join(sides[0].unionByName(sides[1]), ["set", "_band", "_block"]).select("doc_id", "part", "tile", "side"))
 
