@@ -362,9 +362,9 @@ def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: b
 
 
 def with_arrays(narrow: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
-    """Rows of exact tiles for placed (doc_id, part, tile, side). Places are written first: Spark knows their size then, and texts are shuffled only if there are many."""
-    places, _ = materialize(placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "part")).alias("places")), "places")
-    return narrow.join(places, "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, part long, doc_id long, n long, data binary")
+    """Rows of exact tiles for placed (doc_id, part, tile, side). Texts and places are shuffled, as on large tables, whatever their size."""
+    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "part")).alias("places"))
+    return narrow.join(places.hint("shuffle_merge"), "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, part long, doc_id long, n long, data binary")
 
 
 def first_places(long: DataFrame, percent: int) -> DataFrame:
