@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import audio, byte_bpe, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters
+from graphloom.llm import audio, byte_bpe, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters
 from graphloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -77,7 +77,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files)}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0, F.lit(False))
+    proven = merkle.of_documents(table(spark, sf_dir, "documents"), lambda text: F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text))
+    found = proven.select(F.col("key").alias("doc_id"), F.col("node").alias("leaf"), "subroot", "root", merkle.proof_digest(F.col("left"), F.col("right")).alias("proof_sha256"), merkle.folded(F.col("altered"), F.col("left"), F.col("right")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files, op11_merkle)}
 ORACLES: dict[str, str] = {
     "op4_topk": """
         WITH clean AS (
@@ -145,4 +152,48 @@ ORACLES: dict[str, str] = {
         SELECT s.doc_id, s.n AS n_bytes, coalesce(c.n_removed, 0) AS n_removed, coalesce(c.n_spans, 0) AS n_spans, sha256(unhex(coalesce(c.kept, ''))) AS kept_sha256
         FROM sized s LEFT JOIN cut c ON c.doc_id = s.doc_id
     """,
+    "op11_merkle": r"""
+        WITH RECURSIVE checked AS (
+            SELECT *, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+                lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::BIGINT) AS crc
+            FROM documents),
+        texts AS (SELECT *, CASE WHEN crc % 2 = 1 THEN replace(text, chr(10), '') ELSE text END AS altered FROM checked),  -- the final complement turns 1 into 0
+        fields AS (
+            SELECT doc_id, source, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text, altered], lambda v: CASE WHEN v IS NULL THEN '-' ELSE CAST(octet_length(encode(v)) AS VARCHAR) || ':' || v END) AS f FROM texts),
+        leaves AS (
+            SELECT doc_id, source, sha256(f[1] || f[2] || f[3] || f[4] || f[5]) AS leaf, sha256(f[1] || f[2] || f[3] || f[4] || f[6]) AS altered FROM fields),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+        tree AS (
+            SELECT 0 AS level, source, idx, leaf AS h, n FROM ranked
+            UNION ALL
+            SELECT level + 1, source, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM tree WHERE n > 1 GROUP BY level, source, idx // 3),
+        subroots AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM tree WHERE n = 1),
+        top AS (
+            SELECT 0 AS level, idx, h, n FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM top WHERE n > 1 GROUP BY level, idx // 3),
+        beside AS (
+            SELECT level, source, idx, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM tree WHERE n > 1 WINDOW r AS (PARTITION BY source, level, idx // 3 ORDER BY idx)),
+        beside_top AS (
+            SELECT level, idx, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM top WHERE n > 1 WINDOW r AS (PARTITION BY level, idx // 3 ORDER BY idx)),
+        walk AS (
+            SELECT idx AS place, source, 0 AS level, idx, altered AS h, '' AS proof FROM ranked
+            UNION ALL
+            SELECT place, w.source, w.level + 1, w.idx // 3, sha256(b.l || w.h || b.r), proof || b.l || b.r
+            FROM walk w JOIN beside b ON b.source IS NOT DISTINCT FROM w.source AND b.level = w.level AND b.idx = w.idx),
+        climbed AS (SELECT place, source, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM walk GROUP BY place, source),
+        walk_top AS (
+            SELECT c.place, c.source, 0 AS level, s.idx, c.h, c.proof FROM climbed c JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+            UNION ALL
+            SELECT place, source, w.level + 1, w.idx // 3, sha256(b.l || w.h || b.r), proof || b.l || b.r
+            FROM walk_top w JOIN beside_top b ON b.level = w.level AND b.idx = w.idx),
+        done AS (SELECT place, source, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM walk_top GROUP BY place, source)
+        SELECT r.doc_id, r.leaf, s.h AS subroot, t.h AS root, sha256(d.proof) AS proof_sha256, d.h AS folded_root, d.h = t.h AS verified
+        FROM ranked r JOIN done d ON d.place = r.idx AND d.source IS NOT DISTINCT FROM r.source
+        JOIN subroots s ON s.source IS NOT DISTINCT FROM r.source JOIN (SELECT h FROM top WHERE n = 1) t ON true
+    """,
 }
