@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import audio, byte_bpe, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters
+from graphloom.llm import audio, byte_bpe, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters, vector_codes
 from graphloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,7 +84,48 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files, op11_merkle)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    found = vector_codes.with_label_errors(codes)
+    return found.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def codes_sql(rounds: int) -> str:
+    """Each round as its own tables: r<i> are the entries after i rounds, n<i> the nearest ones of each part."""
+
+    def nearest(i: int) -> str:
+        return f"""
+        n{i} AS MATERIALIZED (
+            SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+            FROM (SELECT p.vec_id, p.part, r.entry, coalesce(list_sum(list_transform(list_zip(p.v, r.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0)::BIGINT AS d FROM parts p JOIN r{i} r ON r.part = p.part)
+            GROUP BY vec_id, part)"""
+
+    def improved(i: int) -> str:
+        return f"""
+        r{i + 1} AS MATERIALIZED (
+            SELECT r.part, r.entry, coalesce(m.v, r.v) AS v
+            FROM r{i} r LEFT JOIN (
+                SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY place) AS v
+                FROM (SELECT n.part, n.entry, g.place, sum(p.v[g.place])::BIGINT AS s, count(*) AS c FROM n{i} n JOIN parts p ON p.vec_id = n.vec_id AND p.part = n.part, (SELECT unnest(range(1, width + 1)) AS place FROM shape) g GROUP BY 1, 2, 3)
+                GROUP BY part, entry) m ON m.part = r.part AND m.entry = r.entry)"""
+
+    steps = ",".join(f"{nearest(i)},{improved(i)}" for i in range(rounds))
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        shape AS (SELECT max(len(v)) // 8 AS width FROM kept),
+        parts AS MATERIALIZED (SELECT vec_id, part, v[part * width + 1 : (part + 1) * width] AS v FROM kept, shape, (SELECT unnest(range(8)) AS part)),
+        r0 AS MATERIALIZED (
+            SELECT part, entry, v FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept) USING (vec_id) WHERE entry < 16),{steps},{nearest(rounds)},
+        codes AS (SELECT vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY vec_id),
+        books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM r{rounds})
+        SELECT c.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, b.h AS codebooks_sha256
+        FROM codes c JOIN kept k USING (vec_id), books b
+    """
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files, op11_merkle, op12_vector_codes)}
 ORACLES: dict[str, str] = {
     "op4_topk": """
         WITH clean AS (
@@ -196,4 +237,5 @@ ORACLES: dict[str, str] = {
         FROM ranked r JOIN done d ON d.place = r.idx AND d.source IS NOT DISTINCT FROM r.source
         JOIN subroots s ON s.source IS NOT DISTINCT FROM r.source JOIN (SELECT h FROM top WHERE n = 1) t ON true
     """,
+    "op12_vector_codes": codes_sql(6),
 }
