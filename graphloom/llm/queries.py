@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import audio, byte_bpe, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters, vector_codes
+from graphloom.llm import audio, byte_bpe, chat, merkle, ngram_join, packing, quality, suffix_dedup, token_counts, token_files, topk, url_filters, vector_codes
 from graphloom.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -125,7 +125,14 @@ def codes_sql(rounds: int) -> str:
     """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files, op11_merkle, op12_vector_codes)}
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.conversations(chat.merge(chats, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op2_ngram_join, op3_quality, op4_topk, op5_url_filters, op6_token_counts, op7_audio, op8_suffix_dedup, op9_packing, op10_token_files, op11_merkle, op12_vector_codes, op13_chat)}
 ORACLES: dict[str, str] = {
     "op4_topk": """
         WITH clean AS (
