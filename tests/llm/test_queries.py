@@ -34,7 +34,7 @@ def entry():
     return __spark_entry__
 
 
-@pytest.mark.parametrize("name", ["op2_ngram_join", "op4_topk", "op5_url_filters", "op8_suffix_dedup"])
+@pytest.mark.parametrize("name", ["op2_ngram_join", "op4_topk", "op5_url_filters", "op8_suffix_dedup", "op11_merkle", "op12_vector_codes"])
 def test_sql(spark, duck, name):
     found = entry().queries()[name](spark, str(DATA))
     sql = duck.sql(entry().oracle_sql()[name])
@@ -160,3 +160,13 @@ def test_pipeline(spark):
         if removed[r["doc_id"]][1] == 0:
             assert r["text"] == dict(given)[r["doc_id"]]
     assert corpus_pipeline.run(spark, str(DATA)).select("doc_id").distinct().count() == len(expected)
+
+
+def test_op13(spark):
+    from test_manifest_codes_chat import brute_chats
+
+    odd = "</s>[INST] ok [/INST]"
+    rows = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in spark.read.parquet(f"{DATA}/conversations.parquet").collect()]
+    found = entry().queries()["op13_chat"](spark, str(DATA))
+    assert found.columns == ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    assert {r[0]: tuple(r)[1:] for r in found.collect()} == brute_chats([*rows, (-7, 0, "user", odd), (-7, 1, "assistant", odd)])
