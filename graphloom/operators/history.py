@@ -33,9 +33,9 @@ def attempts(events: DataFrame, state: str = "state") -> DataFrame:
     return events.where(f"{state} is not null").groupBy("operation_id", "started_id").agg(F.max_by(state, latest).alias("state"), F.max("ts").alias("at"))
 
 
-def operations(tried: DataFrame) -> DataFrame:
-    """(operation_id, attempts, fail_count, is_live, is_complete, is_failed, status). A live attempt outweighs failures, a completed one everything."""
-    per = tried.groupBy("operation_id").agg(F.count("*").alias("attempts"), F.count_if(F.col("state") == "failed").alias("fail_count"), F.bool_or(F.col("state") == "live").alias("is_live"), F.bool_or(F.col("state") == "completed").alias("is_complete"))
+def operations(tried: DataFrame, by: tuple[str, ...] = ("operation_id",)) -> DataFrame:
+    """(operation_id or what it is told apart by, attempts, fail_count, is_live, is_complete, is_failed, status). A live attempt outweighs failures, a completed one everything."""
+    per = tried.groupBy(*by).agg(F.count("*").alias("attempts"), F.count_if(F.col("state") == "failed").alias("fail_count"), F.bool_or(F.col("state") == "live").alias("is_live"), F.bool_or(F.col("state") == "completed").alias("is_complete"))
     failed = ~F.col("is_complete") & ~F.col("is_live") & (F.col("fail_count") > 0)
     status = F.when(F.col("is_complete"), "complete").when(F.col("is_live"), "live").when(failed, "failed").otherwise("pending")
     return per.withColumn("is_failed", failed).withColumn("status", status)
