@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.operators import attribution
+from graphloom.operators import attribution, batching
 from graphloom.plans.catalog import query, t
 
 
@@ -125,3 +125,45 @@ def run_markers(spark: SparkSession, d: str) -> DataFrame:
 def run_signals(spark: SparkSession, d: str) -> DataFrame:
     """Signals that no marker has settled."""
     return attribution.open_signals(log(spark, d))
+
+
+SIZES = "event_id * 7919 % 397 + CASE WHEN event_id % 97 = 0 THEN 2600 ELSE 1 END"
+GREEDY_SQL = f"""
+    r AS (SELECT event_type, event_id, {SIZES} AS size, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events),
+    filled AS (
+        SELECT event_type, event_id, size, n, size AS bytes, 1 AS rows, 0 AS batch FROM r WHERE n = 1
+        UNION ALL
+        SELECT r.event_type, r.event_id, r.size, r.n, CASE WHEN f.bytes + r.size > 2500 OR f.rows = 15 THEN r.size ELSE f.bytes + r.size END, CASE WHEN f.bytes + r.size > 2500 OR f.rows = 15 THEN 1 ELSE f.rows + 1 END, f.batch + CASE WHEN f.bytes + r.size > 2500 OR f.rows = 15 THEN 1 ELSE 0 END
+        FROM filled f JOIN r ON r.event_type = f.event_type AND r.n = f.n + 1)
+"""
+
+
+@query(f"WITH RECURSIVE {GREEDY_SQL} SELECT event_type, event_id, batch FROM filled")
+def greedy_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches in order under 2500 bytes and 15 rows, both of which bind; rows larger than a batch are alone."""
+    rows = t(spark, d, "events").select("event_type", "event_id", F.expr(SIZES).alias("size"))
+    return batching.greedy(rows, "event_type", ["event_id"], "size", 2500, 15, stretch=512, block=8).select("event_type", "event_id", "batch")
+
+
+@query("""
+    WITH r AS (SELECT event_type, event_id, length(props) + length(CAST(event_id AS VARCHAR)) AS size, CASE WHEN user_id % 11 = 0 THEN 'ProcessingFailed' ELSE 'Ok' END AS result FROM events),
+    s AS (SELECT *, result = 'Ok' AND sum(CASE WHEN result = 'Ok' THEN size ELSE 0 END) OVER (PARTITION BY event_type ORDER BY event_id) > 6000 AS over FROM r)
+    SELECT event_type, event_id, CASE WHEN over THEN 'Dropped' ELSE result END AS result,
+           CASE WHEN over THEN CAST(floor((count(*) FILTER (WHERE over) OVER (PARTITION BY event_type ORDER BY event_id) - 1) / 50) AS BIGINT) END AS regroup
+    FROM s
+""")
+def reingestion_cut(spark: SparkSession, d: str) -> DataFrame:
+    """The first 6000 bytes of each response stay, later records leave again in groups of 50."""
+    rows = t(spark, d, "events").select("event_type", "event_id", (F.length("props") + F.length(F.col("event_id").cast("string"))).alias("size"), F.when(F.col("user_id") % 11 == 0, "ProcessingFailed").otherwise("Ok").alias("result"))
+    return batching.response_cut(rows, "event_type", ["event_id"], "size", most_bytes=6000, per_group=50).select("event_type", "event_id", "result", "regroup")
+
+
+@query("""
+    WITH a AS (SELECT user_id, count(*) AS attempts, bool_or(event_type IN ('purchase', 'signup')) AS put FROM events WHERE event_type <> 'view' GROUP BY 1)
+    SELECT c_custkey AS record_id, coalesce(attempts, 0) AS attempts, CASE WHEN attempts IS NULL THEN 'new' WHEN put THEN 'put' WHEN attempts < 20 THEN 'retry' ELSE 'failed' END AS state
+    FROM customer LEFT JOIN a ON a.user_id = c_custkey
+""")
+def reingestion_attempts(spark: SparkSession, d: str) -> DataFrame:
+    """Records by the attempts to put them, at most 20."""
+    tried = t(spark, d, "events").where("event_type <> 'view'").select(F.col("user_id").alias("record_id"), F.col("event_id").alias("attempt"), F.when(~F.col("event_type").isin("purchase", "signup"), F.col("event_type")).otherwise("").alias("error_code"))
+    return batching.retried(t(spark, d, "customer").select(F.col("c_custkey").alias("record_id")), tried, "record_id")
