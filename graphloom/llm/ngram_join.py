@@ -21,10 +21,13 @@ Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent
 6. Components of the links, then of all members of the classes.
 
 What stays quadratic are long lists of very many documents none of which link: their blocks all meet, as bitmaps in tiles.
-Shingles are compared by 64-bit hashes, classes by 128 bits. The number of tasks follows the bytes of the texts.
+Shingles are compared by 59-bit hashes, classes by 128 bits. The number of tasks follows the bytes of the texts.
+
+Inside the join each class has a number of its own: its smallest doc_id, or a fresh number above all ids if several classes have that one.
 
 Results: null text and text without words is an empty set, linked with nothing. Rows with a null id are left out. Repeated
-rows of an id count once each in the result and have the same component. Fewer words than the width: the whole sequence is the one shingle.
+rows of an id count once each in the result. An id with several texts links by each of them, so all its rows have one component; keep_one()
+judges its rows one by one. Ids are below 2**62. Fewer words than the width: the whole sequence is the one shingle.
 A text of any length is read whole. An empty table gives no rows. Other columns are not read.
 """
 
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import Frequent, bucket_ids, forget, materialize, partitions_for, slices
+from graphloom.llm.common import Frequent, bucket_ids, forget, fresh, materialize, partitions_for, slices
 from graphloom.llm.components import components
 
 U = np.uint64
@@ -152,7 +155,13 @@ def prefix(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1 if n else 0
 
 
-SETS = "doc_id long, n long, low long, high long, bits binary, head binary"
+def prints(x: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart, with their sizes."""
+    low, high = ((mixed(x * m).sum(dtype=U) if len(x) else U(0)) for m in ODD[2:4])
+    return int(low.astype(np.int64)), int(high.astype(np.int64))
+
+
+SETS = "doc_id long, text_hash long, n long, low long, high long, bits binary, head binary"
 
 
 def set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int, order: Order) -> Iterator[pa.RecordBatch]:
@@ -160,11 +169,10 @@ def set_rows(batches: Iterator[pa.RecordBatch], width: int, percent: int, order:
         rows: list[list] = [[] for _ in range(5)]
         for text in batch.column("text").to_pylist():
             x = shingles(text, width, order)
-            low, high = ((mixed(x * m).sum(dtype=U) if len(x) else U(0)) for m in ODD[2:4])
-            for column, value in zip(rows, (len(x), int(low.astype(np.int64)), int(high.astype(np.int64)), bitmap(x, bits_of(len(x))).tobytes() if len(x) else b"", x[: prefix(len(x), percent)].tobytes()), strict=True):
+            for column, value in zip(rows, (len(x), *prints(x), bitmap(x, bits_of(len(x))).tobytes() if len(x) else b"", x[: prefix(len(x), percent)].tobytes()), strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], names=["doc_id", "n", "low", "high", "bits", "head"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], names=["doc_id", "text_hash", "n", "low", "high", "bits", "head"])
 
 
 ENTRIES = "bucket int, shingles binary, docs binary, sizes binary"
@@ -361,10 +369,22 @@ def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: b
     return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact, every), "a long, b long")
 
 
-def with_arrays(narrow: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
-    """Rows of exact tiles for placed (doc_id, part, tile, side). Texts and places are shuffled, as on large tables, whatever their size."""
-    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "part")).alias("places"))
-    return narrow.join(places.hint("shuffle_merge"), "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, part long, doc_id long, n long, data binary")
+def marked(rows: DataFrame, ids: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
+    """rows whose doc_id may be in ids, a written table: a bitmap of hashed ids, 16 bits an id and at most 8 MB, is broadcast, so that rows without a counterpart aren't shuffled. If ids are too many for it, more rows pass."""
+    bits = min(most_bits, max(1 << 15, 1 << (16 * ids.count()).bit_length()))
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    table = ids.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits"))
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
+    met = rows.join(F.broadcast(table), F.bitmap_bucket_number(spot) == F.col("_bucket"))
+    return met.where(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+
+
+def with_arrays(narrow: DataFrame, reps: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
+    """Rows of exact tiles for placed (doc_id, part, tile, side), doc_id being the number of a class, which reps turns into a document and what tells its text apart. Only texts with a place are shuffled."""
+    places = placed.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "part")).alias("places")).withColumnRenamed("doc_id", "rep").join(reps, "rep")
+    places, _ = materialize(places.select(F.col("class_id").alias("doc_id"), "rep", "low", "high", "places"), "places")
+    return marked(narrow, places.select("doc_id")).join(places.hint("shuffle_merge"), "doc_id").mapInArrow(lambda b: array_rows(b, width, order), "tile long, side int, part long, doc_id long, n long, data binary")
 
 
 def first_places(long: DataFrame, percent: int) -> DataFrame:
@@ -381,9 +401,11 @@ def first_places(long: DataFrame, percent: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Met:
-    """What a join has before its exact tiles' links: each text's set, each class's representative, each representative's component so far, the rows of the exact tiles."""
+    """What a join has before its exact tiles' links: each text's set, each class with its smallest document and number, each number's component so far, the rows of the exact tiles. Numbers above top, the largest doc_id, are fresh ones."""
 
     sets: DataFrame
+    top: int
+    fresh: bool
     firsts: DataFrame
     parts: DataFrame
     arrays: DataFrame
@@ -393,14 +415,17 @@ class Met:
 def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str, every: bool = False) -> Met:
     """Any two representatives that link share a tile or, unless every link is wanted, a component so far."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).where("doc_id is not null")
     tasks = partitions_for(narrow, "text")
     ids = bucket_ids(spark, tasks)
     order = learn_order(narrow, width)
     sets, _ = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent, order), SETS), "sets")
-    firsts, _ = materialize(sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id")), "classes")
+    smallest, _ = materialize(sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id")), "classes")
+    firsts, top, any_fresh = numbered(smallest)
     able = sets.where(F.col("n") * 100 >= (F.col("n") + 1) * percent)
-    chosen = able.join(firsts.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    same = ["doc_id", "n", "low", "high"]
+    chosen = able.join(firsts.withColumnRenamed("class_id", "doc_id"), same).select(F.col("rep").alias("doc_id"), "n", "bits", "head")
+    reps = firsts.select("rep", "class_id", "low", "high")
     heads = chosen.select("doc_id", "n", "head")
     sizes, _ = materialize(chosen.select("doc_id", "n").distinct(), "sizes")
 
@@ -413,7 +438,7 @@ def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str,
 
     parts = sizes.withColumn("part", F.col("doc_id"))
     if not every and not long.isEmpty():
-        linked = components(tile_links(with_arrays(narrow, first_places(long, percent), width, order), percent, tasks, exact=True))
+        linked = components(tile_links(with_arrays(narrow, reps, first_places(long, percent), width, order), percent, tasks, exact=True))
         joined = sizes.join(linked.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         parts, _ = materialize(joined.select("doc_id", "n", F.coalesce("component", "doc_id").alias("part")), "parts")
 
@@ -428,19 +453,60 @@ def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str,
     counts = grouped.groupBy("set").agg(F.count("*").alias("_members"))
     groups = grouped.join(counts, "set").withColumn("whole", F.col("_members") <= LIST)
     placed = tiles(groups.select("set", "whole", "doc_id", "n", "part"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
-    return Met(sets, firsts, parts, with_arrays(narrow, placed, width, order), tasks)
+    return Met(sets, top, any_fresh, firsts, parts, with_arrays(narrow, reps, placed, width, order), tasks)
+
+
+def numbered(smallest: DataFrame) -> tuple[DataFrame, int, bool]:
+    """(classes with `rep`, the largest doc_id, whether there are fresh numbers): rep is the class's smallest document, or a number above all documents for classes that share it."""
+    top = smallest.agg(F.max("class_id")).first()[0] or 0
+    shared = smallest.groupBy("class_id").agg(F.count("*").alias("_n")).where("_n > 1").select("class_id")
+    new, _ = materialize(smallest.join(shared, "class_id", "left_semi").withColumn("rep", F.monotonically_increasing_id() + F.lit(top + 1)), "fresh")
+    if new.isEmpty():
+        return smallest.withColumn("rep", F.col("class_id")), top, False
+    if top >= 1 << 62:
+        raise ValueError("ids with several texts must be below 2**62")
+    named = smallest.join(new.select("n", "low", "high", "rep"), ["n", "low", "high"], "left")
+    return materialize(named.withColumn("rep", F.coalesce("rep", "class_id")), "numbered")[0], top, True
+
+
+def joined_classes(found: Met, percent: int, more: DataFrame | None = None) -> DataFrame:
+    """(n, low, high, class_id, component_id): each class with the smallest document that it reaches by links, and by `more` links (a, b) of numbers."""
+    known = found.parts.where("part <> doc_id").select(F.col("part").alias("a"), F.col("doc_id").alias("b"))
+    links = tile_links(found.arrays, percent, found.tasks, exact=True).unionByName(known)
+    linked = components(links if more is None else links.unionByName(more)).withColumnRenamed("node", "rep")
+    named = found.firsts.join(linked, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if not found.fresh:
+        return named.withColumnRenamed("component", "component_id")
+    lower = named.where(F.col("rep") > found.top).groupBy("component").agg(F.min("class_id").alias("_least"))  # fresh numbers don't order as their documents do
+    least = F.least(F.when(F.col("component") <= found.top, F.col("component")), F.col("_least"))
+    return named.join(lower, "component", "left").select("n", "low", "high", "class_id", "rep", least.alias("component_id"))
+
+
+def of_one_id(found: Met) -> DataFrame | None:
+    """Links between the classes of an id's texts; None if every id has one."""
+    whole = F.struct("n", "low", "high")
+    several, path = materialize(found.sets.groupBy("doc_id").agg(F.min(whole).alias("a"), F.max(whole).alias("b")).where("a <> b").select("doc_id"), "several")
+    if several.isEmpty():
+        forget(found.sets.sparkSession, path)
+        return None
+    own = found.sets.where("n > 0").join(several, "doc_id", "left_semi").select("doc_id", "n", "low", "high").distinct()
+    numbers, _ = materialize(own.join(found.firsts.select("n", "low", "high", "rep"), ["n", "low", "high"]).select("doc_id", "rep"), "own")
+    return numbers.join(numbers.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id): class_id is the smallest doc_id with an equal set, component_id the smallest reached by links."""
     found = exact_tiles(docs, width, percent, key, text)
-    known = found.parts.where("part <> doc_id").select(F.col("part").alias("a"), F.col("doc_id").alias("b"))
-    linked = components(tile_links(found.arrays, percent, found.tasks, exact=True).unionByName(known))
-    sets, firsts = found.sets, found.firsts
-
-    named = firsts.join(linked.withColumnRenamed("node", "class_id"), "class_id", "left").select("n", "low", "high", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    members = sets.select("doc_id", "n", "low", "high").join(named, ["n", "low", "high"], "left")
-    return members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    more = of_one_id(found)
+    named = joined_classes(found, percent, more)
+    members = found.sets.select("doc_id", "n", "low", "high").join(named, ["n", "low", "high"], "left")
+    shown = members.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    if more is None:
+        return shown
+    # an id's text without words is in no class, but the id links by its others
+    written, _ = materialize(shown, "members")
+    least = written.groupBy("doc_id").agg(F.min("component_id").alias("_least"))
+    return written.join(least, "doc_id").select("doc_id", "n_shingles", "class_id", F.col("_least").alias("component_id"))
 
 
 def every_link(found: Met, percent: int) -> DataFrame:
@@ -449,26 +515,30 @@ def every_link(found: Met, percent: int) -> DataFrame:
 
 
 def similar_pairs(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b), a < b: every pair of class representatives that links, once; near_duplicates() has the members of the classes. As many rows as there are such pairs, so the square of a group of similar texts with different sets."""
-    return every_link(exact_tiles(docs, width, percent, key, text, every=True), percent)
+    """(a, b), a <= b: every pair of class representatives that links, once (equal if two texts of one id link); near_duplicates() has the members of the classes. As many rows as there are such pairs, so the square of a group of similar texts with different sets."""
+    found = exact_tiles(docs, width, percent, key, text, every=True)
+    real = found.firsts.select("rep", "class_id")
+    a, b = (real.select(F.col("rep").alias(c), F.col("class_id").alias(f"_{c}")) for c in "ab")
+    met = every_link(found, percent).join(a, "a").join(b, "b")
+    return met.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
 
 
 def link_counts(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(class_id, n_links): for each class of texts with words, how many other classes it links with."""
     found = exact_tiles(docs, width, percent, key, text, every=True)
-    firsts, counted = found.firsts, every_link(found, percent).select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    return firsts.select("class_id").join(counted, "class_id", "left").select("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    firsts, counted = found.firsts, every_link(found, percent).select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    return firsts.select("rep", "class_id").join(counted, "rep", "left").select("class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Each document's shingles, once for each of its tiles."""
+    """Each class's shingles, once for each of its tiles; other texts of its document are passed over."""
     names, kinds = ROW, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     rows, size = [], 0
     for batch in slices(batches, "text", 4 << 20):
-        for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places")), strict=True):
+        for rep, text, low, high, places in zip(*(batch.column(c).to_pylist() for c in ("rep", "text", "low", "high", "places")), strict=True):
             x = shingles(text, width, order)
-            for place in places:
-                rows.append((place["tile"], place["side"], place["part"], doc, len(x), x.tobytes()))
+            for place in places if prints(x) == (low, high) else ():
+                rows.append((place["tile"], place["side"], place["part"], rep, len(x), x.tobytes()))
                 size += x.nbytes
                 if size >= most_bytes:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -478,6 +548,11 @@ def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that link, directly or not, with a document of a smaller id."""
-    found = near_duplicates(docs, width, percent, key, text).where("component_id != doc_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(found, key, "left_anti")
+    """docs without rows whose text links, directly or not, with a text of a smaller id. Each row of an id with several texts is judged by its own."""
+    found = exact_tiles(docs, width, percent, key, text)
+    named = joined_classes(found, percent).select("n", "low", "high", "component_id")
+    gone = found.sets.select("doc_id", "text_hash", "n", "low", "high").join(named, ["n", "low", "high"]).where("component_id < doc_id").select("doc_id", "text_hash").distinct()
+    hash_ = fresh(docs, "_hash")
+    out = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
+    rows = docs.withColumn(hash_, F.xxhash64(text))
+    return rows.join(out, (F.col(key) == F.col("_gone_id")) & (F.col(hash_) == F.col("_gone_hash")), "left_anti").select(*(f"`{c}`" for c in docs.columns))

@@ -455,3 +455,55 @@ def test_different_texts_of_one_id(spark):
         assert sum(b - a for a, b in rows[key]) == alone(text, before)
     cut = {r["text"] for r in suffix_dedup.without_repeats(docs).collect()}
     assert len(cut) == 5 and None in cut and long[200:500] in cut
+
+
+def by_rows(rows, width, percent):
+    """Components of rows: with the rows of an id as one, and by texts alone."""
+    sets = [(d, brute.shingle_set(t, width)) for d, t in rows]
+
+    def smallest(same_id):
+        root = list(range(len(sets)))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i, (d, a) in enumerate(sets):
+            for j, (e, b) in enumerate(sets[:i]):
+                if (a and b and 100 * len(a & b) >= percent * len(a | b)) or (same_id and d == e):
+                    root[find(i)] = find(j)
+        least = {}
+        for i, (d, _) in enumerate(sets):
+            least[find(i)] = min(least.get(find(i), d), d)
+        return [least[find(i)] for i in range(len(sets))]
+
+    return smallest(True), smallest(False)
+
+
+LINKED, ALONE = " ".join(f"w{i}" for i in range(60)), " ".join(f"a{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("case", ["lost", "turned", "random"])
+def test_ids_with_several_texts(spark, case):
+    rows = [(1, LINKED), (4, ALONE), (4, LINKED + " end")]
+    if case == "turned":
+        rows = rows[::-1]
+    elif case == "random":
+        rng = random.Random(1)
+        bases = [" ".join(f"b{k}x{i}" for i in range(50)) for k in range(6)]
+        rows = [(rng.randint(0, 25), rng.choice(bases) + rng.choice(["", " e", " f g", " h"]) if rng.random() < 0.9 else rng.choice([None, "", "one two"])) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    of_ids, of_texts = by_rows(rows, 3, 90)
+    found = ngram_join.near_duplicates(docs, 3, 90).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == sorted((d, c) for (d, _), c in zip(rows, of_ids, strict=True))
+    kept = ngram_join.keep_one(docs, 3, 90).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept))) == sorted(repr(r) for r, c in zip(rows, of_texts, strict=True) if c == r[0])
+
+
+def test_components_by_rounds_and_by_one_task(spark):
+    rng = random.Random(9)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(500, 620)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    one, rounds = ({(r["node"], r["component"]) for r in components.components(df, few=few).collect()} for few in (1 << 18, 0))
+    assert one == rounds and (619, 500) in one
