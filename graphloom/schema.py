@@ -95,6 +95,7 @@ class EdgeEntry:
     to_types: tuple[str, ...] = ("*",)
     properties: tuple[EdgeProperty, ...] = ()
     id_key: tuple[str, ...] = EDGE_ID_START
+    indexes: tuple[Index, ...] = ()
 
     def __post_init__(self) -> None:
         if self.id_key[:3] != EDGE_ID_START:
@@ -127,8 +128,15 @@ class Schema:
     @staticmethod
     def from_json(text: str) -> Schema:
         given = json.loads(text)
-        vertices = [VertexEntry(v["name"], tuple(Property(**p) for p in v["properties"]), tuple(v["id_key"]), tuple(v["stem_key"]), tuple(Rule(**{**r, "shared": tuple(r.get("shared", ())), "constants": tuple((c[0], c[1]) for c in r.get("constants", ()))}) for r in v.get("rules", ())), tuple(Index(i["name"], tuple(i["fields"]), i.get("unique", True), tuple(i.get("object_types", ("*",)))) for i in v.get("indexes", ()))) for v in given["vertices"]]
-        edges = [EdgeEntry(e["label"], tuple(e.get("from_types", ("*",))), tuple(e.get("to_types", ("*",))), tuple(EdgeProperty(**p) for p in e.get("properties", ())), tuple(e.get("id_key", EDGE_ID_START))) for e in given["edges"]]
+
+        def indexes(entry: dict) -> tuple[Index, ...]:
+            return tuple(Index(i["name"], tuple(i["fields"]), i.get("unique", True), tuple(i.get("object_types", ("*",)))) for i in entry.get("indexes", ()))
+
+        def rule(r: dict) -> Rule:
+            return Rule(**{**r, "shared": tuple(r.get("shared", ())), "constants": tuple((c[0], c[1]) for c in r.get("constants", ()))})
+
+        vertices = [VertexEntry(v["name"], tuple(Property(**p) for p in v["properties"]), tuple(v["id_key"]), tuple(v["stem_key"]), tuple(map(rule, v.get("rules", ()))), indexes(v)) for v in given["vertices"]]
+        edges = [EdgeEntry(e["label"], tuple(e.get("from_types", ("*",))), tuple(e.get("to_types", ("*",))), tuple(EdgeProperty(**p) for p in e.get("properties", ())), tuple(e.get("id_key", EDGE_ID_START)), indexes(e)) for e in given["edges"]]
         return Schema({v.name: v for v in vertices}, {e.label: e for e in edges})
 
 
