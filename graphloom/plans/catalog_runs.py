@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import attribution, batching
 from graphloom.plans.catalog import query, t
+from graphloom.session import new_folder
+from graphloom.streaming import item_states
 
 
 def by_kind(activity: str, function: str, subtask: str) -> str:
@@ -167,3 +169,34 @@ def reingestion_attempts(spark: SparkSession, d: str) -> DataFrame:
     """Records by the attempts to put them, at most 20."""
     tried = t(spark, d, "events").where("event_type <> 'view'").select(F.col("user_id").alias("record_id"), F.col("event_id").alias("attempt"), F.when(~F.col("event_type").isin("purchase", "signup"), F.col("event_type")).otherwise("").alias("error_code"))
     return batching.retried(t(spark, d, "customer").select(F.col("c_custkey").alias("record_id")), tried, "record_id")
+
+
+STAGE_OF = "CASE event_type WHEN 'signup' THEN 'monitoring' WHEN 'view' THEN 'extraction' WHEN 'click' THEN 'transformation' WHEN 'purchase' THEN 'assimilation' ELSE 'graphing' END"
+
+
+@query(f"""
+    WITH s AS (SELECT user_id || '-' || event_id % 23 AS item, {STAGE_OF} AS stage, epoch_us(ts) // 1000 AS ms FROM events),
+    i AS (
+        SELECT item, max(ms) AS ms, bool_or(stage = 'monitoring') AS m, bool_or(stage = 'extraction') AS e, bool_or(stage = 'transformation') AS t, bool_or(stage = 'assimilation') AS a, bool_or(stage = 'graphing') AS g FROM s GROUP BY 1),
+    r AS (SELECT *, CASE WHEN NOT m THEN 0 WHEN NOT e THEN 1 WHEN NOT t THEN 2 WHEN NOT a THEN 3 WHEN NOT g THEN 4 ELSE 5 END AS stages FROM i),
+    n AS (SELECT *, ['monitoring', 'extraction', 'transformation', 'assimilation', 'graphing'][stages] AS stage FROM r)
+    SELECT item, 'stage' AS kind, stage, stages, NULL AS repair, ms AS at_ms FROM n WHERE stages > 0
+    UNION ALL
+    SELECT item, 'repair', stage, stages, CASE stages WHEN 0 THEN 'extract' WHEN 1 THEN 'extract' WHEN 2 THEN 'extract' WHEN 3 THEN 'transform' ELSE 'assimilate' END, ms FROM n
+    WHERE stages < 5 AND ms + 30 * 60000 <= (SELECT max(ms) - 10 * 60000 FROM s)
+""")
+def stream_item_states(spark: SparkSession, d: str) -> DataFrame:
+    """items' stages in a stream, each stage after the ones before it, with a timer for what stalls; time is the events'."""
+    folder = new_folder(spark, "items")
+    rows = spark.readStream.schema(t(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+    stream = rows.select(F.concat(F.col("user_id").cast("string"), F.lit("-"), (F.col("event_id") % 23).cast("string")).alias("item"), F.expr(STAGE_OF).alias("stage"), F.col("ts").cast("timestamp").alias("at"))
+    states = item_states.item_states(stream.withWatermark("at", "10 minutes"), 30, gated=True, event_time=True)
+    store, provider = "spark.sql.streaming.stateStore.providerClass", item_states.ROCKS
+    before = spark.conf.get(store)
+    spark.conf.set(store, provider)
+    try:
+        started = states.writeStream.outputMode("update").foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
+        started.awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.schema(item_states.OUTPUT).parquet(f"{folder}/out").select("item", "kind", "stage", "stages", "repair", F.unix_millis("at").alias("at_ms"))
