@@ -13,54 +13,46 @@ def matched_once(left: DataFrame, right: DataFrame, on: Column, left_key: str, r
     return counted.select(left_key, "matches", F.when(F.col("matches") == 1, F.col("_one")).alias("matched"), outcome.alias("outcome"))
 
 
-def patient_match(records: DataFrame, clients: DataFrame) -> DataFrame:
+def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5) -> DataFrame:
     """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, both names are equal.
 
-    The condition always implies that one of the names is equal, so it is split into equality joins by name. Both sides are
-    first grouped by name and medicaid number, so a frequent name costs the product of its distinct numbers and not of its
-    rows; clients with both names equal are met by either join and counted once. Ids that come with several names or
-    numbers are matched row by row.
+    Clients are grouped by number and names first, and asked once for each number and names that records have. A number is looked up by equality on one of its
+    pieces of `gram` characters, in its middle, beside the name, so a frequent name costs only the numbers that share the piece; the substring is tested then. Numbers
+    shorter than a piece meet all numbers of their name. Clients with both names equal are met by the last name alone. Ids that come
+    with several names or numbers are told apart from others with the same ones: their matches are counted as ids, once.
     """
     low = lambda c: F.lower(F.col(c))
-    r = records.select("record_id", "medicaid", low("first_name").alias("rf"), low("last_name").alias("rl")).distinct()
-    c = clients.select("client_id", F.col("medicaid").alias("cm"), low("first_name").alias("cf"), low("last_name").alias("cl")).where("client_id is not null").distinct()
-    r_odd, c_odd = (x.groupBy(key).count().where("count > 1").select(key) for x, key in ((r, "record_id"), (c, "client_id")))
-    r_one, c_one = r.join(r_odd, "record_id", "left_anti"), c.join(c_odd, "client_id", "left_anti")
-    single = _matched_groups(r_one, c_one)
-    pairs = _matched_rows(r_one, c.join(c_odd, "client_id", "left_semi")).unionByName(_matched_rows(r.join(r_odd, "record_id", "left_semi"), c)).distinct()
-    each = single.unionByName(pairs.groupBy("record_id").agg(F.count("*").alias("matches"), F.min("client_id").alias("_one")))
-    counted = each.groupBy("record_id").agg(F.sum("matches").alias("matches"), F.min("_one").alias("_one"))
+    whole = lambda *c: F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), x), F.lit("")) for x in c)))
+    r = _with_oddness(records.select("record_id", "medicaid", low("first_name").alias("rf"), low("last_name").alias("rl")), "record_id", whole("medicaid", "rf", "rl"))
+    c = _with_oddness(clients.select("client_id", F.col("medicaid").alias("cm"), low("first_name").alias("cf"), low("last_name").alias("cl")).where("client_id is not null"), "client_id", whole("cm", "cf", "cl"))
+    groups = c.groupBy("client_id", "_what", "_odd").agg(*(F.first(x).alias(x) for x in ("cm", "cf", "cl"))).groupBy("_what", F.when(F.col("_odd"), F.col("client_id")).alias("_client")).agg(*(F.first(x).alias(x) for x in ("cm", "cf", "cl")), F.count("*").alias("_n"), F.min("client_id").alias("_id"))
+    key = lambda tag, piece, *names: F.struct(F.lit(tag).alias("tag"), piece.alias("piece"), whole(*names).alias("name"))
+    none = F.lit("")
+    pieces = F.array_distinct(F.concat(F.array(none), F.when(F.length("cm") >= gram, F.transform(F.sequence(F.lit(1), F.length("cm") - (gram - 1)), lambda i: F.col("cm").substr(i, F.lit(gram)))).otherwise(F.array().cast("array<string>"))))
+    by_name = lambda tag, name: F.when(F.col("cm").isNotNull() & F.col(name).isNotNull(), F.transform(pieces, lambda p: key(tag, p, F.col(name))))
+    both = F.when(F.col("cf").isNotNull() & F.col("cl").isNotNull(), F.array(key("b", none, F.col("cf"), F.col("cl"))))
+    held = groups.withColumn("_k", F.explode(F.flatten(F.array_compact(F.array(by_name("l", "cl"), by_name("f", "cf"), both))))).select("*", "_k.*").drop("_k")
+
+    numbered = F.coalesce(F.length("medicaid") > 0, F.lit(False))
+    middle = F.floor((F.length("medicaid") - gram) / 2).cast("int") + 1
+    piece = F.when(F.length("medicaid") >= gram, F.col("medicaid").substr(middle, F.lit(gram))).otherwise(none)
+    wanted = F.when(numbered, F.array(key("l", piece, F.col("rl")), key("f", piece, F.col("rf")))).otherwise(F.array(key("b", none, F.col("rf"), F.col("rl"))))
+    r = r.withColumn("_ask", F.when(F.col("_odd"), F.concat(F.lit("id"), F.col("record_id").cast("string"))).otherwise(F.col("_what")))
+    asked = r.select("_ask", "medicaid", "rf", "rl").distinct().withColumn("_k", F.explode(wanted)).select("*", "_k.*").drop("_k")
+    met = asked.join(held, ["tag", "piece", "name"]).where((F.col("tag") == "b") | F.col("cm").contains(F.col("medicaid"))).where((F.col("tag") != "f") | ~F.col("cl").eqNullSafe(F.col("rl")) | F.col("cl").isNull())
+    pairs = met.groupBy("_ask", "_what", "_client").agg(F.min("_n").alias("_n"), F.min("_id").alias("_id"))
+    each = pairs.groupBy("_ask", "_client").agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
+    counted = each.groupBy("_ask").agg(F.sum(F.when(F.col("_client").isNull(), F.col("_n")).otherwise(1)).alias("matches"), F.min("_id").alias("_one"))
+    found = r.select("record_id", "_ask").join(counted, "_ask", "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
     outcome = F.when(F.col("matches") == 1, "unique").when(F.col("matches") == 0, "missing").otherwise("duplicate")
-    return records.select("record_id").join(counted, "record_id", "left").withColumn("matches", F.coalesce("matches", F.lit(0))).select("record_id", "matches", F.when(F.col("matches") == 1, F.col("_one")).alias("client_id"), outcome.alias("outcome"))
+    return found.select("record_id", "matches", F.when(F.col("matches") == 1, F.col("_one")).alias("client_id"), outcome.alias("outcome"))
 
 
-HAS_NUMBER = "medicaid is not null and medicaid <> ''"
-
-
-def _matched_groups(r: DataFrame, c: DataFrame) -> DataFrame:
-    """(record_id, matches, _one) of rows whose ids come once: the clients of each group of names and number."""
-
-    def met(tag: str, *names: str) -> DataFrame:
-        left = r.where(HAS_NUMBER).select("medicaid", *(f"r{n}" for n in names)).distinct()
-        right = c.where("cm is not null").groupBy("cm", *(F.col(f"c{n}").alias(f"r{n}") for n in names)).agg(F.count("*").alias("_n"), F.min("client_id").alias("_id"))
-        both = left.join(right, [f"r{n}" for n in names]).where(F.col("cm").contains(F.col("medicaid")))
-        return both.groupBy("medicaid", *(f"r{n}" for n in names)).agg(F.sum("_n").alias(f"_n{tag}"), F.min("_id").alias(f"_id{tag}"))
-
-    numbered = r.where(HAS_NUMBER)
-    for tag, names in (("l", "l"), ("f", "f"), ("b", "fl")):
-        numbered = numbered.join(met(tag, *names), ["medicaid", *(f"r{n}" for n in names)], "left")
-    n = lambda x: F.coalesce(F.col(x), F.lit(0))
-    with_number = numbered.select("record_id", (n("_nl") + n("_nf") - n("_nb")).alias("matches"), F.least("_idl", "_idf").alias("_one"))
-    named = c.groupBy(F.col("cf").alias("rf"), F.col("cl").alias("rl")).agg(F.count("*").alias("matches"), F.min("client_id").alias("_one"))
-    return with_number.unionByName(r.where(f"not ({HAS_NUMBER})").join(named, ["rf", "rl"]).select("record_id", "matches", "_one"))
-
-
-def _matched_rows(r: DataFrame, c: DataFrame) -> DataFrame:
-    """(record_id, client_id) of rows that match, for the few whose ids come several times."""
-    has = F.expr(HAS_NUMBER)
-    by_last = r.join(c, r.rl == c.cl).where((has & F.col("cm").contains(F.col("medicaid"))) | (~has & (F.col("rf") == F.col("cf"))))
-    by_first = r.join(c, r.rf == c.cf).where(has & F.col("cm").contains(F.col("medicaid")))
-    return by_last.select("record_id", "client_id").unionByName(by_first.select("record_id", "client_id"))
+def _with_oddness(rows: DataFrame, key: str, what: Column) -> DataFrame:
+    """rows with `_what` and whether their key comes with several of it."""
+    each = rows.withColumn("_what", what)
+    ends = each.groupBy(F.col(key).alias("_key")).agg((F.min("_what") != F.max("_what")).alias("_odd"))
+    return each.join(ends, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def first_listed(text: Column, names: list[str]) -> Column:

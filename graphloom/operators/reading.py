@@ -7,12 +7,11 @@ import hashlib
 import hmac
 import json
 from collections.abc import Callable
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.session import ensure_checkpoints
+from graphloom.operators.ordering import running, written
 
 
 def equal_to(properties: dict[str, object]) -> Column:
@@ -90,20 +89,50 @@ def edge_counts(edges: DataFrame) -> DataFrame:
 
 
 def closure(pairs: DataFrame, parent: str = "parent", child: str = "child") -> DataFrame:
-    """(ancestor, descendant, depth), the shortest depth each: pairs are joined round by round until no new pair appears, so cycles end. Hierarchies are mostly shallow, and each round is one join."""
-    ensure_checkpoints(pairs.sparkSession)
+    """(ancestor, descendant, depth), the shortest depth each, in as many rounds as the largest depth has binary digits; cycles end.
+
+    After a round all pairs up to depth n are known. A longer shortest way of at most 2n begins with one of exactly n steps, so only the pairs of that depth
+    are joined with the known ones, and what is known already is left out. Each round's new pairs are written.
+    """
     base = pairs.select(F.col(parent).alias("ancestor"), F.col(child).alias("descendant")).where("ancestor is not null and descendant is not null").distinct()
-    step = base.select(F.col("ancestor").alias("descendant"), F.col("descendant").alias("_next"))
-    known = front = base.withColumn("depth", F.lit(1))
-    for depth in count(2):
-        reached = front.join(step, "descendant").select("ancestor", F.col("_next").alias("descendant")).distinct()
-        front = reached.join(known, ["ancestor", "descendant"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
-        if front.isEmpty():
-            break
-        known = known.unionByName(front)
-        if depth % 10 == 0:  # plans of deep hierarchies stay small
-            known = known.coalesce(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).checkpoint()
-    return known
+    known = written(base.withColumn("depth", F.lit(1)), "closure")
+    reach = 1
+    while True:
+        half = known.where(F.col("depth") == reach).select("ancestor", F.col("descendant").alias("_middle"), F.col("depth").alias("_half"))
+        if half.isEmpty():
+            return known
+        rest = known.select(F.col("ancestor").alias("_middle"), "descendant", "depth")
+        longer = half.join(rest, "_middle").groupBy("ancestor", "descendant").agg(F.min(F.col("_half") + F.col("depth")).alias("depth"))
+        known = known.unionByName(written(longer.join(known, ["ancestor", "descendant"], "left_anti"), "closure"))
+        reach *= 2
+
+
+def page_table(rows: DataFrame, size: int, *order: str) -> DataFrame:
+    """(page, rows, first_<order>, ...) of rows in an order that tells them apart: the key that each page starts with, and how many rows it has.
+
+    Ranks come from counts of ranges, in one pass, so no task sees more than its range; any page is then read by its keys, see read_page()."""
+    ranked = running(rows.select(*order).withColumn("_all", F.lit(1)), "_all", [F.col(c) for c in order], {}, "_idx")
+    page = F.expr(f"_idx div {size}")
+    return ranked.groupBy(page.alias("page")).agg(F.count("*").alias("rows"), F.min(F.struct(*order)).alias("_first")).select("page", "rows", *(F.col(f"_first.{c}").alias(f"first_{c}") for c in order))
+
+
+def read_page(rows: DataFrame, pages: DataFrame, number: int, *order: str) -> DataFrame:
+    """The rows of a page of page_table(), in order: those from its first key up to the next page's. Of a single key the bounds reach the scan as filters. No rows beyond the last page."""
+    bounds = {r["page"]: tuple(r[f"first_{c}"] for c in order) for r in pages.where(F.col("page").isin(number, number + 1)).collect()}
+    if number not in bounds:
+        return rows.limit(0)
+
+    def from_key(key: tuple) -> Column:
+        whole = F.lit(False)
+        for n in reversed(range(len(order))):
+            above = F.col(order[n]) > F.lit(key[n])
+            whole = above | ((F.col(order[n]) == F.lit(key[n])) & (whole if n < len(order) - 1 else F.lit(True)))
+        return whole if len(order) > 1 else F.col(order[0]) >= F.lit(key[0])
+
+    found = rows.where(from_key(bounds[number]))
+    if number + 1 in bounds:
+        found = found.where(~from_key(bounds[number + 1]) if len(order) > 1 else F.col(order[0]) < F.lit(bounds[number + 1][0]))
+    return found.orderBy(*order)
 
 
 def closure_sql(spark, pairs_view: str, most_depth: int = 20) -> DataFrame:

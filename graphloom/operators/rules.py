@@ -54,15 +54,37 @@ def derive_change_targeted(sources: DataFrame, rule: Rule, fixed: dict[str, Colu
 
 
 def resolve(potentials: DataFrame, known: DataFrame, properties: tuple[str, ...], always: tuple[str, ...], missing: str = "missing", given: str = "") -> DataFrame:
-    """potentials (potential_id, properties, missing array) with matched_id: equality on `always`, on others only where the potential has them; one row per match, matched_id null without one. given: where the potentials keep their properties, such as "a_struct."."""
-    p, v = potentials.alias("p"), known.alias("v")
-    on = F.lit(True)
-    for name in always:
-        on = on & (F.col(f"p.{given}{name}") == F.col(f"v.{name}"))
-    for name in properties:
-        if name not in always:
-            on = on & (F.array_contains(f"p.{missing}", name) | F.col(f"p.{given}{name}").eqNullSafe(F.col(f"v.{name}")))
-    return p.join(v, on, "left").select("p.*", F.col("v.internal_id").alias("matched_id"))
+    """potentials (potential_id, properties, missing array) with matched_id: equality on `always`, on others only where the potential has them; one row per match, matched_id null without one. given: where the potentials keep their properties, such as "a_struct.".
+
+    Potentials that lack the same properties have one signature. Known vertices are met once for each signature that there is (2 to the number of other
+    properties at most), with the properties outside it hidden, so every property is part of one equality join and none is tested on pairs.
+    """
+    free = [name for name in properties if name not in always]
+    if not free:
+        p, v = potentials.alias("p"), known.alias("v")
+        on = F.lit(True)
+        for name in always:
+            on = on & (F.col(f"p.{given}{name}") == F.col(f"v.{name}"))
+        return p.join(v, on, "left").select("p.*", F.col("v.internal_id").alias("matched_id"))
+    bit = lambda n: F.when(F.array_contains(missing, free[n]), 1 << n).otherwise(0)
+    lacks = bit(0)
+    for n in range(1, len(free)):
+        lacks = lacks + bit(n)
+    shown = lambda column, n: F.when(F.col("_lacks").bitwiseAND(F.lit(1 << n)) == 0, F.col(column))
+    asked = potentials.withColumn("_lacks", F.coalesce(lacks, F.lit(0)))
+    asked = asked.select(*potentials.columns, "_lacks", *(F.col(f"{given}{name}").alias(f"_always{n}") for n, name in enumerate(always)), *(shown(f"{given}{name}", n).alias(f"_free{n}") for n, name in enumerate(free)))
+    signatures = [r["_lacks"] for r in asked.select("_lacks").distinct().collect()]
+    if not signatures:
+        return potentials.withColumn("matched_id", F.lit(None).cast(known.schema["internal_id"].dataType))
+    held = known.withColumn("_lacks", F.explode(F.array(*map(F.lit, signatures))))
+    held = held.select(F.col("internal_id").alias("matched_id"), "_lacks", *(F.col(name).alias(f"_always{n}") for n, name in enumerate(always)), *(shown(name, n).alias(f"_free{n}") for n, name in enumerate(free)))
+    p, v = asked.alias("p"), held.alias("v")
+    on = F.col("p._lacks") == F.col("v._lacks")
+    for n in range(len(always)):
+        on = on & (F.col(f"p._always{n}") == F.col(f"v._always{n}"))
+    for n in range(len(free)):
+        on = on & F.col(f"p._free{n}").eqNullSafe(F.col(f"v._free{n}"))
+    return p.join(v, on, "left").select(*(F.col(f"p.`{c}`") for c in potentials.columns), "v.matched_id")
 
 
 def apply_policy(resolved: DataFrame, complete: str, if_absent: str) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Queries that write: unique indexes as schemas declare them, and the graph store."""
+"""Queries of indexes, the graph store, targets with missing properties, hierarchies and pages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.operators import indexes
+from graphloom.operators import indexes, reading, rules
+from graphloom.operators.ordering import written
 from graphloom.plans.catalog import query, t
 from graphloom.schema import Index, Property, Schema, VertexEntry
 from graphloom.session import new_folder
@@ -53,8 +54,8 @@ def objects(spark: SparkSession, d: str) -> DataFrame:
 def unique_index_writes(spark: SparkSession, d: str) -> DataFrame:
     """Conditional writes over all unique indexes at once, built in and declared, for the types they name; a fiftieth of the objects is stored before."""
     rows, declared = objects(spark, d), indexes.built_in() + indexes.declared(CLIENTS)
-    written = indexes.accepted(rows.where("c_custkey % 50 <> 0"), declared, ["c_custkey"], rows.where("c_custkey % 50 = 0"))
-    return written.select("c_custkey", "accepted", F.array_join("violates", ",").alias("violates"))
+    found = indexes.accepted(rows.where("c_custkey % 50 <> 0"), declared, ["c_custkey"], rows.where("c_custkey % 50 = 0"))
+    return found.select("c_custkey", "accepted", F.array_join("violates", ",").alias("violates"))
 
 
 @query(f"""
@@ -103,3 +104,51 @@ def graph_store_upserts(spark: SparkSession, d: str) -> DataFrame:
     vertices = store.read("vertices", "Customer").unionByName(store.read("vertices", "Nation")).select(F.lit("vertex").alias("kind"), F.col("object_type").alias("label"), "internal_id", wave, *nothing)
     shown = lambda rows, kind: rows.select(F.lit(kind).alias("kind"), F.col("edge_label").alias("label"), "internal_id", wave, "src_id", "dst_id")
     return vertices.unionByName(shown(store.read("edges", "_lives_in_"), "edge")).unionByName(shown(held, "held"))
+
+
+@query("""
+    SELECT p.p_partkey AS potential_id, count(v.p_partkey) AS matches, CAST(min(v.p_partkey) AS VARCHAR) AS least
+    FROM part p LEFT JOIN part v ON v.p_brand = p.p_brand AND (p.p_partkey % 2 <> 0 OR v.p_type = p.p_type) AND (p.p_partkey % 3 = 0 OR v.p_size = p.p_size) AND (p.p_partkey % 7 <> 0 OR v.p_name = p.p_name)
+    GROUP BY 1
+""")
+def wildcard_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Potentials with any of three properties missing, eight signatures in one equality join."""
+    part = t(spark, d, "part")
+    odd = {"p_type": F.col("p_partkey") % 2 != 0, "p_size": F.col("p_partkey") % 3 == 0, "p_name": F.col("p_partkey") % 7 != 0}
+    some = part.select(F.col("p_partkey").alias("potential_id"), "p_brand", *(F.when(~gone, F.col(c)).alias(c) for c, gone in odd.items()), F.array_compact(F.array(*(F.when(gone, F.lit(c)) for c, gone in odd.items()))).alias("missing"))
+    known = part.select(F.col("p_partkey").alias("internal_id"), "p_brand", *odd)
+    found = rules.resolve(some, known, ("p_brand", *odd), ("p_brand",))
+    return found.groupBy("potential_id").agg(F.count("matched_id").alias("matches"), F.min("matched_id").cast("string").alias("least"))
+
+
+@query("""
+    WITH RECURSIVE pairs AS (SELECT p_partkey AS parent, p_partkey + 1 AS child FROM part WHERE p_partkey % 64 <> 63 UNION SELECT p_partkey, p_partkey + 2 FROM part WHERE p_partkey % 64 = 10),
+    walk AS (SELECT parent AS ancestor, child AS descendant, 1 AS depth FROM pairs UNION SELECT w.ancestor, p.child, w.depth + 1 FROM walk w JOIN pairs p ON p.parent = w.descendant)
+    SELECT ancestor, descendant, min(depth) AS depth FROM walk GROUP BY 1, 2
+""")
+def chain_closure(spark: SparkSession, d: str) -> DataFrame:
+    """Chains of 64 steps with a short cut each, in seven rounds."""
+    part = t(spark, d, "part")
+    step = lambda on, by: part.where(on).select(F.col("p_partkey").alias("parent"), (F.col("p_partkey") + by).alias("child"))
+    return reading.closure(step("p_partkey % 64 <> 63", 1).unionByName(step("p_partkey % 64 = 10", 2))).select("ancestor", "descendant", "depth")
+
+
+@query("SELECT page, count(*) AS rows, min(k) AS first_key FROM (SELECT o_orderkey AS k, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS page FROM orders) GROUP BY 1")
+def order_page_table(spark: SparkSession, d: str) -> DataFrame:
+    """Where each page of 500 orders starts, from counts of ranges."""
+    return reading.page_table(t(spark, d, "orders"), 500, "o_orderkey").select("page", "rows", F.col("first_o_orderkey").alias("first_key"))
+
+
+@query("""
+    WITH r AS (SELECT l_orderkey, l_linenumber, CAST(floor((row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) / 700) AS BIGINT) AS page FROM lineitem)
+    SELECT page, l_orderkey, l_linenumber FROM r WHERE page IN (0, 7) OR page = (SELECT max(page) FROM r)
+""")
+def line_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The first, a middle and the last page, each read by its keys."""
+    lines, order = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), ("l_orderkey", "l_linenumber")
+    pages = written(reading.page_table(lines, 700, *order), "pages")
+    whole = None
+    for number in sorted({0, 7, pages.agg(F.max("page")).first()[0]}):
+        page = reading.read_page(lines, pages, number, *order).select(F.lit(number).cast("long").alias("page"), *order)
+        whole = page if whole is None else whole.unionByName(page)
+    return whole
