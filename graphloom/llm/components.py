@@ -42,20 +42,22 @@ def contracted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Reco
 def components(links: DataFrame, left: str = "a", right: str = "b", most_rounds: int = 60, few: int = FEW) -> DataFrame:
     """(node, component): every node of a link with the smallest node that it reaches. Nodes are longs.
 
-    Each task first contracts the links that it makes to stars, which are written. Up to `few` of them are settled by one task. More
-    are kept as (v, u) with u < v: each round hangs all larger neighbours of a node below the smallest one around it (large
+    The links are written; who makes them in Python should pass them through contracted() there. Up to `few` of them are settled by one task. More
+    are contracted in tasks, then kept as (v, u) with u < v: each round hangs all larger neighbours of a node below the smallest one around it (large
     star), then does the same for the smaller ones (small star), until nothing changes. Minima are aggregated before the shuffle; a hub
     has many rows on the left side of the join that follows, which adaptive execution splits. Each round's links are written to
     the shared folder. Links to oneself and nulls are ignored.
     """
     spark = links.sparkSession
-    pairs = links.select(F.col(left).cast("long"), F.col(right).cast("long")).where(f"`{left}` is not null and `{right}` is not null and `{left}` != `{right}`")
-    now, path = materialize(pairs.mapInArrow(lambda b: contracted(b, FEW), "v long, u long"), "links")
-    seen = None
-    if now.count() <= few:
-        stars, new_path = materialize(now.coalesce(1).mapInArrow(lambda b: contracted(b, 2 * few), "v long, u long"), "links")
-        forget(spark, path)
-        return with_roots(stars)
+    pairs = links.select(F.greatest(left, right).cast("long").alias("v"), F.least(left, right).cast("long").alias("u")).where(f"`{left}` is not null and `{right}` is not null").where("u != v")
+    now, path = materialize(pairs, "links")
+    seen, small = None, now.count() <= few
+    source = now.coalesce(1) if small else now
+    stars, new_path = materialize(source.mapInArrow(lambda b: contracted(b, 2 * FEW), "v long, u long"), "links")
+    forget(spark, path)
+    now, path = stars, new_path
+    if small:
+        return with_roots(now)
     for _ in range(most_rounds):
         least = now.groupBy(F.col("v").alias("u")).agg(F.min("u").alias("m"))  # the smallest node around one that isn't the smallest itself
         large = now.join(least, "u", "left").select("v", F.coalesce("m", "u").alias("u")).distinct()

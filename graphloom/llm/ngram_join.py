@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.common import Frequent, bucket_ids, forget, fresh, materialize, partitions_for, slices
-from graphloom.llm.components import components
+from graphloom.llm.components import FEW, components, contracted
 
 U = np.uint64
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -365,8 +365,13 @@ def tiles(rows: DataFrame, load: Column, percent: int) -> DataFrame:
 
 
 def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: bool = False) -> DataFrame:
-    """Links (a, b) between parts, of rows (tile, side, part, doc_id, n, data); the only shuffle that carries data."""
-    return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(lambda b: tile_rows(b, percent, exact, every), "a long, b long")
+    """Links (a, b) between parts, of rows (tile, side, part, doc_id, n, data), contracted in each task unless every link is wanted; the only shuffle that carries data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = tile_rows(batches, percent, exact, every)
+        return found if every else (b.rename_columns(["a", "b"]) for b in contracted(found, FEW))
+
+    return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
 def marked(rows: DataFrame, ids: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
