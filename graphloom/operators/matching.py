@@ -14,7 +14,7 @@ def matched_once(left: DataFrame, right: DataFrame, on: Column, left_key: str, r
 
 
 def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5) -> DataFrame:
-    """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, both names are equal.
+    """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, or with a client that has none, both names are equal.
 
     Clients are grouped by number and names first, and asked once for each number and names that records have. A number is looked up by equality on one of its
     pieces of `gram` characters, in its middle, beside the name, so a frequent name costs only the numbers that share the piece; the substring is tested then. Numbers
@@ -30,16 +30,17 @@ def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5) -> Data
     none = F.lit("")
     pieces = F.array_distinct(F.concat(F.array(none), F.when(F.length("cm") >= gram, F.transform(F.sequence(F.lit(1), F.length("cm") - (gram - 1)), lambda i: F.col("cm").substr(i, F.lit(gram)))).otherwise(F.array().cast("array<string>"))))
     by_name = lambda tag, name: F.when(F.col("cm").isNotNull() & F.col(name).isNotNull(), F.transform(pieces, lambda p: key(tag, p, F.col(name))))
-    both = F.when(F.col("cf").isNotNull() & F.col("cl").isNotNull(), F.array(key("b", none, F.col("cf"), F.col("cl"))))
+    bare = F.array(key("b", none, F.col("cf"), F.col("cl"))), F.array(key("b", none, F.col("cf"), F.col("cl")), key("n", none, F.col("cf"), F.col("cl")))
+    both = F.when(F.col("cf").isNotNull() & F.col("cl").isNotNull(), F.when(F.col("cm").isNull(), bare[1]).otherwise(bare[0]))
     held = groups.withColumn("_k", F.explode(F.flatten(F.array_compact(F.array(by_name("l", "cl"), by_name("f", "cf"), both))))).select("*", "_k.*").drop("_k")
 
     numbered = F.coalesce(F.length("medicaid") > 0, F.lit(False))
     middle = F.floor((F.length("medicaid") - gram) / 2).cast("int") + 1
     piece = F.when(F.length("medicaid") >= gram, F.col("medicaid").substr(middle, F.lit(gram))).otherwise(none)
-    wanted = F.when(numbered, F.array(key("l", piece, F.col("rl")), key("f", piece, F.col("rf")))).otherwise(F.array(key("b", none, F.col("rf"), F.col("rl"))))
+    wanted = F.when(numbered, F.array(key("l", piece, F.col("rl")), key("f", piece, F.col("rf")), key("n", none, F.col("rf"), F.col("rl")))).otherwise(F.array(key("b", none, F.col("rf"), F.col("rl"))))
     r = r.withColumn("_ask", F.when(F.col("_odd"), F.concat(F.lit("id"), F.col("record_id").cast("string"))).otherwise(F.col("_what")))
     asked = r.select("_ask", "medicaid", "rf", "rl").distinct().withColumn("_k", F.explode(wanted)).select("*", "_k.*").drop("_k")
-    met = asked.join(held, ["tag", "piece", "name"]).where((F.col("tag") == "b") | F.col("cm").contains(F.col("medicaid"))).where((F.col("tag") != "f") | ~F.col("cl").eqNullSafe(F.col("rl")) | F.col("cl").isNull())
+    met = asked.join(held, ["tag", "piece", "name"]).where(F.col("tag").isin("b", "n") | F.col("cm").contains(F.col("medicaid"))).where((F.col("tag") != "f") | ~F.col("cl").eqNullSafe(F.col("rl")) | F.col("cl").isNull())
     pairs = met.groupBy("_ask", "_what", "_client").agg(F.min("_n").alias("_n"), F.min("_id").alias("_id"))
     each = pairs.groupBy("_ask", "_client").agg(F.sum("_n").alias("_n"), F.min("_id").alias("_id"))
     counted = each.groupBy("_ask").agg(F.sum(F.when(F.col("_client").isNull(), F.col("_n")).otherwise(1)).alias("matches"), F.min("_id").alias("_one"))
