@@ -43,6 +43,12 @@ def source_time(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit(SOURCE_TIME)), F.try_to_timestamp(F.concat(text, F.lit(" 12:00:00 AM")), F.lit(SOURCE_TIME)))
 
 
+def zone_corrected(text: Column, is_utc: bool) -> Column:
+    """A time with an offset (`2020-01-02 03:04:05-05:00`) as a timestamp. Sources that are known to write UTC give it a wrong offset: then the clock's reading counts and the offset is dropped."""
+    bare = F.regexp_replace(text, r"\s*(Z|[+-]\d{2}:?\d{2})$", "")
+    return F.try_to_timestamp(F.concat(bare, F.lit("Z")) if is_utc else text)
+
+
 def date_from(as_of: str, days: int = 0) -> Column:
     """The day so many days after a moment."""
     return F.date_format(F.lit(as_of).cast("timestamp") + F.expr(f"interval {days} days"), "MM/dd/yyyy")

@@ -145,3 +145,31 @@ def open_signals(events: DataFrame) -> DataFrame:
     signals = once(events.where("event_type = 'WorkflowExecutionSignaled'")).select("run_id", "event_id", "name", "details")
     done = markers(events.where("name = 'signal'")).select("run_id", F.col("key").try_cast("bigint").alias("event_id"))
     return signals.join(done, ["run_id", "event_id"], "left_anti")
+
+
+def chain_steps(plan: DataFrame, folded: DataFrame) -> DataFrame:
+    """(run_id, chain_id, steps, completed, step, operation_id, action) of chains (run_id, chain_id, step, operation_id), whose steps run one after the other.
+
+    The first step that isn't complete decides: start it if it has no attempt, retry it if it failed, else wait; done when all are complete. A later step's state counts for nothing before that.
+    """
+    met = plan.join(folded.select("run_id", "operation_id", "status"), ["run_id", "operation_id"], "left")
+    undone = F.col("status").isNull() | (F.col("status") != "complete")
+    here = F.min_by(F.struct("step", "operation_id", "status"), F.when(undone, F.col("step")))
+    found = met.groupBy("run_id", "chain_id").agg(F.count("*").alias("steps"), F.count_if(~undone).alias("completed"), here.alias("_h"))
+    action = F.when(F.col("completed") == F.col("steps"), "done").when(F.col("_h.status").isNull(), "start").when(F.col("_h.status") == "failed", "retry").otherwise("wait")
+    open_ = action != "done"
+    return found.select("run_id", "chain_id", "steps", "completed", F.when(open_, F.col("_h.step")).alias("step"), F.when(open_, F.col("_h.operation_id")).alias("operation_id"), action.alias("action"))
+
+
+def group_starts(plan: DataFrame, folded: DataFrame, caps: DataFrame) -> DataFrame:
+    """plan (run_id, group_id, position, operation_id, config) with `action`, for groups whose members run in parallel under caps (config, cap) of live operations in a run.
+
+    Members that have no attempt are started in order of position while the run's live operations of the config leave room, else held; failed ones are retried, others run or are done. Without a cap there is none.
+    """
+    met = plan.join(folded.select("run_id", "operation_id", "status"), ["run_id", "operation_id"], "left").join(caps, "config", "left")
+    live = met.groupBy("run_id", "config").agg(F.count_if(F.col("status").isin("live", "pending")).alias("_live"))
+    waiting = Window.partitionBy("run_id", "config", F.col("status").isNull()).orderBy("position", "operation_id")
+    ranked = met.withColumn("_turn", F.row_number().over(waiting)).join(live, ["run_id", "config"])
+    room = F.col("cap").isNull() | (F.col("_live") + F.col("_turn") <= F.col("cap"))
+    action = F.when(F.col("status").isNull(), F.when(room, "start").otherwise("hold")).when(F.col("status") == "failed", "retry").when(F.col("status") == "complete", "done").otherwise("run")
+    return ranked.select("run_id", "group_id", "position", "operation_id", "config", action.alias("action"))

@@ -55,6 +55,34 @@ def changed_targets(rows: DataFrame, driving_type: str | None = None) -> DataFra
     return rows.withColumn("_target", F.explode(F.filter(every, lambda t: t.isNotNull() & t["id_value"].isNotNull()))).select(*rows.columns, "_target.id_type", "_target.id_value")
 
 
+def changed_targets_before(rows: DataFrame, static_types: dict[str, tuple[str, str]], driving_type: str, driving_name: str) -> DataFrame:
+    """The older form of changed_targets(), with id names: clients and visits whose id isn't 0, and the record under its own type. Clients and visits as record types are left out, as they are there
+    already; an unspecified record has the type and name that static_types gives the row's `action`, and an action without them is an error."""
+    number = lambda c: F.nullif(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("0")).try_cast("bigint")
+    one = lambda kind, name, value: F.struct(kind.alias("id_type"), name.alias("id_name"), value.alias("id_value"))
+    kind = F.coalesce(F.nullif(F.col("record_type"), F.lit("")), F.lit(driving_type))
+    static = F.create_map(*(x for k, (t, n) in static_types.items() for x in (F.lit(k), F.struct(F.lit(t).alias("t"), F.lit(n).alias("n")))))
+    given = static[F.col("action")]
+    value = F.nullif(F.col("record_id").cast("string"), F.lit("")).try_cast("bigint")
+    known = F.when(given.isNotNull(), given["t"]).otherwise(F.raise_error(F.concat(F.lit("no type for records of "), F.col("action"))).cast("string"))
+    record = F.when(value.isNull() | kind.isin("ClientVisit", "Clients"), F.lit(None)).when(kind == "unspecified", one(known, given["n"], value)).otherwise(one(kind, F.lit(driving_name), value))
+    every = F.array(one(F.lit("Clients"), F.lit("client_id"), number("client_id")), one(F.lit("ClientVisit"), F.lit("clientvisit_id"), number("clientvisit_id")), record)
+    return rows.withColumn("_target", F.explode(F.filter(every, lambda t: t.isNotNull() & t["id_value"].isNotNull()))).select(*rows.columns, "_target.id_type", "_target.id_name", "_target.id_value")
+
+
+def listed_actions(pages: DataFrame, html: str, pattern: str, change_types: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pages with the stored types of the actions that they list, the listed actions that no type has). pattern's first group is an action; each counts once a page."""
+    rest = [c for c in pages.columns if c != html]
+    each = pages.select(*rest, F.explode(F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))).alias("action"))
+    return each.join(change_types, "action"), each.join(change_types.select("action"), "action", "left_anti")
+
+
+def since_known(log: DataFrame, known: DataFrame, category: str, driving_id: str = "id_value", moment: str = "change_date") -> DataFrame:
+    """Of a log (driving id, moment, category, ...) one category's rows from each driving id's latest known moment on; of ids without one all. Known moments are aggregated first."""
+    latest = known.groupBy(driving_id).agg(F.max(moment).alias("_latest"))
+    return log.where(F.col("category") == category).join(latest, driving_id, "left").where(F.col("_latest").isNull() | (F.col(moment) >= F.col("_latest"))).drop("_latest")
+
+
 def type_index(change_types: DataFrame, prefix: str | None = None) -> DataFrame:
     """(action, action_id, category_id, category): the dimension's rows, of categories that begin with a prefix if one is given."""
     rows = change_types if prefix is None else change_types.where(F.col("category").startswith(prefix))

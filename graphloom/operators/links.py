@@ -16,6 +16,12 @@ def reconcile(remote: DataFrame, known: DataFrame, key: str = "id_value") -> Dat
     return far.join(near, key, "full").select(key, outcome.alias("outcome")).where("outcome is not null")
 
 
+def reconcile_with_new(remote: DataFrame, known: DataFrame, key: str = "id_value") -> DataFrame:
+    """The older reconciliation: as reconcile(), but every remote id that isn't linked is linked, new ones too, so these have two rows."""
+    found = reconcile(remote, known, key)
+    return found.unionByName(found.where("outcome = 'new'").withColumn("outcome", F.lit("link")))
+
+
 def current(history: DataFrame, *keys: str, moment: str = "ts", unlink: str = "is_unlink", tie: str | None = None) -> DataFrame:
     """Per key the latest entry: (keys, is_linked, changed_at). tie breaks equal moments, larger last."""
     order = F.struct(moment, tie) if tie else F.struct(moment, unlink)
@@ -39,11 +45,13 @@ def source_graph(history: DataFrame, key: str, source: str) -> tuple[DataFrame,
     return vertices, edges
 
 
-def incremental(remote_max: DataFrame, local_max: DataFrame, working: DataFrame) -> DataFrame:
+def incremental(remote_max: DataFrame, local_max: DataFrame, working: DataFrame, sample: int | None = None) -> DataFrame:
     """Ids in (local max, remote max] that nothing works on: one-row tables (max_id) and working (id_value). The driver learns the two
-    bounds only; the range is made by as many tasks as it needs."""
+    bounds only; the range is made by as many tasks as it needs. sample: no more than the first so many ids of the range are looked at in this pass."""
     high, low = (m.agg(F.max("max_id")).first()[0] for m in (remote_max, local_max))
     first, last = (low or 0) + 1, high if high is not None else 0
+    if sample is not None:
+        last = min(last, first + sample - 1)
     ids = remote_max.sparkSession.range(first, max(first, last + 1)).select(F.col("id").alias("id_value"))
     return ids.join(working.select("id_value"), "id_value", "left_anti")
 
