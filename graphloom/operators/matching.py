@@ -56,14 +56,6 @@ def _with_oddness(rows: DataFrame, key: str, what: Column) -> DataFrame:
     return each.join(ends, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
-def first_listed(text: Column, names: list[str]) -> Column:
-    """The first name of a short ordered list that the text contains: a chain of conditions, no join."""
-    found = F.lit(None).cast("string")
-    for name in reversed(names):
-        found = F.when(text.contains(name), name).otherwise(found)
-    return found
-
-
 def team_of(key: Column, text: Column, manual: dict[str, str], first_level: list[tuple[str, str]], default: str) -> Column:
     """A team by hand, else that of the first supervisor whose name the text contains, else the default."""
     by_hand = F.lit(None).cast("string")

@@ -203,3 +203,8 @@ NAMED: dict[str, Callable] = {
     "addExternalId": lambda v, e, new: v.unionByName(new.join(v, "internal_id", "left_anti").dropDuplicates(["internal_id"])),
 }
 NAMED["postExternalId"] = NAMED["postChangeLogEntry"] = NAMED["addExternalId"]
+
+
+def newest(rows: DataFrame, *order: str) -> DataFrame:
+    """The newest row: last in an order that tells rows apart."""
+    return rows.orderBy(*(F.col(c).desc_nulls_last() for c in order)).limit(1)

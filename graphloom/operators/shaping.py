@@ -68,11 +68,6 @@ def one_of_each(rows: DataFrame, key: str, value: str) -> DataFrame:
     return found.select(key, F.when(F.col("_n") <= 1, F.col(value)).otherwise(F.raise_error(F.concat(F.lit("several values of "), F.col(key).cast("string"))).cast(rows.schema[value].dataType)).alias(value))
 
 
-def stages_done(progress: Column) -> Column:
-    """Whether all flags of a progress map are true."""
-    return F.forall(F.map_values(progress), lambda x: F.coalesce(x, F.lit(False)))
-
-
 def branch_level(members: Column, width: Column) -> Column:
     """The level of a branch in a tree of a width."""
     return F.floor(F.log(members.cast("double")) / F.log(width.cast("double")) + 1e-12)

@@ -140,7 +140,7 @@ def identifier_stem(spark: SparkSession, d: str) -> DataFrame:
     WHERE (c_custkey % 2 = 0 AND c_custkey % 5 = 0) OR (c_custkey % 5 <> 0 AND c_custkey % 3 = 0 AND c_custkey % 2 = 0) OR (c_custkey % 5 <> 0 AND c_custkey % 3 <> 0 AND c_custkey % 2 <> 0)
 """)
 def remote_local_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """Even ids are remote; ids not divisible by 5 are known, linked unless divisible by 3."""
+    """Even ids are remote; ids not divisible by 5 are known, linked unless divisible by 3."""
     rows = t(spark, d, "customer").select(F.col("c_custkey").alias("id_value"))
     known = rows.where("id_value % 5 <> 0").withColumn("is_linked", F.col("id_value") % 3 != 0)
     return links.reconcile(rows.where("id_value % 2 = 0"), known)
@@ -159,7 +159,7 @@ def link_history(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT *, max(ts) OVER (PARTITION BY user_id) AS last FROM h) WHERE ts = last GROUP BY user_id
 """)
 def link_history_current(spark: SparkSession, d: str) -> DataFrame:
-    """G17 T16 W05 U06."""
+    """G17 W05."""
     return links.current(link_history(spark, d), "user_id", tie="event_id").select("user_id", "is_linked", day("changed_at").alias("changed_on"))
 
 
@@ -207,7 +207,7 @@ def potential_match_wildcard(spark: SparkSession, d: str) -> DataFrame:
     WHERE id_value IS NOT NULL
 """)
 def changed_targets(spark: SparkSession, d: str) -> DataFrame:
-    """Empty ids are no targets; a record that repeats another id is left out."""
+    """Empty ids are no targets; a record that repeats another id is left out."""
     k = F.get_json_object("props", "$.k")
     rows = t(spark, d, "events").select("event_id", F.when(F.col("event_type") != "click", F.col("user_id").cast("string")).otherwise("").alias("client_id"), F.when(F.col("event_type") != "view", k).otherwise("").alias("clientvisit_id"), F.col("event_id").alias("record_id"), F.when(F.col("event_type") == "error", "Record").otherwise("").alias("record_type"))
     return changes.changed_targets(rows, "Events").select("event_id", "id_type", "id_value")
@@ -243,7 +243,7 @@ def sql_implicit_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_brand AS brand, p_type AS type, count(*) AS parts FROM part JOIN (SELECT DISTINCT p_brand AS b FROM part WHERE p_size > 40) ON p_brand = b GROUP BY ALL")
 def dimension_join(spark: SparkSession, d: str) -> DataFrame:
-    """J05 J23."""
+    """J05."""
     part = t(spark, d, "part")
     brands = part.where("p_size > 40").select(F.col("p_brand").alias("b")).distinct()
     return part.join(brands, F.col("p_brand") == F.col("b")).groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("type")).agg(F.count("*").alias("parts"))
@@ -257,7 +257,7 @@ def remote_min_max(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT i AS id_value FROM range((SELECT max(o_custkey) + 1 FROM orders), (SELECT max(c_custkey) + 101 FROM customer)) r(i) WHERE i % 4 <> 0")
 def incremental_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Ids above the local maximum that nothing works on."""
+    """Ids above the local maximum that nothing works on."""
     remote = t(spark, d, "customer").agg((F.max("c_custkey") + 100).alias("max_id"))
     local = t(spark, d, "orders").agg(F.max("o_custkey").alias("max_id"))
     working = remote.select(F.explode(F.sequence(F.lit(0).cast("bigint"), "max_id", F.lit(4).cast("bigint"))).alias("id_value"))
@@ -359,7 +359,7 @@ def payroll_report(spark: SparkSession, d: str) -> DataFrame:
     SELECT p_partkey, CASE WHEN p_partkey = 7 THEN 'by hand' WHEN contains(p_name, 'red') THEN 'team red' WHEN contains(p_name, 'widget') THEN 'team widget' WHEN contains(p_name, 'bolt') THEN 'team bolt' ELSE 'other' END AS team FROM part
 """)
 def team_assignment(spark: SparkSession, d: str) -> DataFrame:
-    """B06 J19 W06 F02."""
+    """J19 W06."""
     listed = [("red", "team red"), ("widget", "team widget"), ("bolt", "team bolt")]
     return t(spark, d, "part").select("p_partkey", matching.team_of(F.col("p_partkey").cast("string"), F.col("p_name"), {"7": "by hand"}, listed, "other").alias("team"))
 
@@ -369,7 +369,7 @@ def team_assignment(spark: SparkSession, d: str) -> DataFrame:
     SELECT p_partkey, name, emp_id FROM n JOIN o USING (name)
 """)
 def caseload_explode_join(spark: SparkSession, d: str) -> DataFrame:
-    """Of several people with a name the largest id counts."""
+    """Of several people with a name the largest id counts."""
     rows = t(spark, d, "part").select("p_partkey", text.staff_names(F.regexp_replace("p_name", " ", ", ")).alias("names"))
     k = F.col("s_suppkey") % 4
     people = t(spark, d, "supplier").select(F.col("s_suppkey").alias("emp_id"), F.when(k == 0, "red").when(k == 1, "cold").when(k == 2, "bolt").otherwise("Nobody").alias("name"))
@@ -385,7 +385,7 @@ def caseload_explode_join(spark: SparkSession, d: str) -> DataFrame:
     FROM r LEFT JOIN m ON m.record_id = r.record_id GROUP BY 1
 """)
 def theta_match_cardinality(spark: SparkSession, d: str) -> DataFrame:
-    """As equality joins by name, with the substring as a residual."""
+    """By pieces of the number and names, for a part of the parts; theta_match_all takes all."""
     part = t(spark, d, "part")
     name = lambda k: F.split_part("p_name", F.lit(" "), F.lit(k))
     records = part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("record_id"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_size").cast("string")).alias("medicaid"), name(1).alias("first_name"), name(2).alias("last_name"))
@@ -402,7 +402,7 @@ def theta_match_cardinality(spark: SparkSession, d: str) -> DataFrame:
     FROM r LEFT JOIN m ON m.record_id = r.record_id GROUP BY 1
 """)
 def theta_match_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every part as a record against every part as a client."""
+    """Every part as a record against every part as a client."""
     part = t(spark, d, "part")
     name = lambda k: F.split_part("p_name", F.lit(" "), F.lit(k))
     records = part.select(F.col("p_partkey").alias("record_id"), F.when(F.col("p_partkey") % 3 != 0, F.col("p_size").cast("string")).alias("medicaid"), name(1).alias("first_name"), name(2).alias("last_name"))
@@ -450,21 +450,21 @@ def latest_version_per_key(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_partkey, sequence, l_suppkey FROM (SELECT l_partkey, l_suppkey, l_orderkey * 10 + l_linenumber AS sequence, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 10 + l_linenumber DESC, l_suppkey DESC) AS r FROM lineitem) WHERE r = 1")
 def dedupe_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    """G14 K05 K06 S10 S23."""
+    """G14 K05 K06 S10."""
     rows = t(spark, d, "lineitem").select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sequence"), "l_suppkey").withColumn("_order", F.struct("sequence", "l_suppkey"))
     return vertices.last_wins(rows, "_order", "l_partkey").drop("_order")
 
 
 @query("SELECT DISTINCT o_custkey AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
 def first_wins_index(spark: SparkSession, d: str) -> DataFrame:
-    """A conditional put as an anti join."""
+    """A conditional put on one key as an anti join; unique_index_writes has all indexes."""
     new = t(spark, d, "orders").select(F.col("o_custkey").alias("id"))
     return vertices.first_wins(new, t(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id")), "id")
 
 
 @query("SELECT o_custkey, o_orderdate_ AS order_day, count(DISTINCT o_orderkey) AS objects FROM (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate_ FROM orders) GROUP BY 1, 2 HAVING count(DISTINCT o_orderkey) > 1")
 def unique_violations(spark: SparkSession, d: str) -> DataFrame:
-    """V16 V17 F16."""
+    """Keys of one unique index that several objects hold."""
     rows = t(spark, d, "orders").select("o_custkey", day("o_orderdate").alias("order_day"), F.col("o_orderkey").alias("internal_id"))
     return vertices.violations(rows, ("o_custkey", "order_day"))
 
@@ -486,7 +486,7 @@ def previous_row(spark: SparkSession, d: str) -> DataFrame:
     SELECT event_type, CAST(greatest(floor(before / 1000), floor((n - 1) / 50)) AS INTEGER) AS batch, count(*) AS records FROM r GROUP BY ALL
 """)
 def running_cap(spark: SparkSession, d: str) -> DataFrame:
-    """W08 W09 G32 K20 O08 K09."""
+    """Rows by the quotients of the bytes and rows before them. No batches under caps: those are greedy_batches, and the cut of a response is reingestion_cut."""
     rows = t(spark, d, "events").select("event_type", "event_id", F.length("props").alias("size"))
     return readers.put_batches(rows, "event_id", "size", "event_type", 1000, 50).groupBy("event_type", "batch").agg(F.count("*").alias("records"))
 
@@ -639,7 +639,7 @@ FOLD_SQL = """
 
 @query(FOLD_SQL)
 def event_fold_status(spark: SparkSession, d: str) -> DataFrame:
-    """T08 T11 T18 G20 G21 F17."""
+    """T08 G20 G21 F17."""
     names = {"view": "ActivityTaskScheduled", "click": "ActivityTaskStarted", "error": "ActivityTaskFailed", "purchase": "ActivityTaskCompleted"}
     kind = F.create_map(*(x for k, v in names.items() for x in (F.lit(k), F.lit(v))))[F.col("event_type")]
     rows = t(spark, d, "events").select(F.col("user_id").alias("operation_id"), (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("started_id"), "ts", "event_id", history.state_of(kind).alias("state"))
@@ -648,7 +648,7 @@ def event_fold_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT operation_id, CAST(round(power(2, fail_count) + 0.25) AS BIGINT) AS wait FROM ({FOLD_SQL}) WHERE status = 'failed'")
 def back_off_seconds(spark: SparkSession, d: str) -> DataFrame:
-    """X32 T11 W10 G21."""
+    """X32 G21."""
     return event_fold_status(spark, d).where("status = 'failed'").select("operation_id", history.back_off(F.col("fail_count"), F.lit(0.25)).alias("wait"))
 
 
@@ -721,7 +721,7 @@ def nested_caseload(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 100000 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-01-01'")
 def advanced_search(spark: SparkSession, d: str) -> DataFrame:
-    """Pushed into the scan."""
+    """Pushed into the scan."""
     return readers.search(t(spark, d, "orders"), ["o_orderkey", "o_totalprice"], [("o_orderstatus", "=", "F"), ("o_totalprice", ">=", 100000), ("o_orderpriority", "in", ["1-URGENT", "2-HIGH"])], "o_orderdate", "1996-01-01", "1998-01-01")
 
 

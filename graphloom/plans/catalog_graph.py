@@ -260,7 +260,7 @@ def folded(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {EVENTS_SQL} SELECT g, bool_or(status <> 'pending') AS started, bool_and(status = 'complete') AS complete, bool_or(status = 'failed') AS failed, CAST(sum(fail_count) AS BIGINT) AS fail_count, count(*) FILTER (WHERE is_live) AS live, count(*) AS operations FROM s GROUP BY 1")
 def group_states(spark: SparkSession, d: str) -> DataFrame:
-    """Groups that run in parallel and their concurrency, over a history of several pages and kinds of operations."""
+    """Groups that run in parallel and their concurrency, over a history of several pages and kinds of operations."""
     ops = folded(spark, d).withColumn("g", F.col("operation_id") % 6)
     return history.group_state(ops, "g").join(history.concurrency(ops, "g"), "g")
 

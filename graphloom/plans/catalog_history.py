@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import types
-from graphloom.operators import attribution, changes, links
+from graphloom.operators import attribution, changes, history, links, reading
 from graphloom.plans.catalog import query, t
 from graphloom.plans.catalog_runs import FOLDED_SQL, log
+from graphloom.session import new_folder
+from graphloom.streaming import flows
 
 
 def change_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -142,3 +144,45 @@ def grouped_operations(spark: SparkSession, d: str) -> DataFrame:
     plan = events.select("run_id").distinct().select("run_id", F.lit("group").alias("group_id"), F.posexplode(F.array(*map(F.lit, "abcdefg"))).alias("position", "operation_id"))
     plan = plan.withColumn("config", F.when(F.col("position") % 3 == 0, "free").otherwise("capped"))
     return attribution.group_starts(plan, folded, spark.createDataFrame([("capped", 2)], "config string, cap int")).select("run_id", "operation_id", "action")
+
+
+@query("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
+def newest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The newest snapshot of a table."""
+    return reading.newest(t(spark, d, "events"), "ts", "event_id").select("event_id", "user_id", "event_type")
+
+
+@query("SELECT DISTINCT user_id AS operation_id, 'r0-' || user_id AS result FROM events WHERE event_type = 'purchase'")
+def operation_results(spark: SparkSession, d: str) -> DataFrame:
+    """The one distinct result of each operation's executions; two would be an error."""
+    done = F.when(F.col("event_type") == "purchase", F.concat(F.lit("r0-"), F.col("user_id").cast("string")))
+    return history.results(t(spark, d, "events").select(F.col("user_id").alias("operation_id"), done.alias("result")))
+
+
+@query("SELECT epoch_us(date_trunc('hour', ts)) AS hour_us, event_type, count(*) AS events FROM events GROUP BY 1, 2")
+def stream_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Events of each hour in a stream with a watermark."""
+    folder = new_folder(spark, "hours")
+    stream = spark.readStream.schema(t(spark, d, "events").schema).parquet(f"{d}/events.parque[t]").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    flows.windowed_counts(stream, "ts", "event_type").writeStream.outputMode("complete").foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/out")).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(F.unix_micros("window.start").alias("hour_us"), "event_type", "events")
+
+
+MAPPINGS = {"default": {"Order": {"o_orderkey": {"name": "order_key"}, "o_orderpriority": {"name": "priority"}}}, "TPC": {"Order": {"o_orderkey": {"name": "id_value"}, "o_orderpriority": {"name": "rank"}}}}
+
+
+@query("SELECT o_orderkey AS id_value, o_orderpriority AS rank, o_orderkey AS order_key, o_orderpriority AS priority FROM orders")
+def chosen_mappings(spark: SparkSession, d: str) -> DataFrame:
+    """A source's own mapping and, for another source, the default one."""
+    rows = t(spark, d, "orders")
+    own, other = (changes.mapped(rows, changes.choose_mapping(MAPPINGS, source, "Order")) for source in ("TPC", "elsewhere"))
+    return own.join(other, F.col("id_value") == F.col("order_key"))
+
+
+@query("SELECT n_regionkey AS ancestor, 1000 + n_nationkey AS descendant, 1 AS depth FROM nation UNION ALL SELECT 1000 + c_nationkey, 1000000 + c_custkey, 1 FROM customer UNION ALL SELECT n_regionkey, 1000000 + c_custkey, 2 FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def recursive_closure(spark: SparkSession, d: str) -> DataFrame:
+    """The closure as one recursive query, for shallow hierarchies."""
+    nations = t(spark, d, "nation").select(F.col("n_regionkey").cast("bigint").alias("parent"), (F.col("n_nationkey") + 1000).cast("bigint").alias("child"))
+    people = t(spark, d, "customer").select((F.col("c_nationkey") + 1000).cast("bigint").alias("parent"), (F.col("c_custkey") + 1000000).alias("child"))
+    nations.unionByName(people).createOrReplaceTempView("hierarchy_pairs")
+    return reading.closure_sql(spark, "hierarchy_pairs", 4)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.operators.ordering import written
 from graphloom.plans import reports, team_reports
 from graphloom.plans.catalog import query, t
 
@@ -163,3 +164,23 @@ def nested_match_report(spark: SparkSession, d: str) -> DataFrame:
     """The matched caseload of each supervisor and provider."""
     shown = F.transform("patients", lambda p: F.concat_ws(":", p["patient_id"], p["encounters"], p["assessments"]))
     return matched_caseload(spark, d)["nested"].select("supervisor_id", "provider_id", "provider_name", F.array_join(shown, ",").alias("patients"))
+
+
+@query(f"""
+    WITH {TEAMS_SQL}, {SERVICES_SQL}
+    SELECT team AS team_name, CASE WHEN recovery THEN 'recovery' WHEN approved THEN 'payable' ELSE 'unapproved' END AS report, count(*) AS services, sum(CAST(floor(units) AS BIGINT)) AS units, min(service_id) AS first_service
+    FROM services s JOIN teams ON teams.emp_id = s.emp_id WHERE approved OR NOT recovery GROUP BY 1, 2
+""")
+def payroll_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """The workbook's sheets, one for each team and report, summed up."""
+    lines = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(*(f"{e} AS {c}" for c, e in SERVICES.items()))
+    nothing = F.lit("2000-01-01").cast("timestamp")
+    services = lines.withColumns({c: nothing for c in ("service_date", "transfer_date", "approved_date")})
+    parts = [services.where(on).drop("recovery", "hours") for on in ("not recovery", "recovery")]
+    people = teams(spark, d).select("team", "emp_id", "emp_name")
+    tables = written(team_reports.payroll_tables(people, *parts, people.select("emp_id", F.lit("$20").alias("rate"))), "payroll")
+    whole = None
+    for name, sheet in team_reports.sheets(tables, ["north", "south", "west", "by hand", "rest"]).items():
+        summed = sheet.groupBy("team_name").agg(F.lit(name.split("_")[0]).alias("report"), F.count("*").alias("services"), F.sum("units").alias("units"), F.min("service_id").alias("first_service"))
+        whole = summed if whole is None else whole.unionByName(summed)
+    return whole

@@ -187,7 +187,7 @@ def setups(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'page' AS how, o_orderkey FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 30 OFFSET 40) UNION ALL SELECT 'after', o_orderkey FROM (SELECT o_orderkey FROM orders WHERE o_orderkey > 100 ORDER BY o_orderkey LIMIT 30)")
 def paged_reads(spark: SparkSession, d: str) -> DataFrame:
-    """A page by position and the page after a key; limits are the feature."""
+    """A page by position and the page after a key; limits are the feature."""
     rows = t(spark, d, "orders").select("o_orderkey")
     first = reading.page(rows, 40, 30, "o_orderkey").select(F.lit("page").alias("how"), "o_orderkey")
     return first.unionByName(reading.after(rows, 100, 30, "o_orderkey").select(F.lit("after").alias("how"), "o_orderkey"))

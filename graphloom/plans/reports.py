@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import person_name, staff_names
-from graphloom.operators.matching import both_ways, by_names, patient_match, team_of
+from graphloom.operators.matching import both_ways, by_names, team_of
 from graphloom.registry import merged, report_filters
 
 
@@ -107,13 +107,6 @@ def previous_period(check_dates: DataFrame, check: str = "check_date") -> DataFr
     return check_dates.withColumn("previous_check", F.lag(check).over(order)).withColumn("period", F.row_number().over(order))
 
 
-@report_filters("caseload_match")
-def caseload_match(records: DataFrame, clients: DataFrame) -> dict[str, DataFrame]:
-    """Records matched to one client each, missing ones and ambiguous ones."""
-    found = patient_match(records, clients)
-    return {k: found.where(F.col("outcome") == k) for k in ("unique", "missing", "duplicate")}
-
-
 def nested_caseload(placed: DataFrame) -> DataFrame:
     """team -> worker -> clients: one row per team; a worker's clients are a caseload, tens of ids."""
     worker = placed.groupBy("team", "csw_name").agg(F.sort_array(F.collect_set("client_id")).alias("clients"))

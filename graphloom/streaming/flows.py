@@ -1,16 +1,13 @@
-"""Structured Streaming: change-stream triggers, log parsing, first-wins sinks and the item state machine."""
+"""Structured Streaming: change-stream triggers, log parsing, first-wins sinks; item_states.py has the item state machine."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from graphloom.functions.text import invocation_fields, log_fields, log_kind
-from graphloom.operators.history import STAGES
 
 CHANGE = "event_name string, identifier_stem string, sid_value string, new struct<disposition:string,progress:map<string,boolean>>, old struct<disposition:string,progress:map<string,boolean>>"
 
@@ -69,22 +66,3 @@ def by_destination(destinations: dict[str, Callable[[DataFrame], None]], column:
 def windowed_counts(stream: DataFrame, moment: str, by: str, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Event counts per window; moment must be a TIMESTAMP (cast TIMESTAMP_NTZ first)."""
     return stream.withWatermark(moment, late).groupBy(F.window(moment, length), by).agg(F.count("*").alias("events"))
-
-
-STATE = "item string, stage string, seen int"
-
-
-def advance(key: tuple, parts, state: GroupState):
-    """The furthest stage of an item; each stage counts once, whatever the order of events."""
-    seen = set(state.get[0].split(",")) if state.exists else set()
-    for part in parts:
-        seen.update(s for s in part["stage"] if s in STAGES)
-    seen.discard("")
-    state.update((",".join(sorted(seen)),))
-    if seen:
-        yield pd.DataFrame({"item": [key[0]], "stage": [max(seen, key=STAGES.index)], "seen": [len(seen)]})
-
-
-def item_states(stream: DataFrame, key: str = "item") -> DataFrame:
-    """Stateful updates (item, stage, seen) of a stream of (item, stage)."""
-    return stream.groupBy(key).applyInPandasWithState(advance, STATE, "seen string", "update", GroupStateTimeout.NoTimeout)

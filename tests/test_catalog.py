@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from graphloom.plans import catalog, catalog_graph, catalog_sources  # noqa: F401
+from graphloom.plans import catalog, catalog_graph, catalog_history, catalog_reports, catalog_runs, catalog_sources, catalog_store  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="the driver's tables are not here")

@@ -64,19 +64,6 @@ def test_reports(spark):
     assert reports.populate({"default": {"q": [1]}, "p": {"q": [2]}}, "p") == {"q": [1, 2]}
 
 
-def test_item_states(spark, tmp_path):
-    source = tmp_path / "in"
-    spark.createDataFrame([("a", "monitoring"), ("a", "graphing"), ("a", "extraction"), ("b", "monitoring"), ("b", "nonsense")], "item string, stage string").write.parquet(str(source))
-    stream = spark.readStream.schema("item string, stage string").parquet(str(source))
-    found = {}
-
-    def keep(batch, _):
-        found.update({r["item"]: (r["stage"], r["seen"]) for r in batch.collect()})
-
-    flows.item_states(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
-    assert found == {"a": ("graphing", 3), "b": ("monitoring", 1)}
-
-
 def test_first_wins_sink(spark, tmp_path):
     write = flows.first_wins_sink(str(tmp_path / "out"), "k")
     first, second = (spark.createDataFrame(rows, "k int, v string") for rows in ([(1, "a"), (2, "b")], [(2, "c"), (3, "d")]))
