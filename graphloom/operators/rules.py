@@ -17,8 +17,8 @@ from graphloom.schema import EdgeEntry, Rule, Schema, VertexEntry
 
 
 def constant(value: str) -> Column:
-    """source.<field> refers to the source row; all else is a literal."""
-    return F.col(f"`{value.removeprefix('source.')}`").cast("string") if value.startswith("source.") else F.lit(value)
+    """source.<field> refers to the source row and keeps its type; all else is a literal."""
+    return F.col(f"`{value.removeprefix('source.')}`") if value.startswith("source.") else F.lit(value)
 
 
 def targets(sources: DataFrame, rule: Rule, *keep: str, child: tuple[DataFrame, str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.ids import edge_id
 from graphloom.operators.rules import follow
 from graphloom.operators.vertices import build, first_wins, secrets
 from graphloom.schema import Schema
@@ -28,12 +29,14 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 
 def distinct_edges(parts: list[DataFrame], schema: Schema) -> DataFrame:
-    """Edges with an id, once each. Without edge properties all columns are plain, and a hash aggregation does it."""
-    rows = union(parts).where("internal_id is not null")
+    """Edges with an id, once each. Without edge properties the ends and the label say all, so these are made distinct and the ids after that."""
+    rows = union(parts)
     if any(e.properties for e in schema.edges.values()):
-        return rows.dropDuplicates(["internal_id"])
-    plain = rows.select("edge_label", "internal_id", "src_id", "dst_id", "inbound").distinct()
-    return plain.select("edge_label", "internal_id", "src_id", "dst_id", F.create_map().cast("map<string,string>").alias("props"), "inbound")
+        return rows.where("internal_id is not null").dropDuplicates(["internal_id"])
+    target = F.when(F.col("inbound"), F.col("src_id")).otherwise(F.col("dst_id"))
+    plain = rows.where(target.isNotNull()).select("edge_label", "src_id", "dst_id", "inbound").distinct()
+    made = edge_id(F.col("src_id"), F.col("edge_label"), F.col("dst_id"))
+    return plain.select("edge_label", made.alias("internal_id"), "src_id", "dst_id", F.create_map().cast("map<string,string>").alias("props"), "inbound")
 
 
 def assimilate(extracted: dict[str, DataFrame], schema: Schema, known: dict[str, DataFrame] | None = None, children: dict[str, tuple[DataFrame, str]] | None = None) -> Graph:
