@@ -1,15 +1,16 @@
 """Media columns: lossless 8-bit audio and its features.
 
-store() keeps bytes as the samples of a mono 8-bit PCM WAV; features() reads the stored bytes back and computes: a
+store() keeps bytes as the samples of a mono 8-bit PCM WAV; features() reads the stored bytes back and computes a
 polyphase resampling by up/down (windowed-sinc low pass, one filter branch per output phase), log-mel filterbanks over
 overlapping Hann frames, cut into tensors of fixed shape (frames, mels) kept as an Arrow stream with a fixed-shape tensor
 column and time spans, and segments of high energy by hysteresis (a segment begins at or above the upper threshold and
-ends below the lower one; both are set against the median frame).
+ends below the lower one; both are set against the median frame). summarized() reads the stored tensors and sums them up. kept() writes
+the recordings as one table and the tensors with their segments as another, each read back before the next step.
 
 Results: null or empty text is a payload of 64 zero bytes; silence has no segments; the last tensor is filled up with the
 floor level. A text of any length is one recording. Equal bytes give equal results: each text is computed by itself, repeated rows
 give repeated rows, null ids stay. An empty table gives no rows. Bytes that are no such WAV raise an error. store() reads only the named
-columns; features() keeps all it is given, and a result column whose name is taken gets an underscore.
+columns; features() and summarized() keep all they are given, and a result column whose name is taken gets an underscore.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from graphloom.llm.common import fresh, slices
+from graphloom.llm.common import fresh, materialize, slices
 
 FLOOR = -10.0
 SEGMENTS = "array<struct<start_s:double,end_s:double>>"
@@ -104,7 +106,7 @@ def hysteresis(level: np.ndarray, high: float, low: float) -> list[tuple[int, in
 
 
 def tensors(values: np.ndarray, frames: int, hop_s: float, frame_s: float) -> bytes:
-    """An Arrow stream of tensors (frames, mels) with their time spans."""
+    """An Arrow stream of tensors (frames, mels) with their time spans; its schema says how many frames there are and how far apart."""
     count, mels = values.shape
     held = -(-count // frames)
     full = np.full((held * frames, mels), FLOOR, np.float32)
@@ -114,6 +116,7 @@ def tensors(values: np.ndarray, frames: int, hop_s: float, frame_s: float) -> by
     kind = pa.fixed_shape_tensor(pa.float32(), (frames, mels))
     column = pa.ExtensionArray.from_storage(kind, pa.FixedSizeListArray.from_arrays(full.reshape(-1), frames * mels))
     batch = pa.RecordBatch.from_arrays([column, pa.array(first * hop_s), pa.array(last * hop_s + frame_s)], names=["log_mel", "start_s", "end_s"])
+    batch = batch.replace_schema_metadata({"frames": str(count), "hop_s": repr(hop_s)})
     out = io.BytesIO()
     with pa.ipc.new_stream(out, batch.schema) as to:
         to.write_batch(batch)
@@ -124,7 +127,25 @@ def read_tensors(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def describe(payload: bytes, rate: int, up: int, down: int, frame: int, hop: int, mels: int, frames: int) -> tuple[bytes, list[dict], str]:
+def frames_of(data: bytes) -> tuple[np.ndarray, float]:
+    """(log-mel values of all frames, seconds between frames) of stored tensors, without what fills up the last one."""
+    table = read_tensors(data)
+    column = table.column("log_mel").combine_chunks()
+    values = column.storage.flatten().to_numpy().reshape(-1, column.type.shape[1])
+    return values[: int(table.schema.metadata[b"frames"])], float(table.schema.metadata[b"hop_s"])
+
+
+def summary(data: bytes, spans: list[dict]) -> str:
+    """A text about stored tensors and segments; equal ones have equal texts."""
+    values, hop_s = frames_of(data)
+    level = 10 * values.mean(1, dtype=np.float64)
+    frame_s = float(read_tensors(data).column("end_s")[0].as_py()) - (min(len(values), read_tensors(data).column("log_mel").type.shape[0]) - 1) * hop_s
+    high = sum(round((s["end_s"] - s["start_s"] - frame_s) / hop_s) + 1 for s in spans)
+    means = ",".join(f"{x:.2f}" for x in values.mean(0, dtype=np.float64))
+    return f"frames={len(values)};segments={len(spans)};high={high};level_db={np.median(level):.2f};mel={means}"
+
+
+def describe(payload: bytes, rate: int, up: int, down: int, frame: int, hop: int, mels: int, frames: int) -> tuple[bytes, list[dict]]:
     x = resample((np.frombuffer(payload, np.uint8).astype(np.float32) - 128) / 128, up, down)
     new_rate = rate * up / down
     values = log_mel(x, new_rate, frame, hop, mels)
@@ -132,9 +153,7 @@ def describe(payload: bytes, rate: int, up: int, down: int, frame: int, hop: int
     middle = float(np.median(level))
     segments = hysteresis(level, middle + 1.0, middle - 0.5) if level.max() > 10 * FLOOR else []
     spans = [{"start_s": a * hop / new_rate, "end_s": ((b - 1) * hop + frame) / new_rate} for a, b in segments]
-    means = ",".join(f"{x:.2f}" for x in values.mean(0, dtype=np.float64))
-    voiced = sum(b - a for a, b in segments)
-    return tensors(values, frames, hop / new_rate, frame / new_rate), spans, f"frames={len(values)};segments={len(segments)};high={voiced};level_db={middle:.2f};mel={means}"
+    return tensors(values, frames, hop / new_rate, frame / new_rate), spans
 
 
 def store(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: int = 8000) -> DataFrame:
@@ -150,8 +169,8 @@ def store(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: int =
 
 
 def features(stored: DataFrame, up: int = 2, down: int = 5, frame: int = 256, hop: int = 128, mels: int = 20, frames: int = 32) -> DataFrame:
-    """stored with payload (read back), tensors, segments and a text summary, feature."""
-    names, made = stored.columns, [fresh(stored, name) for name in ("payload", "tensors", "segments", "feature")]
+    """stored with payload (read back), tensors and segments."""
+    names, made = stored.columns, [fresh(stored, name) for name in ("payload", "tensors", "segments")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
     spans = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
 
@@ -159,7 +178,32 @@ def features(stored: DataFrame, up: int = 2, down: int = 5, frame: int = 256, ho
         for batch in slices(batches, "media"):
             read = [from_wav(x) for x in batch.column("media").to_pylist()]
             found = [describe(x, rate, up, down, frame, hop, mels, frames) for x, rate in read]
-            columns = [pa.array([x for x, _ in read], pa.binary()), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], spans), pa.array([x[2] for x in found], pa.string())]
+            columns = [pa.array([x for x, _ in read], pa.binary()), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], spans)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*names, *made])
 
-    return stored.mapInArrow(run, f"{kinds}, {made[0]} binary, {made[1]} binary, {made[2]} {SEGMENTS}, {made[3]} string")
+    return stored.mapInArrow(run, f"{kinds}, {made[0]} binary, {made[1]} binary, {made[2]} {SEGMENTS}")
+
+
+def summarized(described: DataFrame, tensor: str = "tensors", segments: str = "segments") -> DataFrame:
+    """described with feature, a text made from its tensors and segments."""
+    name = fresh(described, "feature")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in described.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, tensor):
+            found = [summary(data, spans) for data, spans in zip(batch.column(tensor).to_pylist(), batch.column(segments).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, name])
+
+    return described.mapInArrow(run, f"{kinds}, {name} string")
+
+
+#: How both tables are written: their rows are large, so row groups are small.
+WRITTEN = {"compression": "zstd", "parquet.block.size": 16 << 20}
+
+
+def kept(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, tensors, segments, feature) of every text: its recording is written and read back, then its tensors and segments are, and the feature is made from these."""
+    media, _ = materialize(store(docs, key, text), "media", **WRITTEN)
+    found = features(media)
+    shown = found.select(key, "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "tensors", "segments")
+    return summarized(materialize(shown, "tensors", **WRITTEN)[0])

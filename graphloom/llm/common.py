@@ -77,14 +77,14 @@ def cleaning(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(CLEANUP, before)
 
 
-def materialize(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors, and the shuffle files that made them go at once."""
+def materialize(df: DataFrame, tag: str, **options: object) -> tuple[DataFrame, str]:
+    """Write df as Parquet in the shared folder and read it back: later plans start from files that outlive executors, and the shuffle files that made them go at once. options are the writer's."""
     spark = df.sparkSession
     bounded_batches(spark)
     path = new_folder(spark, tag)
     schema = df.schema
     with cleaning(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(schema).parquet(path), path
 
 

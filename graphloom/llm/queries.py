@@ -59,8 +59,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = audio.features(audio.store(table(spark, sf_dir, "documents")))
-    return found.select("doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature")
+    found = audio.kept(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,7 +279,7 @@ def test_cover_trees_cover_and_separate():
 
 def test_audio_table(spark):
     docs = brute.frame(spark, brute.ODD_DOCS + brute.ODD_DOCS[:1])
-    rows = audio.features(audio.store(docs)).collect()
+    rows = audio.summarized(audio.features(audio.store(docs))).collect()
     given = {d: t or "" for d, t, _ in brute.ODD_DOCS}
     assert len(rows) == 15
     by_text = {}
@@ -291,7 +291,55 @@ def test_audio_table(spark):
         assert table.schema.field("log_mel").type.shape == [32, 20] and all(a < b for a, b in zip(table["start_s"].to_pylist(), table["end_s"].to_pylist(), strict=True))
         assert all(s["start_s"] < s["end_s"] for s in r["segments"])
         assert by_text.setdefault(data, (r["feature"], bytes(r["media"]), bytes(r["tensors"]))) == (r["feature"], bytes(r["media"]), bytes(r["tensors"]))
-    assert audio.features(audio.store(docs.limit(0))).count() == 0
+    assert audio.features(audio.store(docs.limit(0))).count() == 0 and audio.kept(docs.limit(0)).count() == 0
+
+
+def plain_feature(text, rate=8000, up=2, down=5, frame=256, hop=128, mels=20):
+    """The feature of a text by sums and loops: (frames, segments, high frames, median level, mean of each filter)."""
+    data = (text or "").encode()
+    data += bytes(-len(data) % 64 if data else 64)
+    x = (np.frombuffer(data, np.uint8).astype(float) - 128) / 128
+    half = 6 * max(up, down)
+    lags = np.arange(-half, half + 1)
+    taps = np.sinc(lags / max(up, down)) * np.hanning(len(lags) + 2)[1:-1]
+    taps *= up / taps.sum()
+    wide = np.zeros(len(x) * up)
+    wide[::up] = x
+    slow = np.array([sum(taps[k + half] * wide[m * down - k] for k in lags if 0 <= m * down - k < len(wide)) for m in range(-(-len(x) * up // down))])
+    new_rate = rate * up / down
+    count = max(1, -(-(len(slow) - frame) // hop) + 1)
+    slow = np.concatenate([slow, np.zeros(max(0, (count - 1) * hop + frame - len(slow)))])
+    waves = np.exp(-2j * np.pi * np.outer(np.arange(frame), np.arange(frame // 2 + 1)) / frame)
+    points = 700 * (10 ** (np.linspace(0, 2595 * np.log10(1 + new_rate / 2 / 700), mels + 2) / 2595) - 1)
+    at = np.arange(frame // 2 + 1) * new_rate / frame
+    values = np.empty((count, mels))
+    for i in range(count):
+        power = np.abs((slow[i * hop : i * hop + frame] * np.hanning(frame)) @ waves) ** 2
+        for k in range(mels):
+            low, middle, high = points[k : k + 3]
+            weight = [max(0.0, min((f - low) / (middle - low), (high - f) / (high - middle))) for f in at]
+            values[i, k] = np.log10(max(float(power @ weight), 1e-10))
+    level = 10 * values.mean(1)
+    median, on, segments, loud = np.median(level), False, 0, 0
+    for v in level if level.max() > -100 + 1e-9 else []:
+        if v >= median + 1 and not on:
+            on, segments = True, segments + 1
+        elif v < median - 0.5:
+            on = False
+        loud += on
+    return count, segments, loud, median, values.mean(0)
+
+
+def test_features_equal_sums_and_loops(spark):
+    rng = random.Random(4)
+    texts = [None, "", "short", "quiet " * 60 + "LOUD ÿÿÿ \x7f" * 40 + "quiet " * 90, "".join(chr(rng.randrange(32, 127)) for _ in range(1500)), "é日本😀" * 120 + " " * 900 + "zzzz" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in audio.kept(docs).collect():
+        parts = dict(p.split("=") for p in r["feature"].split(";"))
+        frames, segments, high, level, means = plain_feature(texts[r["doc_id"]])
+        assert (int(parts["frames"]), int(parts["segments"]), int(parts["high"])) == (frames, segments, high), r["doc_id"]
+        assert abs(float(parts["level_db"]) - level) < 0.02 and np.abs(np.array(parts["mel"].split(","), float) - means).max() < 0.02
+        assert len(r["segments"]) == segments and audio.frames_of(bytes(r["tensors"]))[0].shape == (frames, 20)
 
 
 def test_resampling_equals_the_direct_sum():
@@ -352,14 +400,14 @@ def test_url_filters_equal_brute_force(spark):
 
 def test_audio_keeps_names_that_are_taken(spark):
     stored = audio.store(brute.frame(spark)).withColumn("payload", F.lit("mine")).withColumn("feature", F.lit(1))
-    found = audio.features(stored)
+    found = audio.summarized(audio.features(stored))
     assert found.columns == [*stored.columns, "payload_", "tensors", "segments", "feature_"] and {r["payload"] for r in found.collect()} == {"mine"}
 
 
 def test_long_texts_of_media_and_quality(spark):
     long = "A sentence of some words, more or less. " * 280_000
     docs = brute.frame(spark, [(None, long, "s"), (2, long, "s"), (3, "short", "s")])
-    sizes = audio.features(audio.store(docs)).select("n_bytes", F.length("payload").alias("n"), "feature").collect()
+    sizes = audio.summarized(audio.features(audio.store(docs))).select("n_bytes", F.length("payload").alias("n"), "feature").collect()
     assert sorted((r["n_bytes"], r["n"]) for r in sizes) == sorted([(len(long), len(long) + -len(long) % 64)] * 2 + [(5, 64)]) and len({r["feature"] for r in sizes}) == 2
     model = quality.train(docs, spark.createDataFrame([(2, 1), (3, 0)], "doc_id long, quality int"))
     scores = [r["s"] for r in docs.select(quality.scorer(model).alias("s"), F.length("text").alias("n")).orderBy("n").collect()]
