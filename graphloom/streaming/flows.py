@@ -37,28 +37,44 @@ def log_lines(stream: DataFrame, column: str = "message") -> DataFrame:
     return stream.select("*", kind.alias("kind"), F.when(kind == "python", log_fields(F.col(column))).alias("python"), F.when(kind == "invocation", invocation_fields(F.col(column))).alias("invocation"))
 
 
-def first_wins_sink(path: str, *keys: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer that keeps the first row of a key; a batch that is run again writes nothing new, because batches are folders of their own."""
+def first_wins_sink(path: str, *keys: str, order: str | None = None, buckets: int = 32) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer that keeps the first row of a key: the one of the smallest `order` in its batch, or any of them.
+
+    Rows lie in folders by a hash of their key and by batch. A batch reads the keys of its own buckets only, and a batch that is run again replaces its own folders, so it writes nothing new.
+    For streams of very many keys keep them in the state store instead (dropDuplicates), which reads only what a batch asks for.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         exists = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-        new = batch.dropDuplicates(list(keys))
-        if exists:
-            stored = spark.read.parquet(path).where(F.col("batch_id") != batch_id)
-            new = new.join(stored.select(*keys), list(keys), "left_anti")
-        new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        rest = [c for c in batch.columns if c not in keys]
+        chosen = F.min_by(F.struct(*rest), order) if order else F.first(F.struct(*rest))
+        new = batch.groupBy(*keys).agg(chosen.alias("_r")).select(*keys, "_r.*") if rest else batch.distinct()
+        new = new.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        try:
+            rows = new
+            if exists:
+                touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # buckets at most
+                stored = spark.read.parquet(path).where(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
+                rows = new.join(stored.select("bucket", *keys), ["bucket", *keys], "left_anti")
+            rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(path)
+        finally:
+            new.unpersist()
 
     return write
 
 
 def by_destination(destinations: dict[str, Callable[[DataFrame], None]], column: str = "destination") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer that hands each destination its rows of the batch."""
+    """A foreachBatch writer that hands each destination its rows of the batch, which is computed once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for name, send in destinations.items():
-            send(batch.where(F.col(column) == name))
+        batch.persist()
+        try:
+            for name, send in destinations.items():
+                send(batch.where(F.col(column) == name))
+        finally:
+            batch.unpersist()
 
     return write
 

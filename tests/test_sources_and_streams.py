@@ -73,6 +73,19 @@ def test_first_wins_sink(spark, tmp_path):
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "a"), (2, "b"), (3, "d")]
 
 
+def test_first_wins_sink_reads_its_own_buckets(spark, tmp_path):
+    write = flows.first_wins_sink(str(tmp_path / "out"), "k", order="at", buckets=8)
+    table = lambda rows: spark.createDataFrame(rows, "k int, v string, at int")
+    write(table([(k, "first", 2) for k in range(40)] + [(k, "earlier", 1) for k in range(20)]), 0)
+    write(table([(3, "late", 0), (100, "new", 0)]), 1)
+    found = {r["k"]: r["v"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {k: "earlier" if k < 20 else "first" for k in range(40)} | {100: "new"}
+    assert len(list((tmp_path / "out").glob("bucket=*/batch_id=1"))) == 1
+    before = sorted(p.name for p in (tmp_path / "out").rglob("*.parquet"))
+    write(table([(5, "again", 0)]), 2)
+    assert sorted(p.name for p in (tmp_path / "out").rglob("*.parquet")) == before  # nothing new, nothing written
+
+
 def test_windowed_counts(spark, tmp_path):
     rows = spark.sql("select timestamp '2020-01-01 00:10:00' as ts, 'x' as kind union all select timestamp '2020-01-01 00:20:00', 'x' union all select timestamp '2020-01-01 01:20:00', 'x'")
     rows.write.parquet(str(tmp_path / "in"))
