@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import types
-from graphloom.operators import attribution, changes, history, links, reading
+from graphloom.operators import attribution, changes, history, indexes, links, reading, vertices
+from graphloom.plans import change_log
 from graphloom.plans.catalog import query, t
+from graphloom.plans.catalog_graph import CHANGE, ENTRY, EXTERNAL
 from graphloom.plans.catalog_runs import FOLDED_SQL, log
+from graphloom.plans.catalog_sources import SEARCHES, WINDOW
+from graphloom.schema import Schema
 from graphloom.session import new_folder
+from graphloom.sources import typed_json
 from graphloom.streaming import flows
 
 
@@ -186,3 +191,75 @@ def recursive_closure(spark: SparkSession, d: str) -> DataFrame:
     people = t(spark, d, "customer").select((F.col("c_nationkey") + 1000).cast("bigint").alias("parent"), (F.col("c_custkey") + 1000000).alias("child"))
     nations.unionByName(people).createOrReplaceTempView("hierarchy_pairs")
     return reading.closure_sql(spark, "hierarchy_pairs", 4)
+
+
+@query("""
+    SELECT o_orderkey, '{"M":{"o_orderkey":{"N":"' || o_orderkey || '"},"o_orderpriority":' || CASE WHEN o_orderkey % 3 = 0 THEN '{"NULL":true}' ELSE '{"S":"' || o_orderpriority || '"}' END || ',"big":{"BOOL":' || (o_totalprice > 100000) || '},"keys":{"L":[{"N":"' || o_custkey || '"},{"N":"' || o_orderkey || '"}]}}}' AS typed,
+           '{"big": ' || (o_totalprice > 100000) || ', "keys": [' || o_custkey || ', ' || o_orderkey || '], "o_orderkey": ' || o_orderkey || ', "o_orderpriority": ' || CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE '"' || o_orderpriority || '"' END || '}' AS plain
+    FROM orders
+""")
+def typed_json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows to typed JSON and back to plain JSON."""
+    value = F.struct("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("o_orderpriority"), (F.col("o_totalprice") > 100000).alias("big"), F.array("o_custkey", "o_orderkey").alias("keys"))
+    rows = t(spark, d, "orders").select("o_orderkey", value.alias("v"))
+    typed = rows.select("o_orderkey", typed_json.encoded(F.col("v"), rows.schema["v"].dataType).alias("typed"))
+    return typed.withColumn("plain", typed_json.plain_json("typed"))
+
+
+REFERRED = '{"shared": {"key": {"name": "c_custkey", "kind": "Number", "is_id": true}, "all": [{"$ref": "#/shared/key"}, {"name": "c_name"}]}, "vertices": [{"name": "Customer", "properties": {"$ref": "#/shared/all"}, "id_key": ["object_type", "c_custkey"], "stem_key": ["c_name"], "indexes": [{"name": "names", "fields": ["c_name"]}]}], "edges": []}'
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id_value, c_name AS name, 'names' AS index FROM customer WHERE c_custkey <> 0")
+def schema_with_references(spark: SparkSession, d: str) -> DataFrame:
+    """A schema whose properties are references within its text, nested ones too."""
+    schema = Schema.from_json(REFERRED)
+    (index,) = indexes.declared(schema)
+    found = vertices.build(t(spark, d, "customer"), schema.vertices["Customer"]).where("is_complete")
+    return found.select(F.col("props")["c_custkey"].alias("id_value"), F.col("props")["c_name"].alias("name"), F.lit(index.name).alias("index"))
+
+
+@query("""
+    WITH e AS (SELECT * FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-20')
+    SELECT 'productivity.encounters' AS search, user_id, value FROM e WHERE event_type = 'purchase' UNION ALL SELECT 'productivity.unapproved', user_id, value FROM e WHERE event_type = 'view'
+    UNION ALL SELECT 'productivity.tx_plans', user_id, NULL FROM e WHERE event_type = 'signup' UNION ALL SELECT 'productivity.diagnostics', user_id, NULL FROM e WHERE event_type IN ('signup', 'view')
+    UNION ALL SELECT 'productivity.emp_data', user_id, NULL FROM e WHERE event_type <> 'error' UNION ALL SELECT 'productivity.clients', user_id, NULL FROM e WHERE value >= 10
+    UNION ALL SELECT 'payroll.encounters', user_id, value FROM e WHERE event_type = 'purchase' AND value > 20 UNION ALL SELECT 'payroll.rates', user_id, value FROM e WHERE event_type LIKE 'cl%'
+    UNION ALL SELECT 'payroll.periods', user_id, NULL FROM e WHERE event_type = 'click' UNION ALL SELECT 'payroll.unapproved', user_id, NULL FROM e WHERE event_type = 'error' AND value < 500
+""")
+def report_search_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the ten searches of the reports' source sets."""
+    searches = {name: {"source": source, "fields": fields, "conditions": conditions, **WINDOW} for name, (source, fields, conditions) in SEARCHES.items()}
+    whole = None
+    for name, rows in change_log.query_sets({"events": t(spark, d, "events")}, searches).items():
+        part = rows.select(F.lit(name).alias("search"), "user_id", F.col("value") if "value" in rows.columns else F.lit(None).cast("double").alias("value"))
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
+@query("""
+    WITH n AS (SELECT CAST(n_nationkey AS BIGINT) AS id_value, md5('TPCExternalId' || n_nationkey) AS e, md5('TPCChangeLogEntry' || n_nationkey) AS l, md5('TPCChange' || n_nationkey) AS c FROM nation WHERE n_nationkey <> 0)
+    SELECT 'getExternalId' AS read, e AS internal_id, id_value FROM n WHERE id_value = 3
+    UNION ALL SELECT 'listExternalIds', e, id_value FROM n
+    UNION ALL SELECT 'getExternalIds', e, id_value FROM n WHERE id_value BETWEEN 5 AND 10
+    UNION ALL SELECT 'pageExternalIds', e, id_value FROM (SELECT * FROM n ORDER BY id_value LIMIT 5 OFFSET 2)
+    UNION ALL SELECT 'pageChangeLogEntries', l, id_value FROM (SELECT * FROM n ORDER BY id_value LIMIT 5 OFFSET 2)
+    UNION ALL SELECT 'pageChangeDetails', c, id_value FROM (SELECT * FROM n ORDER BY id_value LIMIT 5 OFFSET 2)
+    UNION ALL SELECT 'addExternalId', e, id_value FROM n UNION ALL SELECT 'addExternalId', l, id_value FROM n UNION ALL SELECT 'addExternalId', c, id_value FROM n UNION ALL SELECT 'addExternalId', md5('TPCOther' || id_value), id_value FROM n
+    UNION ALL SELECT 'getExtIdMaxMin', 'max', max(id_value) FROM n UNION ALL SELECT 'getExtIdMaxMin', 'min', min(id_value) FROM n
+""")
+def named_read_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What reads and adds by name find among the nations, row by row."""
+    kind = lambda name: t(spark, d, "nation").where("n_nationkey <> 0").select(F.lit("TPC").alias("id_source"), F.lit(name).alias("id_type"), F.lit("n_nationkey").alias("id_name"), F.col("n_nationkey").alias("id_value"))
+    v = None
+    for entry in (EXTERNAL, CHANGE, ENTRY):
+        made = vertices.build(kind(entry.name), entry)
+        v = made if v is None else v.unionByName(made)
+    page = {"start": 2, "end": 7}
+    one = v.where("object_type = 'ExternalId' and id_value = 3").first()["internal_id"]
+    given = {"getExternalId": {"internal_id": one}, "listExternalIds": {}, "getExternalIds": {"low": 5, "high": 10}, "pageExternalIds": page, "pageChangeLogEntries": page, "pageChangeDetails": page, "addExternalId": {"new": vertices.build(kind("Other"), EXTERNAL)}}
+    whole = None
+    for name, arguments in given.items():
+        part = reading.NAMED[name](v, v, **arguments).select(F.lit(name).alias("read"), "internal_id", F.col("id_value").cast("bigint").alias("id_value"))
+        whole = part if whole is None else whole.unionByName(part)
+    ends = reading.NAMED["getExtIdMaxMin"](v, v).select(F.explode(F.array(*(F.struct(F.lit(c).alias("internal_id"), F.col(c).cast("bigint").alias("id_value")) for c in ("max", "min")))).alias("x"))
+    return whole.unionByName(ends.select(F.lit("getExtIdMaxMin").alias("read"), "x.*"))

@@ -108,11 +108,11 @@ def change_detail_pages(spark: SparkSession, d: str) -> DataFrame:
     return readers.change_details(t(spark, d, "part").select("p_partkey", html.alias("html")), "html")
 
 
-@query("SELECT event_id, 'goal ' || user_id AS goal, event_type AS intervention FROM events WHERE event_type IN ('click', 'purchase') AND user_id % 2 = 0")
+@query("SELECT event_id, 'goal ' || user_id AS goal, event_type AS intervention FROM events WHERE user_id % 2 = 0")
 def encounter_fields(spark: SparkSession, d: str) -> DataFrame:
     """Fields of interest of encounter pages, of those that hold every wanted text."""
     html = F.concat(F.lit("<div><b>Goal</b><span>goal "), F.col("user_id").cast("string"), F.lit("</span><b>Intervention</b><i>"), "event_type", F.lit("</i><b>Other</b><i>"), F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd"), F.lit("</i></div>"))
-    pages = t(spark, d, "events").where(F.col("event_type").isin("click", "purchase")).select("event_id", html.alias("html"))
+    pages = t(spark, d, "events").select("event_id", html.alias("html"))
     kept = pages.where(shaping.contains_all(F.col("html"), ("Goal", "even")))
     pairs = kept.select("event_id", F.explode(text.label_values(F.col("html"))).alias("p")).where(F.col("p.label").isin("Goal", "Intervention"))
     return pairs.groupBy("event_id").agg(F.max(F.when(F.col("p.label") == "Goal", F.col("p.value"))).alias("goal"), F.max(F.when(F.col("p.label") == "Intervention", F.col("p.value"))).alias("intervention"))
@@ -177,11 +177,11 @@ def change_type_shapes(spark: SparkSession, d: str) -> DataFrame:
     return rows.union(maps).union(lists)
 
 
-@query("SELECT event_id, CASE event_type WHEN 'signup' THEN 'client_id' ELSE 'clientvisit_id' END AS id_name FROM events WHERE event_type IN ('signup', 'view')")
+@query("SELECT event_id, CASE event_type WHEN 'signup' THEN 'client_id' WHEN 'view' THEN 'clientvisit_id' ELSE event_type || '_id' END AS id_name FROM events")
 def setups(spark: SparkSession, d: str) -> DataFrame:
     """The configuration of what is asked for; what isn't set up would be an error."""
-    configs = spark.createDataFrame([("signup", "client_id"), ("view", "clientvisit_id")], "id_type string, setup string")
-    asked = t(spark, d, "events").where(F.col("event_type").isin("signup", "view")).select("event_id", F.col("event_type").alias("id_type"))
+    configs = spark.createDataFrame([("signup", "client_id"), ("view", "clientvisit_id"), *((x, f"{x}_id") for x in ("click", "purchase", "error"))], "id_type string, setup string")
+    asked = t(spark, d, "events").select("event_id", F.col("event_type").alias("id_type"))
     return changes.setup(configs, asked, "id_type").select("event_id", F.col("setup").alias("id_name"))
 
 
@@ -220,10 +220,10 @@ def log_records(spark: SparkSession, d: str) -> DataFrame:
     return readers.log_records(t(spark, d, "events").select(F.col("event_id").alias("record_id"), data.alias("data"))).select("record_id", "result", "id", "message")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderkey, o_custkey FROM orders")
 def spilled_rows(spark: SparkSession, d: str) -> DataFrame:
     """Stored once, read back by the pointer."""
-    return readers.unspill(spark, readers.spill(t(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), new_folder(spark, "spill")))
+    return readers.unspill(spark, readers.spill(t(spark, d, "orders").select("o_orderkey", "o_custkey"), new_folder(spark, "spill")))
 
 
 @query("SELECT DISTINCT user_id AS flow_id FROM events WHERE event_type = 'signup' AND value > 100")

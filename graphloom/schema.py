@@ -127,7 +127,8 @@ class Schema:
 
     @staticmethod
     def from_json(text: str) -> Schema:
-        given = json.loads(text)
+        """A schema of JSON text; {"$ref": "#/a/b"} stands for what is there in the same text."""
+        given = with_references(json.loads(text))
 
         def indexes(entry: dict) -> tuple[Index, ...]:
             return tuple(Index(i["name"], tuple(i["fields"]), i.get("unique", True), tuple(i.get("object_types", ("*",)))) for i in entry.get("indexes", ()))
@@ -140,6 +141,35 @@ class Schema:
         return Schema({v.name: v for v in vertices}, {e.label: e for e in edges})
 
 
+def with_references(whole: object) -> object:
+    """whole with each {"$ref": "#/a/b"} replaced by what its pointer names, which may hold references too. A pointer to nothing or within itself is an error."""
+
+    def at(pointer: str) -> object:
+        if not pointer.startswith("#"):
+            raise SchemaError(f"{pointer}: only references within the text are known")
+        value = whole
+        for part in filter(None, pointer[1:].split("/")):
+            part = part.replace("~1", "/").replace("~0", "~")
+            try:
+                value = value[int(part)] if isinstance(value, list) else value[part]
+            except (KeyError, IndexError, ValueError, TypeError) as e:
+                raise SchemaError(f"{pointer} names nothing") from e
+        return value
+
+    def resolved(value: object, within: tuple[str, ...]) -> object:
+        if isinstance(value, list):
+            return [resolved(v, within) for v in value]
+        if not isinstance(value, dict):
+            return value
+        if "$ref" in value:
+            if value["$ref"] in within:
+                raise SchemaError(f"{value['$ref']} refers to itself")
+            return resolved(at(value["$ref"]), (*within, value["$ref"]))
+        return {k: resolved(v, within) for k, v in value.items()}
+
+    return resolved(whole, ())
+
+
 def newer(versions: list[tuple[int, str]], text: str) -> list[tuple[int, str]]:
     """versions with text as the next one, if it differs from the newest."""
     last = max(versions, default=(0, ""))

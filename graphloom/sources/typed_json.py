@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, NumericType, StringType, StructType
 
 #: Fixed tags of the formats.
 STORE_TAGS = {"S", "N", "BOOL", "NULL", "M", "L", "SS", "NS"}
@@ -56,3 +57,23 @@ def plain_json(texts: pd.Series) -> pd.Series:
             return None
 
     return texts.map(one)
+
+
+def tagged(value: Column, kind: DataType) -> Column:
+    """value with the store's type tags, for encoded(): numbers as text under N, lists under L, structs and maps under M, null under NULL, all else as text under S."""
+    if isinstance(kind, StructType):
+        tag, inner = "M", F.struct(*(tagged(value[f.name], f.dataType).alias(f.name) for f in kind))
+    elif isinstance(kind, MapType):
+        tag, inner = "M", F.transform_values(value, lambda _, v: tagged(v, kind.valueType))
+    elif isinstance(kind, ArrayType):
+        tag, inner = "L", F.transform(value, lambda v: tagged(v, kind.elementType))
+    elif isinstance(kind, BooleanType):
+        tag, inner = "BOOL", value
+    else:
+        tag, inner = ("N" if isinstance(kind, NumericType) else "S"), value.cast("string")
+    return F.struct(F.when(value.isNotNull(), inner).alias(tag), F.when(value.isNull(), F.lit(True)).alias("NULL"))
+
+
+def encoded(value: Column, kind: DataType) -> Column:
+    """Typed JSON text of a column of a type; plain_json() gives the plain JSON back. Built-in expressions only."""
+    return F.to_json(tagged(value, kind), {"ignoreNullFields": "true"})
