@@ -13,8 +13,9 @@ def matched_once(left: DataFrame, right: DataFrame, on: Column, left_key: str, r
     return counted.select(left_key, "matches", F.when(F.col("matches") == 1, F.col("_one")).alias("matched"), outcome.alias("outcome"))
 
 
-def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5) -> DataFrame:
-    """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, or with a client that has none, both names are equal.
+def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5, unnumbered: bool = False) -> DataFrame:
+    """Records (record_id, medicaid, first_name, last_name) to clients (client_id, ...): with a medicaid number, the client's contains it and last or first name are equal without case; without one, both names are equal.
+    unnumbered: clients without a number are found by both names too, whatever the record's number is.
 
     Clients are grouped by number and names first, and asked once for each number and names that records have. A number is looked up by equality on one of its
     pieces of `gram` characters, in its middle, beside the name, so a frequent name costs only the numbers that share the piece; the substring is tested then. Numbers
@@ -37,7 +38,7 @@ def patient_match(records: DataFrame, clients: DataFrame, gram: int = 5) -> Data
     numbered = F.coalesce(F.length("medicaid") > 0, F.lit(False))
     middle = F.floor((F.length("medicaid") - gram) / 2).cast("int") + 1
     piece = F.when(F.length("medicaid") >= gram, F.col("medicaid").substr(middle, F.lit(gram))).otherwise(none)
-    wanted = F.when(numbered, F.array(key("l", piece, F.col("rl")), key("f", piece, F.col("rf")), key("n", none, F.col("rf"), F.col("rl")))).otherwise(F.array(key("b", none, F.col("rf"), F.col("rl"))))
+    wanted = F.when(numbered, F.array(key("l", piece, F.col("rl")), key("f", piece, F.col("rf")), *([key("n", none, F.col("rf"), F.col("rl"))] if unnumbered else []))).otherwise(F.array(key("b", none, F.col("rf"), F.col("rl"))))
     r = r.withColumn("_ask", F.when(F.col("_odd"), F.concat(F.lit("id"), F.col("record_id").cast("string"))).otherwise(F.col("_what")))
     asked = r.select("_ask", "medicaid", "rf", "rl").distinct().withColumn("_k", F.explode(wanted)).select("*", "_k.*").drop("_k")
     met = asked.join(held, ["tag", "piece", "name"]).where(F.col("tag").isin("b", "n") | F.col("cm").contains(F.col("medicaid"))).where((F.col("tag") != "f") | ~F.col("cl").eqNullSafe(F.col("rl")) | F.col("cl").isNull())

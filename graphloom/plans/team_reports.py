@@ -68,7 +68,7 @@ def caseload_report(caseload: DataFrame, clients: DataFrame, employees: DataFram
     entries = caseload.where("client_name <> '' and csw_name <> '' and supervisor_name <> ''")
     one = entries.groupBy("medicaid").agg(F.max_by(F.struct("client_name", "csw_name", "supervisor_name"), "seq").alias("_e")).select("medicaid", "_e.*").withColumn("_row", F.coalesce("medicaid", F.lit("")))
     asked = one.select(F.col("_row").alias("record_id"), "medicaid", text.split_name(F.col("client_name"))["first_name"].alias("first_name"), text.split_name(F.col("client_name"))["last_name"].alias("last_name"))
-    found = patient_match(asked, clients).select(F.col("record_id").alias("_row"), F.col("client_id").alias("patient_id"), F.col("outcome").alias("patient_outcome"))
+    found = patient_match(asked, clients, unnumbered=True).select(F.col("record_id").alias("_row"), F.col("client_id").alias("patient_id"), F.col("outcome").alias("patient_outcome"))
     staffed = people_by_name(people_by_name(one.join(found, "_row"), F.col("csw_name"), employees, "emp_id", "provider"), F.col("supervisor_name"), employees, "emp_id", "supervisor")
     first = lambda state: F.when(F.col("patient_outcome") == state, "clients").when(F.col("patient_outcome") != "unique", F.lit(None)).when(F.col("provider_outcome") == state, "providers").when(F.col("provider_outcome") != "unique", F.lit(None)).when(F.col("supervisor_outcome") == state, "providers")
     failed = lambda state: staffed.withColumn("matched_type", first(state)).where("matched_type is not null").select("matched_type", "medicaid", "client_name", "csw_name", "supervisor_name")

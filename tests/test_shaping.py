@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import reading, shaping
 from graphloom.plans import change_log
-from graphloom.sources.typed_json import plain, plain_json
+from graphloom.schema import Schema, SchemaError, with_references
+from graphloom.sources.typed_json import encoded, plain, plain_json
 
 
 def test_typed_json(spark):
@@ -65,3 +66,21 @@ def test_change_log_growth(spark):
     assert ("Clients", "7") in targets and grown.entries.where("is_unlink").count() == 1 and grown.propagated.count() == 2
     sets = change_log.query_sets({"log": log}, {"adds": {"source": "log", "fields": ["id_value"], "conditions": [("Action", "=", "ADD")]}})
     assert sets["adds"].count() == 3
+
+
+def test_schema_references():
+    text = '{"p": {"id": {"name": "k", "kind": "Number", "is_id": true}}, "vertices": [{"name": "A", "properties": [{"$ref": "#/p/id"}], "id_key": ["k"], "stem_key": []}], "edges": [{"label": "_e_", "indexes": [{"name": "i", "fields": ["src_id"], "unique": false}]}]}'
+    found = Schema.from_json(text)
+    assert found["A"].id_property.name == "k" and found["_e_"].indexes[0].unique is False
+    assert with_references({"a~/b": [{"x": 1}], "r": {"$ref": "#/a~0~1b/0"}})["r"] == {"x": 1}
+    for bad in ({"r": {"$ref": "#/none"}}, {"r": {"$ref": "#/r"}}, {"r": {"$ref": "other.json"}}, {"a": {"b": {"$ref": "#/a"}}}):
+        with pytest.raises(SchemaError):
+            with_references(bad)
+
+
+def test_typed_json_encoding(spark):
+    rows = spark.sql("select struct(1 as n, 1.50 as d, 'x' as s, true as b, null as z, array('a', null) as l, map('k', struct(2L as m)) as o) as v union all select null")
+    made = rows.select(encoded(F.col("v"), rows.schema["v"].dataType).alias("t")).withColumn("p", plain_json("t")).collect()
+    plain = [json.loads(r["p"]) for r in made]
+    assert plain == [{"n": 1, "d": 1.5, "s": "x", "b": True, "z": None, "l": ["a", None], "o": {"k": {"m": 2}}}, None]
+    assert json.loads(made[0]["t"])["M"]["l"] == {"L": [{"S": "a"}, {"NULL": True}]}
