@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed values written where a value is absent.
+#: Values written where a value is absent; a vertex entry may have another one for sensitive ones.
 MISSING = "MISSING_OBJECT_PROPERTY"
-MISSING_SECRET = "AlgernonSensitiveDataFieldMissingValue"
+MISSING_SECRET = "MISSING_SENSITIVE_VALUE"
 
 
 def internal_id(*keys: Column) -> Column:

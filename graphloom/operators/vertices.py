@@ -70,7 +70,7 @@ def build(rows: DataFrame, entry: VertexEntry, keep: tuple[str, ...] = ()) -> Da
     shown = dict(text)
     for p in entry.properties:
         if p.sensitive and p.name in text:
-            shown[p.name] = F.when(text[p.name].isNull(), ids.MISSING_SECRET).when(internal.isNotNull(), ids.secret_token(internal, p.kind))
+            shown[p.name] = F.when(text[p.name].isNull(), entry.missing_secret).when(internal.isNotNull(), ids.secret_token(internal, p.kind))
     props = F.create_map(*(x for name, v in shown.items() for x in (F.lit(name), v))) if shown else F.create_map().cast("map<string,string>")
     quoted = {p.name for p in entry.properties if p.kind != "Number"} | set(raw)
     return placed.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from graphloom.functions.ids import MISSING_SECRET
+
 PROPERTY_KINDS = ("String", "Number", "DateTime", "Boolean")
 EDGE_ID_START = ("from.internal_id", "schema.edge_label", "to.internal_id")
 EDGE_SOURCES = ("source_vertex", "target_vertex", "extraction", "function")
@@ -75,6 +77,7 @@ class VertexEntry:
     stem_key: tuple[str, ...]
     rules: tuple[Rule, ...] = ()
     indexes: tuple[Index, ...] = ()
+    missing_secret: str = MISSING_SECRET
 
     def __post_init__(self) -> None:
         names = [p.name for p in self.properties]
@@ -136,7 +139,7 @@ class Schema:
         def rule(r: dict) -> Rule:
             return Rule(**{**r, "shared": tuple(r.get("shared", ())), "constants": tuple((c[0], c[1]) for c in r.get("constants", ()))})
 
-        vertices = [VertexEntry(v["name"], tuple(Property(**p) for p in v["properties"]), tuple(v["id_key"]), tuple(v["stem_key"]), tuple(map(rule, v.get("rules", ()))), indexes(v)) for v in given["vertices"]]
+        vertices = [VertexEntry(v["name"], tuple(Property(**p) for p in v["properties"]), tuple(v["id_key"]), tuple(v["stem_key"]), tuple(map(rule, v.get("rules", ()))), indexes(v), v.get("missing_secret", MISSING_SECRET)) for v in given["vertices"]]
         edges = [EdgeEntry(e["label"], tuple(e.get("from_types", ("*",))), tuple(e.get("to_types", ("*",))), tuple(EdgeProperty(**p) for p in e.get("properties", ())), tuple(e.get("id_key", EDGE_ID_START)), indexes(e)) for e in given["edges"]]
         return Schema({v.name: v for v in vertices}, {e.label: e for e in edges})
 
