@@ -374,15 +374,28 @@ def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: b
     return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
-def marked(rows: DataFrame, ids: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
-    """rows whose doc_id may be in ids, a written table: a bitmap of hashed ids, 16 bits an id and at most 8 MB, is broadcast, so that rows without a counterpart aren't shuffled. If ids are too many for it, more rows pass."""
+def met_bits(rows: DataFrame, key: str, ids: DataFrame, how: str, most_bits: int = 1 << 26) -> tuple[DataFrame, Column]:
+    """(rows joined with a broadcast bitmap of hashed ids, whether a row's bit is set). ids (doc_id) is a written table; the bitmap has 16 bits an id and at most 8 MB, so rows without a counterpart needn't be shuffled. If ids are too many for it, more rows have their bit set."""
     bits = min(most_bits, max(1 << 15, 1 << (16 * ids.count()).bit_length()))
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    table = ids.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits"))
-    at = F.bitmap_bit_position(spot)
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
-    met = rows.join(F.broadcast(table), F.bitmap_bucket_number(spot) == F.col("_bucket"))
-    return met.where(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    spot = lambda c: F.pmod(F.xxhash64(F.col(f"`{c}`").cast("long")), F.lit(bits))
+    bucket, held = fresh(rows, "_bucket"), fresh(rows, "_bits")
+    table = ids.groupBy(F.bitmap_bucket_number(spot("doc_id")).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot("doc_id"))).alias(held))
+    at = F.bitmap_bit_position(spot(key))
+    byte = F.conv(F.hex(F.substring(held, (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
+    return rows.join(F.broadcast(table), F.bitmap_bucket_number(spot(key)) == F.col(bucket), how), bit == 1
+
+
+def marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows whose doc_id may be in ids."""
+    met, bit = met_bits(rows, "doc_id", ids, "inner")
+    return met.where(bit).select(*rows.columns)
+
+
+def may_have(rows: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """rows with `name`: false if their key surely isn't in ids."""
+    met, bit = met_bits(rows, key, ids, "left")
+    return met.select(*(F.col(f"`{c}`") for c in rows.columns), F.coalesce(bit, F.lit(False)).alias(name))
 
 
 def with_arrays(narrow: DataFrame, reps: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
@@ -553,11 +566,15 @@ def array_rows(batches: Iterator[pa.RecordBatch], width: int, order: Order, most
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without rows whose text links, directly or not, with a text of a smaller id. Each row of an id with several texts is judged by its own."""
+    """docs without rows whose text links, directly or not, with a text of a smaller id. Each row of an id with several texts is judged by its own. Rows whose id surely stays aren't shuffled."""
     found = exact_tiles(docs, width, percent, key, text)
     named = joined_classes(found, percent).select("n", "low", "high", "component_id")
-    gone = found.sets.select("doc_id", "text_hash", "n", "low", "high").join(named, ["n", "low", "high"]).where("component_id < doc_id").select("doc_id", "text_hash").distinct()
-    hash_ = fresh(docs, "_hash")
+    named = found.sets.select("doc_id", "text_hash", "n", "low", "high").join(named, ["n", "low", "high"])
+    gone, _ = materialize(named.where("component_id < doc_id").select("doc_id", "text_hash").distinct(), "gone")
+    hash_, may = fresh(docs, "_hash"), fresh(docs, "_may")
+    rows = may_have(docs, key, gone.select("doc_id"), may)
     out = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
-    rows = docs.withColumn(hash_, F.xxhash64(text))
-    return rows.join(out, (F.col(key) == F.col("_gone_id")) & (F.col(hash_) == F.col("_gone_hash")), "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    asked = rows.where(F.col(may)).withColumn(hash_, F.xxhash64(text))
+    left = asked.join(out, (F.col(key) == F.col("_gone_id")) & (F.col(hash_) == F.col("_gone_hash")), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return rows.where(~F.col(may)).select(*columns).unionByName(left.select(*columns))
