@@ -136,13 +136,13 @@ def read_page(rows: DataFrame, pages: DataFrame, number: int, *order: str) -> Da
 
 
 def closure_sql(spark, pairs_view: str, most_depth: int = 20) -> DataFrame:
-    """The same as one recursive query, for hierarchies without long cycles. Walks go one step beyond most_depth, and a pair that no shorter walk connects raises, so none is lost."""
+    """The same as one recursive query, for hierarchies without long cycles. Walks go one step beyond most_depth, and a pair that no shorter walk connects raises, so none is lost. LIMIT ALL: Spark stops recursive queries at a million rows without it."""
     return spark.sql(f"""
         WITH RECURSIVE walk(ancestor, descendant, depth) AS (
             SELECT parent, child, 1 FROM {pairs_view} WHERE parent IS NOT NULL AND child IS NOT NULL
             UNION ALL
             SELECT w.ancestor, p.child, w.depth + 1 FROM walk w JOIN {pairs_view} p ON p.parent = w.descendant WHERE w.depth <= {most_depth})
-        SELECT ancestor, descendant, CASE WHEN min(depth) > {most_depth} THEN CAST(raise_error('pairs more than {most_depth} levels apart') AS INT) ELSE min(depth) END AS depth FROM walk GROUP BY ancestor, descendant""")
+        SELECT ancestor, descendant, CASE WHEN min(depth) > {most_depth} THEN CAST(raise_error('pairs more than {most_depth} levels apart') AS INT) ELSE min(depth) END AS depth FROM (SELECT * FROM walk LIMIT ALL) GROUP BY ancestor, descendant""")
 
 
 def without(vertices: DataFrame, edges: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -113,3 +113,14 @@ def test_items_of_a_group_are_folded_in_one_call(gated):
     (found,) = machine.fold((0,), iter([]), state)
     assert set(found["stalled"]) == {True} and {None if x is None or x != x else x for x in found["item"]} == {"late", None, "i0", "i1"}
     assert list(machine.fold((0,), iter([]), state)) == [] and state.timeout == (1029 if gated else 1031)
+
+
+def test_recursive_closure_has_no_limit_of_rows(spark):
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "50")
+    try:
+        spark.range(100).select((F.col("id") % 10 + 1000).alias("parent"), "id").union(spark.range(10).select(F.lit(7000), F.col("id") + 1000)).toDF("parent", "child").createOrReplaceTempView("wide_pairs")
+        found = reading.closure_sql(spark, "wide_pairs", 4)
+        assert found.groupBy("depth").count().orderBy("depth").collect() == [(1, 110), (2, 100)]
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", before)
