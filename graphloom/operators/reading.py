@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.ordering import running, written
+from graphloom.operators.ordering import ordered, written
 
 
 def equal_to(properties: dict[str, object]) -> Column:
@@ -110,10 +110,11 @@ def closure(pairs: DataFrame, parent: str = "parent", child: str = "child") -> D
 def page_table(rows: DataFrame, size: int, *order: str) -> DataFrame:
     """(page, rows, first_<order>, ...) of rows in an order that tells them apart: the key that each page starts with, and how many rows it has.
 
-    Ranks come from counts of ranges, in one pass, so no task sees more than its range; any page is then read by its keys, see read_page()."""
-    ranked = running(rows.select(*order).withColumn("_all", F.lit(1)), "_all", [F.col(c) for c in order], {}, "_idx")
-    page = F.expr(f"_idx div {size}")
-    return ranked.groupBy(page.alias("page")).agg(F.count("*").alias("rows"), F.min(F.struct(*order)).alias("_first")).select("page", "rows", *(F.col(f"_first.{c}").alias(f"first_{c}") for c in order))
+    Rows are written in order by ranges, so a row's rank is its place in its range and the counts of the ranges before: no task sorts or holds rows for that, only ranges are
+    counted. Any page is then read by its keys, see read_page()."""
+    ranked, total = ordered(rows.select(*order), *order)
+    whole = F.expr(f"_idx div {size}")
+    return ranked.where(F.col("_idx") % size == 0).crossJoin(F.broadcast(total)).select(whole.alias("page"), F.least(F.lit(size), F.col("_total") - F.col("_idx")).alias("rows"), *(F.col(c).alias(f"first_{c}") for c in order))
 
 
 def read_page(rows: DataFrame, pages: DataFrame, number: int, *order: str) -> DataFrame:

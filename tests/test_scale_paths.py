@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
-from graphloom.operators import changes, history, links, reading, rules, shaping
+from graphloom.operators import changes, history, links, ordering, reading, rules, shaping
 from graphloom.registry import merged
 from graphloom.sources import readers
 from graphloom.streaming import item_states
@@ -140,3 +140,16 @@ def test_potentials_are_counted_without_pairs(spark):
     same = rules.resolve_counts(few, known.where("internal_id < 500"), ("brand", "size"), ("brand",)).select("potential_id", "matches", "matched_id")
     assert sorted(pairs.collect(), key=str) == sorted(same.collect(), key=str)
     assert rules.resolve_counts(some.limit(0), known, ("brand", "size"), ("brand",)).count() == 0 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows, size", [(1003, 10), (1000, 10), (7, 10), (0, 10)])
+def test_page_tables_come_from_bounded_ranges(spark, monkeypatch, rows, size):
+    monkeypatch.setattr(ordering, "ROWS_A_RANGE", 90)
+    made = spark.range(rows).select((F.col("id") * 7919 % 1009 % 50).alias("a"), F.col("id").alias("b")).repartition(3)
+    ranked, total = ordering.ordered(made, "a", "b")
+    assert total.first()[0] == rows and {r["_idx"] for r in ranked.collect()} == set(range(rows))
+    keys = sorted(tuple(r) for r in made.collect())
+    expected = [(n // size, min(size, rows - n), *keys[n]) for n in range(0, rows, size)]
+    table = reading.page_table(made, size, "a", "b")
+    assert sorted(tuple(r) for r in table.collect()) == expected
+    assert table.columns == ["page", "rows", "first_a", "first_b"] and "SortAggregate" not in table._jdf.queryExecution().executedPlan().toString()
