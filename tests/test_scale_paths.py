@@ -1,12 +1,16 @@
 """Paths that small tables don't take by themselves: ranges, stretches, bounds, errors."""
 
+import hashlib
+
 import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphloom.functions import text
-from graphloom.operators import changes, history, links, ordering, reading, rules, shaping
+from graphloom.operators import changes, history, links, ordering, reading, rules, shaping, vertices
+from graphloom.plans import catalog
+from graphloom.plans.graph_etl import assimilate
 from graphloom.registry import merged
 from graphloom.sources import readers
 from graphloom.streaming import item_states
@@ -153,3 +157,23 @@ def test_page_tables_come_from_bounded_ranges(spark, monkeypatch, rows, size):
     table = reading.page_table(made, size, "a", "b")
     assert sorted(tuple(r) for r in table.collect()) == expected
     assert table.columns == ["page", "rows", "first_a", "first_b"] and "SortAggregate" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_graph_targets_are_distinct_before_they_are_built(spark):
+    orders = spark.range(1, 301).select(F.lit("TPC").alias("id_source"), F.lit("Order").alias("id_type"), F.col("id").alias("id_value"), F.col("id").alias("order_key"), (F.col("id") % 3 + 1).alias("customer"))
+    contents = orders.select("order_key", F.explode(F.array(F.lit(5), F.lit(5), F.col("customer"))).alias("id_value"))
+    entry, rule = catalog.ORDERS.vertices["Order"], catalog.ORDERS.vertices["Order"].rules[0]
+    own = vertices.build(orders, entry, ("customer",)).select("internal_id", "props", "object_type", "customer")
+    new, linked = rules.follow(own, entry, rule, catalog.ORDERS)
+    assert new.count() == 3 and linked.count() == 300
+    graph = assimilate({"Order": orders}, catalog.ORDERS, children={"contents": (contents, "order_key")})
+    md5 = lambda kind, n: hashlib.md5(f"TPC{kind}{n}".encode()).hexdigest()
+    ids = {md5("Order", n) for n in range(1, 301)} | {md5("Customer", n) for n in (1, 2, 3)} | {md5("Part", n) for n in (1, 2, 3, 5)}
+    found = graph.vertices.collect()
+    assert len(found) == len(ids) and {r["internal_id"] for r in found} == ids and {r["props"]["id_value"] for r in found if r["object_type"] == "Part"} == {"1", "2", "3", "5"}
+    pairs = {("_placed_by_", md5("Order", n), md5("Customer", n % 3 + 1)) for n in range(1, 301)} | {("_contains_", md5("Order", n), md5("Part", p)) for n in range(1, 301) for p in (5, n % 3 + 1)}
+    made = graph.edges.collect()
+    assert len(made) == len(pairs) == 900 and {(r["edge_label"], r["src_id"], r["dst_id"]) for r in made} == pairs
+    assert all(r["internal_id"] == hashlib.md5(f"{r['src_id']}{r['edge_label']}{r['dst_id']}".encode()).hexdigest() for r in made)
+    counted = graph.vertices.groupBy("object_type").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by(object_type" in counted and "max_by(props" not in counted and "identifier_stem" not in counted.split("Aggregate [internal_id")[0]
