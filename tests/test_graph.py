@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from graphloom.operators import changes, history, links, matching, reading, rules, vertices
-from graphloom.plans import catalog
+from graphloom.plans import catalog, catalog_graph  # noqa: F401
 from graphloom.plans.graph_etl import assimilate, upsert
 from graphloom.registry import arguments, merged
 from graphloom.schema import EdgeEntry, EdgeProperty, Property, Rule, Schema, SchemaError, VertexEntry, newer
@@ -175,3 +176,16 @@ def test_extraction_from_a_table_equals_extraction_from_an_array(spark):
     columns = ("edge_label", "internal_id", "src_id", "dst_id")
     assert sorted(map(tuple, one.edges.select(*columns).collect())) == sorted(map(tuple, two.edges.select(*columns).collect())) and two.edges.count() == 6
     assert {r[0] for r in one.vertices.select("internal_id").collect()} == {r[0] for r in two.vertices.select("internal_id").collect()}
+
+
+def test_assimilation_results_have_edges_of_every_label(spark, tmp_path):
+    orders = spark.createDataFrame([(1, 7), (2, 7), (0, 7), (3, 0)], "o_orderkey long, o_custkey long")
+    items = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (2, 0), (0, 5), (3, 6), (9, 5)], "l_orderkey long, l_partkey long")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    md5 = lambda kind, n: hashlib.md5(f"TPC{kind}{n}".encode()).hexdigest()
+    ends = [(1, "_placed_by_", md5("Customer", 7)), (2, "_placed_by_", md5("Customer", 7)), (1, "_contains_", md5("Part", 5)), (1, "_contains_", md5("Part", 6)), (3, "_contains_", md5("Part", 6))]
+    expected = [(md5("Order", n), "Order", label, hashlib.md5(f"{md5('Order', n)}{label}{to}".encode()).hexdigest(), to) for n, label, to in ends]
+    found = catalog.QUERIES["assimilation_results"](spark, str(tmp_path))
+    assert found.columns == ["internal_id", "object_type", "edge_label", "edge_id", "other_id"]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
