@@ -6,9 +6,10 @@ the one with the smallest hash is the window's anchor, so equal windows have equ
 suffix in fifteen is kept, which loses no string. A run is a stretch of successive windows with the same anchor.
 
 1. Pre-aggregation of exact copies: runs are bucketed by their anchor's q-gram, and a run equal to one in an earlier document
-   (96 bits of hashes) is repeated as a whole. Each task first does this among its own texts and passes on only one
+   (112 bits of hashes) is repeated as a whole. Each task first does this among its own texts and passes on only one
    document per run, so copies and frequent passages, however many, arrive as one entry per task. Buckets of a single run or
-   document are settled. What is left are runs that reach past a passage's border.
+   document are settled, and so are runs that share their anchor with others, but nothing to the left or right of it: a window has 15
+   bytes more on one side at least. What is left are runs that reach past a passage's border.
 2. Refinement: these runs of the first documents send their bytes, bucketed by anchor. Initial buckets hold all positions with equal
    q-grams of 16 bytes. Each pass sorts positions by (own bucket, bucket at an offset as long as what is compared already),
    writes the finer buckets back over the old ones, and so the next pass, which reads them at its later offset, compares twice
@@ -44,8 +45,10 @@ BLOCK, POSITION_BITS = 1 << 19, U(22)
 #: A task refines its bucket in so many parts, one at a time, to hold few arrays at once.
 PARTS = 16
 MASK48 = U((1 << 48) - 1)
+#: A run's hash has in its upper half what is beside its anchor, in 16 bits for either side, 0 where the run doesn't reach as far.
+LEFT, RIGHT, SIDE = U(32), U(48), U((1 << 16) - 1)
 #: Anchors with so many runs, and this share of all runs, are frequent; so there are at most FREQUENT of them.
-OFTEN, FREQUENT = 2048, 1 << 17
+OFTEN, FREQUENT = 2048, 1 << 13
 #: Different texts of one id lie this far apart in their document's positions.
 APART = 32
 
@@ -118,7 +121,9 @@ def runs_of(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int)
         whole += (at ^ (at >> U(31))) * MULTIPLIERS[k % 6] * U(2 * k + 1)
     whole += x[final]
     segment = np.searchsorted(begins, lo, "right") - 1
-    return mixed(x[anchor[lo]]) & MASK48, mixed(whole) & MASK48, segment, lo - begins[segment], hi - lo + 1
+    at, reach = anchor[lo], (length - Q + 1) // 2
+    left, right = (np.where(inside, np.maximum(x[np.clip(side, 0, len(x) - 1)] & SIDE, U(1)), U(0)) for inside, side in ((at - lo >= reach, at - reach), (final - at >= reach, at + reach)))
+    return mixed(x[at]) & MASK48, mixed(whole) >> LEFT | left << LEFT | right << RIGHT, segment, lo - begins[segment], hi - lo + 1
 
 
 def class_of(key: np.ndarray, run: np.ndarray) -> np.ndarray:
@@ -176,20 +181,21 @@ def run_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int, fre
 
     def flush(held: list) -> pa.RecordBatch:
         key, run, doc, first, windows = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((doc, class_of(key, run)))
-        key, run, doc, first, windows = (c[order] for c in (key, run, doc, first, windows))
-        settled = doc > at_head(doc, heads(key, run))
+        order = np.argsort(class_of(key, run))
+        new = heads(key[order], run[order])
+        settled = np.empty(len(doc), bool)
+        settled[order] = doc[order] > np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         state = np.where(settled, 1, np.where(among(key, frequent), 2, 0))
         rows: list[list] = [[] for _ in RUNS_NAMES]
         for part in range(3):
             pick = np.flatnonzero(state == part)
-            bucket = (mixed(doc[pick].astype(U)) if part else key[pick]) % U(len(ids))
-            by = np.lexsort((first[pick], doc[pick], bucket))
+            bucket = ((mixed(doc[pick].astype(U)) if part else key[pick]) % U(len(ids))).astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+            by = np.argsort(bucket, kind="stable")  # documents stay together as they came
             pick, bucket = pick[by], bucket[by]
             cuts = np.flatnonzero(heads(bucket))
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True) if len(bucket) else ():
                 own = pick[a:b]
-                for column, value in zip(rows, (ids[int(bucket[a])], b"" if part else packed48(key[own]), (b"", b"", b"open")[part] if part else packed48(run[own]), doc[own].tobytes(), planes(first[own].astype("<i8")), windows[own].astype("u1").tobytes()), strict=True):
+                for column, value in zip(rows, (ids[int(bucket[a])], b"" if part else packed48(key[own]), (b"", b"", b"open")[part] if part else run[own].tobytes(), doc[own].tobytes(), planes(first[own].astype("<i8")), windows[own].astype("u1").tobytes()), strict=True):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=RUNS_NAMES)
 
@@ -232,39 +238,97 @@ def blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
         yield joined(parts)
 
 
-def by_doc(doc: np.ndarray, *columns: tuple[np.ndarray, pa.DataType]) -> list[pa.Array]:
-    """One row per document: its values as lists. doc must be ordered."""
-    cuts = np.flatnonzero(heads(doc))
-    offsets = pa.array(np.append(cuts, len(doc)).astype(np.int32))
-    return [pa.array(doc[cuts], pa.int64()), *(pa.ListArray.from_arrays(offsets, pa.array(c, t)) for c, t in columns)]
-
-
-FOUND = "doc_id long, first array<long>, windows array<int>, open boolean"
-FOUND_NAMES = ["doc_id", "first", "windows", "open"]
+FOUND = "bucket int, open boolean, doc binary, first binary, windows binary"
+FOUND_NAMES = ["bucket", "open", "doc", "first", "windows"]
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def found_rows(parts: Iterator[tuple[bool, Found]], ids: list[int], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of FOUND: (document, first window, windows) of runs, repeated or open, one row for each bucket of documents, so that their number doesn't follow the documents or the runs."""
+
+    def flush(is_open: bool) -> pa.RecordBatch:
+        doc, first, windows = (np.concatenate(c) for c in zip(*held[is_open], strict=True))
+        held[is_open].clear()
+        bucket = (mixed(doc.astype(U)) % U(len(ids))).astype(np.uint16 if len(ids) <= 1 << 16 else np.uint32)
+        order = np.argsort(bucket, kind="stable")
+        doc, first, windows, bucket = doc[order], first[order].astype("<i8"), windows[order].astype("<i4"), bucket[order]
+        cuts = np.flatnonzero(heads(bucket))
+        spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(doc)], strict=True))
+        columns = (pa.array([planes(c[a:b]) for a, b in spans], pa.binary()) for c in (doc, first, windows))
+        return pa.RecordBatch.from_arrays([pa.array([ids[k] for k in bucket[cuts].tolist()], pa.int32()), pa.array([is_open] * len(spans)), *columns], names=FOUND_NAMES)
+
+    held: tuple[list, list] = ([], [])
+    size = [0, 0]
+    for is_open, found in parts:
+        if len(found[0]):
+            held[is_open].append(found)
+            size[is_open] += len(found[0])
+        if size[is_open] >= most:
+            yield flush(is_open)
+            size[is_open] = 0
+    for is_open in (False, True):
+        if held[is_open]:
+            yield flush(is_open)
 
 
-def found_rows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, is_open: bool) -> Iterator[pa.RecordBatch]:
-    if len(doc):
-        columns = by_doc(doc, (first, pa.int64()), (windows, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), is_open))], names=FOUND_NAMES)
+def found_of(batches: Iterator[pa.RecordBatch]) -> Found | None:
+    """All runs of a partition of FOUND rows, ordered by document and place."""
+    rows = [(from_planes(d, "<i8"), from_planes(f, "<i8"), from_planes(w, "<i4")) for batch in batches for d, f, w in zip(*(batch.column(c).to_pylist() for c in FOUND_NAMES[2:]), strict=True)]
+    if not rows:
+        return None
+    columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+    rows.clear()
+    order = np.lexsort((columns[1], columns[0]))
+    return tuple(c[order] for c in columns)
 
 
-def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of FOUND for a partition of RUNS rows: repeated runs, and open ones, whose windows must be compared."""
+def open_rows(batches: Iterator[pa.RecordBatch], most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """(doc_id, first, windows): a row for each document with open runs."""
+    if (found := found_of(batches)) is None:
+        return
+    doc, first, windows = found
+    cuts = np.append(np.flatnonzero(heads(doc)), len(doc))
+    for at in range(0, len(cuts) - 1, most):
+        own = cuts[at : at + most + 1]
+        offsets = pa.array((own - own[0]).astype(np.int32))
+        lists = (pa.ListArray.from_arrays(offsets, pa.array(c[own[0] : own[-1]], t)) for c, t in ((first, pa.int64()), (windows, pa.int32())))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[own[:-1]], pa.int64()), *lists], names=["doc_id", "first", "windows"])
+
+
+def span_rows(batches: Iterator[pa.RecordBatch], length: int, most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """(doc_id, spans): a row for each document with repeated windows; spans: where its maximal runs of repeated bytes begin, and after these their sizes."""
+    if (found := found_of(batches)) is None:
+        return
+    doc, first, windows = found
+    text = (np.cumsum(heads(doc, first >> APART)) - 1) << (APART + 1)
+    begin = text + (first & ((1 << APART) - 1))
+    reach = np.maximum.accumulate(begin + windows + length - 1)  # texts ascend, so nothing reaches from one into the next
+    new = np.ones(len(doc), bool)
+    new[1:] = begin[1:] > reach[:-1]
+    new = np.flatnonzero(new)
+    size = reach[np.append(new[1:], len(doc)) - 1] - begin[new]
+    doc, first = doc[new], first[new]
+    cuts = np.append(np.flatnonzero(heads(doc)), len(doc)).tolist()
+    for at in range(0, len(cuts) - 1, most):
+        own = cuts[at : at + most + 1]
+        spans = [first[a:b].tobytes() + size[a:b].tobytes() for a, b in zip(own[:-1], own[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[own[:-1]], pa.int64()), pa.array(spans, pa.binary())], names=["doc_id", "spans"])
+
+
+def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Found]]:
+    """For a partition of RUNS rows: repeated runs, and open ones, whose windows must be compared."""
     held, done = [], ([], [])
     for batch in batches:
         for _, key, run, doc, first, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             row = (np.frombuffer(doc, np.int64), from_planes(first, "<i8"), np.frombuffer(windows, np.uint8))
             if key:
-                held.append((unpacked48(key), unpacked48(run), *row))
+                held.append((unpacked48(key), np.frombuffer(run, U), *row))
             else:
                 done[bool(run)].append(row)
     for is_open in (False, True):
         if done[is_open]:
-            doc, first, windows = (np.concatenate(c) for c in zip(*done[is_open], strict=True))
+            yield is_open, tuple(np.concatenate(c) for c in zip(*done[is_open], strict=True))
             done[is_open].clear()
-            order = np.lexsort((first, doc))
-            yield from found_rows(doc[order], first[order], windows[order].astype(np.int32), is_open)
     if held:
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         held.clear()
@@ -275,7 +339,7 @@ def refine_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from refine_bucket(*(c[mine] for c in columns))
 
 
-def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.ndarray, windows: np.ndarray) -> Iterator[pa.RecordBatch]:
+def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.ndarray, windows: np.ndarray) -> Iterator[tuple[bool, Found]]:
     order = np.argsort(key)
     new = heads(key[order])
     starts = np.flatnonzero(new)
@@ -287,13 +351,26 @@ def refine_bucket(key: np.ndarray, run: np.ndarray, doc: np.ndarray, first: np.n
     order = np.lexsort((doc, run, key))
     key, run, doc, first, windows = (c[order] for c in (key, run, doc, first, windows))
     repeated = doc > at_head(doc, heads(key, run))
-    group = np.cumsum(heads(key)) - 1
-    runs = np.bincount(group, weights=heads(key, run))
-    open_ = ~repeated & (runs[group] > 1)
+    open_ = ~repeated
+    open_[open_] = beside(key[open_], run[open_])
     for mask, is_open in ((repeated, False), (open_, True)):
-        pick = np.flatnonzero(mask)
-        pick = pick[np.lexsort((first[pick], doc[pick]))]
-        yield from found_rows(doc[pick], first[pick], windows[pick].astype(np.int32), is_open)
+        yield is_open, (doc[mask], first[mask], windows[mask])
+
+
+def beside(key: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Whether another run with the same anchor has the same beside it: windows hold an anchor and what is left or right of it, so runs without may not share one."""
+    shared = np.zeros(len(key), bool)
+    for side in (LEFT, RIGHT):
+        code = run >> side & SIDE
+        some = np.flatnonzero(code)
+        place = key[some] << U(16) | code[some]
+        order = np.argsort(place)
+        if not len(order):
+            continue
+        new = heads(place[order])
+        starts, other = np.flatnonzero(new), run[some[order]]
+        shared[some[order]] |= (np.minimum.reduceat(other, starts) != np.maximum.reduceat(other, starts))[np.cumsum(new) - 1]
+    return shared
 
 
 BORDERS = "bucket int, part binary, doc binary, first binary, windows binary, bytes binary"
@@ -359,8 +436,8 @@ def border_rows(batches: Iterator[pa.RecordBatch], ids: list[int], length: int,
         yield flush(parts)
 
 
-def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows of FOUND for a partition of BORDERS rows: windows that an earlier document has, as ranges."""
+def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[bool, Found]]:
+    """For a partition of BORDERS rows: windows that an earlier document has, as ranges."""
     kinds = (np.uint8, np.int64, np.int64, np.uint8, np.uint8)
     held, done = [], []
     for batch in batches:
@@ -373,7 +450,7 @@ def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
     if done:
         doc, first = (np.concatenate(c) for c in zip(*done, strict=True))
         done.clear()
-        yield from ranges_of(doc, first)
+        yield False, ranges_of(doc, first)
     if not held:
         return
     part, doc, first, windows, data = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -382,15 +459,15 @@ def refine_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
     for k in range(PARTS):
         mine = part == k
         if mine.any():
-            yield from compare_windows(doc[mine], first[mine], windows[mine].astype(np.int64), data[np.repeat(mine, sizes)], length)
+            yield False, compare_windows(doc[mine], first[mine], windows[mine].astype(np.int64), data[np.repeat(mine, sizes)], length)
 
 
-def ranges_of(doc: np.ndarray, position: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of FOUND for single repeated windows: neighbours are one range."""
+def ranges_of(doc: np.ndarray, position: np.ndarray) -> Found:
+    """Single repeated windows as ranges of neighbours."""
     order = np.lexsort((position, doc))
     doc, position = doc[order], position[order]
     new = np.flatnonzero(heads(doc, position - np.arange(len(position))))
-    yield from found_rows(doc[new], position[new], np.diff(np.append(new, len(doc))).astype(np.int32), False)
+    return doc[new], position[new], np.diff(np.append(new, len(doc)))
 
 
 def refined(data: np.ndarray, left: np.ndarray, length: int, settled: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -398,26 +475,30 @@ def refined(data: np.ndarray, left: np.ndarray, length: int, settled: list[int]
     eight = np.ascontiguousarray(words_at(np.append(data, np.zeros(16, np.uint8)), "<u8"))
     at = np.flatnonzero(left >= 16)
     keys = [eight[at + 8], eight[at]]
+    code = mixed(keys[0] * MULTIPLIERS[0] + keys[1] * MULTIPLIERS[1])
+    order = np.argsort(code)
+    if (heads(code[order]) != heads(*(k[order] for k in keys))).any():  # two strings have one hash
+        order = np.lexsort(keys)
     bucket, count, depth = np.zeros(len(data), np.int64), 0, 16
     while True:
-        order = np.lexsort(keys)
-        new = heads(*(k[order] for k in keys))
-        number = np.cumsum(new) - 1
-        bucket[at[order]] = number + count  # written back: the next pass reads these at its later offset
+        new, at = heads(*(k[order] for k in keys)), at[order]
+        bucket[at] = np.cumsum(new) - 1 + count  # written back: the next pass reads these at its later offset
         count += len(at)
-        alone = np.bincount(number, minlength=1)[number] == 1
+        alone = new.copy()
+        alone[:-1] &= new[1:]
         if settled is not None:
-            settled.append(int(np.count_nonzero(left[at[order][alone]] >= length)))
-        at = at[order][~alone]
+            settled.append(int(np.count_nonzero(left[at[alone]] >= length)))
+        at = at[~alone]
         if depth == length:
             return at, bucket[at]
         offset = min(depth, length - depth)
         depth += offset
         at = at[left[at] >= depth]
-        keys = [bucket[at + offset], bucket[at]]
+        keys = [bucket[at] << 32 | bucket[at + offset]]
+        order = np.argsort(keys[0])
 
 
-def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int) -> Found:
     sizes = windows + length - 1
     ends = np.cumsum(sizes)
     at, bucket = refined(data, np.repeat(ends, sizes) - np.arange(len(data)), length)
@@ -426,29 +507,28 @@ def compare_windows(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, dat
     at, owner, bucket = at[order], owner[order], bucket[order]
     repeated = doc[owner] > at_head(doc[owner], heads(bucket))
     at, owner = at[repeated], owner[repeated]
-    yield from ranges_of(doc[owner], first[owner] + at - (ends - sizes)[owner])
+    return ranges_of(doc[owner], first[owner] + at - (ends - sizes)[owner])
 
 
-def cut_text(text: str | None, found: list[dict] | None, length: int, base: int) -> tuple[int, list[dict], bytes]:
-    """(bytes, removed spans, kept bytes) of a text, given the repeated windows of its id as ranges."""
+def cut_text(text: str | None, spans: bytes | None, base: int) -> tuple[int, list[int], list[int], bytes]:
+    """(bytes, begins and ends of what goes, kept bytes) of a text, given the spans of its id."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    if not found:
-        return len(data), [], data
-    first, windows = (np.concatenate([np.array(f[c], np.int64) for f in found]) for c in ("first", "windows"))
+    if not spans:
+        return len(data), [], [], data
+    first, size = np.frombuffer(spans, np.int64).reshape(2, -1)
     mine = first >> APART == base >> APART
-    first, end = first[mine] - base, (first + windows)[mine] - base + length - 1
-    change = np.bincount(first, minlength=len(data) + 1) - np.bincount(end, minlength=len(data) + 1)
-    gone = np.cumsum(change[: len(data)]) > 0
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
-    spans = [{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
-    return len(data), spans, np.frombuffer(data, np.uint8)[~gone].tobytes()
+    first = first[mine] - base
+    begins, ends = first.tolist(), (first + size[mine]).tolist()
+    return len(data), begins, ends, b"".join(data[a:b] for a, b in zip([0, *ends], [*begins, len(data)], strict=True))
 
 
-def cut_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        rows = [cut_text(text, found, length, base) for text, found, base in zip(*(batch.column(c).to_pylist() for c in ("text", "found", "base")), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), kind, pa.binary())))], names=["doc_id", "n_bytes", "removed", "kept"])
+        sizes, begins, ends, kept = zip(*(cut_text(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "base")), strict=True)), strict=True)
+        offsets = pa.array(np.cumsum([0, *map(len, begins)]).astype(np.int32))
+        both = (pa.array([x for c in column for x in c], pa.int64()) for column in (begins, ends))
+        removed = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(both), names=["start", "end"]))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), removed, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "removed", "kept"])
 
 
 def frequent_anchors(docs: DataFrame, length: int, least: int = 16) -> np.ndarray:
@@ -470,17 +550,20 @@ def frequent_anchors(docs: DataFrame, length: int, least: int = 16) -> np.ndarra
     return np.array(sorted(r["key"] for r in found), U)
 
 
-def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, first, windows): ranges of windows that an earlier document has, in any number of rows per document. docs: doc_id, text, base."""
+def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
+    """(doc_id, spans): for each document with windows that an earlier one has, the bytes that they cover. docs: doc_id, text, base."""
     spark = docs.sparkSession
     tasks = partitions_for(docs, "text")
     ids, frequent = bucket_ids(spark, tasks), frequent_anchors(docs, length)
     runs = docs.mapInArrow(lambda b: run_rows(b, ids, length, frequent), RUNS).repartition(tasks, "bucket")
-    found, _ = materialize(runs.mapInArrow(refine_runs, FOUND), "runs")
-    unsettled = found.where("open").groupBy("doc_id").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("windows")).alias("windows"))
-    borders = docs.join(unsettled, "doc_id").select("doc_id", "text", "base", "first", "windows").mapInArrow(lambda b: border_rows(b, ids, length, frequent), BORDERS)
-    more, _ = materialize(borders.repartition(tasks, "bucket").mapInArrow(lambda b: refine_windows(b, length), FOUND), "borders")
-    return found.where("not open").unionByName(more).select("doc_id", "first", "windows")
+    found, runs_path = materialize(runs.mapInArrow(lambda b: found_rows(refine_runs(b), ids), FOUND), "runs")
+    unsettled = found.where("open").repartition(tasks, "bucket").mapInArrow(open_rows, "doc_id long, first array<long>, windows array<int>")
+    borders = docs.join(unsettled.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "base", "first", "windows").mapInArrow(lambda b: border_rows(b, ids, length, frequent), BORDERS)
+    more, more_path = materialize(borders.repartition(tasks, "bucket").mapInArrow(lambda b: found_rows(refine_windows(b, length), ids), FOUND), "borders")
+    every = found.where("not open").unionByName(more).repartition(tasks, "bucket").mapInArrow(lambda b: span_rows(b, length), "doc_id long, spans binary")
+    spans, _ = materialize(every, "spans")
+    forget(spark, runs_path, more_path)
+    return spans
 
 
 def based(docs: DataFrame, key: str, text: str, base: str) -> DataFrame:
@@ -501,22 +584,21 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     if not 2 * Q <= length <= 200:
         raise ValueError("length must be 40 to 200")
     narrow = based(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id", "text", "base")
-    found = repeated_windows(narrow, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
-    both = narrow.join(found.hint("shuffle_merge"), "doc_id", "left")
-    return both.mapInArrow(lambda b: cut_rows(b, length), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    both = narrow.join(repeated_spans(narrow, length).hint("shuffle_hash"), "doc_id", "left")
+    return both.mapInArrow(cut_rows, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
 
 
 def text_of(kept: bytes) -> str:
     return kept.decode("utf-8", "ignore")
 
 
-def cut_texts(batches: Iterator[pa.RecordBatch], length: int, names: list[str], held: str, base: str) -> Iterator[pa.RecordBatch]:
+def cut_texts(batches: Iterator[pa.RecordBatch], names: list[str], held: str, base: str) -> Iterator[pa.RecordBatch]:
     """Rows as they came, texts cut, and n_chars, if there is one, counted anew for cut texts."""
     for batch in slices(batches, "text"):
         given, found, bases = (batch.column(c).to_pylist() for c in ("text", held, base))
-        cut = [cut_text(x, f, length, b) if f else (0, [], b"") for x, f, b in zip(given, found, bases, strict=True)]
-        touched = [bool(spans) for _, spans, _ in cut]
-        texts = [text_of(kept) if t else x for x, t, (_, _, kept) in zip(given, touched, cut, strict=True)]
+        cut = [cut_text(x, f, b) if f else (0, [], [], b"") for x, f, b in zip(given, found, bases, strict=True)]
+        touched = [bool(begins) for _, begins, _, _ in cut]
+        texts = [text_of(kept) if t else x for x, t, (*_, kept) in zip(given, touched, cut, strict=True)]
         columns = {n: batch.column(n) for n in names}
         columns["text"] = pa.array(texts, pa.string())
         if "n_chars" in columns:
@@ -530,8 +612,8 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     held, key, base = fresh(docs, "_found"), fresh(docs, "_key"), fresh(docs, "_base")
     placed = based(docs, "doc_id", "text", base)
     narrow = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(base).alias("base"))
-    found = repeated_windows(narrow, length).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("first", "windows")).alias(held))
-    both = placed.join(found.hint("shuffle_merge"), placed["doc_id"] == found[key], "left")
+    found = repeated_spans(narrow, length).select(F.col("doc_id").alias(key), F.col("spans").alias(held))
+    both = placed.join(found.hint("shuffle_hash"), placed["doc_id"] == found[key], "left")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = docs.columns
-    return both.drop(key).mapInArrow(lambda b: cut_texts(b, length, names, held, base), kinds)
+    return both.drop(key).mapInArrow(lambda b: cut_texts(b, names, held, base), kinds)

@@ -472,6 +472,24 @@ def test_borders_of_a_frequent_anchor_spread_over_buckets():
     assert largest(np.empty(0, np.uint64)) > 5 and largest(hot) < 1.5
 
 
+def test_runs_that_share_an_anchor_alone_are_settled():
+    import pyarrow as pa
+
+    draw = random.Random(8)
+    ids = list(range(4))
+
+    def found(passage):
+        texts = [("".join(draw.choices("abcdefghijklmnop ", k=90)) + passage + "".join(draw.choices("abcdefghijklmnop ", k=90))).encode() for _ in range(400)]
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": [t.decode() for t in texts], "base": [0] * 400})
+        runs = pa.Table.from_batches(list(suffix_dedup.run_rows(iter([batch]), ids, 50, np.empty(0, np.uint64))))
+        return [r for k in ids for r in pa.Table.from_batches(list(suffix_dedup.found_rows(suffix_dedup.refine_runs(iter(runs.filter(pa.array(x == k for x in runs["bucket"].to_pylist())).to_batches())), ids)), pa.schema([("bucket", pa.int32()), ("open", pa.bool_()), *((c, pa.binary()) for c in ("doc", "first", "windows"))])).to_pylist()]
+
+    opened = lambda rows: sum(len(r["doc"]) // 8 for r in rows if r["open"])
+    assert opened(found("a passage of 24 bytes, so")) == 0  # each text has the anchor, but no 35 bytes of another one
+    long = found("a passage of sixty bytes or so that is in every one of them ")
+    assert opened(long) > 0 and len(long) <= 2 * len(ids) ** 2  # as many rows as there are buckets, whatever the runs are
+
+
 def test_refinement_writes_buckets_back():
     draw = np.random.default_rng(6)
     for length in (50, 64, 40, 130):
