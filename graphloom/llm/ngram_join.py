@@ -12,6 +12,7 @@ Links are pairs of texts whose shingle sets have 100 * |intersection| >= percent
    have it in common, and no document brings together more lists than it is in.
 3. Long lists are linked in part first: each of their documents goes to one tile of its list, twice with other lists, bands and blocks,
    and exact links there give components so far. That joins a group of near copies, however large, at a cost linear in its size.
+   Bitmaps are compared in these tiles first, and only documents that may link there get their whole shingle arrays.
 4. Size-banded tiles then bound overlaps from bitmaps: a bit that is set in one bitmap and not in the other is a shingle
    missing there, so |intersection| <= n - popcount(own and not other). Only pairs of different components are looked at. Short
    lists are a tile each; long ones of several components are cut by size band (a band and the next one) and into blocks, of one
@@ -374,15 +375,21 @@ def tile_links(dealt: DataFrame, percent: int, tasks: int, exact: bool, every: b
     return dealt.repartition(tasks, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long")
 
 
-def marked(rows: DataFrame, ids: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
-    """rows whose doc_id may be in ids, a written table: a bitmap of hashed ids, 16 bits an id and at most 8 MB, is broadcast, so that rows without a counterpart aren't shuffled. If ids are too many for it, more rows pass."""
+def flagged(rows: DataFrame, ids: DataFrame, name: str, key: str = "doc_id", most_bits: int = 1 << 26) -> DataFrame:
+    """rows with a boolean `name`, false only if their key is not in ids (doc_id), a written table: a bitmap of hashed ids, 16 bits an id and at most 8 MB, is broadcast, so that rows without a counterpart aren't shuffled. If ids are too many for it, it is true for more rows."""
     bits = min(most_bits, max(1 << 15, 1 << (16 * ids.count()).bit_length()))
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    table = ids.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits"))
-    at = F.bitmap_bit_position(spot)
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
-    met = rows.join(F.broadcast(table), F.bitmap_bucket_number(spot) == F.col("_bucket"))
-    return met.where(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    spot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(bits))
+    table = ids.groupBy(F.bitmap_bucket_number(spot("doc_id")).alias(f"{name}_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot("doc_id"))).alias(f"{name}_bits"))
+    at = F.bitmap_bit_position(spot(key))
+    byte = F.conv(F.hex(F.substring(f"{name}_bits", (F.floor(at / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
+    met = rows.join(F.broadcast(table), F.bitmap_bucket_number(spot(key)) == F.col(f"{name}_bucket"), "left")
+    bit = F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return met.withColumn(name, F.coalesce(bit, F.lit(False))).drop(f"{name}_bucket", f"{name}_bits")
+
+
+def marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows whose doc_id may be in ids."""
+    return flagged(rows, ids, "_met").where("_met").drop("_met")
 
 
 def with_arrays(narrow: DataFrame, reps: DataFrame, placed: DataFrame, width: int, order: Order) -> DataFrame:
@@ -406,7 +413,7 @@ def first_places(long: DataFrame, percent: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Met:
-    """What a join has before its exact tiles' links: each text's set, each class with its smallest document and number, each number's component so far, the rows of the exact tiles. Numbers above top, the largest doc_id, are fresh ones."""
+    """What a join has before its exact tiles' links: each text's set, each class with its smallest document and number, each number's component so far, the rows of the exact tiles. Numbers above top, the largest doc_id, are fresh ones. sets_path: the folder of sets."""
 
     sets: DataFrame
     top: int
@@ -415,6 +422,7 @@ class Met:
     parts: DataFrame
     arrays: DataFrame
     tasks: int
+    sets_path: str
 
 
 def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str, every: bool = False) -> Met:
@@ -424,41 +432,48 @@ def exact_tiles(docs: DataFrame, width: int, percent: int, key: str, text: str,
     tasks = partitions_for(narrow, "text")
     ids = bucket_ids(spark, tasks)
     order = learn_order(narrow, width)
-    sets, _ = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent, order), SETS), "sets")
-    smallest, _ = materialize(sets.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id")), "classes")
+    whole, whole_path = materialize(narrow.mapInArrow(lambda b: set_rows(b, width, percent, order), SETS), "sets")
+    smallest, _ = materialize(whole.where("n > 0").groupBy("n", "low", "high").agg(F.min("doc_id").alias("class_id")), "classes")
     firsts, top, any_fresh = numbered(smallest)
-    able = sets.where(F.col("n") * 100 >= (F.col("n") + 1) * percent)
-    same = ["doc_id", "n", "low", "high"]
-    chosen = able.join(firsts.withColumnRenamed("class_id", "doc_id"), same).select(F.col("rep").alias("doc_id"), "n", "bits", "head")
+    able = F.col("n") * 100 >= (F.col("n") + 1) * percent
+    chosen = lambda rows: rows.where(able).join(firsts.withColumnRenamed("class_id", "doc_id"), ["doc_id", "n", "low", "high"])
     reps = firsts.select("rep", "class_id", "low", "high")
-    heads = chosen.select("doc_id", "n", "head")
-    sizes, _ = materialize(chosen.select("doc_id", "n").distinct(), "sizes")
+    heads = chosen(whole).select(F.col("rep").alias("doc_id"), "n", "head")
+    sizes, _ = materialize(heads.select("doc_id", "n").distinct(), "sizes")
 
     entries = heads.mapInArrow(lambda b: entry_rows(b, ids), ENTRIES).repartition(tasks, "bucket")
     lists, _ = materialize(entries.mapInArrow(lambda b: list_rows(b, percent), LISTS).distinct(), "lists")
     unlisted = lists.where(f"members > {LIST}").select(F.col("list").alias("set"), "doc_id").join(sizes, "doc_id").select("set", "doc_id", "n")
-    each, _ = materialize(heads.mapInArrow(long_rows, LONG).unionByName(unlisted), "each")
+    each, each_path = materialize(heads.mapInArrow(long_rows, LONG).unionByName(unlisted), "each")
+    sets, sets_path = materialize(whole.drop("head"), "sets")  # nothing reads the prefixes from here on
+    forget(spark, whole_path)
+    bitmaps = chosen(sets).select(F.col("rep").alias("doc_id"), "n", F.col("bits").alias("data"))
     named = each.groupBy("set").agg(F.min(F.xxhash64("doc_id")).alias("_name"))
     long, _ = materialize(each.join(named, "set").select(F.col("_name").alias("set"), "doc_id", "n").distinct(), "long")
+    forget(spark, each_path)
 
     parts = sizes.withColumn("part", F.col("doc_id"))
     if not every and not long.isEmpty():
-        linked = components(tile_links(with_arrays(narrow, reps, first_places(long, percent), width, order), percent, tasks, exact=True))
+        first, first_path = materialize(first_places(long, percent), "first")
+        near = tile_links(first.join(bitmaps, "doc_id"), percent, tasks, exact=False)
+        near, near_path = materialize(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near")
+        linked = components(tile_links(with_arrays(narrow, reps, first.join(near, "doc_id", "left_semi"), width, order), percent, tasks, exact=True))
         joined = sizes.join(linked.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
         parts, _ = materialize(joined.select("doc_id", "n", F.coalesce("component", "doc_id").alias("part")), "parts")
+        forget(spark, first_path, near_path)
 
     short = lists.where(f"members <= {LIST}").select(F.col("list").alias("set"), "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(True))
     far = long.select("set", "doc_id").join(parts, "doc_id").withColumn("whole", F.lit(False))
     open_ = far.groupBy("set").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high").select("set")
     met = short.unionByName(far.join(open_, "set", "left_semi").select(*short.columns))
-    bounded = tiles(met, F.lit(1.0 / BLOCK), percent).join(chosen.select("doc_id", "n", F.col("bits").alias("data")), "doc_id")
+    bounded = tiles(met, F.lit(1.0 / BLOCK), percent).join(bitmaps, "doc_id")
     candidates = components(tile_links(bounded, percent, tasks, exact=False))
 
     grouped = parts.join(candidates.select(F.col("node").alias("part"), F.col("component").alias("set")), "part")
     counts = grouped.groupBy("set").agg(F.count("*").alias("_members"))
     groups = grouped.join(counts, "set").withColumn("whole", F.col("_members") <= LIST)
     placed = tiles(groups.select("set", "whole", "doc_id", "n", "part"), F.col("n") / F.lit(float(ELEMENTS)) + F.lit(1.0 / BLOCK), percent)
-    return Met(sets, top, any_fresh, firsts, parts, with_arrays(narrow, reps, placed, width, order), tasks)
+    return Met(sets, top, any_fresh, firsts, parts, with_arrays(narrow, reps, placed, width, order), tasks, sets_path)
 
 
 def numbered(smallest: DataFrame) -> tuple[DataFrame, int, bool]:
@@ -557,7 +572,11 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc
     found = exact_tiles(docs, width, percent, key, text)
     named = joined_classes(found, percent).select("n", "low", "high", "component_id")
     gone = found.sets.select("doc_id", "text_hash", "n", "low", "high").join(named, ["n", "low", "high"]).where("component_id < doc_id").select("doc_id", "text_hash").distinct()
-    hash_ = fresh(docs, "_hash")
+    gone, _ = materialize(gone, "gone")
+    forget(docs.sparkSession, found.sets_path)
+    hash_, known = fresh(docs, "_hash"), fresh(docs, "_known")
     out = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
-    rows = docs.withColumn(hash_, F.xxhash64(text))
-    return rows.join(out, (F.col(key) == F.col("_gone_id")) & (F.col(hash_) == F.col("_gone_hash")), "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    rows, names = flagged(docs, gone, known, key), [f"`{c}`" for c in docs.columns]
+    judged = rows.where(known).withColumn(hash_, F.xxhash64(text))
+    left = judged.join(out, (F.col(key) == F.col("_gone_id")) & (F.col(hash_) == F.col("_gone_hash")), "left_anti")
+    return rows.where(f"not {known}").select(*names).unionByName(left.select(*names))  # most rows stay and aren't shuffled

@@ -91,6 +91,25 @@ def test_components_of_chains_hubs_and_loops(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_only_documents_that_may_link_get_arrays(spark, monkeypatch):
+    draw = random.Random(21)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(4000)]
+    header = " ".join(f"h{k}" for k in range(212))  # more shared shingles than a text's prefix leaves out, too few for a link
+    docs = [(k, f"{header} {' '.join(draw.choices(words, k=50))}") for k in range(300)]
+    docs += [(1000 + k, text + " more") for k, text in docs[:20]]
+    frame = brute.frame(spark, [(d, t, "s") for d, t in docs])
+    sent, arrays = [], ngram_join.with_arrays
+
+    def seen(narrow, reps, placed, width, order):
+        sent.append(placed.select("doc_id").distinct().count())
+        return arrays(narrow, reps, placed, width, order)
+
+    monkeypatch.setattr(ngram_join, "with_arrays", seen)
+    kept = ngram_join.keep_one(frame, 5, 80)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300)) and kept.columns == frame.columns
+    assert len(sent) == 2 and 40 <= sent[0] <= 100  # 320 texts are in one long list, 40 of them link
+
+
 def repeated_docs(seed):
     draw = random.Random(seed)
     passages = ["".join(draw.choices("abcdefgh äö", k=draw.choice([49, 50, 51, 90, 200]))) for _ in range(8)]
